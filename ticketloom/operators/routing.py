@@ -67,7 +67,7 @@ def estimate_cost(
     """Decimal sum of stage prices of an array column, within the row."""
     total = money(Decimal(0))
     for stage, price in prices.items():
-        used = F.size(F.filter(stages, lambda s, stage=stage: s == stage))
+        used = F.size(stages) - F.size(F.array_remove(stages, stage))
         total = total + used.cast("decimal(9,0)") * money(price)
     if unlisted:
         other = F.size(F.filter(stages, lambda s: ~s.isin(list(prices))))

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ticketloom.sources.readers import spread_small
+
 # Own-authored ticket templates: subject, description, expected category, priority, team.
 TEMPLATES = (
     ("Production down for the order site", "The order site is unreachable and production down was confirmed by monitoring. Revenue impact is growing.", "Infrastructure", "P1", "Infrastructure"),
@@ -149,8 +151,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _view(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
-    return spark.sql(for_spark(sql), **{n: table(spark, sf_dir, n) for n in names})
+def _view(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
+    source = table(spark, sf_dir, name)
+    return spread_small(spark.sql(for_spark(sql), **{name: source}), source)
 
 
 def v_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,3 +32,17 @@ def read_tickets_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_ticket_file(spark: SparkSession, path: str) -> DataFrame:
     """One ticket per non-blank line of text files."""
     return read_ticket_lines(spark.read.text(path), "value")
+
+
+SMALL_SPLIT = 64 * 1024 * 1024
+
+
+def spread_small(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Spread ``df`` over all cores when its source is too small to fill them.
+
+    A small file is one scan task however many cores there are. Above 64 MB per core
+    the scan has splits enough and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SMALL_SPLIT else df
