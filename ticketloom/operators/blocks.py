@@ -23,9 +23,13 @@ QUERY_BLOCK = 4096
 DIGITS = 6
 
 
+def blocks_for(count: Column, rows: int) -> Column:
+    return F.greatest(F.ceil(count / rows), F.lit(1)).cast("int")
+
+
 def block_count(df: DataFrame, rows: int) -> Column:
     """Number of blocks of about ``rows`` rows, as a lazily evaluated scalar."""
-    return df.agg(F.greatest(F.ceil(F.count("*") / rows), F.lit(1)).cast("int")).scalar()
+    return df.agg(blocks_for(F.count("*"), rows)).scalar()
 
 
 def block_of(key: str, blocks: Column) -> Column:
@@ -68,15 +72,17 @@ def blockwise_topk(
     keys: list[str] | None = None,
     corpus_rows: int = CORPUS_BLOCK,
     query_rows: int = QUERY_BLOCK,
+    corpus_count: Column | None = None,
 ) -> DataFrame:
     """Top k (query_id, corpus_id, score, rank) over all blocks.
 
     ``score`` gets a query and a corpus table, the corpus in id order. With ``keys``
-    the inputs already carry the block columns.
+    the inputs already carry the block columns. A known ``corpus_count`` saves a pass.
     """
     if keys is None:
         keys = ["q_block", "c_block"]
-        n_q, n_c = block_count(queries, query_rows), block_count(corpus, corpus_rows)
+        n_q = block_count(queries, query_rows)
+        n_c = block_count(corpus, corpus_rows) if corpus_count is None else blocks_for(corpus_count, corpus_rows)
         queries = queries.withColumn("q_block", block_of("query_id", n_q)).withColumn("c_block", all_blocks(n_c))
         corpus = corpus.withColumn("c_block", block_of("corpus_id", n_c)).withColumn("q_block", all_blocks(n_q))
     fields = [queries.schema["query_id"], corpus.schema["corpus_id"], T.StructField("score", T.DoubleType())]

@@ -137,23 +137,26 @@ def index_terms(df: DataFrame, id_col: str = "doc_id", text: str = "content") ->
     ).select("corpus_id", "t.n_words", "t.terms")
 
 
-def text_topk(
-    queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "query_id", text: str = "text",
+def asked_words(text: Column) -> Column:
+    """Sorted distinct search words of a query text."""
+    return F.array_sort(F.array_distinct(X.words(F.coalesce(text, F.lit("")))))
+
+
+def text_answers(
+    queries: DataFrame, index: DataFrame, k: int = 3, text: str = "text",
+    details: DataFrame | None = None, detail_key: str = "doc_id",
     corpus_rows: int = B.CORPUS_BLOCK, query_rows: int = B.QUERY_BLOCK,
 ) -> DataFrame:
-    """Exact BM25 top k of an ``index_terms`` table: (query_id, corpus_id, score, rank).
+    """(asked, hits): the exact BM25 top k of every distinct set of query words.
 
     Query words absent from the index add nothing, so they are dropped first and
     queries left with the same words are scored once. No word is left out for being
-    frequent.
+    frequent. ``hits`` is array<struct<rank, corpus_id, score, ...>>, with the other
+    columns of ``details`` looked up by ``detail_key``.
     """
-    worded = queries.select(
-        F.col(query_id).alias("query_id"),
-        F.array_sort(F.array_distinct(X.words(F.coalesce(F.col(text), F.lit(""))))).alias("asked"),
-    ).filter(F.size("asked") > 0)
-    stats = index.agg(F.count("*").alias("n"), F.avg("n_words").alias("len"))
-    n_docs = stats.select("n").scalar()
-    mean_len = stats.select("len").scalar()
+    asked = queries.select(asked_words(F.col(text)).alias("asked")).filter(F.size("asked") > 0).distinct()
+    stats = index.agg(F.struct(F.count("*").alias("n"), F.avg("n_words").alias("len")).alias("s")).scalar()
+    n_docs = stats["n"]
     vocabulary = (
         index.select(F.explode(F.transform("terms", lambda t: t["word"])).alias("word"))
         .groupBy("word")
@@ -161,8 +164,7 @@ def text_topk(
         .withColumn("idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     )
     known = (
-        worded.select("asked").distinct()
-        .withColumn("word", F.explode("asked"))
+        asked.withColumn("word", F.explode("asked"))
         .join(vocabulary.select("word", "idf"), "word")
         .groupBy("asked")
         .agg(F.array_sort(F.collect_list(F.struct("word", "idf"))).alias("found"))
@@ -171,10 +173,9 @@ def text_topk(
             F.transform("found", lambda x: x["word"]).alias("words"),
             F.transform("found", lambda x: x["idf"]).alias("idfs"),
         )
+        .withColumn("query_id", F.array_join("words", " "))
     )
-    q = known.groupBy("words").agg(F.first("idfs").alias("idfs")).withColumn(
-        "query_id", F.array_join("words", " ")
-    )
+    q = known.groupBy("query_id").agg(F.first("words").alias("words"), F.first("idfs").alias("idfs"))
 
     def weight(t: Column) -> Column:
         n = t["n"].cast("double")
@@ -182,44 +183,60 @@ def text_topk(
             n + BM25_K1 * (1 - BM25_B + BM25_B * F.col("n_words") / F.col("mean_len"))
         )
 
-    c = index.withColumn("mean_len", mean_len).select(
+    c = index.withColumn("mean_len", stats["len"]).select(
         "corpus_id",
         F.transform("terms", lambda t: t["word"]).alias("words"),
         F.transform("terms", weight).alias("weights"),
     )
     hits = B.blockwise_topk(
-        q.select("query_id", "words", "idfs"), c, k, B.weighted_terms_scorer(k), None, corpus_rows, query_rows
-    ).withColumnRenamed("query_id", "known_words")
-    matched = known.select("asked", F.array_join("words", " ").alias("known_words"))
-    return (
-        worded.join(matched, "asked").join(hits, "known_words")
-        .select("query_id", "corpus_id", "score", "rank")
+        q, c, k, B.weighted_terms_scorer(k), None, corpus_rows, query_rows, n_docs
     )
+    shown = ["rank", "corpus_id", "score"]
+    if details is not None:
+        extra = [c for c in details.columns if c != detail_key]
+        hits = hits.join(details.select(F.col(detail_key).alias("corpus_id"), *extra), "corpus_id")
+        shown += extra
+    lists = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(*shown))).alias("hits"))
+    return known.select("asked", "query_id").join(lists, "query_id").select("asked", "hits")
 
 
-def with_hit_details(hits: DataFrame, chunks: DataFrame, cols: list[str], key: str = "doc_id") -> DataFrame:
-    """Look up chunk columns of the hits."""
-    return hits.join(chunks.select(F.col(key).alias("corpus_id"), *cols), "corpus_id")
-
-
-def build_context(
-    tickets: DataFrame, hits: DataFrame, key: str = "ticket_id", per_doc: int = 1000
+def with_text_hits(
+    queries: DataFrame, answers: DataFrame, text: str = "text", out: str = "hits"
 ) -> DataFrame:
-    """Add ``context``: title and head of each hit's content, in rank order.
+    """Add the ``text_answers`` hits to each query row; null where nothing matched.
 
-    ``hits`` has (query_id, rank, title, content) with a bounded number of rows per
-    query, so its lists are small.
+    One join on the word set: no second pass by query id. Write ``answers`` first
+    (``sinks.stage``) and its true size decides between a broadcast and a shuffle.
     """
-    text = F.concat("title", F.lit("\n"), F.substring("content", 1, per_doc))
-    merged = hits.groupBy(F.col("query_id").alias(key)).agg(
-        F.array_sort(F.collect_list(F.struct("rank", text.alias("text")))).alias("ranked")
-    )
-    context = F.array_join(F.transform("ranked", lambda x: x["text"]), "\n\n")
     return (
-        tickets.join(merged, key, "left")
-        .withColumn("context", F.coalesce(context, F.lit(policy.NO_CONTEXT)))
-        .drop("ranked")
+        queries.withColumn("asked", asked_words(F.col(text)))
+        .join(answers.withColumnRenamed("hits", out), "asked", "left")
+        .drop("asked")
+    )
+
+
+def text_topk(
+    queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "query_id", text: str = "text",
+    details: DataFrame | None = None, detail_key: str = "doc_id",
+    corpus_rows: int = B.CORPUS_BLOCK, query_rows: int = B.QUERY_BLOCK,
+) -> DataFrame:
+    """Exact BM25 top k of an ``index_terms`` table: (query_id, rank, corpus_id, score, details)."""
+    answers = text_answers(queries, index, k, text, details, detail_key, corpus_rows, query_rows)
+    slim = queries.select(F.col(query_id).alias("query_id"), F.col(text).alias("asked_text"))
+    return with_text_hits(slim, answers, "asked_text").select("query_id", F.inline("hits"))
+
+
+def context_of(hits: Column, per_doc: int = 1000) -> Column:
+    """Title and head of each hit's content, in rank order, or the no-context text."""
+    texts = F.transform(
+        hits, lambda h: F.concat(h["title"], F.lit("\n"), F.substring(h["content"], 1, per_doc))
     )
+    return F.coalesce(F.array_join(texts, "\n\n"), F.lit(policy.NO_CONTEXT))
+
+
+def build_context(tickets: DataFrame, hits: str = "hits", per_doc: int = 1000) -> DataFrame:
+    """Add ``context`` from a column of ranked hits with title and content."""
+    return tickets.withColumn("context", context_of(F.col(hits), per_doc))
 
 
 # --- history -------------------------------------------------------------------------
@@ -239,35 +256,53 @@ def latest_rows(history: DataFrame, k: int, by: str | None = None) -> DataFrame:
     return history.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def recent_history(
-    tickets: DataFrame, history: DataFrame, team: str = "assigned_team", by: str = "team", k: int = 3
-) -> DataFrame:
-    """Up to k recent resolved tickets of the ticket's team; any team's if it has none.
+HISTORY_COLUMNS = ("ticket_id", "ticket_text", "root_cause", "resolution", "resolution_time_hours", "resolved_at")
+
 
-    One row per (ticket, history ticket).
+def history_lookup(history: DataFrame, k: int = 3, by: str = "team") -> DataFrame:
+    """(history_team, recent): the k latest rows per team, and of any team under a null team.
+
+    One row per team; stage it and joins broadcast it for as long as it is small.
     """
-    details = ["ticket_id", "ticket_text", "root_cause", "resolution", "resolution_time_hours", "resolved_at"]
-    slim = history.select(*details, by)
-    team_top = latest_rows(slim, k, by).select(F.col(by).alias("history_team"), "rank", *[F.col(c).alias(f"h_{c}") for c in details])
-    any_top = latest_rows(slim, k).select(
-        F.lit(None).cast("string").alias("history_team"), "rank", *[F.col(c).alias(f"h_{c}") for c in details]
+    slim = history.select(by, *HISTORY_COLUMNS)
+    per_team = latest_rows(slim, k, by).withColumnRenamed(by, "history_team")
+    any_team = latest_rows(slim, k).drop(by).withColumn("history_team", F.lit(None).cast("string"))
+    return (
+        per_team.unionByName(any_team)
+        .groupBy("history_team")
+        .agg(F.array_sort(F.collect_list(F.struct("rank", *HISTORY_COLUMNS))).alias("recent"))
+    )
+
+
+def recent_history(
+    tickets: DataFrame, lookup: DataFrame, team: str = "assigned_team", out: str = "history"
+) -> DataFrame:
+    """Add recent resolved tickets of the ticket's team; any team's if it has none."""
+    teams = lookup.filter(F.col("history_team").isNotNull()).select(
+        F.col("history_team").alias(team), F.col("recent").alias("team_recent")
+    )
+    fallback = lookup.filter(F.col("history_team").isNull()).select("recent").scalar()
+    return (
+        tickets.join(teams, team, "left")
+        .withColumn(out, F.coalesce("team_recent", fallback))
+        .drop("team_recent")
     )
-    teams = team_top.filter("rank = 1").select(F.col("history_team").alias(team), F.lit(True).alias("has_team"))
-    keyed = tickets.join(teams, team, "left").withColumn(
-        "history_team", F.when(F.col("has_team"), F.col(team))
-    ).drop("has_team")
-    lookup = team_top.unionByName(any_top)
-    return keyed.join(lookup, keyed["history_team"].eqNullSafe(lookup["history_team"])).drop("history_team")
 
 
 def similar_history(
-    tickets: DataFrame, history: DataFrame, k: int = 3, key: str = "ticket_id", text: str = "ticket_text"
+    tickets: DataFrame, history: DataFrame, k: int = 3, key: str = "ticket_id", text: str = "ticket_text",
+    index: DataFrame | None = None,
 ) -> DataFrame:
-    """The k most similar resolved tickets by text, with their resolutions."""
-    hits = text_topk(tickets, index_terms(history, "ticket_id", "ticket_text"), k, key, text)
-    return with_hit_details(
-        hits, history, ["root_cause", "resolution", "resolution_time_hours", "resolved_at"], "ticket_id"
-    ).withColumnsRenamed({"query_id": key, "corpus_id": "similar_ticket_id"})
+    """The k most similar resolved tickets by text, with their resolutions.
+
+    ``index`` is a written ``index_terms`` table of the history, if there is one.
+    """
+    if index is None:
+        index = index_terms(history, "ticket_id", "ticket_text")
+    details = history.select("ticket_id", "root_cause", "resolution", "resolution_time_hours", "resolved_at")
+    return text_topk(tickets, index, k, key, text, details, "ticket_id").withColumnsRenamed(
+        {"query_id": key, "corpus_id": "similar_ticket_id"}
+    )
 
 
 # --- index upkeep ----------------------------------------------------------------------

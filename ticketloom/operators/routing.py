@@ -99,40 +99,30 @@ def compare_approaches(classified: DataFrame, price: Decimal = policy.TOOL_PRICE
 
 
 def analyze_tickets(
-    scored: DataFrame, kb_hits: DataFrame | None = None, recent: DataFrame | None = None,
+    scored: DataFrame, articles: str | None = None, history: str | None = None,
     key: str = "ticket_id", text: str = "ticket_text",
 ) -> DataFrame:
     """Nested analysis record per ticket.
 
-    ``scored`` has key, text and the ``scored`` struct; ``kb_hits`` has (key, articles)
-    and ``recent`` (key, history), each at most one row per ticket. Either may be
-    absent, as a failed stage is.
+    ``scored`` has key, text, the ``scored`` struct and, where those stages ran, a
+    column of ranked articles and one of recent history. No join happens here.
     """
-    out = scored
-    if kb_hits is not None:
-        out = out.join(kb_hits, key, "left")
-    else:
-        out = out.withColumn("articles", F.lit(None).cast("array<struct<doc_id:string,title:string>>"))
-    if recent is not None:
-        out = out.join(recent, key, "left")
-    else:
-        out = out.withColumn("history", F.lit(None).cast("array<struct<ticket_id:string,resolution:string>>"))
-    found = F.coalesce(F.size("articles"), F.lit(0))
-    has_history = F.coalesce(F.size("history") > 0, F.lit(False))
+    no_articles = F.lit(None).cast("array<struct<doc_id:string,title:string>>")
+    no_history = F.lit(None).cast("array<struct<ticket_id:string,resolution:string>>")
+    found_articles = no_articles if articles is None else F.col(articles)
+    found_history = no_history if history is None else F.col(history)
+    found = F.coalesce(F.size(found_articles), F.lit(0))
+    has_history = F.coalesce(F.size(found_history) > 0, F.lit(False))
     s = F.col("scored")
-    return out.select(
+    return scored.select(
         key,
         F.substring(text, 1, 200).alias("ticket"),
-        F.struct(s["category"].alias("category"), s["priority"].alias("priority"),
-                 s["assigned_team"].alias("assigned_team"), s["confidence"].alias("confidence")
-                 ).alias("classification"),
-        F.struct(s["priority_score"].alias("priority_score"), s["urgency_level"].alias("urgency_level"),
-                 s["affected_systems"].alias("affected_systems"),
-                 s["technical_keywords"].alias("technical_keywords"),
-                 s["user_impact"].alias("user_impact"),
-                 s["requires_escalation"].alias("requires_escalation")).alias("metadata"),
+        F.struct(*[s[c].alias(c) for c in ("category", "priority", "assigned_team", "confidence")]).alias("classification"),
+        F.struct(*[s[c].alias(c) for c in (
+            "priority_score", "urgency_level", "affected_systems", "technical_keywords", "user_impact",
+            "requires_escalation")]).alias("metadata"),
         found.alias("knowledge_articles"),
-        F.col("articles"),
-        F.col("history"),
+        found_articles.alias("articles"),
+        found_history.alias("history"),
         recommend_actions(s["priority"], s["assigned_team"], found, has_history).alias("recommendations"),
     )

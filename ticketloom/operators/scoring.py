@@ -126,11 +126,14 @@ def quick_classify(
 
 def generate_summary(
     df: DataFrame, text: str = "ticket_text", context: str = "context",
-    sender: str | None = None, out: str = "generated",
+    scored: str | None = None, sender: str | None = None, out: str = "generated",
 ) -> DataFrame:
-    """Extractive summary, steps and time from the ticket and a context column."""
-    scored = S.score_sql(_name(text), _name(sender))
-    return df.withColumn(out, F.expr(S.generate_sql(_name(text), f"coalesce(`{context}`, '')", scored)))
+    """Extractive summary, steps and time from the ticket and a context column.
+
+    ``scored`` names a column of ``score_tickets`` made before the context was joined.
+    """
+    policy_of = S.score_sql(_name(text), _name(sender)) if scored is None else f"`{scored}`"
+    return df.withColumn(out, F.expr(S.generate_sql(_name(text), f"coalesce(`{context}`, '')", policy_of)))
 
 
 def batch_classify(df: DataFrame, text: str = "ticket_text", sender: str | None = None) -> DataFrame:

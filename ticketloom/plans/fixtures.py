@@ -153,7 +153,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _view(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
     source = table(spark, sf_dir, name)
-    return spread_small(spark.sql(for_spark(sql), **{name: source}), source)
+    return spark.sql(for_spark(sql), **{name: spread_small(source, source)})
 
 
 def v_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,12 +64,12 @@ def _entries(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _entry_hits(spark: SparkSession, sf: str, k: int) -> DataFrame:
-    entries = _entries(spark, sf)
-    hits = retrieval.text_topk(
-        _tickets(spark, sf), retrieval.index_terms(entries), k, "ticket_id", "ticket_text"
-    )
-    return retrieval.with_hit_details(hits, entries, ["title", "content"])
+def _with_entry_hits(spark: SparkSession, sf: str, df: DataFrame, k: int) -> DataFrame:
+    """Tickets with their k best runbook entries in ``hits``."""
+    entries = sinks.stage(_entries(spark, sf), "entries")
+    index = sinks.stage(retrieval.index_terms(entries), "index")
+    answers = retrieval.text_answers(_tickets(spark, sf), index, k, "ticket_text", entries)
+    return retrieval.with_text_hits(df, sinks.stage(answers, "answers"), "ticket_text")
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -410,7 +410,7 @@ def apply_model(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def build_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    context = retrieval.build_context(_tickets(spark, sf), _entry_hits(spark, sf, 1))
+    context = retrieval.build_context(_with_entry_hits(spark, sf, _tickets(spark, sf), 1))
     return scoring.build_prompt(
         context, scoring.PROMPT_TEMPLATE, ticket="ticket_text", context="context"
     ).select("ticket_id", "prompt")
@@ -418,11 +418,11 @@ def build_prompt(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def generate_summary(spark: SparkSession, sf: str) -> DataFrame:
-    best = _entry_hits(spark, sf, 1).select(F.col("query_id").alias("ticket_id"), F.col("content").alias("context"))
+    hit = _with_entry_hits(spark, sf, _scored(spark, sf), 1).withColumn(
+        "context", F.get("hits", F.lit(0))["content"]
+    )
     g = F.col("generated")
-    return scoring.generate_summary(
-        _tickets(spark, sf).join(best, "ticket_id", "left"), sender="submitted_by"
-    ).select(
+    return scoring.generate_summary(hit, scored="scored").select(
         "ticket_id", g["summary"].alias("summary"), piped(g["recommendations"]).alias("recommendations"),
         piped(g["resolution_steps"]).alias("resolution_steps"),
         g["estimated_resolution_time"].alias("estimated_resolution_time"),
@@ -484,21 +484,10 @@ def estimate_cost(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _analysis(spark: SparkSession, sf: str) -> DataFrame:
-    kb_hits = _entry_hits(spark, sf, 3).groupBy(F.col("query_id").alias("ticket_id")).agg(
-        F.array_sort(F.collect_list(F.struct("rank", F.col("corpus_id").alias("doc_id"), "title"))).alias("articles")
-    )
-    scored = _scored(spark, sf)
-    latest = retrieval.latest_rows(
-        fx.v_history(spark, sf).select("ticket_id", "resolution", "resolved_at", "team"), 3, "team"
-    )
-    per_team = latest.groupBy(F.col("team").alias("history_team")).agg(
-        F.array_sort(F.collect_list(F.struct("rank", "ticket_id", "resolution"))).alias("history")
-    )
-    recent = (
-        scored.select("ticket_id", F.col("scored.assigned_team").alias("history_team"))
-        .join(per_team, "history_team").select("ticket_id", "history")
-    )
-    return routing.analyze_tickets(scored, kb_hits, recent)
+    lookup = sinks.stage(retrieval.history_lookup(fx.v_history(spark, sf)), "lookup")
+    scored = _scored(spark, sf).withColumn("assigned_team", F.col("scored.assigned_team"))
+    staged = retrieval.recent_history(_with_entry_hits(spark, sf, scored, 3), lookup)
+    return routing.analyze_tickets(staged, "hits", "history")
 
 
 @query
@@ -510,7 +499,7 @@ def analyze_tickets(spark: SparkSession, sf: str) -> DataFrame:
         F.col("metadata.urgency_level").alias("urgency_level"),
         F.col("metadata.requires_escalation").alias("requires_escalation"),
         "knowledge_articles",
-        piped(F.transform("articles", lambda a: a["doc_id"])).alias("articles"),
+        piped(F.transform("articles", lambda a: a["corpus_id"])).alias("articles"),
         piped(F.transform("history", lambda h: h["ticket_id"])).alias("history"),
         piped("recommendations").alias("recommendations"),
     )
@@ -543,7 +532,7 @@ def vector_topk_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def embed_text(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = _chunks(spark, sf).select("doc_id", "content")
+    chunks = sinks.stage(_chunks(spark, sf).select("doc_id", "content"), "chunks")
     model = retrieval.fit_embedder(chunks)
     embedded = retrieval.embed_text(chunks, model)
     return embedded.select(
@@ -555,18 +544,17 @@ def embed_text(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def text_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Three best chunks for every user line of the conversations."""
-    index = retrieval.index_terms(_chunks(spark, sf))
+    index = sinks.stage(retrieval.index_terms(_chunks(spark, sf)), "index")
     return retrieval.text_topk(_lines(spark, sf), index)
 
 
 @query
 def build_context(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = _chunks(spark, sf)
+    chunks = sinks.stage(_chunks(spark, sf).select("doc_id", "title", "content"), "chunks")
     lines = _lines(spark, sf)
-    hits = retrieval.with_hit_details(
-        retrieval.text_topk(lines, retrieval.index_terms(chunks)), chunks, ["title", "content"]
-    )
-    return retrieval.build_context(lines, hits, "query_id").select("query_id", "context")
+    index = sinks.stage(retrieval.index_terms(chunks), "index")
+    answers = retrieval.text_answers(lines, index, 3, "text", chunks)
+    return retrieval.build_context(retrieval.with_text_hits(lines, answers)).select("query_id", "context")
 
 
 @query
@@ -576,15 +564,19 @@ def recent_history(spark: SparkSession, sf: str) -> DataFrame:
         "ticket_id",
         F.when(F.col("expected_team") == "Cloud", "Platform").otherwise(F.col("expected_team")).alias("assigned_team"),
     )
-    return retrieval.recent_history(t, fx.v_history(spark, sf)).select(
-        "ticket_id", "assigned_team", "rank", F.col("h_ticket_id").alias("history_ticket_id"),
-        F.col("h_resolution").alias("resolution"), F.col("h_resolved_at").alias("resolved_at"),
+    lookup = sinks.stage(retrieval.history_lookup(fx.v_history(spark, sf)), "lookup")
+    found = retrieval.recent_history(t, lookup).select("ticket_id", "assigned_team", F.explode("history").alias("h"))
+    return found.select(
+        "ticket_id", "assigned_team", F.col("h.rank").alias("rank"), F.col("h.ticket_id").alias("history_ticket_id"),
+        F.col("h.resolution").alias("resolution"), F.col("h.resolved_at").alias("resolved_at"),
     )
 
 
 @query
 def similar_history(spark: SparkSession, sf: str) -> DataFrame:
-    found = retrieval.similar_history(_tickets(spark, sf), fx.v_history(spark, sf))
+    history = fx.v_history(spark, sf)
+    index = sinks.stage(retrieval.index_terms(history, "ticket_id", "ticket_text"), "index")
+    found = retrieval.similar_history(_tickets(spark, sf), history, index=index)
     return found.select("ticket_id", "similar_ticket_id", "score", "rank", "resolution")
 
 
@@ -745,6 +737,7 @@ def classify_stream(spark: SparkSession, sf: str) -> DataFrame:
     arriving = spark.readStream.schema(fx.table(spark, sf, "events").schema).option(
         "pathGlobFilter", "events.parquet"
     ).parquet(sf)
+    arriving = readers.spread_small(arriving, fx.table(spark, sf, "events"))
     built = tickets.build_tickets(spark.sql(fx.for_spark(fx.V_TICKETS), events=arriving))
     scored = streams.classify_stream(built, sender="submitted_by").select(
         "ticket_id", "classification.category", "classification.priority", "classification.assigned_team",

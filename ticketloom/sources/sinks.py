@@ -28,6 +28,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"ticketloom-{name}-")
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result once and read it back: computed once, and safe to lose executors after."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
