@@ -20,16 +20,19 @@ from pyspark.sql import types as T
 
 CORPUS_BLOCK = 16384
 QUERY_BLOCK = 4096
+SMALL_BLOCK = 512
 DIGITS = 6
 
 
-def blocks_for(count: Column, rows: int) -> Column:
-    return F.greatest(F.ceil(count / rows), F.lit(1)).cast("int")
+def blocks_for(count: Column, rows: int, cores: int = 1) -> Column:
+    """Blocks of about ``rows`` rows; a small input is cut further to occupy the cores."""
+    busy = F.least(F.lit(cores), F.ceil(count / SMALL_BLOCK))
+    return F.greatest(F.ceil(count / rows), busy, F.lit(1)).cast("int")
 
 
-def block_count(df: DataFrame, rows: int) -> Column:
-    """Number of blocks of about ``rows`` rows, as a lazily evaluated scalar."""
-    return df.agg(blocks_for(F.count("*"), rows)).scalar()
+def block_count(df: DataFrame, rows: int, cores: int = 1) -> Column:
+    """Number of blocks, as a lazily evaluated scalar."""
+    return df.agg(blocks_for(F.count("*"), rows, cores)).scalar()
 
 
 def block_of(key: str, blocks: Column) -> Column:
@@ -81,8 +84,12 @@ def blockwise_topk(
     """
     if keys is None:
         keys = ["q_block", "c_block"]
+        cores = queries.sparkSession.sparkContext.defaultParallelism
         n_q = block_count(queries, query_rows)
-        n_c = block_count(corpus, corpus_rows) if corpus_count is None else blocks_for(corpus_count, corpus_rows)
+        if corpus_count is None:
+            n_c = block_count(corpus, corpus_rows, cores)
+        else:
+            n_c = blocks_for(corpus_count, corpus_rows, cores)
         queries = queries.withColumn("q_block", block_of("query_id", n_q)).withColumn("c_block", all_blocks(n_c))
         corpus = corpus.withColumn("c_block", block_of("corpus_id", n_c)).withColumn("q_block", all_blocks(n_q))
     fields = [queries.schema["query_id"], corpus.schema["corpus_id"], T.StructField("score", T.DoubleType())]

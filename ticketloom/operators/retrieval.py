@@ -139,7 +139,7 @@ def index_terms(df: DataFrame, id_col: str = "doc_id", text: str = "content") ->
 
 def asked_words(text: Column) -> Column:
     """Sorted distinct search words of a query text."""
-    return F.array_sort(F.array_distinct(X.words(F.coalesce(text, F.lit("")))))
+    return F.sort_array(F.array_distinct(X.words(F.coalesce(text, F.lit("")))))
 
 
 def text_answers(
@@ -167,7 +167,7 @@ def text_answers(
         asked.withColumn("word", F.explode("asked"))
         .join(vocabulary.select("word", "idf"), "word")
         .groupBy("asked")
-        .agg(F.array_sort(F.collect_list(F.struct("word", "idf"))).alias("found"))
+        .agg(F.sort_array(F.collect_list(F.struct("word", "idf"))).alias("found"))
         .select(
             "asked",
             F.transform("found", lambda x: x["word"]).alias("words"),
@@ -196,7 +196,7 @@ def text_answers(
         extra = [c for c in details.columns if c != detail_key]
         hits = hits.join(details.select(F.col(detail_key).alias("corpus_id"), *extra), "corpus_id")
         shown += extra
-    lists = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(*shown))).alias("hits"))
+    lists = hits.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(*shown))).alias("hits"))
     return known.select("asked", "query_id").join(lists, "query_id").select("asked", "hits")
 
 
@@ -270,7 +270,7 @@ def history_lookup(history: DataFrame, k: int = 3, by: str = "team") -> DataFram
     return (
         per_team.unionByName(any_team)
         .groupBy("history_team")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", *HISTORY_COLUMNS))).alias("recent"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", *HISTORY_COLUMNS))).alias("recent"))
     )
 
 

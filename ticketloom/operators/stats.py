@@ -30,7 +30,7 @@ def tickets_by_priority(
     listed = (
         df.select(F.col(priority).alias("priority"), F.col(key).alias("id"))
         .groupBy("priority", page_of("id", pages).alias("page"))
-        .agg(F.count("*").alias("page_tickets"), F.array_sort(F.collect_list("id")).alias("ticket_ids"))
+        .agg(F.count("*").alias("page_tickets"), F.sort_array(F.collect_list("id")).alias("ticket_ids"))
     )
     totals = df.groupBy(F.col(priority).alias("priority")).agg(F.count("*").alias("tickets"))
     return listed.join(totals, "priority").select("priority", "tickets", "page", "page_tickets", "ticket_ids")
