@@ -383,7 +383,7 @@ def select_new_docs(docs: DataFrame, loaded: DataFrame) -> DataFrame:
     anti-join on both keys replaces per-file counting.
     """
     keyed = docs.withColumn("content_hash", content_hash(F.col("content")))
-    return keyed.join(loaded.select("filename", "content_hash").distinct(), ["filename", "content_hash"], "left_anti")
+    return keyed.join(loaded.select("filename", "content_hash"), ["filename", "content_hash"], "left_anti")
 
 
 def match_doc_ids(kb: DataFrame, doc_type: Column, file_id: Column) -> DataFrame:

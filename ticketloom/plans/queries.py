@@ -132,9 +132,9 @@ def upsert_table(spark: SparkSession, sf: str) -> DataFrame:
     """The same upsert through two versions of a written table."""
     path = sinks.scratch_dir(spark, "upsert")
     sinks.upsert_table(fx.v_kb_loaded(spark, sf), path, "filename")
-    fresh = kb.select_new_docs(fx.v_kb_docs(spark, sf), sinks.read_table(spark, path))
+    fresh = kb.select_new_docs(fx.v_kb_docs(spark, sf), sinks.read_keyed(spark, path))
     sinks.upsert_table(fresh.select("filename", "content_hash"), path, "filename")
-    return sinks.read_table(spark, path)
+    return sinks.read_keyed(spark, path)
 
 
 @query
@@ -727,7 +727,7 @@ def sync_index(spark: SparkSession, sf: str) -> DataFrame:
             spark, source, index, mark, lambda df: retrieval.embed_text(df, model),
             "doc_id STRING, content STRING, created_at TIMESTAMP",
         ).awaitTermination()
-    return sinks.read_table(spark, index).select("doc_id", "content_hash", F.size("embedding").alias("dims"))
+    return sinks.read_keyed(spark, index).select("doc_id", "content_hash", F.size("embedding").alias("dims"))
 
 
 @query

@@ -81,16 +81,62 @@ def write_table(df: DataFrame, path: str, mode: str) -> None:
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target rows without a source key, plus all source rows."""
-    return target.join(source.select(key).distinct(), key, "left_anti").unionByName(source)
+    return target.join(source.select(key), key, "left_anti").unionByName(source)
 
 
-def upsert_table(source: DataFrame, path: str, key: str) -> None:
-    """Upsert into a versioned table by writing its next version."""
+# A keyed table is cut into hash buckets of its key. An upsert writes a new version of
+# the buckets it touches only; readers take the newest complete version of each bucket.
+
+
+def _bucket_dirs(spark: SparkSession, path: str, buckets: int | None = None) -> tuple[dict[int, str], int]:
+    """Newest folder per bucket, and the number of the last version."""
+    fs, root = _file_system(spark, path)
+    if not fs.exists(root):
+        return {}, 0
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    complete = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        number, _, cut = name.removeprefix("k").partition("-")
+        if name.startswith("k") and number.isdigit() and fs.exists(new_path(f"{path}/{name}/_SUCCESS")):
+            if buckets is not None and int(cut) != buckets:
+                raise ValueError(f"{path} has {cut} buckets, not {buckets}")
+            complete.append((int(number), name))
+    newest = {}
+    for _, name in sorted(complete):
+        for status in fs.listStatus(new_path(f"{path}/{name}")):
+            folder = status.getPath().getName()
+            if folder.startswith("bucket="):
+                newest[int(folder.split("=")[1])] = f"{path}/{name}/{folder}"
+    return newest, max((n for n, _ in complete), default=0)
+
+
+def has_rows(spark: SparkSession, path: str) -> bool:
+    return bool(_bucket_dirs(spark, path)[0])
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    found, _ = _bucket_dirs(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no complete version under {path}")
+    return spark.read.parquet(*[found[b] for b in sorted(found)])
+
+
+def upsert_table(source: DataFrame, path: str, key: str, buckets: int = 256) -> None:
+    """Upsert into a keyed table; choose ``buckets`` once, for its final size."""
     spark = source.sparkSession
-    out = _next_version(spark, path)
-    if versions(spark, path):
-        source = upsert(read_table(spark, path), source, key)
-    source.write.mode("overwrite").parquet(out)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    found, last = _bucket_dirs(spark, path, buckets)
+    rows = stage(source, "upsert") if found else source
+    if found:
+        touched = {r["bucket"] for r in rows.select(bucket.alias("bucket")).distinct().collect()}
+        old = [found[b] for b in sorted(touched) if b in found]
+        if old:
+            rows = upsert(spark.read.parquet(*old), rows, key)
+    (
+        rows.withColumn("bucket", bucket).hint("rebalance", "bucket")
+        .write.partitionBy("bucket").parquet(f"{path}/k{last + 1}-{buckets}")
+    )
 
 
 def export_results_csv(df: DataFrame, path: str) -> None:

@@ -27,21 +27,20 @@ def sync_index(
     """Bring an index up to date with new files of a chunk table, then stop.
 
     Each batch keeps the newest row per key, drops rows whose content the index
-    already has, embeds the rest and upserts them. A batch run again after a failure
-    finds its rows in place and changes nothing.
+    already has, embeds the rest and upserts them into the keyed index table. A batch
+    run again after a failure finds its rows in place and changes nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per_key(batch, key, [version, content]).withColumn(
             "content_hash", F.md5(F.encode(F.col(content), "utf-8"))
         )
-        known = sinks.versions(spark, index_path)
-        if known:
-            have = sinks.read_table(spark, index_path).select(key, "content_hash")
+        if sinks.has_rows(spark, index_path):
+            have = sinks.read_keyed(spark, index_path).select(key, "content_hash")
             newest = newest.join(have, [key, "content_hash"], "left_anti")
-        if newest.isEmpty():
-            return
-        sinks.upsert_table(embed(newest), index_path, key)
+        changed = sinks.stage(newest, "changed")
+        if not changed.isEmpty():
+            sinks.upsert_table(embed(changed), index_path, key)
 
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_path)
