@@ -12,7 +12,7 @@ def read_text_docs(spark: SparkSession, path: str, max_chars: int | None = None)
     """One row per ``.txt`` file: filename, path, content. ``max_chars`` keeps the head only."""
     content = F.col("value") if max_chars is None else F.substring("value", 1, max_chars)
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path)
+        spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
         .select(
             F.col("_metadata.file_name").alias("filename"),
             F.col("_metadata.file_path").alias("path"),
