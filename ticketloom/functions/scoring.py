@@ -28,20 +28,58 @@ def sql_array(values: Iterable[str]) -> str:
 
 
 def phrase_array(phrases: Iterable[str]) -> str:
-    return sql_array(dict.fromkeys(padded(p) for p in phrases))
+    return sql_array(dict.fromkeys(padded(p).strip() for p in phrases))
 
 
-def let_sql(name: str, value: str, body: str) -> str:
-    """Bind ``value`` to a lambda variable so that it is evaluated once per row."""
-    return f"transform(array({value}), {name} -> {body})[0]"
+def chain_sql(start: str, *steps: str) -> str:
+    """Evaluate steps one after another within the row; each sees the last as ``v``.
+
+    Every step is a one-element transform over the one before, so an intermediate is
+    evaluated once however often it is used, and only the structs that steps name are
+    carried on.
+    """
+    out = f"array({start})"
+    for step in steps:
+        out = f"transform({out}, v -> {step})"
+    return f"{out}[0]"
+
+
+def record(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
 
 
 def normalise_sql(text: str) -> str:
     return f"concat(' ', btrim(regexp_replace(lower({text}), '[^\\\\p{{L}}\\\\p{{N}}_]+', ' ')), ' ')"
 
 
+LONGEST_GRAM = 4
+
+
+def hits_steps(text: str, phrases: Iterable[str]) -> list[str]:
+    """Start and steps giving (norm, hits): the phrases that occur as whole words.
+
+    The ticket's word n-grams are hashed once and every phrase is one probe, so the
+    cost does not grow with phrases times text. Phrases of more words than
+    ``LONGEST_GRAM`` are searched for as text.
+    """
+    plain = list(dict.fromkeys(padded(p).strip() for p in phrases))
+    short = [p for p in plain if len(p.split()) <= LONGEST_GRAM]
+    long = [p for p in plain if len(p.split()) > LONGEST_GRAM]
+    width = max((len(p.split()) for p in short), default=1)
+    steps = [normalise_sql(f"coalesce({text}, '')"), record(norm="v", g1="split(btrim(v), ' ')")]
+    for i in range(2, width + 1):
+        kept = {f"g{j}": f"v.g{j}" for j in range(1, i)}
+        longer = f"zip_with(v.g{i - 1}, slice(v.g1, {i}, size(v.g1)), (x, y) -> concat(x, ' ', y))"
+        steps.append(record(norm="v.norm", **kept, **{f"g{i}": longer}))
+    grams = ", ".join(f"v.g{i}" for i in range(1, width + 1))
+    found = f"array_intersect({sql_array(short)}, concat({grams}))"
+    if long:
+        found = f"concat({found}, filter({sql_array(long)}, p -> contains(v.norm, concat(' ', p, ' '))))"
+    return [*steps, record(norm="v.norm", hits=found)]
+
+
 def _any(phrases: Iterable[str]) -> str:
-    return f"arrays_overlap(hits, {phrase_array(phrases)})"
+    return f"arrays_overlap(v.hits, {phrase_array(phrases)})"
 
 
 def _case(pairs: Iterable[tuple[str, str]], default: str) -> str:
@@ -84,8 +122,8 @@ def first_sentence_sql(text: str) -> str:
         f"btrim(regexp_replace({text}, '^(?s)Subject: .*?\\n\\nDescription: ', ''), "
         "' \\t\\n\\r')"
     )
-    first = "regexp_extract(body, '^(?s)(.+?[.!?])(\\\\s|$)', 1)"
-    return let_sql("body", body, f"CASE WHEN {first} = '' THEN body ELSE {first} END")
+    first = "regexp_extract(v, '^(?s)(.+?[.!?])(\\\\s|$)', 1)"
+    return chain_sql(body, record(body="v", first=first), "CASE WHEN v.first = '' THEN v.body ELSE v.first END")
 
 
 def urgency_sql(base: str, raised: str) -> str:
@@ -134,11 +172,22 @@ def score_sql(
             phrases += words
 
     def fired(rule: Rule) -> str:
-        return f"array_contains(fired, {rule.rule_id})"
+        return f"array_contains(v.fired, {rule.rule_id})"
 
     fired_ids = "array_compact(array({}))".format(
         ", ".join(f"CASE WHEN {_rule_condition(r, sender)} THEN {r.rule_id} END" for r in rules)
     )
+    scores = "array({})".format(
+        ", ".join(
+            record(team=quote(team), score=f"size(array_intersect({phrase_array(words)}, v.hits))")
+            for team, words in team_keywords.items()
+        )
+    )
+    found = {"hits": "v.hits", "fired": fired_ids, "scores": scores}
+    if extract:
+        found |= {"impact": impact_sql(), "hosts": hosts_sql(text)}
+    carried = {name: f"v.{name}" for name in found}
+
     set_priority = _least([
         f"CASE WHEN {fired(r)} THEN "
         + (
@@ -153,122 +202,108 @@ def score_sql(
     min_priority = _least(
         [f"CASE WHEN {fired(r)} THEN {quote(r.min_priority)} END" for r in rules if r.min_priority]
     )
-    rule_urgency = _case(
-        [(fired(r), quote(u)) for u in policy.URGENCIES for r in rules if r.urgency == u], NULL
-    )
-    rule_team = _case([(fired(r), quote(r.team)) for r in rules if r.team], NULL)
-    rule_category = _case([(fired(r), quote(r.category)) for r in rules if r.category], NULL)
-    notify = _compact([f"CASE WHEN {fired(r)} THEN {quote(r.notify)} END" for r in rules if r.notify])
-    action = _compact([f"CASE WHEN {fired(r)} THEN {quote(r.action)} END" for r in rules if r.action])
-    raised = " OR ".join([fired(r) for r in rules if r.raise_urgency]) or "false"
-    scores = "array({})".format(
-        ", ".join(
-            f"named_struct('team', {quote(team)}, 'score', size(array_intersect(hits, {phrase_array(words)})))"
-            for team, words in team_keywords.items()
-        )
-    )
-    matched = "named_struct({})".format(
-        ", ".join([
-            f"'set_priority', {set_priority}",
-            f"'min_priority', {min_priority}",
-            f"'urgency', {rule_urgency}",
-            f"'team', {rule_team}",
-            f"'category', {rule_category}",
-            f"'notify', {notify}",
-            f"'action', {action}",
-            f"'scores', {scores}",
-        ])
-    )
-    best = "array_min(transform(m.scores, (x, i) -> named_struct('neg', -x.score, 'ord', i, 'team', x.team)))"
-    total = "aggregate(m.scores, 0, (a, x) -> a + x.score)"
+    effects = {
+        "set_priority": set_priority,
+        "min_priority": min_priority,
+        "rule_urgency": _case(
+            [(fired(r), quote(u)) for u in policy.URGENCIES for r in rules if r.urgency == u], NULL
+        ),
+        "rule_category": _case([(fired(r), quote(r.category)) for r in rules if r.category], NULL),
+        "rule_team": _case([(fired(r), quote(r.team)) for r in rules if r.team], NULL),
+        "notify": _compact([f"CASE WHEN {fired(r)} THEN {quote(r.notify)} END" for r in rules if r.notify]),
+        "action": _compact([f"CASE WHEN {fired(r)} THEN {quote(r.action)} END" for r in rules if r.action]),
+        "raised": " OR ".join([fired(r) for r in rules if r.raise_urgency]) or "false",
+        "best": "array_min(transform(v.scores, (x, i) -> " + record(neg="-x.score", ord="i", team="x.team") + "))",
+        "total": "aggregate(v.scores, 0, (a, x) -> a + x.score)",
+    }
+    known = carried | {name: f"v.{name}" for name in effects}
+
     cue = f"CASE WHEN {_any(policy.INFO_CUES)} THEN 'P4' ELSE {quote(policy.DEFAULT_PRIORITY)} END"
-    chosen = "named_struct({})".format(
-        ", ".join([
-            f"'priority', coalesce(least(m.set_priority, m.min_priority), {cue})",
-            f"'team', coalesce(m.team, CASE WHEN b.best.neg < 0 THEN b.best.team ELSE {quote(policy.DEFAULT_TEAM)} END)",
-            "'confidence', CASE WHEN b.total = 0 THEN CAST(0 AS DOUBLE) ELSE round(-b.best.neg / b.total, 2) END",
-        ])
-    )
+    chosen = {
+        "priority": f"coalesce(least(v.set_priority, v.min_priority), {cue})",
+        "team": f"coalesce(v.rule_team, CASE WHEN v.best.neg < 0 THEN v.best.team ELSE {quote(policy.DEFAULT_TEAM)} END)",
+    }
+
     by_team = " ".join(
         f"WHEN {quote(t)} THEN "
         + (f"CASE WHEN {_any(policy.DEVICE_WORDS)} THEN 'Hardware' ELSE {quote(c)} END"
            if t == "End User Support" else quote(c))
         for t, c in policy.CATEGORY_BY_TEAM.items()
     )
-    category = f"coalesce(m.category, CASE c.team {by_team} ELSE {quote(policy.DEFAULT_CATEGORY)} END)"
     by_priority = " ".join(f"WHEN {quote(p)} THEN {quote(u)}" for p, u in policy.URGENCY_BY_PRIORITY.items())
-    urgency = urgency_sql(f"coalesce(m.urgency, CASE c.priority {by_priority} END)", raised)
-    fields = [
-        "'fired', fired",
-        "'set_priority', m.set_priority",
-        "'min_priority', m.min_priority",
-        "'rule_urgency', m.urgency",
-        "'rule_category', m.category",
-        "'rule_team', m.team",
-        "'notify', m.notify",
-        "'action', m.action",
-        "'scores', m.scores",
-        "'best_team', CASE WHEN b.best.neg < 0 THEN b.best.team END",
-        f"'category', {category}",
-        "'priority', c.priority",
-        "'assigned_team', c.team",
-        "'confidence', c.confidence",
-        f"'priority_score', {priority_score_sql('c.priority')}",
-        f"'urgency_level', {urgency}",
-    ]
-    if extract:
-        fields += [
-            f"'affected_systems', {systems_sql(text)}",
-            f"'technical_keywords', {technical_sql(text)}",
-            "'user_impact', impact",
-            "'requires_escalation', c.priority IN ('P1', 'P2') OR impact <> 'Single User'",
-        ]
-    result = f"named_struct({', '.join(fields)})"
+    result = {
+        "fired": "v.fired",
+        "set_priority": "v.set_priority",
+        "min_priority": "v.min_priority",
+        "rule_urgency": "v.rule_urgency",
+        "rule_category": "v.rule_category",
+        "rule_team": "v.rule_team",
+        "notify": "v.notify",
+        "action": "v.action",
+        "scores": "v.scores",
+        "best_team": "CASE WHEN v.best.neg < 0 THEN v.best.team END",
+        "category": f"coalesce(v.rule_category, CASE v.team {by_team} ELSE {quote(policy.DEFAULT_CATEGORY)} END)",
+        "priority": "v.priority",
+        "assigned_team": "v.team",
+        "confidence": "CASE WHEN v.total = 0 THEN CAST(0 AS DOUBLE) ELSE round(-v.best.neg / v.total, 2) END",
+        "priority_score": priority_score_sql("v.priority"),
+        "urgency_level": urgency_sql(f"coalesce(v.rule_urgency, CASE v.priority {by_priority} END)", "v.raised"),
+    }
     if extract:
-        result = let_sql("impact", impact_sql(), result)
-    result = let_sql("c", chosen, result)
-    result = let_sql("b", f"named_struct('best', {best}, 'total', {total})", result)
-    result = let_sql("m", matched, result)
-    result = let_sql("fired", fired_ids, result)
-    result = let_sql("hits", f"filter({phrase_array(phrases)}, p -> contains(norm, p))", result)
-    return let_sql("norm", normalise_sql(f"coalesce({text}, '')"), result)
+        result |= {
+            "affected_systems": systems_sql(),
+            "technical_keywords": technical_sql(text),
+            "user_impact": "v.impact",
+            "requires_escalation": "v.priority IN ('P1', 'P2') OR v.impact <> 'Single User'",
+        }
+    return chain_sql(
+        *hits_steps(text, phrases),
+        record(**found),
+        record(**carried, **effects),
+        record(**known, **chosen),
+        record(**result),
+    )
 
 
 def impact_sql() -> str:
-    """User impact from ``norm`` and ``hits``."""
+    """User impact from ``v.norm`` and ``v.hits``."""
     pairs = [(_any(words), quote(level)) for level, words in policy.IMPACT_PHRASES.items()]
-    count = f"regexp_extract(norm, {quote(policy.HEADCOUNT_PATTERN)}, 1)"
+    count = f"regexp_extract(v.norm, {quote(policy.HEADCOUNT_PATTERN)}, 1)"
     pairs.append((f"{count} RLIKE '^0*([2-9]|[1-9][0-9]+)$'", quote("Multiple Users")))
     return _case(pairs, quote("Single User"))
 
 
 def _dictionary_hits(words: Sequence[str]) -> str:
-    return f"transform(array_intersect({phrase_array(words)}, hits), p -> btrim(p))"
+    return f"array_intersect({phrase_array(words)}, v.hits)"
+
 
+def hosts_sql(text: str) -> str:
+    return f"regexp_extract_all(coalesce({text}, ''), {quote(policy.HOST_PATTERN)}, 0)"
 
-def systems_sql(text: str) -> str:
-    hosts = f"regexp_extract_all(coalesce({text}, ''), {quote(policy.HOST_PATTERN)}, 0)"
-    return f"array_distinct(concat({hosts}, {_dictionary_hits(policy.SYSTEM_WORDS)}))"
+
+def systems_sql() -> str:
+    """Host names, then known systems, from ``v.hosts`` and ``v.hits``."""
+    return f"array_distinct(concat(v.hosts, {_dictionary_hits(policy.SYSTEM_WORDS)}))"
 
 
 def technical_sql(text: str) -> str:
+    """Error codes, host names and technologies, from the text, ``v.hosts`` and ``v.hits``."""
     codes = f"regexp_extract_all(coalesce({text}, ''), {quote(policy.CODE_PATTERN)}, 0)"
-    hosts = f"regexp_extract_all(coalesce({text}, ''), {quote(policy.HOST_PATTERN)}, 0)"
-    return f"array_distinct(concat({codes}, {hosts}, {_dictionary_hits(policy.TECH_WORDS)}))"
+    return f"array_distinct(concat({codes}, v.hosts, {_dictionary_hits(policy.TECH_WORDS)}))"
 
 
 def entities_sql(text: str) -> str:
     """Struct of affected systems and technical keywords alone."""
-    body = f"named_struct('affected_systems', {systems_sql(text)}, 'technical_keywords', {technical_sql(text)})"
-    phrases = phrase_array([*policy.SYSTEM_WORDS, *policy.TECH_WORDS])
-    body = let_sql("hits", f"filter({phrases}, p -> contains(norm, p))", body)
-    return let_sql("norm", normalise_sql(f"coalesce({text}, '')"), body)
+    return chain_sql(
+        *hits_steps(text, [*policy.SYSTEM_WORDS, *policy.TECH_WORDS]),
+        record(hits="v.hits", hosts=hosts_sql(text)),
+        record(affected_systems=systems_sql(), technical_keywords=technical_sql(text)),
+    )
 
 
 def user_impact_sql(text: str) -> str:
-    phrases = phrase_array(p for words in policy.IMPACT_PHRASES.values() for p in words)
-    body = let_sql("hits", f"filter({phrases}, p -> contains(norm, p))", impact_sql())
-    return let_sql("norm", normalise_sql(f"coalesce({text}, '')"), body)
+    phrases = [p for words in policy.IMPACT_PHRASES.values() for p in words]
+    return chain_sql(*hits_steps(text, phrases), impact_sql())
 
 
 def generate_sql(text: str, context: str, scored: str) -> str:
@@ -282,21 +317,26 @@ def generate_sql(text: str, context: str, scored: str) -> str:
         "AND NOT startswith(l, '- Average resolution time')), l -> btrim(substring(l, 3)))"
     )
     minutes = context_minutes_sql(context)
-    fallback = sla_minutes_sql("s.priority", "s.urgency_level", 3)
+    fallback = sla_minutes_sql("v.priority", "v.urgency_level", 3)
     generic = (
-        "array(concat('Route to the ', s.assigned_team, ' team'), "
-        "concat('Handle as ', s.priority, ' with ', s.urgency_level, ' urgency'), "
-        "concat('Check recent changes to ', coalesce(get(s.affected_systems, 0), 'the affected service')))"
+        "array(concat('Route to the ', v.assigned_team, ' team'), "
+        "concat('Handle as ', v.priority, ' with ', v.urgency_level, ' urgency'), "
+        "concat('Check recent changes to ', coalesce(get(v.affected_systems, 0), 'the affected service')))"
     )
-    body = (
-        "named_struct("
-        f"'summary', {first_sentence_sql(text)}, "
-        f"'recommendations', slice(concat(coalesce(steps, CAST(array() AS ARRAY<STRING>)), {generic}), 1, "
-        "greatest(3, least(5, coalesce(size(steps), 0)))), "
-        "'resolution_steps', coalesce(steps, CAST(array() AS ARRAY<STRING>)), "
-        f"'estimated_resolution_time', {let_sql('mins', f'coalesce({minutes}, {fallback})', snap_minutes_sql('mins'))})"
+    return chain_sql(
+        scored,
+        record(
+            steps=f"coalesce({steps}, CAST(array() AS ARRAY<STRING>))",
+            generic=generic,
+            minutes=f"coalesce({minutes}, {fallback})",
+        ),
+        record(
+            summary=first_sentence_sql(text),
+            recommendations="slice(concat(v.steps, v.generic), 1, greatest(3, least(5, size(v.steps))))",
+            resolution_steps="v.steps",
+            estimated_resolution_time=snap_minutes_sql("v.minutes"),
+        ),
     )
-    return let_sql("s", scored, let_sql("steps", steps, body))
 
 
 def context_minutes_sql(context: str) -> str:
@@ -307,30 +347,35 @@ def context_minutes_sql(context: str) -> str:
     return f"{number} * CASE {unit} WHEN 'minute' THEN 1 WHEN 'hour' THEN 60 WHEN 'day' THEN 1440 END"
 
 
-def classification_sql(text: str, sender: str = NO_SENDER) -> str:
-    body = (
-        "named_struct('category', s.category, 'priority', s.priority, "
-        "'assigned_team', s.assigned_team, 'confidence', s.confidence)"
+def fields_of(*names: str, source: str = "v") -> dict[str, str]:
+    return {name: f"{source}.{name}" for name in names}
+
+
+def classification_sql(
+    text: str, sender: str = NO_SENDER, rules: Sequence[Rule] = policy.RULES
+) -> str:
+    return chain_sql(
+        score_sql(text, sender, rules, extract=False),
+        record(**fields_of("category", "priority", "assigned_team", "confidence")),
     )
-    return let_sql("s", score_sql(text, sender, extract=False), body)
 
 
 def metadata_sql(text: str, sender: str = NO_SENDER) -> str:
-    body = (
-        "named_struct('priority_score', s.priority_score, 'urgency_level', s.urgency_level, "
-        "'affected_systems', s.affected_systems, 'technical_keywords', s.technical_keywords, "
-        "'user_impact', s.user_impact, 'requires_escalation', s.requires_escalation)"
+    return chain_sql(
+        score_sql(text, sender),
+        record(**fields_of("priority_score", "urgency_level", "affected_systems", "technical_keywords",
+                           "user_impact", "requires_escalation")),
     )
-    return let_sql("s", score_sql(text, sender), body)
 
 
 def quick_sql(text: str, sender: str = NO_SENDER) -> str:
     """The eight fields of quick classification, with the fixed short context."""
-    generated = generate_sql(text, quote(policy.QUICK_CONTEXT), "s0")
-    body = (
-        "named_struct('category', s0.category, 'priority', s0.priority, "
-        "'assigned_team', s0.assigned_team, 'urgency_level', s0.urgency_level, "
-        "'priority_score', s0.priority_score, 'affected_systems', s0.affected_systems, "
-        "'summary', g.summary, 'recommendations', g.recommendations)"
+    return chain_sql(
+        score_sql(text, sender),
+        record(s="v", g=generate_sql(text, quote(policy.QUICK_CONTEXT), "v")),
+        record(
+            **fields_of("category", "priority", "assigned_team", "urgency_level", "priority_score",
+                        "affected_systems", source="v.s"),
+            **fields_of("summary", "recommendations", source="v.g"),
+        ),
     )
-    return let_sql("s0", score_sql(text, sender), let_sql("g", generated, body))

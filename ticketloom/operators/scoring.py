@@ -62,12 +62,7 @@ def classify_tickets(
     df: DataFrame, text: str = "ticket_text", sender: str | None = None,
     rules: Sequence[policy.Rule] = policy.RULES, out: str = "classification",
 ) -> DataFrame:
-    scored = S.score_sql(_name(text), _name(sender), rules, extract=False)
-    body = (
-        "named_struct('category', s.category, 'priority', s.priority, "
-        "'assigned_team', s.assigned_team, 'confidence', s.confidence)"
-    )
-    return df.withColumn(out, F.expr(S.let_sql("s", scored, body)))
+    return df.withColumn(out, F.expr(S.classification_sql(_name(text), _name(sender), rules)))
 
 
 def priority_from_score(score: Column) -> Column:
