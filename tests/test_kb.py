@@ -163,6 +163,9 @@ def test_new_and_changed_documents(spark):
     seen = docs.filter("filename <> 'c'").select(
         "filename", F.when(F.col("filename") == "b", "old").otherwise(kb.content_hash(F.col("content"))).alias("content_hash"))
     assert {r["filename"] for r in kb.select_new_docs(docs, seen).collect()} == {"b", "c"}
+    keys = kb.new_doc_keys(docs, seen)
+    assert sorted(map(tuple, kb.select_new_docs(docs, seen, keys).collect())) == sorted(
+        map(tuple, kb.select_new_docs(docs, seen).collect()))
 
 
 def test_document_id_formats(spark):

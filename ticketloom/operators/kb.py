@@ -376,14 +376,24 @@ def content_hash(content: Column) -> Column:
     return F.md5(F.encode(F.coalesce(content, F.lit("")), "utf-8"))
 
 
-def select_new_docs(docs: DataFrame, loaded: DataFrame) -> DataFrame:
+def new_doc_keys(docs: DataFrame, loaded: DataFrame) -> DataFrame:
+    """(filename, content_hash) of documents not yet in ``loaded``; no content is shuffled."""
+    keys = docs.select("filename", content_hash(F.col("content")).alias("content_hash"))
+    return keys.join(loaded.select("filename", "content_hash"), ["filename", "content_hash"], "left_anti")
+
+
+def select_new_docs(docs: DataFrame, loaded: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Documents whose (filename, content) is not yet in ``loaded``.
 
-    ``loaded`` holds filename and content_hash; new and changed files pass. One
-    anti-join on both keys replaces per-file counting.
+    ``loaded`` holds filename and content_hash; new and changed files pass. One join on
+    both keys replaces per-file counting. With ``keys``, a staged ``new_doc_keys`` table,
+    an incremental load broadcasts the few new keys and moves no other content.
     """
-    keyed = docs.withColumn("content_hash", content_hash(F.col("content")))
-    return keyed.join(loaded.select("filename", "content_hash"), ["filename", "content_hash"], "left_anti")
+    hashed = docs.withColumn("content_hash", content_hash(F.col("content")))
+    both = ["filename", "content_hash"]
+    if keys is None:
+        return hashed.join(loaded.select(both), both, "left_anti")
+    return hashed.join(keys, both, "left_semi")
 
 
 def match_doc_ids(kb: DataFrame, doc_type: Column, file_id: Column) -> DataFrame:

@@ -131,9 +131,9 @@ def upsert(spark: SparkSession, sf: str) -> DataFrame:
 def upsert_table(spark: SparkSession, sf: str) -> DataFrame:
     """The same upsert through two versions of a written table."""
     path = sinks.scratch_dir(spark, "upsert")
-    sinks.upsert_table(fx.v_kb_loaded(spark, sf), path, "filename")
+    sinks.upsert_table(fx.v_kb_loaded(spark, sf), path, "filename", buckets=8)
     fresh = kb.select_new_docs(fx.v_kb_docs(spark, sf), sinks.read_keyed(spark, path))
-    sinks.upsert_table(fresh.select("filename", "content_hash"), path, "filename")
+    sinks.upsert_table(fresh.select("filename", "content_hash"), path, "filename", buckets=8)
     return sinks.read_keyed(spark, path)
 
 
@@ -165,7 +165,9 @@ def export_analysis_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def select_new_docs(spark: SparkSession, sf: str) -> DataFrame:
-    fresh = kb.select_new_docs(fx.v_kb_docs(spark, sf), fx.v_kb_loaded(spark, sf))
+    docs, loaded = fx.v_kb_docs(spark, sf), fx.v_kb_loaded(spark, sf)
+    keys = sinks.stage(kb.new_doc_keys(docs, loaded), "keys")
+    fresh = kb.select_new_docs(docs, loaded, keys)
     return fresh.select("filename", "content_hash", F.length("content").alias("chars"))
 
 
@@ -725,7 +727,7 @@ def sync_index(spark: SparkSession, sf: str) -> DataFrame:
             written.write.mode("append").parquet(f"{source}")
         streams.sync_index(
             spark, source, index, mark, lambda df: retrieval.embed_text(df, model),
-            "doc_id STRING, content STRING, created_at TIMESTAMP",
+            "doc_id STRING, content STRING, created_at TIMESTAMP", buckets=8,
         ).awaitTermination()
     return sinks.read_keyed(spark, index).select("doc_id", "content_hash", F.size("embedding").alias("dims"))
 

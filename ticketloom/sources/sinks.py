@@ -122,8 +122,8 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(*[found[b] for b in sorted(found)])
 
 
-def upsert_table(source: DataFrame, path: str, key: str, buckets: int = 256) -> None:
-    """Upsert into a keyed table; choose ``buckets`` once, for its final size."""
+def upsert_table(source: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """Upsert into a keyed table; choose ``buckets`` once, for its final size (thousands for many terabytes)."""
     spark = source.sparkSession
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     found, last = _bucket_dirs(spark, path, buckets)

@@ -23,6 +23,7 @@ def sync_index(
     spark: SparkSession, source_path: str, index_path: str, checkpoint: str,
     embed: Callable[[DataFrame], DataFrame], schema: str, key: str = "doc_id",
     content: str = "content", version: str = "created_at", files_per_batch: int = 1000,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """Bring an index up to date with new files of a chunk table, then stop.
 
@@ -35,12 +36,14 @@ def sync_index(
         newest = latest_per_key(batch, key, [version, content]).withColumn(
             "content_hash", F.md5(F.encode(F.col(content), "utf-8"))
         )
+        changed = sinks.stage(newest, "newest")
         if sinks.has_rows(spark, index_path):
+            # Only index rows of this batch's keys are looked at: a small batch is broadcast.
             have = sinks.read_keyed(spark, index_path).select(key, "content_hash")
-            newest = newest.join(have, [key, "content_hash"], "left_anti")
-        changed = sinks.stage(newest, "changed")
+            have = have.join(changed.select(key), key, "left_semi")
+            changed = sinks.stage(changed.join(have, [key, "content_hash"], "left_anti"), "changed")
         if not changed.isEmpty():
-            sinks.upsert_table(embed(changed), index_path, key)
+            sinks.upsert_table(embed(changed), index_path, key, buckets)
 
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_path)
