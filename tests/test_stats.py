@@ -1,5 +1,8 @@
 """Reports, evaluation and checks."""
 
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from ticketloom.operators import stats
@@ -58,6 +61,22 @@ def test_resolution_percentiles_are_exact(spark):
     assert out[1]["change_hours"] == 2.0
 
 
+def test_quantiles_match_a_sort(spark):
+    rng = random.Random(4)
+    rows = [(g, round(rng.expovariate(0.1), rng.choice([0, 1, 5]))) for g in ("a", "b", "c") for _ in range(rng.randint(1, 400))]
+    rows += [("hot", 3.25)] * 500 + [("one", 7.0), ("none", None)]
+    counts = spark.createDataFrame(rows, "g string, v double").groupBy("g", "v").agg(F.count("*").alias("n"))
+    wanted = {"q10": 0.1, "q50": 0.5, "q99": 0.99}
+    got = {r["g"]: [r[q] for q in wanted] for r in stats.exact_quantiles(counts, ["g"], "v", "n", wanted).collect()}
+    values = {}
+    for g, v in rows:
+        if v is not None:
+            values.setdefault(g, []).append(v)
+    assert set(got) == set(values)
+    for g, vs in values.items():
+        np.testing.assert_allclose(got[g], np.quantile(vs, list(wanted.values())), rtol=1e-12)
+
+
 def test_table_checks_find_violations(spark):
     rows = [("T1", "s", "d", "x", "Software", "P1", "Cloud"), ("T1", None, "d", "x", "Apps", "P9", None)]
     df = spark.createDataFrame(rows, "ticket_id string, subject string, description string, ticket_text string, "

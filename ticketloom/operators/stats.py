@@ -175,6 +175,41 @@ def audit_sample(
 # --- resolution and runs -----------------------------------------------------------------
 
 
+def exact_quantiles(
+    counts: DataFrame, by: Sequence[str], value: str, n: str, quantiles: Mapping[str, float], width: float = 1.0
+) -> DataFrame:
+    """Exact interpolated quantiles per group of (group, value, count) rows.
+
+    A group's values are ranked slice by slice of ``width``: slice totals give the ranks
+    before each slice, so a hot group is ordered by many tasks, each in a sort that can
+    spill, and no task holds a group.
+    """
+    sliced = counts.filter(F.col(value).isNotNull()).withColumn("slice", F.floor(F.col(value) / width))
+    group = Window.partitionBy(*by)
+    slices = (
+        sliced.groupBy(*by, "slice").agg(F.sum(n).alias("slice_n"))
+        .withColumn("group_n", F.sum("slice_n").over(group))
+        .withColumn("before", F.sum("slice_n").over(group.orderBy("slice")) - F.col("slice_n"))
+        .drop("slice_n")
+    )
+    inside = Window.partitionBy(*by, "slice").orderBy(value)
+    # The end of a value's ranks; they are counted from zero.
+    ranked = sliced.join(slices, [*by, "slice"]).withColumn("end", F.col("before") + F.sum(n).over(inside))
+    holds = lambda rank: (F.col("end") - F.col(n) <= rank) & (rank < F.col("end"))
+    ends = []
+    for name, q in quantiles.items():
+        at = F.lit(q) * (F.col("group_n") - 1)
+        ends += [
+            F.max(F.when(holds(F.floor(at)), F.col(value))).alias(f"{name}_low"),
+            F.max(F.when(holds(F.ceil(at)), F.col(value))).alias(f"{name}_high"),
+            F.max(at - F.floor(at)).alias(f"{name}_part"),
+        ]
+    found = ranked.groupBy(*by).agg(*ends)
+    return found.select(*by, *[
+        (F.col(f"{q}_low") + (F.col(f"{q}_high") - F.col(f"{q}_low")) * F.col(f"{q}_part")).alias(q) for q in quantiles
+    ])
+
+
 def resolution_metrics(
     history: DataFrame, at: str = "resolved_at", by: str = "team", hours: str = "resolution_time_hours"
 ) -> DataFrame:
@@ -183,20 +218,19 @@ def resolution_metrics(
     Equal hours are counted first, so a busy (month, team) shuffles one row per
     distinct value and task.
     """
-    monthly = (
+    counts = (
         history.select(
             F.to_date(F.date_trunc("month", at)).alias("month"), F.col(by).alias("team"), F.col(hours).alias("hours")
         )
         .groupBy("month", "team", "hours")
         .agg(F.count("*").alias("n"))
-        .groupBy("month", "team")
-        .agg(
-            F.sum("n").alias("resolved"),
-            (F.sum(F.col("hours") * F.col("n")) / F.sum("n")).alias("mean_hours"),
-            F.percentile("hours", 0.5, F.col("n")).alias("median_hours"),
-            F.percentile("hours", 0.9, F.col("n")).alias("p90_hours"),
-        )
     )
+    known = F.when(F.col("hours").isNotNull(), F.col("n"))
+    means = counts.groupBy("month", "team").agg(
+        F.sum("n").alias("resolved"), (F.sum(F.col("hours") * F.col("n")) / F.sum(known)).alias("mean_hours")
+    )
+    middles = exact_quantiles(counts, ["month", "team"], "hours", "n", {"median_hours": 0.5, "p90_hours": 0.9})
+    monthly = means.join(middles, ["month", "team"], "left")
     before = F.lag("mean_hours").over(Window.partitionBy("team").orderBy("month"))
     return monthly.select(
         "month", "team", "resolved",
