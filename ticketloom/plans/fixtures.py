@@ -37,6 +37,7 @@ TEMPLATES = (
     ("Prod error in checkout", "A prod error shows on the customer-facing checkout page. Integration failed with an API error.", "Software", "P1", "Applications"),
     ("Outlook issue", "Outlook issue since the update: the calendar is empty. Deadline is Friday, please treat as urgent.", "Software", "P3", "End User Support"),
     ("Certificate renewal", "The certificate for the audit portal expires soon. Compliance asks for proof of encryption.", "Security", "P3", "Security"),
+    ("Checkout gone", "The checkout is completely down for shoppers. An outage page is shown instead.", "Software", "P1", "Applications"),
 )
 TEAM_LIST = (
     "Infrastructure", "Applications", "Security", "End User Support",

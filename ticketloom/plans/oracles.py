@@ -85,12 +85,13 @@ SELECT ticket_id, subject, description,
        submitted_by, submitted_date, expected_category, expected_priority, expected_team
 FROM v_tickets""", "v_tickets")
 
-cte("rule_phrases", values("rule_phrases", "rule_id, kind, phrase", [
-    (r.rule_id, kind, padded(p))
-    for r in policy.RULES
-    for kind, phrases in (("if", r.phrases), ("unless", r.unless), ("soon", r.soon_phrases))
-    for p in phrases
-]))
+for table, rules in (("rule_phrases", policy.RULES), ("extended_phrases", policy.EXTENDED_RULES)):
+    cte(table, values(table, "rule_id, kind, phrase", [
+        (r.rule_id, kind, padded(p))
+        for r in rules
+        for kind, phrases in (("if", r.phrases), ("unless", r.unless), ("soon", r.soon_phrases))
+        for p in phrases
+    ]))
 cte("rule_effects", values(
     "rule_effects", "rule_id, set_priority, soon_priority, min_priority, urgency, category, team, raise_urgency, notify, action",
     [(r.rule_id, r.set_priority, r.soon_priority, r.min_priority, r.urgency, r.category, r.team,
@@ -109,14 +110,14 @@ cte("terms", values("terms", "kind, ord, phrase", [
 ]))
 
 
-def policy_ctes(prefix: str, source: str, sender: str) -> None:
+def policy_ctes(prefix: str, source: str, sender: str, phrases: str = "rule_phrases") -> None:
     """CTE chain ``<prefix>scored`` over (ticket_id, ticket_text) of ``source``."""
     p = prefix
     cte(f"{p}norm", f"""
 SELECT ticket_id, ticket_text, {sender} AS sender, {norm("coalesce(ticket_text, '')")} AS norm FROM {source}""", source)
     cte(f"{p}matched", f"""
-SELECT DISTINCT n.ticket_id, r.rule_id, r.kind FROM {p}norm n JOIN rule_phrases r ON contains(n.norm, r.phrase)""",
-        f"{p}norm", "rule_phrases")
+SELECT DISTINCT n.ticket_id, r.rule_id, r.kind FROM {p}norm n JOIN {phrases} r ON contains(n.norm, r.phrase)""",
+        f"{p}norm", phrases)
     cte(f"{p}fired", f"""
 SELECT ticket_id, rule_id FROM {p}matched WHERE kind = 'if'
 UNION
@@ -202,6 +203,7 @@ FROM (SELECT ticket_id, body, regexp_extract(body, '(?s)^(.+?[.!?])(\\s|$)', 1)
 
 policy_ctes("", "tk", "submitted_by")
 policy_ctes("anon_", "tk", "CAST(NULL AS VARCHAR)")
+policy_ctes("ext_", "tk", "submitted_by", "extended_phrases")
 
 # --- knowledge base ---------------------------------------------------------------------
 
@@ -614,16 +616,24 @@ SELECT doc_type, count(*) AS chunks, CAST(floor(avg(char_count)) AS INT) AS avg_
 FROM chunk_rows GROUP BY doc_type ORDER BY doc_type""", "chunk_rows")
 oracle("kb_inventory", """
 SELECT doc_type, count(*) AS chunks, (sum(count(*)) OVER ())::BIGINT AS total_chunks FROM chunk_rows GROUP BY doc_type ORDER BY doc_type""", "chunk_rows")
-cte("judged", """
+for judged, scores in (("judged", "scored"), ("judged_extended", "ext_scored")):
+    cte(judged, f"""
 SELECT ticket_id, t.expected_category, t.expected_priority, t.expected_team, s.category, s.priority, s.team
-FROM tk t JOIN scored s USING (ticket_id)""", "tk", "scored")
-oracle("evaluate", """
+FROM tk t JOIN {scores} s USING (ticket_id)""", "tk", scores)
+
+
+def accuracy_sql(judged: str) -> str:
+    return f"""
 SELECT field, count(*) AS tickets, count(*) FILTER (ok) AS correct, round(avg(ok::INT), 5) AS accuracy FROM (
-  SELECT 'category' AS field, expected_category = category AS ok FROM judged
-  UNION ALL SELECT 'priority', expected_priority = priority FROM judged
-  UNION ALL SELECT 'team', expected_team = team FROM judged
-  UNION ALL SELECT 'all', expected_category = category AND expected_priority = priority AND expected_team = team FROM judged)
-GROUP BY field""", "judged")
+  SELECT 'category' AS field, expected_category = category AS ok FROM {judged}
+  UNION ALL SELECT 'priority', expected_priority = priority FROM {judged}
+  UNION ALL SELECT 'team', expected_team = team FROM {judged}
+  UNION ALL SELECT 'all', expected_category = category AND expected_priority = priority AND expected_team = team FROM {judged})
+GROUP BY field"""
+
+
+oracle("evaluate", accuracy_sql("judged"), "judged")
+oracle("evaluate_extended", accuracy_sql("judged_extended"), "judged_extended")
 
 
 def class_score_sql(pairs: str) -> str:

@@ -645,6 +645,13 @@ def evaluate(spark: SparkSession, sf: str) -> DataFrame:
     return stats.evaluate(_classified(spark, sf), FIELDS)
 
 
+@query
+def evaluate_extended(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the wider rule phrases."""
+    judged = scoring.classify_tickets(_tickets(spark, sf), sender="submitted_by", rules=policy.EXTENDED_RULES)
+    return stats.evaluate(judged.select("expected_category", "expected_priority", "expected_team", "classification.*"), FIELDS)
+
+
 @query
 def class_scores(spark: SparkSession, sf: str) -> DataFrame:
     return stats.class_scores(_classified(spark, sf), FIELDS)
