@@ -21,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct().hint("merge")
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 
 

@@ -1,0 +1,380 @@
+"""The training-data operators against brute force, and on nulls, ties, repeats, empty tables and clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tests.llm import brute
+from ticketloom.llm import backoff, bpe, language, neardup, packing, piecewise, quality, secret_scan, substrings, url_rules
+from ticketloom.llm.queries import QUERIES, tokenizer_path
+
+DATA = "/root/testdata/sf0.001"
+LONG = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega"
+# columns named like those that operators make inside
+ODD_SCHEMA = "doc_id long, text string, lang string, source string, id string, t string, bucket string, slice string, component string, n string"
+ODD = [
+    (1, None, "en", "a"), (2, "", None, None), (None, LONG, "en", "a"), (4, LONG, "en", "a"), (4, LONG, "en", "a"), (5, LONG + " extra", "en", None),
+    (6, "short text", "de", "b"), (7, "x" * 5000 + " " + "word " * 3000, "en", "a"), (8, " \t\n\x0b\x0c\r ", "fr", "b"), (9, "日本語 é\u0301 ß <|endoftext|> 'S", "es", "b"),
+    (10, "SHORT TEXT", "de", "b"), (11, "12345 !!", "en", "b"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(*r, *["zz"] * 6) for r in ODD], ODD_SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").orderBy("doc_id").collect()]
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def as_lists(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "op9_url_filter"])
+def test_empty_table(spark, odd, name):
+    calls = {"op1_quality": quality.judge, "op2_language": lambda d: language.identify(d, d), "op3_near_duplicates": neardup.near_duplicates,
+             "op4_fingerprints": piecewise.compare_with_next, "op5_substring_dedup": substrings.repeat_digests, "op6_secrets": secret_scan.secret_digests,
+             "op7_lm_score": lambda d: backoff.score_documents(d, F.lit(True)), "op8_packing": packing.pack, "op10_bpe": lambda d: bpe.encode_digests(d, tokenizer_path())}
+    assert calls[name](odd.where("false")).count() == 0
+
+
+def test_quality_base(docs, rows):
+    got = by_id(quality.judge(docs))
+    for i, t in rows:
+        n, chars, symbols, dups, again = brute.base_counts(t)
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, dups, again)
+        assert r.base_failed == (n < 50 or 100 * again > 50 * n)
+        assert not (r.base_failed and r.kept)
+
+
+def test_quality_rejects_outliers_and_keeps_the_rest(spark):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    clean = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(60, 400))), "en", "a") for k in range(600)]
+    noisy = [(k, " ".join(rng.choice(vocabulary) + "%%%" for _ in range(200)), "en", "a") for k in range(600, 620)]
+    got = by_id(quality.judge(spark.createDataFrame(clean + noisy, "doc_id long, text string, lang string, source string")))
+    assert sum(got[k].kept for k in range(600)) >= 598
+    assert not any(got[k].kept for k in range(600, 620))
+
+
+def test_quality_model_is_the_closest_half(spark):
+    """One concentration step against numpy: mean of the bins that hold the closest half."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, quality.D))
+    stats = spark.createDataFrame([("g", *map(float, r)) for r in x], "grp string, " + ", ".join(f"{c} double" for c in quality.X))
+    models = quality.first_models(stats)
+    start = {r.start: r for r in models.collect()}[0]
+    centre = np.array([start[f"m{i}"] for i in range(quality.D)])
+    inverse = np.zeros((quality.D, quality.D))
+    for i, j in quality.PAIRS:
+        inverse[i, j] = inverse[j, i] = start[f"p{i}_{j}"]
+    d2 = np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre)
+    bins = np.floor(np.log(d2 + 1e-6) * quality.BINS)
+    half = (400 + quality.D + 2) // 2
+    last = sorted(bins)[half - 1]
+    step = {r.start: r for r in quality.concentrate(stats, models).collect()}[0]
+    assert np.allclose([step[f"m{i}"] for i in range(quality.D)], x[bins <= last].mean(axis=0))
+
+
+def test_quality_odd_rows(odd):
+    got = [r for r in quality.judge(odd).collect()]
+    assert len(got) == len(ODD) and all(r.base_failed for r in got if r.doc_id in (1, 2, 6))
+
+
+def test_automaton_parses_as_brute_force():
+    rng = random.Random(1)
+    known = "".join(rng.choice("abcd ") for _ in range(400))
+    points = lambda t: np.array([ord(c) for c in t], np.uint32)
+    model = language.Automata({"x": points(known), "y": points("abababab")})
+    texts = ["".join(rng.choice("abcde ") for _ in range(n)) for n in (1, 7, 300, 1500)] + [""]
+    got = model.phrases([points(t) for t in texts])
+    for k, t in enumerate(texts):
+        assert got[k].tolist() == [brute.longest_match_phrases(t, known), brute.longest_match_phrases(t, "abababab")] if t else [0, 0]
+
+
+def test_language_held_out_accuracy(docs):
+    got = language.identify_held_out(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(got) > 20 and sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_odd_rows(odd):
+    got = [(r.doc_id, r.lang_pred, r.score) for r in language.identify(odd, odd).collect()]
+    assert len(got) == len(ODD)
+    assert {lang for i, lang, _ in got if i in (1, 2, 8, 11)} == {"und"} and all(lang != "und" for i, lang, _ in got if i in (4, 5, 6))
+    none = language.identify(odd, odd.where("false")).collect()
+    assert {r.lang_pred for r in none} == {"und"}
+
+
+def test_near_duplicates(docs, rows):
+    sets, roots = brute.near_components(rows)
+    got = by_id(neardup.near_duplicates(docs))
+    for (i, _), s, c in zip(rows, sets, roots, strict=True):
+        assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (len(s), c, c == i)
+
+
+@pytest.mark.parametrize("block", [neardup.BLOCK, 2000])
+def test_near_copies_of_one_text(spark, block):
+    """Copies whose likeness to each other is often under the limit; small blocks meet in pairs."""
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(150)]
+    made = []
+    for k in range(120):
+        w = list(base)
+        for _ in range(rng.randint(1, 8)):
+            w[rng.randrange(len(w))] = f"c{k}x{rng.randrange(99)}"
+        made.append((1000 - k, " ".join(w)))
+    made += [(k, " ".join(f"z{k}y{j}" for j in range(40))) for k in range(30)]
+    sets, roots = brute.near_components(made)
+    got = by_id(neardup.near_duplicates(spark.createDataFrame(made, "doc_id long, text string"), block=block))
+    assert [got[i].component_id for i, _ in made] == roots
+
+
+def test_near_duplicates_odd_rows(odd):
+    got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(odd).collect()]
+    assert len(got) == len(ODD)
+    assert (None, 20, None, True) in got and got.count((4, 20, 4, True)) == 2 and (5, 21, 4, False) in got
+    assert (6, 1, 6, True) in got and (10, 1, 6, False) in got and (8, 0, 8, True) in got
+
+
+def test_piecewise_matches_plain(docs, rows):
+    got = by_id(piecewise.compare_with_next(docs.repartition(5)))
+    down = rows[::-1]
+    for k, (i, t) in enumerate(down):
+        new = piecewise.edited(t, down[(k + 1) % len(down)][1])
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(new.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (piecewise.fingerprint(t.encode()), piecewise.fingerprint(new.encode()))
+    assert np.mean([r.near_edited > r.near_next for r in got.values() if r.n_chars > 400]) > 0.9
+
+
+def test_signature_similarity_is_edit_distance():
+    rng = random.Random(2)
+    for _ in range(60):
+        a = "".join(rng.choice("abcX") for _ in range(rng.randint(1, 64)))
+        b = list(a)
+        for _ in range(rng.randint(0, 12)):
+            b.insert(rng.randrange(len(b) + 1), "q") if rng.random() < 0.5 else b and b.pop(rng.randrange(len(b)))
+        b = "".join(b)[:64]
+        if not b:
+            continue
+        d = list(range(len(b) + 1))
+        for x in a:
+            e = [d[0] + 1]
+            for k, y in enumerate(b):
+                e.append(min(d[k + 1] + 1, e[k] + 1, d[k] if x == y else d[k] + 2))
+            d = e
+        shared = any(a[k : k + 7] in b for k in range(len(a) - 6)) if len(a) >= 7 and len(b) >= 7 else a == b
+        want = 1 - d[-1] / (len(a) + len(b)) if shared else 0.0
+        assert piecewise.similarity([a], [b])[0] == pytest.approx(want)
+
+
+def test_piecewise_odd_rows(spark, odd):
+    got = piecewise.compare_with_next(odd).collect()
+    assert len(got) == len(ODD)
+    assert {r.fingerprint for r in got if r.doc_id in (1, 2)} == {"3::"}
+    assert len({r.fingerprint for r in got if r.doc_id == 4}) == 1
+
+
+def test_substring_dedup(docs, rows):
+    got = by_id(substrings.repeat_digests(docs.repartition(4)))
+    for (i, _), (n, gone, left) in zip(rows, brute.without_repeats(rows), strict=True):
+        assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (n, gone, brute.sha(left))
+
+
+def test_substring_dedup_random(spark):
+    """Few words, so that windows repeat at every offset, within and across documents."""
+    rng = random.Random(11)
+    made = [(k, " ".join(rng.choice("ab") for _ in range(rng.randint(0, 5))) + " " + " ".join(["a b c d e"] * rng.randint(0, 9)) + f" u{k % 7} " +
+             " ".join(["p q r"] * rng.randint(0, 12))) for k in range(60)]
+    got = by_id(substrings.repeat_digests(spark.createDataFrame(made, "doc_id long, text string").repartition(4)))
+    for (i, _), (n, gone, left) in zip(made, brute.without_repeats(made), strict=True):
+        assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (n, gone, brute.sha(left))
+
+
+def test_substring_dedup_odd_rows(odd):
+    got = as_lists(substrings.repeat_digests(odd).select("doc_id", "n_words", "n_removed"))
+    assert got.count((4, 24, 0)) == 1 and (4, 24, 24) in got and (5, 25, 24) in got and (None, 24, 24) in got and (1, 0, 0) in got
+    kept = substrings.without_repeats(odd)
+    assert kept.columns == odd.columns and kept.count() == len(ODD) and kept.where("doc_id = 1 AND text IS NULL").count() == 1
+
+
+def test_secret_base_and_novel():
+    text = ('password: hunter22 secret: tok: x Token = "abc.def-123" AKIA' + "A" * 16 + " AKIAAAA " + "0123456789abcdef01234567 deadbeef "
+            "the api token: short, bearer Zk3x9QmP7rT5vW1yB8nC and user_session_identifier")
+    base = secret_scan.base_spans(text)
+    assert [(secret_scan.KINDS[k], text[s:e]) for s, e, k in base] == [
+        ("assign", "password: hunter22"), ("assign", 'Token = "abc.def-123'), ("access", "AKIA" + "A" * 16), ("hex", "0123456789abcdef01234567")]
+    assert [text[s:e] for s, e, _ in secret_scan.novel_spans(text, base)] == ["Zk3x9QmP7rT5vW1yB8nC"]
+    assert secret_scan.novelty("bearer ", "Zk3x9QmP7rT5vW1yB8nC") > secret_scan.novelty("bearer ", "user_session_identifier")
+
+
+def test_secrets_whole_texts(docs, rows, odd):
+    got = by_id(secret_scan.secret_digests(docs))
+    for i, t in rows:
+        base = secret_scan.base_spans(t)
+        line = ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, e, k in base)
+        assert got[i].base_sha256 == brute.sha(line.encode())
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(k == j for _, _, k in base) for j in range(3))
+    assert secret_scan.secret_digests(odd).count() == len(ODD)
+    assert secret_scan.redact(odd).where("doc_id = 1 AND text IS NULL").count() == 1
+
+
+def test_lm_base_score(docs, rows):
+    learned = [brute.fold(i) != 1 for i, _ in rows]
+    total, want = brute.unigram_scores(rows, learned)
+    got = by_id(backoff.score_held_out(docs.repartition(3)))
+    for (i, _), (n, known, score), own in zip(rows, want, learned, strict=True):
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens, got[i].held_out) == (n, known, total, not own)
+        assert got[i].base_score == pytest.approx(score)
+
+
+def test_lm_automaton_is_a_distribution_and_walks_as_plain():
+    import pyarrow as pa
+
+    from ticketloom.llm.wordarrays import text_bytes
+
+    texts = ["the cat  sat, on the mat", "", "A dog é 12", "x " * 3000]
+    s = backoff.Stream(*text_bytes(pa.array(texts)))
+    counts = s.fourgrams(np.ones(4, bool))
+    model = backoff.Automaton(counts, np.bincount(s.bytes, minlength=256))
+    assert np.allclose(np.power(10, model.weight).sum(axis=1), 1)
+    got = model.score(s)
+    for d, t in enumerate(texts):
+        line = b" ".join(brute.words(t, lower=True))
+        state, total = 0, 0.0
+        for _ in range(3):
+            state = model.next[state, backoff.END]
+        for b in line:
+            symbol = backoff.GAP if b == 32 else backoff.CLASSES[b]
+            total += model.weight[state, symbol] + (0 if b == 32 else model.spelling[b])
+            state = model.next[state, symbol]
+        assert got[d] == pytest.approx(total + model.weight[state, backoff.END])
+
+
+def test_lm_odd_rows(odd):
+    got = backoff.score_documents(odd, F.col("doc_id") > 3).collect()
+    assert len(got) == len(ODD) and {r.n_tokens for r in got if r.doc_id in (1, 2, 8)} == {1}
+    assert all(r.n_known == 0 for r in backoff.score_documents(odd, F.lit(False)).collect())
+
+
+def test_packing_widths_and_batches(docs, odd):
+    rng = random.Random(4)
+    for _ in range(20):
+        lengths = {rng.randint(0, 60): rng.randint(1, 9) for _ in range(rng.randint(1, 9))}
+        for buckets in (1, 2, 4):
+            widths = packing.bucket_widths(lengths, buckets)
+            pad = sum((next(w for w in widths if w >= s) - s) * n for s, n in lengths.items())
+            assert len(widths) <= buckets and pad == brute.least_padding(lengths, buckets)
+    got = packing.pack(docs, max_tokens=500, buckets=6, budget=2000).collect()
+    places = {}
+    for r in got:
+        assert r.padding == r.width - r.n_tokens >= 0
+        places.setdefault((r.bucket, r.width), []).append((r.batch, r.slot))
+    for (_, width), p in places.items():
+        n = max(1, 2000 // max(1, width))
+        assert sorted(p) == [(k // n, k % n) for k in range(len(p))]
+    words = {r.doc_id: len(brute.words(r.text)) for r in docs.collect()}
+    total = {}
+    for r in got:
+        total[r.doc_id] = total.get(r.doc_id, 0) + r.n_tokens
+    assert total == words
+    assert packing.pack(odd, max_tokens=100).groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).where("doc_id = 7").collect()[0]["n"] == 3001
+
+
+def test_url_rules(spark):
+    urls = [(1, None), (2, "http://EN.example.com"), (3, "x://a.net/es/"), (4, "http://example.com/en/x?y"), (5, "http://notexample.com/en/"), (None, "http://www.Example.com/en/#a"),
+            (7, "no scheme/en/"), (8, "http://ads-track.example.org/"), (9, "http://a.b/casino"), (9, "http://a.b/casino"), (10, "a://net/fr"), (11, "http://com/"), (12, "http://casino-win.x.com/")]
+    df = spark.createDataFrame([(i, u, "z", "y") for i, u in urls], "page_id long, url string, host string, site string")
+    got = {(r.page_id, r.host, r.path): (r.rule, r.verdict) for r in url_rules.filter_urls(df).collect()}
+    assert got[(1, "", "")] == (None, "allow") and got[(7, "", "")] == (None, "allow") and got[(2, "en.example.com", "")] == (None, "allow")
+    assert got[(3, "a.net", "/es/")] == ("net/es/", "block") and got[(4, "example.com", "/en/x")] == ("example.com/en/", "block")
+    assert got[(5, "notexample.com", "/en/")] == ("com/", "allow") and got[(None, "www.example.com", "/en/")] == ("www.example.com/en/", "allow")
+    assert got[(8, "ads-track.example.org", "/")] == (None, "block") and got[(9, "a.b", "/casino")] == (None, "allow") and got[(10, "net", "/fr")] == (None, "allow")
+    assert got[(11, "com", "/")] == ("com/", "allow") and got[(12, "casino-win.x.com", "/")] == ("com/", "allow")
+    assert url_rules.filter_urls(df).count() == len(urls) and url_rules.filter_urls(df.where("false")).count() == 0
+    assert "Python" not in url_rules.filter_urls(df)._jdf.queryExecution().toString()
+
+
+def test_bpe_matches_the_tokenizer(docs, rows, odd):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    got = by_id(bpe.encode_digests(docs, tokenizer_path()))
+    whole = by_id(bpe.encode(docs, tokenizer_path()))
+    for i, t in rows:
+        ids = plain.encode(t or "", add_special_tokens=False).ids
+        text = plain.decode(ids, skip_special_tokens=False)
+        assert got[i].n_tokens == len(ids) and got[i].ids_sha256 == brute.sha(" ".join(map(str, ids)).encode()) and got[i].decoded_sha256 == brute.sha(text.encode())
+        assert (whole[i].ids, whole[i].decoded) == (ids, text)
+    texts = {(r[0], r[1] or "") for r in ODD}
+    want = sorted((i, plain.encode(t, add_special_tokens=False).ids) for i, t in texts if i is not None)
+    have = sorted((r.doc_id, r.ids) for r in bpe.encode(odd, tokenizer_path()).distinct().collect() if r.doc_id is not None)
+    assert have == want
+
+
+def test_bpe_odd_strings():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(6)
+    alphabet = list("abcXYZ012 \n\t'<|>.,é\u0301ßÉİΣσς\u00a0\u1680\x1c日😀K") + ["<|endoftext|>", "'s ", "'LL", " <|startoftext|>"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 400))) for _ in range(200)]
+    import pyarrow as pa
+
+    from ticketloom.llm.wordarrays import text_bytes
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    got = bpe.encoder(tokenizer_path()).texts(*text_bytes(pa.array(texts)))
+    for t, (ids, decoded, n) in zip(texts, got, strict=True):
+        want = plain.encode(t, add_special_tokens=False).ids
+        assert ids == " ".join(map(str, want)) and n == len(want) and decoded == plain.decode(want, skip_special_tokens=False)
+
+
+def test_pipeline_stages(spark, docs, rows):
+    kept = docs
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = corpus_pipeline.staged(stage(spark, kept, DATA), "stage")
+        assert kept.columns == docs.columns
+        seen[name] = sorted((r.doc_id, r.text) for r in kept.select("doc_id", "text").collect())
+    assert seen["language ID"] == [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
+    _, roots = brute.near_components(seen["language ID"])
+    assert seen["near duplicates"] == [r for r, c in zip(seen["language ID"], roots, strict=True) if r[0] == c]
+    rest = brute.without_repeats(seen["near duplicates"])
+    want = [(i, left.decode() if gone else t) for (i, t), (_, gone, left) in zip(seen["near duplicates"], rest, strict=True)]
+    assert seen["substring dedup"] == [(i, t) for i, t in want if t]
+    for (i, before), (j, after) in zip(seen["substring dedup"], seen["secret scan"], strict=True):
+        base = secret_scan.base_spans(before)
+        assert i == j and ("[secret]" in after) == bool(base + secret_scan.novel_spans(before, base)) or "[secret]" in before
+    packed = corpus_pipeline.run(spark, DATA)
+    assert packed.select("doc_id").distinct().count() == len(seen["secret scan"])
+
+
+def test_pipeline_odd_rows(spark, odd):
+    frame = odd.withColumn("n_chars", F.length("text").cast("long"))
+    for _, stage in corpus_pipeline.STAGES:
+        frame = stage(spark, frame, DATA)
+    assert frame.count() > 0
+    empty = odd.withColumn("n_chars", F.length("text").cast("long")).where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, DATA)
+    assert empty.count() == 0

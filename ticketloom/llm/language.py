@@ -88,12 +88,13 @@ class Automata:
                         p = link[p]
                     link[q] = link[new] = copy
             last = new
-        table = np.full((len(steps), self.size), -1, np.int32)
+        between = len(steps)  # before a phrase: every letter begins one; also after a letter that the text lacks
+        table = np.full((between + 1, self.size), -1, np.int32)
         for s, to in enumerate(steps):
             if to:
                 table[s, list(to)] = list(to.values())
-        root = np.where(table[0] >= 0, table[0], 0)
-        return np.where(table >= 0, table * self.size * 2, root[None, :] * self.size * 2 + 1).astype(np.int32).ravel()
+        begin = np.where(table[0] >= 0, table[0], between)
+        return np.where(table >= 0, table * self.size * 2, begin[None, :] * self.size * 2 + 1).astype(np.int32).ravel()
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text in each language."""
@@ -109,13 +110,11 @@ class Automata:
         going = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
         doc = np.array([d for d, _ in runs])
         for lang, table in enumerate(self.tables):
-            state, count = np.zeros(len(runs), np.int32), np.ones(len(runs), np.int32)
+            state, count = np.full(len(runs), len(table) - self.size, np.int32), np.zeros(len(runs), np.int32)
             for t, n in enumerate(going.tolist()):
                 step = table.take(state[:n] + grid[t, :n])
                 count[:n] += step & 1
                 state[:n] = step >> 1
-            # a first letter that the root lacks was counted as the start of a second phrase
-            count -= table.take(grid[0].astype(np.int64)) & 1
             np.add.at(out[:, lang], doc, count)
         return out
 

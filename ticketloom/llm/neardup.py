@@ -216,7 +216,8 @@ def link_classes(texts: DataFrame, reps: DataFrame, block: int = BLOCK) -> DataF
     members = staged(clusters.join(reps.select(F.col("id").alias("node"), "n_shingles", "k1", "k2"), "node"), "members")
     blocks = members.groupBy("component").agg(F.ceil(F.sum("n_shingles") / block).cast("int").alias("blocks"))
     members = members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    found = texts.join(members.select(F.col("node").alias("id"), "component", "blocks", "block", "k1", "k2"), "id")
+    # members grow with the corpus, so their texts are always met by a shuffle, however few they are
+    found = texts.join(members.select(F.col("node").alias("id"), "component", "blocks", "block", "k1", "k2").hint("merge"), "id")
 
     def sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         values, edges = shingle_sets(*text_bytes(batch.column("t")))

@@ -17,12 +17,12 @@ WITH RECURSIVE tokens AS (
     SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM items a JOIN items b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
 ), links AS (
     SELECT x, y FROM common JOIN shingles p ON p.doc_id = x JOIN shingles q ON q.doc_id = y WHERE 100 * c >= 75 * (len(p.s) + len(q.s) - c)
-), both AS (
+), sides AS (
     SELECT x, y FROM links UNION SELECT y, x FROM links
 ), reach AS (
     SELECT doc_id AS node, doc_id AS root FROM documents
     UNION
-    SELECT b.y, r.root FROM reach r JOIN both b ON b.x = r.node
+    SELECT b.y, r.root FROM reach r JOIN sides b ON b.x = r.node
 ), lowest AS (
     SELECT node, min(root) AS component_id FROM reach GROUP BY 1
 )
