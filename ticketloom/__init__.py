@@ -4,12 +4,4 @@ Every operator takes and returns DataFrames and runs no action of its own;
 only sinks, model fitting and streaming starts do.
 """
 
-import sys
-
-from pyspark import cloudpickle
-
 __version__ = "0.1.0"
-
-# Functions sent to Python workers travel with their code, so executors need no
-# installed copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,0 +1,9 @@
+"""Text and policy expressions."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel with their code, so executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
