@@ -82,6 +82,18 @@ def test_keyed_upsert(spark, tmp_path):
         sinks.upsert_table(change, path, "key", buckets=8)
 
 
+def test_repeated_source_keys(spark, tmp_path):
+    target = spark.createDataFrame([("a", 1, "t"), ("b", 1, "t")], "key string, v int, s string")
+    twice = spark.createDataFrame([("a", 2, "x"), ("a", 3, "y"), ("c", 5, None)], target.schema)
+    assert sorted(rows(sinks.upsert(target, twice, "key", "v"))) == [("a", 3, "y"), ("b", 1, "t"), ("c", 5, None)]
+    with pytest.raises(Exception, match="more than one source row"):
+        sinks.upsert(target, twice, "key").collect()
+    with pytest.raises(Exception, match="more than one source row"):
+        sinks.upsert_table(twice, str(tmp_path / "k"), "key", buckets=4)
+    sinks.upsert_table(twice, str(tmp_path / "n"), "key", buckets=4, version="v")
+    assert sorted(rows(sinks.read_keyed(spark, str(tmp_path / "n")))) == [("a", 3, "y"), ("c", 5, None)]
+
+
 def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("a", ["x", "y"], 'q"u')], "id string, tags array<string>, t string")
     sinks.export_results_csv(df, str(tmp_path / "c"))
@@ -114,6 +126,9 @@ def test_index_sync_is_incremental(spark, tmp_path):
     assert sync()["b"] == ("two", 3) and sorted(os.listdir(index)) == versions
     add(("b", "changed", "2024-01-04 00:00:00"), ("c", "x", "2024-01-04 00:00:00"))
     assert sync() == {"a": ("newer", 5), "b": ("changed", 7), "c": ("x", 1)}
+    versions = sorted(os.listdir(index))
+    add(("a", "late and old", "2024-01-01 12:00:00"), ("b", "two", "2024-01-02 00:00:00"))
+    assert sync() == {"a": ("newer", 5), "b": ("changed", 7), "c": ("x", 1)} and sorted(os.listdir(index)) == versions
 
 
 def test_classified_stream_appends_once(spark, tmp_path):

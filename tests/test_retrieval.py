@@ -139,3 +139,23 @@ def test_embeddings_are_unit_vectors(spark):
     model = R.fit_embedder(df, dims=64)
     rows = {r["doc_id"]: r["embedding"] for r in R.embed_text(df, model).collect()}
     assert len(rows["a"]) == 64 and abs(sum(x * x for x in rows["a"]) - 1) < 1e-5 and not any(rows["c"])
+
+
+def test_missing_and_ragged_vectors(spark):
+    data = [(i, None if i % 2 else [float(i), 1.0]) for i in range(20)]
+    df = spark.createDataFrame(data, "doc_id int, embedding array<double>")
+    got = R.vector_topk(df, df, 3, "doc_id", exclude_same_id=True).collect()
+    assert {r["query_id"] for r in got} == {r["corpus_id"] for r in got} == set(range(0, 20, 2))
+    whole = R.vector_topk(df.filter("embedding IS NOT NULL"), df.filter("embedding IS NOT NULL"), 3, "doc_id", exclude_same_id=True)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole.collect()))
+    ragged = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "doc_id int, embedding array<double>")
+    with pytest.raises(Exception, match="different lengths"):
+        R.vector_topk(ragged, ragged, 1, "doc_id").collect()
+
+
+def test_short_words_codes_and_other_languages_are_found(spark):
+    texts = ["VPN und DNS", "S3 bucket full", "error ERR_42 again", "Störung im Netz", "HTTP 503"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, content string")
+    asked = spark.createDataFrame([(0, "vpn dns?"), (1, "s3"), (2, "err_42"), (3, "STÖRUNG"), (4, "503")], "query_id int, text string")
+    got = {(r["query_id"], r["corpus_id"]) for r in R.text_topk(asked, R.index_terms(docs), 1).collect()}
+    assert got == {(i, i) for i in range(5)}

@@ -75,14 +75,19 @@ def words(col: Column) -> Column:
     return F.filter(found, lambda w: ~w.isin(stop))
 
 
+def search_words(col: Column) -> Column:
+    """All lower-case words of letters, digits and underscores, of any length and language."""
+    return F.filter(F.split(normalise(col), " "), lambda w: w != "")
+
+
 def word_counts(tokens: Column) -> Column:
-    """array<struct<word, n>> of an array of ``words``, ordered by word.
+    """array<struct<word, n>> of an array of words, ordered by word.
 
     Sorting makes equal words neighbours and a back-reference takes each run in one
     piece: n log n within the row, no shuffle of tokens and no lambda per token.
     """
     ordered = F.concat(F.array_join(F.sort_array(tokens), " "), F.lit(" "))
-    runs = F.regexp_extract_all(ordered, F.lit(r"([a-z]+ )\1*"), F.lit(0))
+    runs = F.regexp_extract_all(ordered, F.lit(r"([^ ]+ )\1*"), F.lit(0))
 
     def counted(run: Column) -> Column:
         word = F.substring_index(run, " ", 1)

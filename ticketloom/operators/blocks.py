@@ -117,8 +117,11 @@ def best_of(partial: DataFrame, k: int) -> DataFrame:
 
 
 def unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
+    sizes = np.unique(pc.list_value_length(vectors).to_numpy(zero_copy_only=False))
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths: {sizes[:5].tolist()}")
     flat = pc.list_flatten(vectors).to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = flat.reshape(len(vectors), -1)
+    rows = np.nan_to_num(flat.reshape(len(vectors), -1))
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 

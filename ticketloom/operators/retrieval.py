@@ -27,9 +27,13 @@ def vector_topk(
     corpus_id: str = "doc_id", vector: str = "embedding", exclude_same_id: bool = False,
     corpus_rows: int = B.CORPUS_BLOCK, query_rows: int = B.QUERY_BLOCK,
 ) -> DataFrame:
-    """Exact top k by cosine similarity: (query_id, corpus_id, score, rank)."""
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec"))
-    c = corpus.select(F.col(corpus_id).alias("corpus_id"), F.col(vector).alias("vec"))
+    """Exact top k by cosine similarity: (query_id, corpus_id, score, rank).
+
+    Rows without a vector neither ask nor are found; zero vectors and missing numbers
+    count as zeros; vectors of different lengths fail the job.
+    """
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL")
+    c = corpus.select(F.col(corpus_id).alias("corpus_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL")
     return B.blockwise_topk(q, c, k, B.cosine_scorer(k, exclude_same_id), None, corpus_rows, query_rows)
 
 
@@ -64,10 +68,10 @@ def vector_topk_approx(
     larger than ``bucket_rows`` is split by id hash and its queries copied to each part.
     """
     q = _signatures(
-        queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec")),
+        queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL"),
         "query_id", dims, tables, bits, seed)
     c = _signatures(
-        corpus.select(F.col(corpus_id).alias("corpus_id"), F.col(vector).alias("vec")),
+        corpus.select(F.col(corpus_id).alias("corpus_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL"),
         "corpus_id", dims, tables, bits, seed)
     if tables * 2**bits > 1_000_000:
         raise ValueError("tables * 2^bits must stay below a million: bucket sizes are broadcast")
@@ -102,14 +106,14 @@ def fit_embedder(chunks: DataFrame, text: str = "content", dims: int = 256) -> P
         IDF(inputCol="embed_tf", outputCol="embed_idf"),
         Normalizer(inputCol="embed_idf", outputCol="embed_vec", p=2.0),
     ]
-    return Pipeline(stages=stages).fit(chunks.select(X.words(F.col(text)).alias("embed_words")))
+    return Pipeline(stages=stages).fit(chunks.select(X.search_words(F.coalesce(F.col(text), F.lit(""))).alias("embed_words")))
 
 
 def embed_text(
     chunks: DataFrame, model: PipelineModel, text: str = "content", out: str = "embedding"
 ) -> DataFrame:
     """Add unit-length lexical vectors as array<float>."""
-    worded = chunks.withColumn("embed_words", X.words(F.coalesce(F.col(text), F.lit(""))))
+    worded = chunks.withColumn("embed_words", X.search_words(F.coalesce(F.col(text), F.lit(""))))
     return (
         model.transform(worded)
         .withColumn(out, vector_to_array("embed_vec", "float32"))
@@ -122,7 +126,7 @@ def embed_text(
 
 def index_terms(df: DataFrame, id_col: str = "doc_id", text: str = "content") -> DataFrame:
     """(corpus_id, n_words, terms) of a text table; write it once to search it often."""
-    tokens = X.words(F.coalesce(F.col(text), F.lit("")))
+    tokens = X.search_words(F.coalesce(F.col(text), F.lit("")))
     return df.select(
         F.col(id_col).alias("corpus_id"),
         X.let(
@@ -139,7 +143,7 @@ def index_terms(df: DataFrame, id_col: str = "doc_id", text: str = "content") ->
 
 def asked_words(text: Column) -> Column:
     """Sorted distinct search words of a query text."""
-    return F.sort_array(F.array_distinct(X.words(F.coalesce(text, F.lit("")))))
+    return F.sort_array(F.array_distinct(X.search_words(F.coalesce(text, F.lit("")))))
 
 
 def text_answers(

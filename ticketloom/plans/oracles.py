@@ -273,6 +273,9 @@ SELECT id, word, count(*) AS n, min(i) AS first FROM {name}_tokens GROUP BY ALL"
 SELECT id, string_agg(word, '|' ORDER BY rn) AS keywords
 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, first) AS rn FROM {name}_counts)
 WHERE rn <= 10 GROUP BY id""", f"{name}_counts")
+    cte(f"{name}_found", f"""
+SELECT id, word, count(*) AS n
+FROM (SELECT {key} AS id, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}_]+')) AS word FROM {source}) GROUP BY ALL""", source)
 
 
 DOC_TYPE = "CASE " + " ".join(
@@ -346,21 +349,21 @@ keyword_ctes("history", "v_history", "ticket_id", "ticket_text")
 
 
 def bm25_ctes(name: str, asked: str, corpus: str, source: str, k: int = 3) -> None:
-    cte(f"{name}_len", f"SELECT id, sum(n) AS dl FROM {corpus}_counts GROUP BY id", f"{corpus}_counts")
+    cte(f"{name}_len", f"SELECT id, sum(n) AS dl FROM {corpus}_found GROUP BY id", f"{corpus}_found")
     cte(f"{name}_stats", f"""
 SELECT (SELECT count(*) FROM {source}) AS n_docs,
-       (SELECT sum(n) FROM {corpus}_counts) / (SELECT count(*) FROM {source}) AS mean_len""", f"{corpus}_counts", source)
+       (SELECT sum(n) FROM {corpus}_found) / (SELECT count(*) FROM {source}) AS mean_len""", f"{corpus}_found", source)
     cte(f"{name}_idf", f"""
 SELECT word, ln(1 + (any_value(n_docs) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
-FROM {corpus}_counts, {name}_stats GROUP BY word""", f"{corpus}_counts", f"{name}_stats")
+FROM {corpus}_found, {name}_stats GROUP BY word""", f"{corpus}_found", f"{name}_stats")
     cte(f"{name}_hits", f"""
 SELECT query_id, corpus_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id) AS rank
 FROM (SELECT a.id AS query_id, c.id AS corpus_id,
              round(sum(i.idf * c.n * 2.2::DOUBLE / (c.n + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * l.dl / s.mean_len))), 6) AS score
-      FROM {asked}_counts a JOIN {name}_idf i USING (word) JOIN {corpus}_counts c USING (word)
+      FROM {asked}_found a JOIN {name}_idf i USING (word) JOIN {corpus}_found c USING (word)
       JOIN {name}_len l ON l.id = c.id, {name}_stats s
       GROUP BY a.id, c.id)
-QUALIFY rank <= {k}""", f"{asked}_counts", f"{name}_idf", f"{corpus}_counts", f"{name}_len", f"{name}_stats")
+QUALIFY rank <= {k}""", f"{asked}_found", f"{name}_idf", f"{corpus}_found", f"{name}_len", f"{name}_stats")
 
 
 bm25_ctes("line_chunk", "line", "chunk", "chunk_rows")

@@ -723,15 +723,17 @@ def backlog_by_priority(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sync_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Two syncs of a chunk table: a first load and a reload with nothing new."""
+    """Three syncs of a chunk table: a first load, a reload with nothing new, and late files with older contents."""
     source, index, mark = (sinks.scratch_dir(spark, n) for n in ("chunks", "index", "mark"))
     columns = ["doc_id", "content", "created_at"]
     _chunks(spark, sf).select(columns).write.mode("append").parquet(source)
     written = spark.read.parquet(source)
     model = retrieval.fit_embedder(written)
-    for again in (False, True):
-        if again:
-            written.write.mode("append").parquet(f"{source}")
+    late = written.select("doc_id", F.concat("content", F.lit(" (older)")).alias("content"),
+                          (F.col("created_at") - F.expr("INTERVAL 1 DAY")).alias("created_at"))
+    for more in (None, written, late):
+        if more is not None:
+            more.write.mode("append").parquet(source)
         streams.sync_index(
             spark, source, index, mark, lambda df: retrieval.embed_text(df, model),
             "doc_id STRING, content STRING, created_at TIMESTAMP", buckets=8,

@@ -23,7 +23,6 @@ TEAMS = (
     "Cloud",
 )
 URGENCIES = ("Critical", "High", "Medium", "Low")
-IMPACTS = ("Single User", "Multiple Users", "Department", "Organization")
 
 DEFAULT_CATEGORY = "Software"
 DEFAULT_PRIORITY = "P3"
@@ -290,7 +289,6 @@ KB_CATEGORY_PATTERNS = (
     ("Network_Troubleshooting", ("network", "vpn", "dns")),
 )
 DEFAULT_KB_CATEGORY = "General"
-DOC_TYPES = ("Runbook", "Playbook", "Policy", "Rules", "Guide", "Support_Guide")
 MIN_SECTION = 100
 MIN_CHUNK = 800
 MAX_CHUNK = 1500

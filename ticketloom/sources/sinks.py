@@ -79,9 +79,22 @@ def write_table(df: DataFrame, path: str, mode: str) -> None:
         df.write.mode("overwrite").parquet(_next_version(spark, path))
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Target rows without a source key, plus all source rows."""
-    return target.join(source.select(key), key, "left_anti").unionByName(source)
+def one_per_key(source: DataFrame, key: str, version: str | None = None) -> DataFrame:
+    """One row per key: the newest by ``version``; without it a repeated key fails the job, as in MERGE."""
+    rest = F.struct(*[c for c in source.columns if c != key])
+    if version is not None:
+        picked = source.groupBy(key).agg(F.max_by(rest, F.col(version)).alias("row"))
+    else:
+        repeated = F.raise_error(F.concat(F.lit("more than one source row for key "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+        counted = source.groupBy(key).agg(F.any_value(rest).alias("row"), F.count("*").alias("n"))
+        picked = counted.select(key, F.when(F.col("n") > 1, repeated.cast(source.select(rest.alias("r")).schema["r"].dataType))
+                                .otherwise(F.col("row")).alias("row"))
+    return picked.select(*[F.col(key) if c == key else F.col("row")[c].alias(c) for c in source.columns])
+
+
+def upsert(target: DataFrame, source: DataFrame, key: str, version: str | None = None) -> DataFrame:
+    """Target rows without a source key, plus the source's row of each key."""
+    return target.join(source.select(key), key, "left_anti").unionByName(one_per_key(source, key, version))
 
 
 # A keyed table is cut into hash buckets of its key. An upsert writes a new version of
@@ -115,21 +128,41 @@ def has_rows(spark: SparkSession, path: str) -> bool:
     return bool(_bucket_dirs(spark, path)[0])
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+def _bucket_of(key: str, buckets: int):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _touched(keys: DataFrame, key: str, buckets: int) -> set[int]:
+    """Bucket numbers of some keys: as many as there are buckets at most."""
+    return {r["bucket"] for r in keys.select(_bucket_of(key, buckets).alias("bucket")).distinct().collect()}
+
+
+def read_keyed(
+    spark: SparkSession, path: str, keys: DataFrame | None = None, key: str | None = None, buckets: int = 64,
+) -> DataFrame:
+    """The table; with ``keys`` only the buckets that can hold them (all of one bucket, if none does)."""
     found, _ = _bucket_dirs(spark, path)
     if not found:
         raise FileNotFoundError(f"no complete version under {path}")
-    return spark.read.parquet(*[found[b] for b in sorted(found)])
+    chosen = sorted(found)
+    if keys is not None:
+        touched = _touched(keys, key, buckets)
+        chosen = [b for b in chosen if b in touched] or chosen[:1]
+    return spark.read.parquet(*[found[b] for b in chosen])
 
 
-def upsert_table(source: DataFrame, path: str, key: str, buckets: int = 64) -> None:
-    """Upsert into a keyed table; choose ``buckets`` once, for its final size (thousands for many terabytes)."""
+def upsert_table(source: DataFrame, path: str, key: str, buckets: int = 64, version: str | None = None) -> None:
+    """Upsert into a keyed table; choose ``buckets`` once, for its final size (thousands for many terabytes).
+
+    Of source rows with one key the newest by ``version`` counts; without it a repeated key fails.
+    """
     spark = source.sparkSession
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    bucket = _bucket_of(key, buckets)
     found, last = _bucket_dirs(spark, path, buckets)
+    source = one_per_key(source, key, version)
     rows = stage(source, "upsert") if found else source
     if found:
-        touched = {r["bucket"] for r in rows.select(bucket.alias("bucket")).distinct().collect()}
+        touched = _touched(rows, key, buckets)
         old = [found[b] for b in sorted(touched) if b in found]
         if old:
             rows = upsert(spark.read.parquet(*old), rows, key)

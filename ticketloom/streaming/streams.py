@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ticketloom.operators.scoring import extract_metadata, classify_tickets
+from ticketloom.operators.scoring import score_tickets
 from ticketloom.sources import sinks
 
 
@@ -28,8 +28,9 @@ def sync_index(
     """Bring an index up to date with new files of a chunk table, then stop.
 
     Each batch keeps the newest row per key, drops rows whose content the index
-    already has, embeds the rest and upserts them into the keyed index table. A batch
-    run again after a failure finds its rows in place and changes nothing.
+    already has and rows no newer than the indexed one (files may come late), embeds
+    the rest and upserts them into the keyed index table. A batch run again after a
+    failure finds its rows in place and changes nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -38,10 +39,13 @@ def sync_index(
         )
         changed = sinks.stage(newest, "newest")
         if sinks.has_rows(spark, index_path):
-            # Only index rows of this batch's keys are looked at: a small batch is broadcast.
-            have = sinks.read_keyed(spark, index_path).select(key, "content_hash")
+            # Only index rows in the buckets of this batch's keys are read, and of those the batch's own.
+            have = sinks.read_keyed(spark, index_path, changed.select(key), key, buckets).select(
+                key, F.col("content_hash").alias("have_hash"), F.col(version).alias("have_version"))
             have = have.join(changed.select(key), key, "left_semi")
-            changed = sinks.stage(changed.join(have, [key, "content_hash"], "left_anti"), "changed")
+            fresh = (F.col("content_hash") != F.col("have_hash")) & (F.col(version) > F.col("have_version"))
+            kept = changed.join(have, key, "left").filter(F.col("have_hash").isNull() | fresh)
+            changed = sinks.stage(kept.select(*changed.columns), "changed")
         if not changed.isEmpty():
             sinks.upsert_table(embed(changed), index_path, key, buckets)
 
@@ -55,8 +59,14 @@ def sync_index(
 
 
 def classify_stream(tickets: DataFrame, text: str = "ticket_text", sender: str | None = None) -> DataFrame:
-    """Classification and metadata of a stream of tickets: stateless, rows in, rows out."""
-    return extract_metadata(classify_tickets(tickets, text, sender), text, sender)
+    """Classification and metadata of a stream of tickets: stateless, rows in, rows out; each ticket is scored once."""
+    fields = {
+        "classification": ("category", "priority", "assigned_team", "confidence"),
+        "metadata": ("priority_score", "urgency_level", "affected_systems", "technical_keywords", "user_impact",
+                     "requires_escalation"),
+    }
+    structs = {out: F.struct(*[F.col(f"scored.{f}").alias(f) for f in names]) for out, names in fields.items()}
+    return score_tickets(tickets, text, sender).withColumns(structs).drop("scored")
 
 
 def start_append(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
