@@ -145,7 +145,7 @@ def test_missing_and_ragged_vectors(spark):
     data = [(i, None if i % 2 else [float(i), 1.0]) for i in range(20)]
     df = spark.createDataFrame(data, "doc_id int, embedding array<double>")
     got = R.vector_topk(df, df, 3, "doc_id", exclude_same_id=True).collect()
-    assert {r["query_id"] for r in got} == {r["corpus_id"] for r in got} == set(range(0, 20, 2))
+    assert {r["query_id"] for r in got} == set(range(0, 20, 2)) and {r["corpus_id"] for r in got} <= set(range(0, 20, 2))
     whole = R.vector_topk(df.filter("embedding IS NOT NULL"), df.filter("embedding IS NOT NULL"), 3, "doc_id", exclude_same_id=True)
     assert sorted(map(tuple, got)) == sorted(map(tuple, whole.collect()))
     ragged = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "doc_id int, embedding array<double>")
