@@ -155,8 +155,11 @@ def first_models(stats: DataFrame) -> DataFrame:
     """Two starts per group: medians with absolute deviations, and the scatter of tanh scores about them."""
     long = stats.select("grp", F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"x{i}").alias("x")) for i in range(D)])).alias("e")) \
         .select("grp", "e.k", "e.x")
-    centre = middle(long, "x")
-    spread = middle(long.join(centre.withColumnRenamed("mid", "c"), ["grp", "k"]).select("grp", "k", F.abs(F.col("x") - F.col("c")).alias("x")), "x")
+    # values to a thousandth with their counts, so that a large group is only as long as its range
+    binned = staged(long.groupBy("grp", "k", F.round("x", 3).alias("v")).agg(F.count("*").alias("n")), "values")
+    centre = middle(binned)
+    off = binned.join(centre, ["grp", "k"]).select("grp", "k", F.round(F.abs(F.col("v") - F.col("mid")), 3).alias("v"), "n")
+    spread = middle(off.groupBy("grp", "k", "v").agg(F.sum("n").alias("n")))
     wide = lambda t, p: t.groupBy("grp").agg(*[F.max(F.when(F.col("k") == i, F.col("mid"))).alias(f"{p}{i}") for i in range(D)])
     both = wide(centre, "c").join(wide(spread, "w"), "grp")
     both = staged(both.select("grp", *[f"c{i}" for i in range(D)], *[F.greatest(F.col(f"w{i}") * 1.4826, F.lit(float(FLOORS[i]) / 4)).alias(f"w{i}") for i in range(D)]), "starts")
@@ -169,9 +172,8 @@ def first_models(stats: DataFrame) -> DataFrame:
     return to_model(plain.unionByName(bent))
 
 
-def middle(long: DataFrame, value: str) -> DataFrame:
-    """Median to a thousandth of `value` for each group and statistic, from counts of equal rounded values."""
-    binned = long.groupBy("grp", "k", F.round(F.col(value), 3).alias("v")).agg(F.count("*").alias("n"))
+def middle(binned: DataFrame) -> DataFrame:
+    """Median of each group and statistic from values with their counts."""
     w = Window.partitionBy("grp", "k")
     run = binned.withColumn("upto", F.sum("n").over(w.orderBy("v"))).withColumn("all", F.sum("n").over(w))
     return run.where(F.col("upto") * 2 >= F.col("all")).groupBy("grp", "k").agg(F.min("v").alias("mid"))
