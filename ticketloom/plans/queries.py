@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ticketloom import policy
 from ticketloom.functions import sqlfuncs
 from ticketloom.functions import text as X
-from ticketloom.operators import kb, retrieval, routing, scoring, sla, stats, tickets
+from ticketloom.operators import kb, reload, retrieval, routing, scoring, sla, stats, tickets
 from ticketloom.plans import fixtures as fx
 from ticketloom.sources import readers, sinks
 from ticketloom.streaming import streams
@@ -83,13 +83,14 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def read_text_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents written as text files and read back whole; totals over their lines."""
+    """Documents written as one text file each and read back whole."""
     path = sinks.scratch_dir(spark, "texts")
-    fx.table(spark, sf, "documents").select("text").write.text(path)
-    docs = readers.read_text_docs(spark, path)
-    lines = docs.select(F.explode(F.split("content", "\n")).alias("line"))
-    return lines.filter(F.length(X.strip(F.col("line"))) > 0).agg(
-        F.count("*").alias("text_lines"), F.sum(F.length(X.strip(F.col("line")))).alias("text_chars")
+    fx.table(spark, sf, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    docs = readers.read_text_docs(spark, f"{path}/*")
+    return docs.select(
+        F.regexp_extract("path", "doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"),
+        F.col("path").endswith(F.concat(F.lit("/"), "filename")).alias("named"),
+        F.length("content").alias("chars"), F.md5(F.encode("content", "utf-8")).alias("content_hash"),
     )
 
 
@@ -171,6 +172,22 @@ def select_new_docs(spark: SparkSession, sf: str) -> DataFrame:
     return fresh.select("filename", "content_hash", F.length("content").alias("chars"))
 
 
+@query
+def reload_kb(spark: SparkSession, sf: str) -> DataFrame:
+    """Four loads of all documents: full; French ones cut, German ones gone; French ones back, Spanish ones gone; German ones back."""
+    path = sinks.scratch_dir(spark, "kb")
+    docs = fx.v_kb_docs(spark, sf).select("filename", "content", F.coalesce("lang", F.lit("")).alias("lang"))
+    half = F.substring("content", F.lit(1), F.floor(F.length("content") / 2).cast("int"))
+    cut = docs.withColumn("content", F.when(F.col("lang") == "fr", half).otherwise(F.col("content")))
+    loads = (docs, cut.filter("lang <> 'de'"), docs.filter("lang NOT IN ('de', 'es')"), docs.filter("lang <> 'es'"))
+    for n, source in enumerate(loads):
+        reload.reload_kb(source.select("filename", "content"), path, F.lit(LOADED_AT), "incremental" if n else "full", buckets=8)
+    loaded = reload.read_loads(spark, path).select("filename", "content_hash")
+    chunks = reload.read_kb(spark, path).groupBy("filename").agg(
+        F.count("*").alias("chunks"), F.count_distinct("doc_id").alias("ids"), F.sum("char_count").alias("chars"))
+    return loaded.join(chunks, "filename", "left")
+
+
 # --- projections and filters ---------------------------------------------------------
 
 
@@ -723,22 +740,24 @@ def backlog_by_priority(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sync_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Three syncs of a chunk table: a first load, a reload with nothing new, and late files with older contents."""
+    """Four syncs of a chunk table: a first load, one with nothing new, the removal of all policies' chunks, and late older rows."""
     source, index, mark = (sinks.scratch_dir(spark, n) for n in ("chunks", "index", "mark"))
-    columns = ["doc_id", "content", "created_at"]
-    _chunks(spark, sf).select(columns).write.mode("append").parquet(source)
+    columns = ["doc_id", "content", "created_at", F.lit(False).alias("removed")]
+    _chunks(spark, sf).select(*columns).write.mode("append").parquet(source)
     written = spark.read.parquet(source)
     model = retrieval.fit_embedder(written)
-    late = written.select("doc_id", F.concat("content", F.lit(" (older)")).alias("content"),
-                          (F.col("created_at") - F.expr("INTERVAL 1 DAY")).alias("created_at"))
-    for more in (None, written, late):
+    later, before = F.col("created_at") + F.expr("INTERVAL 1 DAY"), F.col("created_at") - F.expr("INTERVAL 1 DAY")
+    removal = written.filter(F.col("doc_id").startswith("Policy")).select(
+        "doc_id", F.lit(None).cast("string").alias("content"), later.alias("created_at"), F.lit(True).alias("removed"))
+    late = written.select("doc_id", F.concat("content", F.lit(" (older)")).alias("content"), before.alias("created_at"), "removed")
+    for more in (None, written, removal, late):
         if more is not None:
             more.write.mode("append").parquet(source)
         streams.sync_index(
             spark, source, index, mark, lambda df: retrieval.embed_text(df, model),
-            "doc_id STRING, content STRING, created_at TIMESTAMP", buckets=8,
+            "doc_id STRING, content STRING, created_at TIMESTAMP, removed BOOLEAN", buckets=8, removed="removed",
         ).awaitTermination()
-    return sinks.read_keyed(spark, index).select("doc_id", "content_hash", F.size("embedding").alias("dims"))
+    return streams.read_index(spark, index, "removed").select("doc_id", "content_hash", F.size("embedding").alias("dims"))
 
 
 @query

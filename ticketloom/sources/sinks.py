@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MODES = ("full", "incremental")
+LIVE = "is_live"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -97,7 +98,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str, version: str | None =
     return target.join(source.select(key), key, "left_anti").unionByName(one_per_key(source, key, version))
 
 
-# A keyed table is cut into hash buckets of its key. An upsert writes a new version of
+# A keyed table is cut into hash buckets of its key. A change writes a new version of
 # the buckets it touches only; readers take the newest complete version of each bucket.
 
 
@@ -148,30 +149,40 @@ def read_keyed(
     if keys is not None:
         touched = _touched(keys, key, buckets)
         chosen = [b for b in chosen if b in touched] or chosen[:1]
-    return spark.read.parquet(*[found[b] for b in chosen])
+    return spark.read.parquet(*[found[b] for b in chosen]).filter(LIVE).drop(LIVE)
 
 
-def upsert_table(source: DataFrame, path: str, key: str, buckets: int = 64, version: str | None = None) -> None:
-    """Upsert into a keyed table; choose ``buckets`` once, for its final size (thousands for many terabytes).
+def replace_rows(rows: DataFrame, keys: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """Give each of ``keys`` the rows that ``rows`` holds for it in a keyed table; keys without any lose theirs.
 
-    Of source rows with one key the newest by ``version`` counts; without it a repeated key fails.
+    ``rows``, a written table, may hold several rows for a key, but no other keys. Choose ``buckets`` once, for the table's final
+    size (thousands for many terabytes). A key that loses its rows leaves one mark, so that its bucket is not empty.
     """
-    spark = source.sparkSession
-    bucket = _bucket_of(key, buckets)
+    spark = rows.sparkSession
     found, last = _bucket_dirs(spark, path, buckets)
-    source = one_per_key(source, key, version)
-    rows = stage(source, "upsert") if found else source
-    if found:
-        touched = _touched(rows, key, buckets)
-        old = [found[b] for b in sorted(touched) if b in found]
-        if old:
-            rows = upsert(spark.read.parquet(*old), rows, key)
+    keys = stage(keys.select(key).distinct(), "keys")
+    gone = keys.join(rows.select(key).distinct(), key, "left_anti").withColumn(LIVE, F.lit(False))
+    out = rows.withColumn(LIVE, F.lit(True)).unionByName(gone, allowMissingColumns=True)
+    touched = _touched(keys, key, buckets)
+    old = [found[b] for b in sorted(touched) if b in found]
+    if old:
+        kept = spark.read.parquet(*old).filter(LIVE).join(keys, key, "left_anti")
+        out = kept.unionByName(out)
     (
-        rows.withColumn("bucket", bucket).hint("rebalance", "bucket")
+        out.withColumn("bucket", _bucket_of(key, buckets)).hint("rebalance", "bucket")
         .write.partitionBy("bucket").parquet(f"{path}/k{last + 1}-{buckets}")
     )
 
 
+def upsert_table(source: DataFrame, path: str, key: str, buckets: int = 64, version: str | None = None) -> None:
+    """Upsert into a keyed table.
+
+    Of source rows with one key the newest by ``version`` counts; without it a repeated key fails.
+    """
+    rows = stage(one_per_key(source, key, version), "upsert")
+    replace_rows(rows, rows, path, key, buckets)
+
+
 def export_results_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; arrays become comma-separated text."""
     flat = [

@@ -23,7 +23,7 @@ def sync_index(
     spark: SparkSession, source_path: str, index_path: str, checkpoint: str,
     embed: Callable[[DataFrame], DataFrame], schema: str, key: str = "doc_id",
     content: str = "content", version: str = "created_at", files_per_batch: int = 1000,
-    buckets: int = 64,
+    buckets: int = 64, removed: str | None = None,
 ) -> StreamingQuery:
     """Bring an index up to date with new files of a chunk table, then stop.
 
@@ -31,23 +31,37 @@ def sync_index(
     already has and rows no newer than the indexed one (files may come late), embeds
     the rest and upserts them into the keyed index table. A batch run again after a
     failure finds its rows in place and changes nothing.
+
+    ``removed`` names a boolean column of the source that marks rows as deleted. A deleted row stays in
+    the index with its key and version, so that older rows that come late do not bring it back; of equal
+    versions the deletion counts. ``read_index`` leaves such rows out.
     """
+    order = [version, *([removed] if removed else []), content]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, key, [version, content]).withColumn(
+        if removed:
+            batch = batch.withColumn(removed, F.coalesce(removed, F.lit(False)))
+            batch = batch.withColumn(content, F.when(~F.col(removed), F.coalesce(content, F.lit(""))))
+        newest = latest_per_key(batch, key, order).withColumn(
             "content_hash", F.md5(F.encode(F.col(content), "utf-8"))
         )
         changed = sinks.stage(newest, "newest")
         if sinks.has_rows(spark, index_path):
             # Only index rows in the buckets of this batch's keys are read, and of those the batch's own.
             have = sinks.read_keyed(spark, index_path, changed.select(key), key, buckets).select(
-                key, F.col("content_hash").alias("have_hash"), F.col(version).alias("have_version"))
+                key, F.col("content_hash").alias("have_hash"), F.col(version).alias("have_version"), F.lit(True).alias("have"))
             have = have.join(changed.select(key), key, "left_semi")
-            fresh = (F.col("content_hash") != F.col("have_hash")) & (F.col(version) > F.col("have_version"))
-            kept = changed.join(have, key, "left").filter(F.col("have_hash").isNull() | fresh)
+            fresh = ~F.col("content_hash").eqNullSafe(F.col("have_hash")) & (F.col(version) > F.col("have_version"))
+            kept = changed.join(have, key, "left").filter(F.col("have").isNull() | fresh)
             changed = sinks.stage(kept.select(*changed.columns), "changed")
-        if not changed.isEmpty():
-            sinks.upsert_table(embed(changed), index_path, key, buckets)
+        if changed.isEmpty():
+            return
+        if removed:
+            live = embed(changed.filter(~F.col(removed)))
+            changed = live.unionByName(changed.filter(removed), allowMissingColumns=True)
+        else:
+            changed = embed(changed)
+        sinks.upsert_table(changed, index_path, key, buckets)
 
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_path)
@@ -58,6 +72,12 @@ def sync_index(
     )
 
 
+def read_index(spark: SparkSession, path: str, removed: str | None = None) -> DataFrame:
+    """The rows of an index that are not deleted."""
+    index = sinks.read_keyed(spark, path)
+    return index if removed is None else index.filter(~F.col(removed)).drop(removed)
+
+
 def classify_stream(tickets: DataFrame, text: str = "ticket_text", sender: str | None = None) -> DataFrame:
     """Classification and metadata of a stream of tickets: stateless, rows in, rows out; each ticket is scored once."""
     fields = {
