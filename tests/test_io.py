@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ticketloom.operators import tickets
+from ticketloom.operators import reload, tickets
 from ticketloom.sources import readers, sinks
 from ticketloom.streaming import streams
 
@@ -144,3 +144,48 @@ def test_classified_stream_appends_once(spark, tmp_path):
     assert run() == run() == [("t1", "P3"), ("t2", "P2")]
     spark.createDataFrame([("t3", "hello")], df.schema).write.mode("append").parquet(source)
     assert len(run()) == 3
+
+
+def test_removed_rows_leave_the_index(spark, tmp_path):
+    source, index, mark = (str(tmp_path / n) for n in ("s", "i", "m"))
+    schema = "doc_id STRING, content STRING, created_at TIMESTAMP, gone BOOLEAN"
+
+    def sync(*items):
+        spark.createDataFrame(items, "doc_id string, content string, at string, gone boolean").select(
+            "doc_id", "content", F.to_timestamp("at").alias("created_at"), "gone"
+        ).coalesce(1).write.mode("append").parquet(source)
+        streams.sync_index(spark, source, index, mark, lambda df: df.withColumn("n", F.length("content")), schema,
+                           removed="gone", buckets=4).awaitTermination()
+        return {r["doc_id"]: (r["content"], r["n"]) for r in streams.read_index(spark, index, "gone").collect()}
+
+    assert sync(("a", "one", "2024-01-01 00:00:00", False), ("b", "two", "2024-01-01 00:00:00", None)) == {"a": ("one", 3), "b": ("two", 3)}
+    assert sync(("a", None, "2024-01-03 00:00:00", True)) == {"b": ("two", 3)}
+    assert sync(("a", "late", "2024-01-02 00:00:00", False), ("z", None, "2024-01-02 00:00:00", True)) == {"b": ("two", 3)}
+    assert sync(("a", "again", "2024-01-04 00:00:00", False)) == {"a": ("again", 5), "b": ("two", 3)}
+
+
+def test_reload_replaces_whole_files(spark, tmp_path):
+    path = str(tmp_path / "kb")
+    para = "word " * 260
+    three, two = "\n\n".join([para] * 3), "\n\n".join([para + "x"] * 2)
+
+    def load(files, **options):
+        docs = spark.createDataFrame(files, "filename string, content string")
+        reload.reload_kb(docs, path, F.lit("2024-01-01 00:00:00"), buckets=4, **options)
+        kept = reload.read_kb(spark, path).groupBy("filename").count()
+        return {r["filename"]: r["count"] for r in kept.collect()}, {r["filename"] for r in reload.read_loads(spark, path).collect()}
+
+    first, files = load([("a.txt", three), ("b.txt", two), ("empty.txt", None), (None, "lost")])
+    assert first["a.txt"] > first["b.txt"] and files == {"a.txt", "b.txt", "empty.txt"} and "empty.txt" not in first
+    before = sorted(os.listdir(f"{path}/chunks"))
+    assert load([("a.txt", three), ("b.txt", two), ("empty.txt", "")]) == (first, files)
+    assert sorted(os.listdir(f"{path}/chunks")) == before  # nothing new, not even the file without chunks
+    shrunk, _ = load([("a.txt", two), ("b.txt", two), ("empty.txt", "")])
+    assert shrunk["a.txt"] == first["b.txt"]
+    assert load([("a.txt", three), ("b.txt", two), ("empty.txt", "")])[0] == first
+    assert load([("b.txt", two)], remove_missing=False)[0] == first
+    assert load([("b.txt", two)]) == ({"b.txt": first["b.txt"]}, {"b.txt"})
+    assert load([("b.txt", three)], mode="full")[0] == {"b.txt": first["a.txt"]}
+    with pytest.raises(Exception, match="more than one source row"):
+        load([("b.txt", two), ("b.txt", three)])
+    assert load([("b.txt", three)])[0] == {"b.txt": first["a.txt"]}

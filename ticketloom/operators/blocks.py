@@ -76,8 +76,9 @@ def blockwise_topk(
     corpus_rows: int = CORPUS_BLOCK,
     query_rows: int = QUERY_BLOCK,
     corpus_count: Column | None = None,
+    ranked: bool = True,
 ) -> DataFrame:
-    """Top k (query_id, corpus_id, score, rank) over all blocks.
+    """Top k (query_id, corpus_id, score, rank) over all blocks; the unranked top k of each if not ``ranked``.
 
     ``score`` gets a query and a corpus table, the corpus in id order. With ``keys``
     the inputs already carry the block columns. A known ``corpus_count`` saves a pass.
@@ -107,7 +108,7 @@ def blockwise_topk(
         return result_table(q, c, score(q, c), target)
 
     partial = queries.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInArrow(run, schema)
-    return best_of(partial, k)
+    return best_of(partial, k) if ranked else partial
 
 
 def best_of(partial: DataFrame, k: int) -> DataFrame:

@@ -37,10 +37,13 @@ def vector_topk(
     return B.blockwise_topk(q, c, k, B.cosine_scorer(k, exclude_same_id), None, corpus_rows, query_rows)
 
 
-def _signatures(df: DataFrame, id_col: str, dims: int, tables: int, bits: int, seed: int) -> DataFrame:
-    """One row per hash table: the sign pattern of ``bits`` random projections."""
-    planes = np.random.default_rng(seed).standard_normal((tables * bits, dims))
-    powers = 1 << np.arange(bits, dtype=np.int64)
+MAX_BITS = 16
+
+
+def _signatures(df: DataFrame, id_col: str, dims: int, tables: int, seed: int) -> DataFrame:
+    """One row per hash table: the sign pattern of ``MAX_BITS`` random projections."""
+    planes = np.random.default_rng(seed).standard_normal((tables * MAX_BITS, dims))
+    powers = 1 << np.arange(MAX_BITS, dtype=np.int64)
     schema = T.StructType([
         T.StructField(id_col, df.schema[id_col].dataType),
         T.StructField("vec", df.schema["vec"].dataType),
@@ -50,7 +53,7 @@ def _signatures(df: DataFrame, id_col: str, dims: int, tables: int, bits: int, s
     def sign(batches):
         for pdf in batches:
             rows = np.vstack(pdf["vec"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, dims))
-            on = (rows @ planes.T > 0).reshape(len(rows), tables, bits)
+            on = (np.nan_to_num(rows) @ planes.T > 0).reshape(len(rows), tables, MAX_BITS)
             yield pd.DataFrame({id_col: pdf[id_col], "vec": pdf["vec"], "sigs": list((on * powers).sum(axis=2))})
 
     signed = df.select(id_col, "vec").mapInPandas(sign, schema)
@@ -59,27 +62,35 @@ def _signatures(df: DataFrame, id_col: str, dims: int, tables: int, bits: int, s
 
 def vector_topk_approx(
     queries: DataFrame, corpus: DataFrame, k: int = 3, query_id: str = "query_id",
-    corpus_id: str = "doc_id", vector: str = "embedding", dims: int = 64, tables: int = 12,
-    bits: int = 6, seed: int = 42, exclude_same_id: bool = False, bucket_rows: int = B.CORPUS_BLOCK,
+    corpus_id: str = "doc_id", vector: str = "embedding", dims: int = 64, tables: int = 6,
+    seed: int = 42, exclude_same_id: bool = False, bucket_rows: int = 256, block_rows: int = B.CORPUS_BLOCK,
 ) -> DataFrame:
-    """Approximate top k: only rows sharing a random-projection bucket are compared.
+    """Approximate top k: a query is compared with the rows of its random-projection buckets and their neighbours.
 
-    The tables x 2^bits bucket sizes are bounded, whatever the corpus size; a bucket
-    larger than ``bucket_rows`` is split by id hash and its queries copied to each part.
+    A table has as many bits (``MAX_BITS`` at most) as leave about ``bucket_rows`` rows in a bucket, so the work
+    of a query does not grow with the corpus. In each table a query probes its own bucket and those that differ
+    in one bit. At most tables x 2^MAX_BITS bucket sizes exist, whatever the corpus size; a bucket larger than
+    ``block_rows`` is split by id hash and its queries copied to each part. Scores are exact cosines. Null
+    vectors neither ask nor are found; all others must have ``dims`` numbers.
     """
-    q = _signatures(
-        queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL"),
-        "query_id", dims, tables, bits, seed)
-    c = _signatures(
-        corpus.select(F.col(corpus_id).alias("corpus_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL"),
-        "corpus_id", dims, tables, bits, seed)
-    if tables * 2**bits > 1_000_000:
-        raise ValueError("tables * 2^bits must stay below a million: bucket sizes are broadcast")
+    if tables * 2**MAX_BITS > 1_000_000:
+        raise ValueError("tables * 2^MAX_BITS must stay below a million: bucket sizes are broadcast")
+    given = corpus.select(F.col(corpus_id).alias("corpus_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL")
+    wanted = F.ceil(F.log2(F.greatest(F.count("*") / bucket_rows, F.lit(1.0)))).cast("int")
+    bits = given.agg(F.least(wanted, F.lit(MAX_BITS))).scalar()
+    low = F.expr("shiftleft(1L, bits) - 1")
+    c = _signatures(given, "corpus_id", dims, tables, seed).withColumn("bits", bits).withColumn("sig", F.col("sig").bitwiseAND(low))
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL")
+    q = _signatures(asked, "query_id", dims, tables, seed).withColumn("bits", bits).withColumn("sig", F.col("sig").bitwiseAND(low))
+    # without bits all tables are the same one
+    c, q = (side.filter((F.col("bits") > 0) | (F.col("tbl") == 0)) for side in (c, q))
+    q = q.withColumn("sig", F.explode(F.expr(
+        "concat(array(sig), transform(slice(sequence(0, bits), 1, bits), b -> sig ^ shiftleft(1L, b)))")))
 
     def parts(side: DataFrame, rows: int, name: str) -> DataFrame:
         return side.groupBy("tbl", "sig").agg(F.ceil(F.count("*") / rows).cast("bigint").alias(name))
 
-    sizes = parts(c, bucket_rows, "c_parts").join(parts(q, B.QUERY_BLOCK, "q_parts"), ["tbl", "sig"])
+    sizes = parts(c, block_rows, "c_parts").join(parts(q, B.QUERY_BLOCK, "q_parts"), ["tbl", "sig"])
     sizes = F.broadcast(sizes)
     q = (
         q.join(sizes, ["tbl", "sig"])
@@ -94,9 +105,9 @@ def vector_topk_approx(
     keys = ["tbl", "sig", "q_part", "c_part"]
     scored = B.blockwise_topk(
         q.select(*keys, "query_id", "vec"), c.select(*keys, "corpus_id", "vec"),
-        k * tables, B.cosine_scorer(k, exclude_same_id), keys)
+        k, B.cosine_scorer(k, exclude_same_id), keys, ranked=False)
     # A pair may meet in several tables; it counts once.
-    return B.best_of(scored.select("query_id", "corpus_id", "score").distinct(), k)
+    return B.best_of(scored.groupBy("query_id", "corpus_id").agg(F.max("score").alias("score")), k)
 
 
 def fit_embedder(chunks: DataFrame, text: str = "content", dims: int = 256) -> PipelineModel:
@@ -246,12 +257,22 @@ def build_context(tickets: DataFrame, hits: str = "hits", per_doc: int = 1000) -
 # --- history -------------------------------------------------------------------------
 
 
+def resolved(history: DataFrame) -> DataFrame:
+    return history.filter(F.col("resolved_at").isNotNull())
+
+
+def index_history(history: DataFrame) -> DataFrame:
+    """``index_terms`` of the resolved tickets."""
+    return index_terms(resolved(history), "ticket_id", "ticket_text")
+
+
 def latest_rows(history: DataFrame, k: int, by: str | None = None) -> DataFrame:
     """The k latest resolved tickets, per ``by`` value or over all.
 
     The rank limit is applied inside each partition before the shuffle, so a hot team
     sends at most k rows per task.
     """
+    history = resolved(history)
     if by is None:
         return history.orderBy(F.col("resolved_at").desc(), F.col("ticket_id")).limit(k).withColumn(
             "rank", F.row_number().over(Window.orderBy(F.col("resolved_at").desc(), F.col("ticket_id")))
@@ -299,10 +320,10 @@ def similar_history(
 ) -> DataFrame:
     """The k most similar resolved tickets by text, with their resolutions.
 
-    ``index`` is a written ``index_terms`` table of the history, if there is one.
+    ``index`` is a written ``index_history`` table, if there is one.
     """
     if index is None:
-        index = index_terms(history, "ticket_id", "ticket_text")
+        index = index_history(history)
     details = history.select("ticket_id", "root_cause", "resolution", "resolution_time_hours", "resolved_at")
     return text_topk(tickets, index, k, key, text, details, "ticket_id").withColumnsRenamed(
         {"query_id": key, "corpus_id": "similar_ticket_id"}

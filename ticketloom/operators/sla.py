@@ -44,7 +44,7 @@ def assign_sla(
     classified: DataFrame, sla: DataFrame, start: str = "submitted_date",
     priority: str = "priority", urgency: str = "urgency_level",
 ) -> DataFrame:
-    """Add response_due, resolution_due, after_hours and the escalation times."""
+    """Add response_due, resolution_due, after_hours, the hand-over times of the three tiers and management's."""
     keyed = sla.withColumnsRenamed({"priority": "sla_priority", "urgency": "sla_urgency"})
     joined = classified.join(
         keyed,
@@ -56,6 +56,8 @@ def assign_sla(
         "response_due": _plus(begin, F.col("response_minutes")),
         "resolution_due": _plus(begin, F.col("resolution_minutes")),
         "escalate_at": _plus(begin, F.col("tier1_minutes")),
+        "tier2_until": _plus(begin, F.col("tier2_minutes")),
+        "tier3_until": _plus(begin, F.col("tier3_minutes")),
         "management_at": _plus(begin, F.col("management_minutes")),
     }).drop("sla_priority", "sla_urgency")
 
@@ -63,9 +65,9 @@ def assign_sla(
 def sla_compliance(history: DataFrame, sla: DataFrame, by: str = "priority") -> DataFrame:
     """Share resolved on target, against the level-one goal, and management escalations.
 
-    ``history`` has priority, urgency, submitted_at and resolved_at.
+    ``history`` has priority, urgency, submitted_at and resolved_at; open tickets (no resolved_at) do not count.
     """
-    due = assign_sla(history, sla, "submitted_at", "priority", "urgency")
+    due = assign_sla(history.filter(F.col("resolved_at").isNotNull()), sla, "submitted_at", "priority", "urgency")
     on_time = F.col("resolved_at") <= F.col("resolution_due")
     share = F.avg(on_time.cast("int"))
     return due.groupBy(by).agg(

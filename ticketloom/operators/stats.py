@@ -213,13 +213,13 @@ def exact_quantiles(
 def resolution_metrics(
     history: DataFrame, at: str = "resolved_at", by: str = "team", hours: str = "resolution_time_hours"
 ) -> DataFrame:
-    """Monthly count, mean, exact median and p90 of hours, and change on the month before.
+    """Monthly count, mean, exact median and p90 of hours of resolved tickets, and change on the month before.
 
     Equal hours are counted first, so a busy (month, team) shuffles one row per
     distinct value and task.
     """
     counts = (
-        history.select(
+        history.filter(F.col(at).isNotNull()).select(
             F.to_date(F.date_trunc("month", at)).alias("month"), F.col(by).alias("team"), F.col(hours).alias("hours")
         )
         .groupBy("month", "team", "hours")

@@ -81,21 +81,21 @@ SELECT concat('EVT-', lpad(CAST(e.event_id AS VARCHAR(20)), 12, '0')) AS ticket_
 FROM {{events}} e JOIN {TPL} t ON t.tpl_id = e.event_id % {N_TPL}
 """
 
+# Every order is a ticket; those with status F are resolved, the others open.
 V_HISTORY = f"""
 SELECT concat('HIST-', CAST(o.o_orderkey AS VARCHAR(20))) AS ticket_id,
        concat(t.description, ' Seen by customer ', CAST(o.o_custkey AS VARCHAR(20)), '.') AS ticket_text,
-       concat('Cause of ', lower(t.subject)) AS root_cause,
-       concat('Fixed by the ', m.team, ' team') AS resolution,
-       CAST(o.o_orderkey % 120 AS DOUBLE) AS resolution_time_hours,
+       CASE WHEN o.o_orderstatus = 'F' THEN concat('Cause of ', lower(t.subject)) END AS root_cause,
+       CASE WHEN o.o_orderstatus = 'F' THEN concat('Fixed by the ', m.team, ' team') END AS resolution,
+       CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_orderkey % 120 AS DOUBLE) END AS resolution_time_hours,
        CASE substring(o.o_orderpriority, 1, 1) WHEN '1' THEN 'P1' WHEN '2' THEN 'P2' WHEN '3' THEN 'P3' ELSE 'P4' END AS priority,
        CASE substring(o.o_orderpriority, 1, 1) WHEN '1' THEN 'Critical' WHEN '2' THEN 'High' WHEN '3' THEN 'Medium' ELSE 'Low' END AS urgency,
        m.team AS team,
        o.o_orderdate AS submitted_at,
-       o.o_orderdate + (o.o_orderkey % 120) * INTERVAL '1' HOUR AS resolved_at
+       CASE WHEN o.o_orderstatus = 'F' THEN o.o_orderdate + (o.o_orderkey % 120) * INTERVAL '1' HOUR END AS resolved_at
 FROM {{orders}} o
 JOIN {TPL} t ON t.tpl_id = o.o_orderkey % {N_TPL}
 JOIN {TEAMS} m ON m.team_no = o.o_custkey % {N_TEAMS}
-WHERE o.o_orderstatus = 'F'
 """
 
 V_KB_DOCS = f"""

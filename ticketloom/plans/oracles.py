@@ -345,7 +345,8 @@ keyword_ctes("article", "articles", "doc_id", "content")
 keyword_ctes("ticket", "tk", "ticket_id", "ticket_text")
 cte("ask_lines", "SELECT conv_id || ':' || turn AS query_id, text FROM v_lines", "v_lines")
 keyword_ctes("line", "ask_lines", "query_id", "text")
-keyword_ctes("history", "v_history", "ticket_id", "ticket_text")
+cte("v_resolved", "SELECT * FROM v_history WHERE resolved_at IS NOT NULL", "v_history")
+keyword_ctes("history", "v_resolved", "ticket_id", "ticket_text")
 
 
 def bm25_ctes(name: str, asked: str, corpus: str, source: str, k: int = 3) -> None:
@@ -368,7 +369,7 @@ QUALIFY rank <= {k}""", f"{asked}_found", f"{name}_idf", f"{corpus}_found", f"{n
 
 bm25_ctes("line_chunk", "line", "chunk", "chunk_rows")
 bm25_ctes("ticket_article", "ticket", "article", "articles")
-bm25_ctes("ticket_history", "ticket", "history", "v_history")
+bm25_ctes("ticket_history", "ticket", "history", "v_resolved")
 
 # --- SLA -----------------------------------------------------------------------------------
 
@@ -376,9 +377,9 @@ cte("sla", values(
     "sla", "priority, urgency, response_minutes, resolution_minutes, after_hours, tier1, tier2, tier3, management",
     sla_rows()))
 cte("latest", """
-SELECT *, row_number() OVER (PARTITION BY team ORDER BY resolved_at DESC, ticket_id) AS rank FROM v_history QUALIFY rank <= 3""", "v_history")
+SELECT *, row_number() OVER (PARTITION BY team ORDER BY resolved_at DESC, ticket_id) AS rank FROM v_resolved QUALIFY rank <= 3""", "v_resolved")
 cte("latest_any", """
-SELECT *, row_number() OVER (ORDER BY resolved_at DESC, ticket_id) AS rank FROM v_history QUALIFY rank <= 3""", "v_history")
+SELECT *, row_number() OVER (ORDER BY resolved_at DESC, ticket_id) AS rank FROM v_resolved QUALIFY rank <= 3""", "v_resolved")
 
 
 def snap(minutes: str) -> str:
@@ -415,8 +416,7 @@ def oracle(name: str, select: str, *needs: str) -> None:
 # --- sources and sinks -------------------------------------------------------------------------
 
 oracle("read_text_docs", f"""
-SELECT count(*) AS text_lines, sum(length(s))::BIGINT AS text_chars
-FROM (SELECT {strip("unnest(string_split(text, " + NL + "))")} AS s FROM documents) WHERE s <> ''""")
+SELECT true AS named, CAST(length(text) + 1 AS INT) AS chars, md5(text || {NL}) AS content_hash FROM documents""")
 oracle("read_tickets_csv", "SELECT ticket_id, ticket_text, submitted_by FROM tk", "tk")
 oracle("read_ticket_lines", f"""
 SELECT conv_id, turn, CAST(i - 1 AS INT) AS line_no, {strip("l[i]")} AS ticket_text
@@ -432,6 +432,11 @@ FROM scored GROUP BY ALL""", "scored")
 oracle("export_analysis_json", f"""
 SELECT ticket_id, substring(ticket_text, 1, 200) AS ticket, category, priority, user_impact, CAST(0 AS INT) AS knowledge_articles,
        {actions("priority", "team", "0", "false")} AS recommendations FROM scored""", "scored")
+oracle("reload_kb", """
+SELECT k.filename, md5(k.content) AS content_hash, c.chunks, c.ids, c.chars
+FROM v_kb_docs k LEFT JOIN (
+  SELECT filename, count(*) AS chunks, count(DISTINCT doc_id) AS ids, sum(char_count)::BIGINT AS chars FROM chunk_rows GROUP BY filename
+) c USING (filename) WHERE k.lang IS DISTINCT FROM 'es'""", "v_kb_docs", "chunk_rows")
 oracle("select_new_docs", """
 SELECT d.filename, md5(d.content) AS content_hash, CAST(length(d.content) AS INT) AS chars FROM v_kb_docs d
 WHERE NOT EXISTS (SELECT 1 FROM v_kb_loaded l WHERE l.filename = d.filename AND l.content_hash = md5(d.content))""", "v_kb_docs", "v_kb_loaded")
@@ -578,6 +583,9 @@ SELECT query_id, corpus_id, score, CAST(rank AS INT) AS rank FROM (
                round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score
         FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id))
 WHERE rank <= 3""")
+oracle("vector_recall", "SELECT count(*) * 3 AS pairs, 0::BIGINT AS wrong_scores, true AS found FROM embeddings")
+oracle("embed_text", r"""
+SELECT doc_id, 256 AS dims, CASE WHEN regexp_matches(content, '[\p{L}\p{N}_]') THEN 1.0 ELSE 0.0 END::DOUBLE AS squared_norm FROM chunk_rows""", "chunk_rows")
 oracle("text_topk", "SELECT query_id, corpus_id, score, CAST(rank AS INT) AS rank FROM line_chunk_hits", "line_chunk_hits")
 oracle("build_context", f"""
 SELECT a.query_id, coalesce(string_agg(c.title || {NL} || substring(c.content, 1, 1000), {NL} || {NL} ORDER BY h.rank), '{policy.NO_CONTEXT}') AS context
@@ -588,14 +596,16 @@ SELECT t.ticket_id, t.team AS assigned_team, CAST(h.rank AS INT) AS rank, h.tick
 FROM (SELECT ticket_id, CASE WHEN expected_team = 'Cloud' THEN 'Platform' ELSE expected_team END AS team FROM tk) t
 JOIN (SELECT team AS key, rank, ticket_id, resolution, resolved_at FROM latest
       UNION ALL SELECT '*', rank, ticket_id, resolution, resolved_at FROM latest_any) h
-  ON h.key = CASE WHEN t.team IN (SELECT team FROM v_history) THEN t.team ELSE '*' END""", "tk", "latest", "latest_any", "v_history")
+  ON h.key = CASE WHEN t.team IN (SELECT team FROM v_resolved) THEN t.team ELSE '*' END""", "tk", "latest", "latest_any", "v_resolved")
 oracle("similar_history", """
 SELECT h.query_id AS ticket_id, h.corpus_id AS similar_ticket_id, h.score, CAST(h.rank AS INT) AS rank, v.resolution
-FROM ticket_history_hits h JOIN v_history v ON v.ticket_id = h.corpus_id""", "ticket_history_hits", "v_history")
+FROM ticket_history_hits h JOIN v_resolved v ON v.ticket_id = h.corpus_id""", "ticket_history_hits", "v_resolved")
 oracle("assign_sla", """
 SELECT s.ticket_id, s.priority, s.urgency_level, t.submitted_date + x.response_minutes * INTERVAL '1' MINUTE AS response_due,
        t.submitted_date + x.resolution_minutes * INTERVAL '1' MINUTE AS resolution_due, x.after_hours,
-       t.submitted_date + x.tier1 * INTERVAL '1' MINUTE AS escalate_at, t.submitted_date + x.management * INTERVAL '1' MINUTE AS management_at
+       t.submitted_date + x.tier1 * INTERVAL '1' MINUTE AS escalate_at,
+       t.submitted_date + x.tier2 * INTERVAL '1' MINUTE AS tier2_until, t.submitted_date + x.tier3 * INTERVAL '1' MINUTE AS tier3_until,
+       t.submitted_date + x.management * INTERVAL '1' MINUTE AS management_at
 FROM scored s JOIN tk t USING (ticket_id) LEFT JOIN sla x ON x.priority = s.priority AND x.urgency = s.urgency_level""", "scored", "tk", "sla")
 cte("indexed", "SELECT 'doc-' || doc_id AS doc_id FROM labels UNION SELECT 'item-' || item_id FROM benchmark")
 oracle("index_gap", """
@@ -668,14 +678,14 @@ SELECT month, team, resolved, round(mean_hours, 4) AS mean_hours, round(median_h
        round(mean_hours - lag(mean_hours) OVER (PARTITION BY team ORDER BY month), 4) AS change_hours
 FROM (SELECT CAST(date_trunc('month', resolved_at) AS DATE) AS month, team, count(*) AS resolved, avg(resolution_time_hours) AS mean_hours,
              quantile_cont(resolution_time_hours, 0.5) AS median_hours, quantile_cont(resolution_time_hours, 0.9) AS p90_hours
-      FROM v_history GROUP BY ALL)""", "v_history")
+      FROM v_resolved GROUP BY ALL)""", "v_resolved")
 oracle("sla_compliance", f"""
 SELECT h.priority, count(*) AS tickets, count(*) FILTER (ok) AS on_time, round(avg(ok::INT), 4) AS compliance, avg(ok::INT) >= {policy.LEVEL1_TARGET} AS meets_target,
        count(*) FILTER (late) AS management_escalations
 FROM (SELECT v.priority, v.resolved_at <= v.submitted_at + x.resolution_minutes * INTERVAL '1' MINUTE AS ok,
              v.resolved_at > v.submitted_at + x.management * INTERVAL '1' MINUTE AS late
-      FROM v_history v JOIN sla x ON x.priority = v.priority AND x.urgency = v.urgency) h
-GROUP BY h.priority""", "v_history", "sla")
+      FROM v_resolved v JOIN sla x ON x.priority = v.priority AND x.urgency = v.urgency) h
+GROUP BY h.priority""", "v_resolved", "sla")
 oracle("run_summary", """
 SELECT count(*) AS tickets, count(*) AS processed, 0::BIGINT AS failed, sum(tools)::BIGINT AS tools_used, count(*) * 4 AS tools_available,
        (sum(tools) * 0.0005)::DOUBLE AS total_cost, round(avg(tools * 0.0005), 6)::DOUBLE AS avg_cost
@@ -696,7 +706,7 @@ FROM scored s JOIN tk t USING (ticket_id) JOIN sla x ON x.priority = s.priority
 
 # --- streaming and SQL functions ---------------------------------------------------------------------------------
 
-oracle("sync_index", "SELECT doc_id, md5(content) AS content_hash, 256 AS dims FROM chunk_rows", "chunk_rows")
+oracle("sync_index", "SELECT doc_id, md5(content) AS content_hash, 256 AS dims FROM chunk_rows WHERE doc_type <> 'Policy'", "chunk_rows")
 oracle("classify_stream", "SELECT ticket_id, category, priority, team AS assigned_team, urgency_level, user_impact FROM scored", "scored")
 oracle("register_functions", f"""
 SELECT s.ticket_id, s.category, s.priority, s.team AS assigned_team, s.urgency_level, e.technical_keywords,

@@ -85,10 +85,10 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
 def read_text_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Documents written as one text file each and read back whole."""
     path = sinks.scratch_dir(spark, "texts")
-    fx.table(spark, sf, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(path)
-    docs = readers.read_text_docs(spark, f"{path}/*")
+    source = fx.table(spark, sf, "documents")
+    readers.spread_small(source.select("text"), source).write.option("maxRecordsPerFile", 1).text(path)
+    docs = readers.read_text_docs(spark, path)
     return docs.select(
-        F.regexp_extract("path", "doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"),
         F.col("path").endswith(F.concat(F.lit("/"), "filename")).alias("named"),
         F.length("content").alias("chars"), F.md5(F.encode("content", "utf-8")).alias("content_hash"),
     )
@@ -549,6 +549,20 @@ def vector_topk_approx(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.vector_topk_approx(v, v, 3, "vec_id", "vec_id", exclude_same_id=True)
 
 
+@query
+def vector_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """The approximate search held against the exact one: pairs, wrong scores, and whether nine tenths are found."""
+    v = _vectors(spark, sf)
+    near = retrieval.vector_topk_approx(v, v, 3, "vec_id", "vec_id", exclude_same_id=True).select(
+        "query_id", "corpus_id", F.col("score").alias("near_score"))
+    true = retrieval.vector_topk(v, v, 3, "vec_id", "vec_id", exclude_same_id=True)
+    both = true.join(near, ["query_id", "corpus_id"], "left")
+    return both.agg(
+        F.count("*").alias("pairs"), F.count_if(F.col("score") != F.col("near_score")).alias("wrong_scores"),
+        (F.count("near_score") >= 0.9 * F.count("*")).alias("found"),
+    )
+
+
 @query
 def embed_text(spark: SparkSession, sf: str) -> DataFrame:
     chunks = sinks.stage(_chunks(spark, sf).select("doc_id", "content"), "chunks")
@@ -594,7 +608,7 @@ def recent_history(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def similar_history(spark: SparkSession, sf: str) -> DataFrame:
     history = fx.v_history(spark, sf)
-    index = sinks.stage(retrieval.index_terms(history, "ticket_id", "ticket_text"), "index")
+    index = sinks.stage(retrieval.index_history(history), "index")
     found = retrieval.similar_history(_tickets(spark, sf), history, index=index)
     return found.select("ticket_id", "similar_ticket_id", "score", "rank", "resolution")
 
@@ -604,7 +618,7 @@ def assign_sla(spark: SparkSession, sf: str) -> DataFrame:
     due = sla.assign_sla(_classified(spark, sf), sla.sla_table(spark))
     return due.select(
         "ticket_id", "priority", "urgency_level", "response_due", "resolution_due", "after_hours",
-        "escalate_at", "management_at",
+        "escalate_at", "tier2_until", "tier3_until", "management_at",
     )
 
 
