@@ -64,6 +64,13 @@ def test_entities_and_impact(spark):
     assert r["user_impact"] == "Multiple Users"
 
 
+def test_every_head_count_matters(spark):
+    cases = {"1 users called, 40 people affected": "Multiple Users", "1 users 007 people wait": "Multiple Users", "01 people": "Single User",
+             "0 users and 1 people": "Single User", "12 apples": "Single User", "123456789012345678901 users": "Multiple Users"}
+    df = spark.createDataFrame([(t,) for t in cases], "ticket_text string")
+    assert {r["ticket_text"]: r["user_impact"] for r in scoring.user_impact(df).collect()} == cases
+
+
 def test_score_bands(spark):
     df = spark.createDataFrame([(0.9,), (0.89,), (0.7,), (0.4,), (0.39,), (None,)], "s double")
     assert [r[0] for r in df.select(scoring.priority_from_score(F.col("s"))).collect()] == ["P1", "P2", "P2", "P3", "P4", None]

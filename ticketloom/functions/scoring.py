@@ -268,8 +268,7 @@ def score_sql(
 def impact_sql() -> str:
     """User impact from ``v.norm`` and ``v.hits``."""
     pairs = [(_any(words), quote(level)) for level, words in policy.IMPACT_PHRASES.items()]
-    count = f"regexp_extract(v.norm, {quote(policy.HEADCOUNT_PATTERN)}, 1)"
-    pairs.append((f"{count} RLIKE '^0*([2-9]|[1-9][0-9]+)$'", quote("Multiple Users")))
+    pairs.append((f"v.norm RLIKE {quote(policy.HEADCOUNT_PATTERN)}", quote("Multiple Users")))
     return _case(pairs, quote("Single User"))
 
 

@@ -11,8 +11,8 @@ from ticketloom import policy
 
 # Fixed value: the characters a strip removes (all Unicode white space).
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
-    "         　"
+    "\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f\u0020\u0085\u00a0\u1680\u2000"
+    "\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 WORD_PATTERN = r"(?<![\p{L}\p{N}_])[a-z]{4,}+(?![\p{L}\p{N}_])"
 
@@ -52,10 +52,6 @@ def padded(phrase: str) -> str:
     return f" {' '.join(kept.split())} "
 
 
-def contains_phrase(norm: Column, phrase: str) -> Column:
-    return F.contains(norm, F.lit(padded(phrase)))
-
-
 def preview(col: Column, n: int, ellipsis: str = "longer") -> Column:
     """First ``n`` characters; "..." is added ``always``, if ``longer``, or ``never``."""
     head = F.substring(col, 1, n)

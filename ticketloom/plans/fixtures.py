@@ -15,7 +15,7 @@ from ticketloom.sources.readers import spread_small
 TEMPLATES = (
     ("Production down for the order site", "The order site is unreachable and production down was confirmed by monitoring. Revenue impact is growing.", "Infrastructure", "P1", "Infrastructure"),
     ("Odd sign-in mail", "A phishing mail asks staff to confirm their sign-in. It looks suspicious and two people opened the link.", "Security", "P2", "Security"),
-    ("VPN drops", "VPN drops every few minutes for everyone in sales. About 30 people cannot reach the CRM.", "Infrastructure", "P2", "Infrastructure"),
+    ("Depot tunnel loses packets", "The VPN tunnel of the depot loses packets since noon for everyone on shift. 12 people cannot scan parcels.", "Infrastructure", "P2", "Infrastructure"),
     ("Forgot password", "I forgot password for my mailbox and need a password reset. No hurry.", "Service Request", "P3", "End User Support"),
     ("New hire next month", "A new hire starts on the first and needs access to payroll and the intranet.", "Service Request", "P3", "Identity & Access Management"),
     ("Offboarding", "Termination effective today. Please disable account and group membership immediately.", "Service Request", "P1", "Identity & Access Management"),

@@ -154,7 +154,8 @@ SELECT n.ticket_id,
        CASE WHEN bool_or(c.kind = {q(levels[0])}) THEN {q(levels[0])}
             WHEN bool_or(c.kind = {q(levels[1])}) THEN {q(levels[1])}
             WHEN bool_or(c.kind = {q(levels[2])}) THEN {q(levels[2])}
-            WHEN try_cast(regexp_extract(any_value(n.norm), {q(policy.HEADCOUNT_PATTERN)}, 1) AS BIGINT) >= 2
+            WHEN list_bool_or(list_transform(regexp_extract_all(replace(any_value(n.norm), ' ', '  '), ' ([0-9]+)  (people|users|employees) ', 1),
+                              lambda x: length(ltrim(x, '0')) > 1 OR ltrim(x, '0') > '1'))
             THEN 'Multiple Users' ELSE 'Single User' END AS user_impact
 FROM {p}norm n LEFT JOIN cues c ON contains(n.norm, c.phrase) GROUP BY n.ticket_id""", f"{p}norm", "cues")
     by_team = case("team", [(t, c) for t, c in policy.CATEGORY_BY_TEAM.items() if t != "End User Support"])

@@ -190,13 +190,13 @@ CATEGORY_BY_TEAM = {
     "Applications": "Software",
 }
 
-# Who is affected, widest first; a head count of two or more is Multiple Users.
+# Who is affected, widest first; any head count of two or more is Multiple Users.
 IMPACT_PHRASES = {
     "Organization": ("company-wide", "all users", "everyone", "entire company", "organization"),
     "Department": ("entire department", "whole department", "department"),
     "Multiple Users": ("multiple users", "several users", "many users", "nobody can", "team"),
 }
-HEADCOUNT_PATTERN = " ([0-9]+) (people|users|employees) "
+HEADCOUNT_PATTERN = " 0*([2-9]|[1-9][0-9]+) (people|users|employees) "
 
 # --- fixed values: scores, SLA, prices --------------------------------------
 SCORE_BANDS = (("P1", 0.9), ("P2", 0.7), ("P3", 0.4))
