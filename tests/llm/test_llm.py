@@ -277,6 +277,62 @@ def test_lm_odd_rows(odd):
     assert all(r.n_known == 0 for r in backoff.score_documents(odd, F.lit(False)).collect())
 
 
+def test_lm_score_counts_all_word_runs(spark):
+    """Against counters of one, two and three words over the spelling of the words."""
+    import math
+    from collections import Counter
+
+    texts = ["the cat sat on the mat", "the cat ran", "", "дом стоит на горе а кот на окне", "the dog sat on the cat 12 17", "z" * 3000 + " the cat"] * 2
+    learned = [k % 4 != 1 for k in range(len(texts))]
+    docs = spark.createDataFrame([(k, t, own) for k, (t, own) in enumerate(zip(texts, learned, strict=True))], "doc_id long, text string, own boolean")
+    model = backoff.Automaton(*backoff.train(docs, "text", F.col("own"))[:2])
+    counts, context = [Counter() for _ in range(3)], [Counter() for _ in range(3)]
+    runs = []
+    for t in texts:
+        w = [None, None, *brute.words(t, lower=True), None]
+        runs.append([tuple(w[k - 2 : k + 1]) for k in range(2, len(w))])
+    for run in (r for k, rs in enumerate(runs) if learned[k] for r in rs):
+        for n in range(3):
+            counts[n][run[2 - n :]] += 1
+            context[n][run[2 - n : 2]] += 1
+    total, ends = context[0][()], sum(learned)
+    kinds = [len(c) for c in counts]
+    lower = [kinds[0], max(kinds[1] / kinds[0], 1), max(kinds[2] / kinds[1], 1)]
+
+    def letters(w):
+        if w is None:
+            return math.log10((ends + 0.5) / (total + 1))
+        raw = np.frombuffer(w, np.uint8)
+        return math.log10((total - ends + 0.5) / (total + 1)) + model.spell(raw, np.array([0]), np.array([len(raw)]))[0]
+
+    got = by_id(backoff.score_documents(docs.repartition(3), F.col("own")))
+    for k, rs in enumerate(runs):
+        want = 0.0
+        for run in rs:
+            p = letters(run[2])
+            for n in range(3):
+                p = np.logaddexp(np.log(max(counts[n][run[2 - n :]], 1e-300)), np.log(lower[n]) + p * np.log(10)) / np.log(10)
+                p -= math.log10(context[n][run[2 - n : 2]] + lower[n])
+            want += p
+        assert got[k].score == pytest.approx(want, rel=1e-5)
+
+
+def test_lm_score_tells_word_order_in_any_script(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(6)) for _ in range(100)]
+    follows = [rng.sample(range(100), 2) for _ in range(100)]
+    texts = []
+    for _ in range(200):
+        at = [rng.randrange(100)]
+        while len(at) < 60:
+            at.append(rng.choice(follows[at[-1]]))
+        texts.append([vocabulary[k] for k in at])
+    mixed = [rng.sample(t, len(t)) for t in texts[150:]]
+    rows = [(k, " ".join(t), k < 150) for k, t in enumerate(texts + mixed)]
+    got = by_id(backoff.score_documents(spark.createDataFrame(rows, "doc_id long, text string, own boolean"), F.col("own")))
+    assert all(got[150 + k].score > got[200 + k].score + 30 for k in range(50))
+
+
 def test_packing_widths_and_batches(docs, odd):
     rng = random.Random(4)
     for _ in range(20):

@@ -1,14 +1,16 @@
-"""Language-model scores from a weighted backoff automaton, with a word-frequency base beside them.
+"""Language-model scores from a backoff model of word runs, with a word-frequency base beside them.
 
-The model is a smoothed n-gram of order 4 over 40 classes of bytes, so its size has a fixed bound
-(65,641 states of 40 arcs) however large the corpus; every training document is counted. Contexts
-become states; a failure arc leads to the context without its oldest symbol and carries the weight
-left for unseen symbols. Failing steps are resolved into a table, and one left-to-right traversal
+Every run of one, two and three tokens of the training rows is counted, so what is learned grows with
+the corpus. Each order gives its context's count a share and backs off to the next lower order with
+the rest; below single words stands the spelling of the word. Runs are hashed to buckets: slices of
+documents send each of their distinct runs once, buckets add them up and send the counts back, and each
+slice is scored with them. No key is heavier than one entry a slice.
+
+Spelling is a weighted backoff automaton of order 4 over 40 classes of bytes (65,641 states at most).
+Contexts become states; a failure arc leads to the context without its oldest symbol and carries the
+weight left for unseen symbols. Failing steps are resolved into a table, and one left-to-right traversal
 carries the state and adds up log probabilities. Long texts are walked as runs of `BLOCK` symbols side
 by side, each entered over the three symbols before it, which reaches the very state carried there.
-
-Word frequencies grow with the corpus: words are hashed to buckets, one exchange brings each bucket's
-occurrences together, and only sums per document leave it.
 """
 
 from __future__ import annotations
@@ -17,16 +19,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.frames import partitions, ship, staged
-from ticketloom.llm.wordarrays import LOWER, SPACE, slices, text_bytes, word_hashes, words
+from ticketloom.llm.wordarrays import LOWER, ODD, SPACE, mix, slices, text_bytes, word_hashes, words
 
 A = 40
 END, GAP = 0, 1
 BLOCK = 2048
+SLICE = 4 << 20
+END_WORD = np.uint64(0x5851F42D4C957F2D)
+HEAD = {"n_words": np.int64, "which": np.uint32, "kinds": np.uint64, "spelled": np.float32}
 
 
 def byte_classes() -> np.ndarray:
@@ -115,8 +121,19 @@ class Automaton:
         np.add.at(within, CLASSES, byte_counts + 0.5)
         self.spelling = np.log10((byte_counts + 0.5) / within[CLASSES])
 
-    def score(self, s: Stream) -> np.ndarray:
-        """log10 probability of each document."""
+    def spell(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """log10 probability of the bytes of each word and the gap after it, where a word begins."""
+        offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+        s = Stream(raw[np.repeat(starts - offsets[:-1], ends - starts) + np.arange(offsets[-1])], offsets)
+        s.symbols = np.where(s.symbols == END, GAP, s.symbols)
+        begin = 0
+        for _ in range(3):
+            begin = self.next[begin, GAP]
+        rest = np.delete(self.weight[begin], [END, GAP])
+        return self.score(s, GAP) - np.log10(np.power(10.0, rest).sum())
+
+    def score(self, s: Stream, before: int = END) -> np.ndarray:
+        """log10 probability of each document after symbols `before`."""
         docs, begins = [], []
         for d in np.flatnonzero(s.sizes).tolist():
             b = range(int(s.heads[d]), int(s.heads[d + 1]), BLOCK)
@@ -130,7 +147,7 @@ class Automaton:
         head = s.heads[doc]
         flat, hop = self.weight.ravel(), (self.next.astype(np.int64) * A).ravel()
         for back in (3, 2, 1):
-            symbol = np.where(begin - back >= head, s.symbols[np.maximum(begin - back, 0)], END)
+            symbol = np.where(begin - back >= head, s.symbols[np.maximum(begin - back, 0)], before)
             state = hop.take(state + symbol)
         going = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right") if len(size) else np.zeros(0, np.int64)
         for t, n in enumerate(going.tolist()):
@@ -157,6 +174,7 @@ def train(docs: DataFrame, text_col: str, train_when: Column) -> tuple[np.ndarra
         for batch in batches:
             for piece in slices(batch, 0):
                 s = Stream(*text_bytes(piece.column(0)))
+                s.symbols[s.heads[1:][s.n_words > 0] - 1] = GAP  # spelling takes all words alike
                 grams += s.fourgrams(np.ones(piece.num_rows, bool))
                 spelled += np.bincount(s.bytes, minlength=256)
                 n_words += len(s.starts)
@@ -183,18 +201,56 @@ def train(docs: DataFrame, text_col: str, train_when: Column) -> tuple[np.ndarra
     return all_[: A**4], all_[A**4 : -2], int(all_[-2]), int(all_[-1])
 
 
-def pack(table: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_batch(table)
-    return sink.getvalue().to_pybytes()
+def tokens_of(h: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens, which are the words and an end after each document's, and where each document begins."""
+    return np.insert(h, np.cumsum(n_words), END_WORD), np.concatenate([[0], np.cumsum(n_words + 1)])[:-1]
+
+
+def shifted(x: np.ndarray, heads: np.ndarray, first) -> np.ndarray:
+    """Of each token the value of the one before it; `first` at the head of a document."""
+    out = np.empty_like(x)
+    out[1:] = x[:-1]
+    out[heads] = first
+    return out
+
+
+def gram_keys(tokens: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Keys of the runs of one, two and three tokens that end at each token: 54 bits of hash, then the order; ends stand before a document."""
+    before = shifted(tokens, heads, END_WORD)
+    two = before * ODD + tokens
+    three = shifted(before, heads, END_WORD) * ODD * ODD + two
+    drop, low = np.uint64(8), np.uint64(3)
+    return np.concatenate([(mix(x + np.uint64(k)) >> drop) & ~low | np.uint64(k) for k, x in enumerate((tokens, two, three))])
+
+
+def squeezed(x: np.ndarray) -> bytes:
+    """Numbers by byte planes, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
+
 
+def restored(blob: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-def unpack(blob: bytes) -> pa.Table:
-    return pa.ipc.open_stream(blob).read_all()
 
+def steps(x: np.ndarray) -> np.ndarray:
+    """Differences of sorted numbers; cumsum takes them back."""
+    return np.diff(x, prepend=np.zeros(1, x.dtype))
 
-EXCHANGED = "bucket int, slice string, head boolean, payload binary"
+
+def texts_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(name, piece, bytes, begin and end of words, words of each document, word hashes) of slices; the name holds a digest of the slice."""
+    task, number = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        for piece in slices(batch, 1, SLICE):
+            raw, offsets = text_bytes(piece.column(1))
+            raw = LOWER[raw]
+            starts, ends, first = words(raw, offsets)
+            h, n_words = word_hashes(raw, starts, ends), np.diff(first)
+            tokens, _ = tokens_of(h, n_words)
+            digest = int((mix(tokens) * (np.arange(len(tokens), dtype=np.uint64) * ODD + np.uint64(1))).sum())
+            yield f"{task}-{number}-{digest:x}", piece, raw, starts, ends, n_words, h
+            number += 1
 
 
 def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,7 +258,8 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
 
     A null text is empty: one end token. Rows for which `train_when` is null are not learned from. With
     nothing to learn from, all counts are zero and only smoothing is left. Repeated rows are learned
-    from and scored each; other columns are not read; an empty table gives none.
+    from and scored each; other columns are not read; an empty table gives none. The table is read three
+    times and must give the same slices; if it changes meanwhile, the job fails.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -210,113 +267,79 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
     grams, spelled, n_train_words, n_train_docs = train(docs, text_col, train_when)
     model = Automaton(grams, spelled)
     shipped = spark.sparkContext.broadcast((model.weight, model.next, model.spelling))
-    buckets = partitions(spark)
-    total_tokens = n_train_words + n_train_docs
+    buckets = 3 * partitions(spark)
+    total = n_train_words + n_train_docs
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Automaton.__new__(Automaton)
-        m.weight, m.next, m.spelling = shipped.value
-        task, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for piece in slices(batch, 1, 4 << 20):
-                name, number = f"{task}-{number}", number + 1
-                s = Stream(*text_bytes(piece.column(1)))
-                learned = piece.column(2).to_numpy(zero_copy_only=False).astype(bool)
-                head = pa.RecordBatch.from_arrays([piece.column(0), pa.array(s.n_words + 1, pa.int64()), pa.array(m.score(s))], names=["id", "n_tokens", "score"])
-                yield rows([number % buckets], [name], [True], [pack(head)])
-                h = word_hashes(s.raw, s.starts, s.ends)
-                doc = np.repeat(np.arange(len(s.n_words), dtype=np.uint32), s.n_words)
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                at = np.flatnonzero(new)
-                h, doc, times = h[at], doc[at], np.diff(np.append(at, len(new))).astype(np.uint32)
-                where = (h >> np.uint64(32)) % np.uint64(buckets)
-                by = np.argsort(where, kind="stable")
-                edges = np.searchsorted(where[by], np.arange(buckets + 1, dtype=np.uint64))
-                out = []
-                for b in np.flatnonzero(np.diff(edges)).tolist():
-                    own = by[edges[b] : edges[b + 1]]
-                    out.append((b, name, False, packed_words(h[own], doc[own], times[own], learned)))
-                if out:
-                    yield rows(*zip(*out, strict=True))
+        for name, piece, _, _, _, n_words, h in texts_in(batches):
+            learned = piece.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            keys, which = np.unique(gram_keys(*tokens_of(h, n_words)), return_inverse=True)
+            times = np.bincount(which, weights=np.tile(np.repeat(learned, n_words + 1), 3), minlength=len(keys)).astype(np.int64)
+            where = ((keys >> np.uint64(24)) * np.uint64(buckets)) >> np.uint64(32)
+            edges = np.searchsorted(where, np.arange(buckets + 1, dtype=np.uint64))
+            own = [(b, slice(*edges[b : b + 2])) for b in np.flatnonzero(np.diff(edges)).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in own], pa.int32()), pa.array([name] * len(own), pa.string()),
+                                              pa.array([squeezed(steps(keys[at])) for _, at in own], pa.binary()),
+                                              pa.array([squeezed(times[at]) for _, at in own], pa.binary())], names=["bucket", "slice", "keys", "times"])
 
     def tally(table: pa.Table) -> pa.Table:
-        names, heads = table.column("slice").to_pylist(), table.column("head").to_pylist()
-        blobs = table.column("payload")
-        parts, out = [], []
-        for k, name in enumerate(names):
-            if heads[k]:
-                out.append((name, True, blobs[k].as_py(), 0))
-            else:
-                parts.append((name, *unpacked_words(blobs[k].as_py())))
-        if parts:
-            h = np.concatenate([p[1] for p in parts])
-            own = np.concatenate([p[5] for p in parts])
-            kinds, which = np.unique(h, return_inverse=True)
-            c = np.bincount(which, weights=own, minlength=len(kinds))
-            logs, known = np.log10(c + 0.5)[which], (c > 0)[which]
-            at = 0
-            for name, hs, counts, doc, times, _ in parts:
-                low = np.repeat(np.arange(at, at + len(hs)), counts)
-                at += len(hs)
-                ids, inverse = np.unique(doc, return_inverse=True)
-                sums = np.bincount(inverse, weights=times * logs[low])
-                hits = np.bincount(inverse, weights=times * known[low]).astype(np.uint32)
-                out.append((name, False, ids.astype(np.uint32).tobytes() + sums.tobytes() + hits.tobytes(), 0))
-            out.append((None, False, None, int((c > 0).sum())))
-        return pa.table({"slice": pa.array([o[0] for o in out], pa.string()), "head": pa.array([o[1] for o in out], pa.bool_()),
-                         "payload": pa.array([o[2] for o in out], pa.binary()), "distinct": pa.array([o[3] for o in out], pa.int64())})
-
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"), train_when.alias("learn"))
-    sums = staged(chosen.mapInArrow(scan, EXCHANGED).groupBy("bucket").applyInArrow(tally, "slice string, head boolean, payload binary, distinct bigint"), "wordsums")
-    distinct = (sums.agg(F.sum("distinct")).collect()[0][0] or 0) + (n_train_docs > 0)
-    each = np.log10(total_tokens + 0.5 * (distinct + 1))
-    last = np.log10(n_train_docs + 0.5)
-
-    def finish(table: pa.Table) -> pa.Table:
-        heads, blobs = table.column("head").to_pylist(), table.column("payload").to_pylist()
-        info = unpack(blobs[heads.index(True)])
-        base, known = np.full(info.num_rows, last), np.full(info.num_rows, int(n_train_docs > 0), np.int64)
-        for blob in sorted(b for b, is_head in zip(blobs, heads, strict=True) if not is_head):  # one order of addition
-            n = len(blob) // 16
-            ids = np.frombuffer(blob, np.uint32, n)
-            base[ids] += np.frombuffer(blob, np.float64, n, 4 * n)
-            known[ids] += np.frombuffer(blob, np.uint32, n, 12 * n)
-        tokens = info.column("n_tokens").to_numpy()
-        return pa.table({"id": info.column("id"), "n_tokens": info.column("n_tokens"), "n_known": pa.array(known),
-                         "train_tokens": pa.array(np.full(info.num_rows, total_tokens), pa.int64()),
-                         "base_score": pa.array(base - tokens * each), "score": info.column("score")})
+        names, bucket = table.column("slice").to_pylist(), table.column("bucket")[0].as_py()
+        keys = [np.cumsum(restored(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("keys")]
+        edges = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+        kinds, which = np.unique(np.concatenate(keys), return_inverse=True)
+        del keys
+        own = np.concatenate([restored(x.as_py(), np.int64) for x in table.column("times")])
+        c = np.bincount(which, weights=own, minlength=len(kinds)).astype(np.int64)
+        found = np.bincount((kinds & np.uint64(3)).astype(np.int64), weights=c > 0, minlength=3).astype(np.int64).tolist()
+        blobs = [squeezed(c[which[edges[k] : edges[k + 1]]]) for k in range(len(names))]
+        return pa.table({"slice": pa.array([*names, None], pa.string()), "bucket": pa.array([bucket] * (len(names) + 1), pa.int32()),
+                         "counts": pa.array([*blobs, None], pa.binary()), "found": pa.array([None] * len(names) + [found], pa.list_(pa.int64()))})
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Automaton.__new__(Automaton)
+        m.weight, m.next, m.spelling = shipped.value
+        for name, piece, raw, starts, ends, n_words, h in texts_in(batches):
+            kinds, at, which = np.unique(h, return_index=True, return_inverse=True)
+            spelled = m.spell(raw, starts[at], ends[at]).astype(np.float32)
+            blobs = [squeezed(x) for x in (n_words.astype(np.int64), which.astype(np.uint32), steps(kinds), spelled)]
+            ids = pa.ListArray.from_arrays(pa.array([0, piece.num_rows], pa.int32()), piece.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array([name]), ids, *(pa.array([x], pa.binary()) for x in blobs)], names=["slice", "ids", *HEAD])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"), train_when.alias("learn"))
+    counts = staged(rows.mapInArrow(scan, "bucket int, slice string, keys binary, times binary").groupBy("bucket")
+                    .applyInArrow(tally, "slice string, bucket int, counts binary, found array<bigint>"), "gramcounts")
+    kinds = [n or 0 for n in counts.agg(*(F.sum(F.col("found")[k]) for k in range(3))).collect()[0]]
+    each = np.log10(total + 0.5 * (kinds[0] + 1))
+    # how often a run is continued by something new, on average; the weight of the next lower order
+    lower = [max(float(kinds[0]), 1.0), max(kinds[1] / max(kinds[0], 1), 1.0), max(kinds[2] / max(kinds[1], 1), 1.0)]
+
+    def finish(head: pa.Table, counted: pa.Table) -> pa.Table:
+        if head.num_rows != 1 or not counted.num_rows:
+            raise RuntimeError("the documents changed while they were read")
+        ids = head.column("ids").combine_chunks().flatten()
+        n_words, which, kinds_, spelled = (restored(head.column(c)[0].as_py(), k) for c, k in HEAD.items())
+        tokens, first = tokens_of(np.cumsum(kinds_, dtype=np.uint64)[which], n_words)
+        order = np.argsort(counted.column("bucket").to_numpy())
+        c = np.concatenate([restored(counted.column("counts")[int(k)].as_py(), np.int64) for k in order])
+        found = c[np.unique(gram_keys(tokens, first), return_inverse=True)[1]].astype(float).reshape(3, -1)
+        letters = np.insert(spelled[which] * np.log(10) + np.log((n_train_words + 0.5) / (total + 1)), np.cumsum(n_words), np.log((n_train_docs + 0.5) / (total + 1)))
+        p = letters
+        with np.errstate(divide="ignore"):
+            for k, context in enumerate((total, shifted(found[0], first, n_train_docs), shifted(found[1], first, n_train_docs))):
+                p = np.logaddexp(np.log(found[k]), np.log(lower[k]) + p) - np.log(context + lower[k])
+        size = n_words + 1
+        return pa.table({"id": ids, "n_tokens": pa.array(size), "n_known": pa.array(np.add.reduceat((found[0] > 0).astype(np.int64), first)),
+                         "train_tokens": pa.array(np.full(len(size), total), pa.int64()),
+                         "base_score": pa.array(np.add.reduceat(np.log10(found[0] + 0.5), first) - size * each),
+                         "score": pa.array(np.add.reduceat(p, first) / np.log(10))})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    done = sums.where("slice IS NOT NULL").groupBy("slice").applyInArrow(
+    texts = rows.mapInArrow(heads, f"slice string, ids array<{kind}>, " + ", ".join(f"{c} binary" for c in HEAD))
+    done = texts.groupBy("slice").cogroup(counts.where("slice IS NOT NULL").groupBy("slice")).applyInArrow(
         finish, f"id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return done.withColumnRenamed("id", id_col)
 
 
-def rows(buckets, names, heads, blobs) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(names, pa.string()), pa.array(heads, pa.bool_()), pa.array(blobs, pa.binary())],
-                                      names=["bucket", "slice", "head", "payload"])
-
-
-def packed_words(h: np.ndarray, doc: np.ndarray, times: np.ndarray, learned: np.ndarray) -> bytes:
-    """Sorted hashes once each, with the documents that have them: hash, how many documents, times in training; documents, times."""
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    counts = np.diff(np.append(first, len(h))).astype(np.uint32)
-    trained = np.add.reduceat(times * learned[doc], first).astype(np.uint32)
-    sizes = np.array([len(first), len(h)], np.uint32)
-    return b"".join(x.tobytes() for x in (sizes, h[first], counts, trained, doc, times))
-
-
-def unpacked_words(blob: bytes) -> tuple[np.ndarray, ...]:
-    """Hashes, documents of each, document numbers, times there, times in training."""
-    n, m = (int(x) for x in np.frombuffer(blob, np.uint32, 2))
-    h = np.frombuffer(blob, np.uint64, n, 8)
-    rest = np.frombuffer(blob, np.uint32, 2 * n + 2 * m, 8 + 8 * n)
-    return h, rest[:n], rest[2 * n : 2 * n + m], rest[2 * n + m :], rest[n : 2 * n]
-
-
 def score_held_out(docs: DataFrame) -> DataFrame:
     """doc_id, held_out and the scores; learns from all documents whose fold is not 1."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
