@@ -228,6 +228,28 @@ def test_secret_base_and_novel():
     assert secret_scan.novelty("bearer ", "Zk3x9QmP7rT5vW1yB8nC") > secret_scan.novelty("bearer ", "user_session_identifier")
 
 
+def test_secret_repeats_do_not_hide_themselves(spark):
+    key, other = "Zk3x9QmP7rT5vW1yB8nC", "QwmZrTkPxLbNcVdGhJyS"
+    text = f"bearer {key} and then the log: bearer {key} again, auth header ={key} end; credential {other} twice, credential {other} done"
+    got = [text[s:e] for s, e, _ in secret_scan.novel_spans(text, secret_scan.base_spans(text))]
+    assert got == [key, key, "=" + key, other, other]
+    assigned = f"token={key} in the config, used as bearer {key}"
+    base = secret_scan.base_spans(assigned)
+    assert [assigned[s:e] for s, e, _ in secret_scan.novel_spans(assigned, base)] == [key]
+    docs = spark.createDataFrame([(1, text), (2, assigned)], "doc_id long, text string")
+    assert not any(k in r.text for r in secret_scan.redact(docs).collect() for k in (key, other))
+
+
+def test_secrets_of_letters_only():
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet in (letters + letters.upper(), letters):
+        keys = ["".join(rng.choice(alphabet) for _ in range(24)) for _ in range(100)]
+        assert sum(bool(secret_scan.novel_spans(f"the credential is {k}", [])) for k in keys) >= 98
+    for plain in ("user_session_identifier", "authenticationProvider", "-" * 40, "a" * 40):
+        assert not secret_scan.novel_spans(f"the credential is {plain}", [])
+
+
 def test_secrets_whole_texts(docs, rows, odd):
     got = by_id(secret_scan.secret_digests(docs))
     for i, t in rows:
