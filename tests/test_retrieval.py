@@ -67,6 +67,28 @@ def test_approximate_vectors_recall(spark):
     assert again == got
 
 
+def test_approximate_recall_stays_with_many_bits(spark):
+    """Neighbours at a cosine of about 0.7 in tables of 11 bits; one vector in 50 asks, as in the checks of recall."""
+    rng = np.random.default_rng(9)
+    centers = np.repeat(rng.standard_normal((300, 64)), 5, axis=0)
+    rows = centers + rng.standard_normal(centers.shape) * 0.65
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)], "id long, embedding array<double>")
+    asked = df.filter("id % 50 = 0")
+    exact = as_lists(R.vector_topk(asked, df, 3, "id", "id", exclude_same_id=True))
+    got = as_lists(R.vector_topk_approx(asked, df, 3, "id", "id", exclude_same_id=True, bucket_rows=1))
+    assert sum(len(set(exact[i]) & set(got.get(i, []))) for i in exact) >= 0.9 * 3 * len(exact)
+
+
+def test_approximate_tables_follow_the_collision_formula():
+    import math
+
+    same = 1 - math.acos(0.7) / math.pi
+    for bits in range(17):
+        tables, distance = R._plan(bits, 6)
+        once = sum(math.comb(bits, j) * same ** (bits - j) * (1 - same) ** j for j in range(min(bits, distance) + 1))
+        assert tables >= 6 and 1 - (1 - min(once, 1)) ** tables >= 0.95
+
+
 def bm25(queries, docs, k):
     counts = {d: Counter(t.split()) for d, t in docs}
     n, mean = len(docs), sum(sum(c.values()) for c in counts.values()) / len(docs)

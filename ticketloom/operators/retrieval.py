@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -38,6 +40,26 @@ def vector_topk(
 
 
 MAX_BITS = 16
+MAX_TABLES = 15
+RADIUS = 3
+TARGET_COSINE = 0.7
+TARGET_RECALL = 0.95
+
+
+def _plan(bits: int, tables: int) -> tuple[int, int]:
+    """(tables, distance): the fewest probes that meet a neighbour at TARGET_COSINE with TARGET_RECALL, by the collision formula.
+
+    A bit of two such vectors agrees with 1 - angle / pi; a table finds the pair where at most `distance` bits differ.
+    """
+    same = 1 - math.acos(TARGET_COSINE) / math.pi
+    found = [math.comb(bits, j) * same ** (bits - j) * (1 - same) ** j for j in range(bits + 1)]
+    plans = []
+    for distance in range(1, RADIUS + 1):
+        once = min(sum(found[: distance + 1]), 1.0)
+        need = 1 if once >= TARGET_RECALL else math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - once))
+        probes = sum(math.comb(bits, j) for j in range(distance + 1))
+        plans.append((max(need, tables) * probes, max(need, tables), distance))
+    return min(p for p in plans if p[1] <= max(tables, MAX_TABLES))[1:]
 
 
 def _signatures(df: DataFrame, id_col: str, dims: int, tables: int, seed: int) -> DataFrame:
@@ -67,25 +89,30 @@ def vector_topk_approx(
 ) -> DataFrame:
     """Approximate top k: a query is compared with the rows of its random-projection buckets and their neighbours.
 
-    A table has as many bits (``MAX_BITS`` at most) as leave about ``bucket_rows`` rows in a bucket, so the work
-    of a query does not grow with the corpus. In each table a query probes its own bucket and those that differ
-    in one bit. At most tables x 2^MAX_BITS bucket sizes exist, whatever the corpus size; a bucket larger than
+    A table has as many bits (``MAX_BITS`` at most) as leave about ``bucket_rows`` rows in a bucket. A query probes
+    its own bucket and those that differ in a few bits; their distance and the number of tables (``tables`` at
+    least) grow with the bits, so that a neighbour at ``TARGET_COSINE`` is met with ``TARGET_RECALL`` at any corpus
+    size (``_plan``): recall stays and work grows. At most MAX_TABLES x 2^MAX_BITS bucket sizes exist, whatever the corpus size; a bucket larger than
     ``block_rows`` is split by id hash and its queries copied to each part. Scores are exact cosines. Null
     vectors neither ask nor are found; all others must have ``dims`` numbers.
     """
-    if tables * 2**MAX_BITS > 1_000_000:
+    most = max(tables, MAX_TABLES)
+    if most * 2**MAX_BITS > 1_000_000:
         raise ValueError("tables * 2^MAX_BITS must stay below a million: bucket sizes are broadcast")
     given = corpus.select(F.col(corpus_id).alias("corpus_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL")
     wanted = F.ceil(F.log2(F.greatest(F.count("*") / bucket_rows, F.lit(1.0)))).cast("int")
     bits = given.agg(F.least(wanted, F.lit(MAX_BITS))).scalar()
     low = F.expr("shiftleft(1L, bits) - 1")
-    c = _signatures(given, "corpus_id", dims, tables, seed).withColumn("bits", bits).withColumn("sig", F.col("sig").bitwiseAND(low))
+    plans = [_plan(b, tables) for b in range(MAX_BITS + 1)]
+    used, distance = (F.element_at(F.array(*(F.lit(p[k]) for p in plans)), F.col("bits") + 1) for k in (0, 1))
+    c = _signatures(given, "corpus_id", dims, most, seed).withColumn("bits", bits).withColumn("sig", F.col("sig").bitwiseAND(low))
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL")
-    q = _signatures(asked, "query_id", dims, tables, seed).withColumn("bits", bits).withColumn("sig", F.col("sig").bitwiseAND(low))
+    q = _signatures(asked, "query_id", dims, most, seed).withColumn("bits", bits).withColumn("sig", F.col("sig").bitwiseAND(low))
     # without bits all tables are the same one
-    c, q = (side.filter((F.col("bits") > 0) | (F.col("tbl") == 0)) for side in (c, q))
-    q = q.withColumn("sig", F.explode(F.expr(
-        "concat(array(sig), transform(slice(sequence(0, bits), 1, bits), b -> sig ^ shiftleft(1L, b)))")))
+    c, q = (side.filter(F.when(F.col("bits") > 0, F.col("tbl") < used).otherwise(F.col("tbl") == 0)) for side in (c, q))
+    masks = F.array(*(F.lit(m).cast("bigint") for m in range(2**MAX_BITS) if m.bit_count() <= RADIUS))
+    q = q.withColumn("sig", F.explode(F.transform(
+        F.filter(masks, lambda m: (m <= low) & (F.bit_count(m) <= distance)), lambda m: F.col("sig").bitwiseXOR(m))))
 
     def parts(side: DataFrame, rows: int, name: str) -> DataFrame:
         return side.groupBy("tbl", "sig").agg(F.ceil(F.count("*") / rows).cast("bigint").alias(name))
