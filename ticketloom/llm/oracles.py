@@ -68,4 +68,73 @@ SELECT s.page_id, s.host, s.path, b.rule, CASE WHEN b.rule IS NOT NULL THEN b.v
 FROM sites s LEFT JOIN best b ON b.page_id = s.page_id AND nth = 1 LEFT JOIN bad x ON x.page_id = s.page_id
 """
 
-ORACLES = {"op3_near_duplicates": NEAR_DUPLICATES, "op5_substring_dedup": SUBSTRINGS, "op9_url_filter": URLS}
+# crc32 of a text: the table of byte steps, then one step a byte
+CRC_STEPS = """steps AS (
+    SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)
+)"""
+
+
+def crc(text: str) -> str:
+    raw = f"list_transform(range(1, length(hex(encode({text}))), 2), lambda i: CAST('0x' || hex(encode({text}))[i:i + 1] AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {raw}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+TRIE = rf"""
+WITH {CRC_STEPS}, own AS (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1
+), plan AS (
+    SELECT c.conv_id, c.turns, b.turns AS base, {crc('CAST(c.conv_id AS VARCHAR)')} % 9 AS h
+    FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5 CROSS JOIN steps
+), rebuilt AS (
+    SELECT conv_id, list_concat(CASE WHEN base IS NULL THEN [] ELSE base[1:h] END, turns[h + 1:]) AS x FROM plan
+), prefixes AS (
+    SELECT conv_id, d, x[1:d] AS p, d = len(x) AS ended FROM (SELECT conv_id, x, unnest(range(0, len(x) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT d, p, min(conv_id) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends,
+           CASE WHEN d > 0 THEN strlen(p[d].t) ELSE 0 END AS bytes
+    FROM prefixes GROUP BY d, p
+), children AS (
+    SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2
+), full_nodes AS (
+    SELECT n.*, coalesce(c.n, 0) AS kids FROM nodes n LEFT JOIN children c ON c.d = n.d AND c.p = n.p
+), above AS (
+    SELECT e, p[1:e] AS q, (n - 1) * bytes AS saved, kids FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM full_nodes)
+), sums AS (
+    SELECT e, q, sum(saved) AS saved, count(*) FILTER (WHERE kids = 0) AS leaves FROM above GROUP BY 1, 2
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n AS n_convs, n.kids AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM full_nodes n JOIN sums s ON s.e = n.d AND s.q = n.p LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.p[1:n.d - 1]
+"""
+
+SPELLING = rf"""
+WITH RECURSIVE {CRC_STEPS}, runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), few AS (
+    SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= 6 GROUP BY 1, 2
+), hashed AS (
+    SELECT run, c, {crc("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM few CROSS JOIN steps
+), read_words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, c FROM hashed
+), vocabulary AS (
+    SELECT word, CAST(sum(c) AS BIGINT) AS n FROM read_words WHERE length(word) >= 6 GROUP BY 1 HAVING sum(c) >= 5
+), cuts AS (
+    SELECT word, n, k, substr(word, 1, k) || substr(word, k + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS k FROM vocabulary)
+), pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cuts a JOIN vocabulary b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cuts a JOIN vocabulary b ON a.rest = b.word
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS nth, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+), formed AS (
+    SELECT v.word, v.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= 5 * v.n THEN r.near END AS form, CASE WHEN r.near_n >= 5 * v.n THEN r.near_n END AS form_n
+    FROM vocabulary v LEFT JOIN ranked r ON r.word = v.word AND nth = 1
+), chain AS (
+    SELECT word, word AS at, form FROM formed
+    UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.form
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.form IS NULL
+"""
+
+ORACLES = {"op3_near_duplicates": NEAR_DUPLICATES, "op5_substring_dedup": SUBSTRINGS, "op9_url_filter": URLS, "op11_prefix_trie": TRIE, "op13_spelling": SPELLING}

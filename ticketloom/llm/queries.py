@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import backoff, bpe, language, neardup, packing, piecewise, quality, secret_scan, substrings, url_rules
+from ticketloom.llm import backoff, bpe, language, mixing, neardup, packing, piecewise, quality, secret_scan, spelling, substrings, tries, url_rules
 from ticketloom.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -58,6 +58,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), tokenizer_path())
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("node_key")
+
+
+def op12_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_language, op3_near_duplicates, op4_fingerprints, op5_substring_dedup, op6_secrets, op7_lm_score, op8_packing, op9_url_filter, op10_bpe,
+    op11_prefix_trie, op12_mix, op13_spelling,
 )}
