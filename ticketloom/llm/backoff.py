@@ -1,20 +1,25 @@
-"""Language-model scores from a backoff model of word runs, with a word-frequency base beside them.
-
-Every run of one, two and three tokens of the training rows is counted, so what is learned grows with
-the corpus. Each order gives its context's count a share and backs off to the next lower order with
-the rest; below single words stands the spelling of the word. Runs are hashed to buckets: slices of
-documents send each of their distinct runs once, buckets add them up and send the counts back, and each
-slice is scored with them. No key is heavier than one entry a slice.
-
-Spelling is a weighted backoff automaton of order 4 over 40 classes of bytes (65,641 states at most).
-Contexts become states; a failure arc leads to the context without its oldest symbol and carries the
-weight left for unseen symbols. Failing steps are resolved into a table, and one left-to-right traversal
-carries the state and adds up log probabilities. Long texts are walked as runs of `BLOCK` symbols side
-by side, each entered over the three symbols before it, which reaches the very state carried there.
+"""Language-model scores from a weighted backoff automaton of words, with a word-frequency base beside them.
+
+States are contexts of two words, one word and none that training rows have; an arc for each word seen after
+a context carries the logarithm of its smoothed probability, and a failure arc leads to the context without
+its oldest word and carries what absolute discounts leave for other words there: discount times the context's
+distinct continuations over its count. Below single words stands the spelling of the word. Every run of one,
+two and three tokens of the training rows is counted, so what is learned grows with the corpus.
+
+Slices of documents send each of their distinct runs once, to the bucket of its context; buckets add them up
+and answer with the counts of the runs and of their contexts, which are exactly the arcs and failure arcs that
+the slice can need. Each slice builds this part of the automaton and is walked once from left to right, with
+the state carried along. Contexts that hold a larger share of all tokens than a bucket should are found first
+and dealt by context and word; their few totals are added up apart.
+
+Spelling is a weighted backoff automaton too, of order 4 over 40 classes of bytes (65,641 states at most), with
+failing steps resolved into a table. Long texts are walked as runs side by side, each entered over the symbols
+before it, which reaches the very state carried there.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +37,8 @@ END, GAP = 0, 1
 BLOCK = 2048
 SLICE = 4 << 20
 END_WORD = np.uint64(0x5851F42D4C957F2D)
+WALK = 256  # tokens of one run of the walk
+CONTEXT_BITS, WORD_BITS = np.uint64(36), np.uint64(24)
 HEAD = {"n_words": np.int64, "which": np.uint32, "kinds": np.uint64, "spelled": np.float32}
 
 
@@ -161,44 +168,65 @@ class Automaton:
         return out + np.diff(spelled[edge])
 
 
-def train(docs: DataFrame, text_col: str, train_when: Column) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Counts of four symbols, of bytes, of words and of documents over all training rows.
+class Heavy:
+    """Counts of the keys that hold more than one in `size` of all seen; a count may be too low by that share."""
 
-    Each task adds up its rows; at most A**4 numbers leave it, sixteenths of them meet in one task each.
+    def __init__(self, size: int) -> None:
+        self.size, self.total = size, 0
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        self.total += len(keys)
+        kinds, n = np.unique(keys, return_counts=True)
+        all_, which = np.unique(np.concatenate([self.keys, kinds]), return_inverse=True)
+        counts = np.bincount(which, weights=np.concatenate([self.counts, n]), minlength=len(all_)).astype(np.int64)
+        if len(all_) > self.size:
+            counts -= np.partition(counts, len(counts) - self.size - 1)[len(counts) - self.size - 1]
+            all_, counts = all_[counts > 0], counts[counts > 0]
+        self.keys, self.counts = all_, counts
+
+
+GRAM, BYTE, WORDS, DOCS, HEAVY = range(5)
+
+
+def train(docs: DataFrame, text_col: str, train_when: Column, share: float = 1.0) -> tuple[np.ndarray, np.ndarray, int, int, np.ndarray]:
+    """Counts of four symbols, of bytes, of words and of documents over all training rows, and the contexts with more than `share` of the tokens.
+
+    Each task adds up its rows; Spark adds up the tasks. At most A**4 + 258 sums and 2 / share contexts reach the driver.
     """
     ship(docs.sparkSession)
-    parts = 16
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, spelled, n_words, n_docs = np.zeros(A**4, np.int64), np.zeros(256, np.int64), 0, 0
+        heavy = Heavy(math.ceil(4 / share))
         for batch in batches:
             for piece in slices(batch, 0):
-                s = Stream(*text_bytes(piece.column(0)))
+                raw, offsets = text_bytes(piece.column(0))
+                s = Stream(raw, offsets)
                 s.symbols[s.heads[1:][s.n_words > 0] - 1] = GAP  # spelling takes all words alike
                 grams += s.fourgrams(np.ones(piece.num_rows, bool))
                 spelled += np.bincount(s.bytes, minlength=256)
                 n_words += len(s.starts)
                 n_docs += piece.num_rows
-        values = np.concatenate([grams, spelled, [n_words, n_docs]])
-        codes = np.flatnonzero(values)
-        for k in range(parts):
-            own = codes[codes % parts == k]
-            if len(own):
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own.astype(np.int32).tobytes()], pa.binary()),
-                                                  pa.array([values[own].tobytes()], pa.binary())], names=["part", "codes", "values"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total: dict[int, np.ndarray] | np.ndarray = np.zeros(A**4 + 258, np.int64)
-        for c, v in zip(table.column("codes").to_pylist(), table.column("values").to_pylist(), strict=True):
-            total[np.frombuffer(c, np.int32)] += np.frombuffer(v, np.int64)
-        own = np.flatnonzero(total)
-        return pa.table({"codes": pa.array([own.astype(np.int32).tobytes()], pa.binary()), "values": pa.array([total[own].tobytes()], pa.binary())})
-
-    counted = docs.where(train_when).select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "part int, codes binary, values binary")
-    all_ = np.zeros(A**4 + 258, np.int64)
-    for r in counted.groupBy("part").applyInArrow(add, "codes binary, values binary").collect():
-        all_[np.frombuffer(r["codes"], np.int32)] += np.frombuffer(r["values"], np.int64)
-    return all_[: A**4], all_[A**4 : -2], int(all_[-2]), int(all_[-1])
+                heavy.add(np.concatenate(contexts(*tokens_of(word_hashes(s.raw, s.starts, s.ends), s.n_words))[1:]))
+        many = heavy.counts > share * heavy.total / 2
+        found = [(GRAM, np.flatnonzero(grams), grams[grams > 0]), (BYTE, np.flatnonzero(spelled), spelled[spelled > 0]),
+                 (WORDS, np.zeros(1), np.array([n_words])), (DOCS, np.zeros(1), np.array([n_docs])), (HEAVY, heavy.keys[many].view(np.int64), heavy.counts[many])]
+        for kind, codes, n in found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(codes.astype(np.int64)), pa.array(n)], names=["kind", "code", "n"])
+
+    counted = docs.where(train_when).select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "kind int, code bigint, n bigint")
+    sums = staged(counted.groupBy("kind", "code").agg(F.sum("n").alias("n")), "sums")
+    out = [np.zeros(A**4, np.int64), np.zeros(256, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)]
+    few = sums.where(F.col("kind") < HEAVY).toArrow()
+    kind, code, n = (few.column(c).to_numpy() for c in ("kind", "code", "n"))
+    for k, table in enumerate(out):
+        table[code[kind == k]] = n[kind == k]
+    n_words, n_docs = int(out[WORDS][0]), int(out[DOCS][0])
+    # two contexts a token; the summaries may miss half the share
+    least = share * 2 * (n_words + n_docs) / 4
+    hot = sums.where((F.col("kind") == HEAVY) & (F.col("n") > least)).select("code").toArrow().column("code").to_numpy()
+    return out[GRAM], out[BYTE], n_words, n_docs, np.sort(hot.view(np.uint64))
 
 
 def tokens_of(h: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,13 +242,40 @@ def shifted(x: np.ndarray, heads: np.ndarray, first) -> np.ndarray:
     return out
 
 
-def gram_keys(tokens: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """Keys of the runs of one, two and three tokens that end at each token: 54 bits of hash, then the order; ends stand before a document."""
+def contexts(tokens: np.ndarray, heads: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the contexts of no, one and two tokens before each token; ends stand before a document."""
     before = shifted(tokens, heads, END_WORD)
-    two = before * ODD + tokens
-    three = shifted(before, heads, END_WORD) * ODD * ODD + two
-    drop, low = np.uint64(8), np.uint64(3)
-    return np.concatenate([(mix(x + np.uint64(k)) >> drop) & ~low | np.uint64(k) for k, x in enumerate((tokens, two, three))])
+    return [np.zeros_like(tokens), mix(before + np.uint64(1)), mix(shifted(before, heads, END_WORD) * ODD + before + np.uint64(2))]
+
+
+def gram_keys(tokens: np.ndarray, heads: np.ndarray) -> list[np.ndarray]:
+    """Keys of the runs of one, two and three tokens that end at each token: their order less one, 36 bits of context and 24 of word, or 60 of word."""
+    word = mix(tokens)
+    out = [word >> np.uint64(4)]
+    for k, c in enumerate(contexts(tokens, heads)[1:], 1):
+        out.append(np.uint64(k) << np.uint64(60) | (c & (np.uint64(1) << CONTEXT_BITS) - np.uint64(1)) << WORD_BITS | word >> np.uint64(64) - WORD_BITS)
+    return out
+
+
+def bucket_of(tokens: np.ndarray, heads: np.ndarray, hot: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """The bucket of each run: its context's, or for no context and hot ones that of context and word."""
+    out = []
+    for k, c in enumerate(contexts(tokens, heads)):
+        spread = mix(c ^ tokens * ODD)
+        at = spread if not k else np.where(found_in(hot, c), spread, c)
+        out.append((at >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32))
+    return out
+
+
+def found_in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def context_code(keys: np.ndarray) -> np.ndarray:
+    """What the keys of one context share: their order and context; 0 for runs of one token."""
+    return np.where(keys >> np.uint64(60) > 0, keys >> WORD_BITS, np.uint64(0))
 
 
 def squeezed(x: np.ndarray) -> bytes:
@@ -253,33 +308,151 @@ def texts_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             number += 1
 
 
+class Runs:
+    """The distinct runs of a slice, in order of bucket and key, and which of them ends at each token, by order."""
+
+    def __init__(self, tokens: np.ndarray, heads: np.ndarray, hot: np.ndarray, buckets: int) -> None:
+        keys, where = np.concatenate(gram_keys(tokens, heads)), np.concatenate(bucket_of(tokens, heads, hot, buckets))
+        order = np.lexsort((keys, where))
+        new = np.ones(len(order), bool)
+        new[1:] = (keys[order][1:] != keys[order][:-1]) | (where[order][1:] != where[order][:-1])
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        self.keys, where = keys[order][new], where[order][new]
+        self.which = which.reshape(3, -1)
+        self.edges = np.searchsorted(where, np.arange(buckets + 1, dtype=np.uint64))
+        # contexts within a bucket are neighbours too
+        code = context_code(self.keys)
+        first = np.ones(len(code), bool)
+        first[1:] = (code[1:] != code[:-1]) | (where[1:] != where[:-1])
+        self.context = np.cumsum(first) - 1
+        self.codes = code[first]
+
+
+class WordAutomaton:
+    """The states, arcs and failure arcs that a slice needs. Words are numbers below `n`, the end of a text is n - 1."""
+
+    def __init__(self, n: int, single: np.ndarray, pairs: tuple, triples: tuple, words: tuple, double: tuple) -> None:
+        """single: log p of each word. pairs and triples: codes in order and log p of the runs seen, a code being the state's times n plus the word.
+        words: log weight of the failure arc of each word's context, nan where no training text has it. double: codes (word times n plus word) of
+        the contexts of two words that have one, in order, and their weights.
+        """
+        self.n = n
+        known = ~np.isnan(words)
+        self.of_word = np.where(known, np.cumsum(known), 0)  # state 0 is the context of no word
+        low = 1 + int(known.sum())
+        self.double = double[0]
+        self.low = low
+        self.fail = np.concatenate([[0], np.zeros(low - 1, np.int64), self.of_word[double[0] % n]])
+        self.back = np.concatenate([[0.0], words[known], double[1]])
+        arcs = np.concatenate([np.arange(n), self.of_word[pairs[0] // n] * n + pairs[0] % n, triples[0]])
+        weight = np.concatenate([single, pairs[1], triples[1]])
+        by = np.argsort(arcs)
+        self.arcs, self.weight = arcs[by], weight[by]
+
+    def state_after(self, state: np.ndarray, word: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The longest known context that ends with the word; `last` is the word before it."""
+        pair = last * self.n + word
+        at = np.minimum(np.searchsorted(self.double, pair), max(len(self.double) - 1, 0))
+        two = self.double[at] == pair if len(self.double) else np.zeros(len(pair), bool)
+        return np.where(two, self.low + at, self.of_word[word])
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log p of the word after each state: weights of failure arcs until a state has an arc for it, and that arc's."""
+        total, open_ = np.zeros(len(state)), np.arange(len(state))
+        while len(open_):
+            want = state[open_] * self.n + word[open_]
+            at = np.minimum(np.searchsorted(self.arcs, want), len(self.arcs) - 1)
+            there = self.arcs[at] == want
+            total[open_[there]] += self.weight[at[there]]
+            open_ = open_[~there]
+            total[open_] += self.back[state[open_]]
+            state = state.copy()
+            state[open_] = self.fail[state[open_]]
+        return total
+
+    def walk(self, word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """log p of each document, from its first token on; runs of `WALK` tokens go side by side, entered over the two tokens before."""
+        doc = np.repeat(np.arange(len(size)), -(-size // WALK))
+        nth = np.arange(len(doc)) - np.repeat(np.cumsum(-(-size // WALK)) - -(-size // WALK), -(-size // WALK))
+        begin = first[doc] + nth * WALK
+        length = np.minimum(first[doc] + size[doc] - begin, WALK)
+        order = np.argsort(-length, kind="stable")
+        doc, begin, length = doc[order], begin[order], length[order]
+        end = self.n - 1
+        at = lambda back: np.where(begin - back >= first[doc], word[np.maximum(begin - back, 0)], end)
+        last = at(1)
+        state = self.state_after(np.zeros(len(doc), np.int64), last, at(2))
+        total = np.zeros(len(doc))
+        going = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right") if len(length) else np.zeros(0, np.int64)
+        for t, n in enumerate(going.tolist()):
+            here = word[begin[:n] + t]
+            total[:n] += self.step(state[:n], here)
+            state[:n] = self.state_after(state[:n], here, last[:n])
+            last[:n] = here
+        return np.bincount(doc, weights=total, minlength=len(size))
+
+
+def slice_automaton(word: np.ndarray, before: np.ndarray, older: np.ndarray, n: int, letters: np.ndarray, total: int, kinds: int,
+                    count: np.ndarray, context: np.ndarray, follow: np.ndarray, discount: list[float]) -> WordAutomaton:
+    """The automaton of a slice's tokens: count, context and follow have a row for each order and a column for each token; letters is log p of the spelling.
+
+    An order's probability is (count - discount) / context count, where there is one, and discount times distinct followers over
+    context count times the next lower order's; spelling stands below single words.
+    """
+    words = np.full(n, np.nan)
+    out = []
+    with np.errstate(divide="ignore"):
+        _, one = np.unique(word, return_index=True)
+        single = letters.copy()
+        seen = np.maximum(count[0] - discount[0], 0)[one] / max(total, 1)
+        single[word[one]] = np.logaddexp(np.log(seen), np.log(discount[0] * kinds / total if total else 1.0) + letters[word[one]])
+        own = np.exp(single)[word]
+        for k, state in ((1, before), (2, older * n + before)):
+            code, one = np.unique(state * n + word if k == 1 else np.unique(state, return_inverse=True)[1] * n + word, return_index=True)
+            some = context[k] > 0
+            weight = np.divide(discount[k] * follow[k], context[k], out=np.ones(len(word)), where=some)
+            own = np.divide(np.maximum(count[k] - discount[k], 0), context[k], out=np.zeros(len(word)), where=some) + weight * own
+            seen = count[k][one] > 0
+            if k == 1:
+                words[before[some]] = np.log(weight[some])
+                out.append((code[seen], np.log(own[one][seen])))
+            else:
+                known, at = np.unique(state[some], return_index=True)
+                low = 1 + int((~np.isnan(words)).sum())
+                number = low + np.searchsorted(known, state[one][seen])
+                out += [(number * n + word[one][seen], np.log(own[one][seen])), (known, np.log(weight[some][at]))]
+        return WordAutomaton(n, single, out[0], out[1], words, out[2])
+
+
 def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of each row's whole text.
 
     A null text is empty: one end token. Rows for which `train_when` is null are not learned from. With
-    nothing to learn from, all counts are zero and only smoothing is left. Repeated rows are learned
-    from and scored each; other columns are not read; an empty table gives none. The table is read three
-    times and must give the same slices; if it changes meanwhile, the job fails.
+    nothing to learn from, all counts are zero and only spelling is left. Repeated rows are learned
+    from and scored each; other columns are not read; an empty table gives none. A very long text is a slice
+    of its own and held in memory. The table is read three times and must give the same slices; if it
+    changes meanwhile, the job fails.
     """
     spark = docs.sparkSession
     ship(spark)
     train_when = F.coalesce(train_when, F.lit(False))
-    grams, spelled, n_train_words, n_train_docs = train(docs, text_col, train_when)
+    buckets = 4 * partitions(spark)
+    grams, spelled, n_train_words, n_train_docs, hot = train(docs, text_col, train_when, 0.25 / buckets)
     model = Automaton(grams, spelled)
     shipped = spark.sparkContext.broadcast((model.weight, model.next, model.spelling))
-    buckets = 3 * partitions(spark)
+    heavy = spark.sparkContext.broadcast(hot)
     total = n_train_words + n_train_docs
+    hot_codes = np.unique(np.concatenate([np.uint64(k) << CONTEXT_BITS | hot & (np.uint64(1) << CONTEXT_BITS) - np.uint64(1) for k in (1, 2)]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, piece, _, _, _, n_words, h in texts_in(batches):
             learned = piece.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            keys, which = np.unique(gram_keys(*tokens_of(h, n_words)), return_inverse=True)
-            times = np.bincount(which, weights=np.tile(np.repeat(learned, n_words + 1), 3), minlength=len(keys)).astype(np.int64)
-            where = ((keys >> np.uint64(24)) * np.uint64(buckets)) >> np.uint64(32)
-            edges = np.searchsorted(where, np.arange(buckets + 1, dtype=np.uint64))
-            own = [(b, slice(*edges[b : b + 2])) for b in np.flatnonzero(np.diff(edges)).tolist()]
+            runs = Runs(*tokens_of(h, n_words), heavy.value, buckets)
+            times = np.bincount(runs.which.ravel(), weights=np.tile(np.repeat(learned, n_words + 1), 3), minlength=len(runs.keys)).astype(np.int64)
+            own = [(b, slice(*runs.edges[b : b + 2])) for b in np.flatnonzero(np.diff(runs.edges)).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in own], pa.int32()), pa.array([name] * len(own), pa.string()),
-                                              pa.array([squeezed(steps(keys[at])) for _, at in own], pa.binary()),
+                                              pa.array([squeezed(steps(runs.keys[at])) for _, at in own], pa.binary()),
                                               pa.array([squeezed(times[at]) for _, at in own], pa.binary())], names=["bucket", "slice", "keys", "times"])
 
     def tally(table: pa.Table) -> pa.Table:
@@ -290,10 +463,27 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
         del keys
         own = np.concatenate([restored(x.as_py(), np.int64) for x in table.column("times")])
         c = np.bincount(which, weights=own, minlength=len(kinds)).astype(np.int64)
-        found = np.bincount((kinds & np.uint64(3)).astype(np.int64), weights=c > 0, minlength=3).astype(np.int64).tolist()
-        blobs = [squeezed(c[which[edges[k] : edges[k + 1]]]) for k in range(len(names))]
+        order = (kinds >> np.uint64(60)).astype(np.int64)
+        sums = np.array([[np.count_nonzero(c[order == k] >= 1), np.count_nonzero(c[order == k] == 1), np.count_nonzero(c[order == k] == 2)] for k in range(3)])
+        code = context_code(kinds)
+        first = np.flatnonzero(np.diff(code, prepend=~code[:1]))
+        spans = np.diff(np.append(first, len(code)))
+        followed, follow = np.add.reduceat(c, first), np.add.reduceat((c > 0).astype(np.int64), first)
+        of = np.repeat(np.arange(len(first)), spans)
+        blobs, more = [], []
+        for k in range(len(names)):
+            mine = which[edges[k] : edges[k + 1]]
+            blobs.append(squeezed(c[mine]))
+            ctx = of[mine]
+            ctx = ctx[np.diff(ctx, prepend=-1) != 0]
+            more.append((squeezed(followed[ctx]), squeezed(follow[ctx])))
+        wide = np.flatnonzero(found_in(hot_codes, code[first]))
+        parts = [{"code": int(code[first[k]]), "n": int(followed[k]), "m": int(follow[k])} for k in wide.tolist() if code[first[k]]]
+        kind = pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64()), ("m", pa.int64())]))
         return pa.table({"slice": pa.array([*names, None], pa.string()), "bucket": pa.array([bucket] * (len(names) + 1), pa.int32()),
-                         "counts": pa.array([*blobs, None], pa.binary()), "found": pa.array([None] * len(names) + [found], pa.list_(pa.int64()))})
+                         "counts": pa.array([*blobs, None], pa.binary()), "contexts": pa.array([*(m[0] for m in more), None], pa.binary()),
+                         "follows": pa.array([*(m[1] for m in more), None], pa.binary()),
+                         "found": pa.array([None] * len(names) + [sums.ravel().tolist()], pa.list_(pa.int64())), "wide": pa.array([None] * len(names) + [parts], kind)})
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Automaton.__new__(Automaton)
@@ -306,12 +496,17 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([pa.array([name]), ids, *(pa.array([x], pa.binary()) for x in blobs)], names=["slice", "ids", *HEAD])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"), train_when.alias("learn"))
-    counts = staged(rows.mapInArrow(scan, "bucket int, slice string, keys binary, times binary").groupBy("bucket")
-                    .applyInArrow(tally, "slice string, bucket int, counts binary, found array<bigint>"), "gramcounts")
-    kinds = [n or 0 for n in counts.agg(*(F.sum(F.col("found")[k]) for k in range(3))).collect()[0]]
+    answers = ("slice string, bucket int, counts binary, contexts binary, follows binary, found array<bigint>, "
+               "wide array<struct<code:bigint,n:bigint,m:bigint>>")
+    counts = staged(rows.mapInArrow(scan, "bucket int, slice string, keys binary, times binary").groupBy("bucket").applyInArrow(tally, answers), "gramcounts")
+    found = np.array([n or 0 for n in counts.agg(*(F.sum(F.col("found")[k]) for k in range(9))).collect()[0]]).reshape(3, 3)
+    kinds = [int(n) for n in found[:, 0]]
+    # absolute discounts from the runs seen once and twice; spelling needs its share of single words
+    discount = [min(max(n1 / (n1 + 2 * n2), 0.1), 0.95) if n1 + n2 else 0.5 for n1, n2 in found[:, 1:].tolist()]
     each = np.log10(total + 0.5 * (kinds[0] + 1))
-    # how often a run is continued by something new, on average; the weight of the next lower order
-    lower = [max(float(kinds[0]), 1.0), max(kinds[1] / max(kinds[0], 1), 1.0), max(kinds[2] / max(kinds[1], 1), 1.0)]
+    wide = counts.select(F.inline("wide")).groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).toArrow()
+    by = np.argsort(wide.column("code").to_numpy())
+    totals = spark.sparkContext.broadcast(tuple(wide.column(c).to_numpy()[by] for c in ("code", "n", "m")))
 
     def finish(head: pa.Table, counted: pa.Table) -> pa.Table:
         if head.num_rows != 1 or not counted.num_rows:
@@ -319,19 +514,27 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
         ids = head.column("ids").combine_chunks().flatten()
         n_words, which, kinds_, spelled = (restored(head.column(c)[0].as_py(), k) for c, k in HEAD.items())
         tokens, first = tokens_of(np.cumsum(kinds_, dtype=np.uint64)[which], n_words)
+        runs = Runs(tokens, first, heavy.value, buckets)
         order = np.argsort(counted.column("bucket").to_numpy())
-        c = np.concatenate([restored(counted.column("counts")[int(k)].as_py(), np.int64) for k in order])
-        found = c[np.unique(gram_keys(tokens, first), return_inverse=True)[1]].astype(float).reshape(3, -1)
-        letters = np.insert(spelled[which] * np.log(10) + np.log((n_train_words + 0.5) / (total + 1)), np.cumsum(n_words), np.log((n_train_docs + 0.5) / (total + 1)))
-        p = letters
-        with np.errstate(divide="ignore"):
-            for k, context in enumerate((total, shifted(found[0], first, n_train_docs), shifted(found[1], first, n_train_docs))):
-                p = np.logaddexp(np.log(found[k]), np.log(lower[k]) + p) - np.log(context + lower[k])
+        c, followed, follow = (np.concatenate([restored(counted.column(x)[int(k)].as_py(), np.int64) for k in order]) for x in ("counts", "contexts", "follows"))
+        codes, n, m = totals.value
+        if len(codes):
+            at = np.minimum(np.searchsorted(codes, runs.codes.view(np.int64)), len(codes) - 1)
+            hit = codes[at] == runs.codes.view(np.int64)
+            followed, follow = np.where(hit, n[at], followed), np.where(hit, m[at], follow)
+        count = c[runs.which].astype(float)
+        context, follow = (x[runs.context[runs.which]].astype(float) for x in (followed, follow))
+        end = len(kinds_)
+        word = np.insert(which.astype(np.int64), np.cumsum(n_words), end)
+        before = shifted(word, first, end)
+        letters = np.append(spelled * np.log(10) + np.log((n_train_words + 0.5) / (total + 1)), np.log((n_train_docs + 0.5) / (total + 1)))
+        automaton = slice_automaton(word, before, shifted(before, first, end), end + 1, letters, total, kinds[0], count, context, follow, discount)
         size = n_words + 1
-        return pa.table({"id": ids, "n_tokens": pa.array(size), "n_known": pa.array(np.add.reduceat((found[0] > 0).astype(np.int64), first)),
+        known = count[0]
+        return pa.table({"id": ids, "n_tokens": pa.array(size), "n_known": pa.array(np.add.reduceat((known > 0).astype(np.int64), first)),
                          "train_tokens": pa.array(np.full(len(size), total), pa.int64()),
-                         "base_score": pa.array(np.add.reduceat(np.log10(found[0] + 0.5), first) - size * each),
-                         "score": pa.array(np.add.reduceat(p, first) / np.log(10))})
+                         "base_score": pa.array(np.add.reduceat(np.log10(known + 0.5), first) - size * each),
+                         "score": pa.array(automaton.walk(word, first, size) / np.log(10))})
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = rows.mapInArrow(heads, f"slice string, ids array<{kind}>, " + ", ".join(f"{c} binary" for c in HEAD))
