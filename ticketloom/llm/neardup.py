@@ -3,7 +3,10 @@
 Documents with equal shingle sets are one class from the start. Each class has 128 minhash values;
 each of `TREES` trees sorts the classes by its own order of these values. Neighbours in a sorted order
 whose common prefix has at least `DEPTH` values are candidates: where many classes crowd under one
-prefix, the nearest `REACH` in order share longer ones, so depth adapts to the region. Candidates whose
+prefix, the nearest `REACH` in order share longer ones, so depth adapts to the region. More than `REACH`
+classes that tie on all values of a key are sorted again by the next values, until no such crowd is left or
+the signature is used up; those that tie on all of it stand side by side and are alike. Neighbours across
+the bounds of ranges meet in a pass over the rows beside each bound. Candidates whose
 signatures agree enough join clusters, and inside a cluster every pair is decided exactly on the full
 sets, in blocks of bounded size. Only a spanning set of the confirmed links leaves a task.
 """
@@ -23,6 +26,7 @@ from ticketloom.llm.wordarrays import LOWER, ODD, map_texts, mix, text_bytes, wi
 SHINGLE = 5
 PERCENT = 75
 VALUES, TREES, DEPTH, REACH = 128, 24, 4, 4
+FURTHER = 16  # values that a crowd is sorted by at a time
 #: Least share of equal minhash values of a candidate; pairs at the limit fall below it once in some 100,000.
 LIKELY = 0.56
 #: Shingles of one block of a cluster.
@@ -79,50 +83,136 @@ def minhashes(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(id, n_shingles, k1, k2, sig) of (id, t)."""
+    """(id, mark, n_shingles, k1, k2, sig) of (id, t, mark)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         values, edges = shingle_sets(*text_bytes(batch.column(1)))
         k1, k2 = set_keys(values, edges)
         sig = minhashes(values, edges)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(edges)), pa.array(k1), pa.array(k2), pa.array([s.tobytes() for s in sig], pa.binary())],
-                                          names=["id", "n_shingles", "k1", "k2", "sig"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.diff(edges)), pa.array(k1), pa.array(k2), pa.array([s.tobytes() for s in sig], pa.binary())],
+                                          names=["id", "mark", "n_shingles", "k1", "k2", "sig"])
 
-    return map_texts(docs, run, "id bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary")
+    return map_texts(docs, run, "id bigint, mark bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary")
+
+
+def signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, VALUES)
+
+
+def key_bytes(values: np.ndarray) -> pa.Array:
+    """Rows of values as bytes that sort as they do."""
+    raw = np.ascontiguousarray(values).astype(">u2").tobytes()
+    width = 2 * values.shape[1]
+    return pa.array([raw[k : k + width] for k in range(0, len(raw), width)] if width else [], pa.binary())
+
+
+ROWS = "tree int, run bigint, key binary, id bigint"
+FOUND = "kind int, tree int, run bigint, key binary, a bigint, b bigint"
+PAIR, CROWD, EDGE = range(3)
 
 
 def tree_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    ids = batch.column(0)
-    sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, VALUES)
+    """Each tree's row of each class: its first DEPTH values make the run, the next DEPTH the key."""
+    sig = signatures(batch.column(1))
     for t in range(TREES):
-        keys = np.ascontiguousarray(np.roll(sig, -DEPTH * t, axis=1)[:, : 2 * DEPTH]).astype(">u2").tobytes()
-        both = np.frombuffer(keys, ">i8").reshape(-1, 2).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sig), t, np.int32)), pa.array(both[:, 0]), pa.array(both[:, 1]), ids],
-                                         names=["tree", "prefix", "rest", "id"])
+        own = np.roll(sig, -DEPTH * t, axis=1)
+        prefix = np.frombuffer(np.ascontiguousarray(own[:, :DEPTH]).tobytes(), np.uint64)
+        run = mix(prefix ^ mix(np.full(len(sig), t + 1, np.uint64)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sig), t, np.int32)), pa.array(run.view(np.int64)), key_bytes(own[:, DEPTH : 2 * DEPTH]), batch.column(0)],
+                                         names=["tree", "run", "key", "id"])
+
+
+def further_rows(start: int):
+    """Rows of a crowd with the tree's values from `start` on as key, at most FURTHER of them."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tree = batch.column("tree").to_numpy().astype(np.int64)
+            at = (DEPTH * tree[:, None] + np.arange(start, min(start + FURTHER, VALUES))) % VALUES
+            yield pa.RecordBatch.from_arrays([batch.column("tree"), batch.column("run"), key_bytes(np.take_along_axis(signatures(batch.column("sig")), at, axis=1)), batch.column("id")],
+                                             names=["tree", "run", "key", "id"])
+
+    return rows
 
 
 def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a sorted order that are at most REACH apart and share tree and prefix."""
-    held = [np.zeros(0, np.int64)] * 3
+    """From rows in order: pairs at most REACH apart in one run; rows of runs and keys that more than REACH + 1 share; the rows at both ends."""
+    held: pa.Table | None = None
+    seen = 0
+
+    def out(kind: int, rows: pa.Table, a: pa.Array, b: pa.Array) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        return pa.Table.from_arrays([pa.array(np.full(rows.num_rows, kind, np.int32)), *(rows.column(c) for c in ("tree", "run", "key")), a, b],
+                                    names=["kind", "tree", "run", "key", "a", "b"]).to_batches()
+
     for batch in batches:
-        tree, prefix, ident = (np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("tree", "prefix", "id"), strict=True))
+        if not batch.num_rows:
+            continue
+        new_rows = pa.Table.from_batches([batch])
+        if seen <= REACH:
+            first = new_rows.slice(0, REACH + 1 - seen)
+            yield from out(EDGE, first, first.column("id"), first.column("id"))
+        seen += new_rows.num_rows
+        old = 0 if held is None else held.num_rows
+        table = (new_rows if held is None else pa.concat_tables([held, new_rows])).combine_chunks()
+        run, ident = table.column("run").to_numpy(), table.column("id").to_numpy()
         a, b = [], []
-        old = len(held[0])
         for k in range(1, REACH + 1):
-            new = np.arange(max(k, old), len(tree))
-            new = new[(tree[new] == tree[new - k]) & (prefix[new] == prefix[new - k])]
+            new = np.arange(max(k, old), len(run))
+            new = new[run[new] == run[new - k]]
             a.append(ident[new])
             b.append(ident[new - k])
         a, b = np.concatenate(a), np.concatenate(b)
         if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-        held = [tree[-REACH:], prefix[-REACH:], ident[-REACH:]]
+            nothing = pa.nulls(len(a))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), PAIR, np.int32)), nothing.cast(pa.int32()), nothing.cast(pa.int64()), nothing.cast(pa.binary()),
+                                              pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["kind", "tree", "run", "key", "a", "b"])
+        key = np.array(table.column("key").to_pylist(), dtype=object)
+        new = np.arange(max(REACH + 1, old), len(run))
+        new = new[(run[new] == run[new - REACH - 1])]
+        new = new[key[new] == key[new - REACH - 1]] if len(new) else new
+        if len(new):
+            crowd = table.take(pa.array(np.unique((new[:, None] - np.arange(REACH + 2)).ravel())))
+            yield from out(CROWD, crowd, crowd.column("id"), crowd.column("id"))
+        held = table.slice(max(0, table.num_rows - REACH - 1))
+    if held is not None:
+        yield from out(EDGE, held, held.column("id"), held.column("id"))
+
+
+def candidate_pairs(reps: DataFrame) -> DataFrame:
+    """(a, b), distinct, of the forest over (id, sig)."""
+    parts = partitions(reps.sparkSession)
+    order = ["tree", "run", "key", "id"]
+    found = []
+
+    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield from tree_rows(batch)
+
+    rows, start = reps.select("id", "sig").mapInArrow(trees, ROWS), 2 * DEPTH
+    while True:
+        met = staged(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(neighbours, FOUND), "neighbours")
+        # as many rows as there are ranges, by a constant
+        sides = met.where(F.col("kind") == EDGE).select("tree", "run", "key", F.col("a").alias("id")).distinct()
+        across = staged(sides.coalesce(1).sortWithinPartitions(*order).mapInArrow(neighbours, FOUND), "bounds")
+        both = met.unionByName(across)
+        found.append(both.where(F.col("kind") == PAIR).select("a", "b"))
+        crowd = staged(both.where(F.col("kind") == CROWD).select("tree", F.xxhash64("run", "key").alias("run"), F.col("a").alias("id")).distinct(), "crowd")
+        if start >= VALUES or crowd.isEmpty():
+            break
+        rows = crowd.join(reps.select("id", "sig"), "id").select("tree", "run", "id", "sig").mapInArrow(further_rows(start), ROWS)
+        start += FURTHER
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return pairs.distinct()
 
 
 def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, VALUES) for c in ("sa", "sb"))
+            left, right = signatures(batch.column("sa")), signatures(batch.column("sb"))
             good = np.flatnonzero((left == right).mean(axis=1) >= LIKELY)
             yield batch.select(["a", "b"]).take(pa.array(good))
 
@@ -202,14 +292,7 @@ def link_classes(texts: DataFrame, reps: DataFrame, block: int = BLOCK) -> DataF
     ship(spark)
     parts = partitions(spark)
 
-    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from tree_rows(batch)
-
-    forest = reps.select("id", "sig").mapInArrow(trees, "tree int, prefix bigint, rest bigint, id bigint")
-    order = ["tree", "prefix", "rest", "id"]
-    pairs = forest.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(neighbours, "a bigint, b bigint").distinct()
+    pairs = candidate_pairs(reps)
     sig = reps.select(F.col("id"), "sig")
     both = pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
     clusters = components(both.select("a", "b", "sa", "sb").mapInArrow(likely, "a bigint, b bigint"))
@@ -237,6 +320,21 @@ def link_classes(texts: DataFrame, reps: DataFrame, block: int = BLOCK) -> DataF
     return components(sent.mapInArrow(confirm, "a bigint, b bigint"))
 
 
+def grouped(docs: DataFrame, id_col: str, text_col: str, block: int) -> DataFrame:
+    """(id, mark, n_shingles, component_id, linked) of every row; mark is a hash of the text, linked tells rows that may have partners."""
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("t"), F.xxhash64(text).alias("mark"))
+    table = staged(signed(texts), "signed")
+    full = table.where("id IS NOT NULL AND n_shingles > 0")
+    reps = staged(full.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
+    linked = link_classes(texts.where("id IS NOT NULL").select("id", "t"), reps.select("id", "n_shingles", "k1", "k2", "sig"), block)
+    classes = reps.select("id", "k1", "k2").join(linked.withColumnRenamed("node", "id"), "id", "left") \
+        .select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
+    out = table.drop("sig").join(classes, ["k1", "k2"], "left").withColumn("linked", (F.col("n_shingles") > 0) & F.col("id").isNotNull())
+    own = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("id"))
+    return out.select("id", "mark", "n_shingles", own.alias("component_id"), "linked")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row; ids are longs.
 
@@ -245,15 +343,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     100 * common >= 75 * all; component_id is the smallest id reachable, kept marks it. Rows with a null
     id are linked with nothing, have no component and are kept. Repeated rows get equal results; rows of
     one id with different texts each follow their own text. Other columns are not read; an empty table
-    gives none.
+    gives none. A very long text is one slice of a task.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    table = staged(signed(texts), "signed")
-    full = table.where("id IS NOT NULL AND n_shingles > 0")
-    reps = staged(full.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
-    linked = link_classes(texts.where("id IS NOT NULL"), reps.select("id", "n_shingles", "k1", "k2", "sig"), block)
-    classes = reps.select("id", "k1", "k2").join(linked.withColumnRenamed("node", "id"), "id", "left") \
-        .select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
-    out = table.drop("sig").join(classes, ["k1", "k2"], "left")
-    own = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", own.alias("component_id"), F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
+    rows = grouped(docs, id_col, text_col, block)
+    return rows.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """The rows and columns of docs, one row of each group of near duplicates.
+
+    Of a group a row with its smallest id stays; where several texts have that id, the text with the lowest hash, and of equal rows
+    one. Rows without words, text or id are in no group and all stay.
+    """
+    rows = staged(grouped(docs, id_col, text_col, block), "groups")
+    kept = rows.where("linked AND id = component_id").groupBy("id").agg(F.min("mark").alias("mark"), F.count("*").alias("n"))
+    alone = rows.where("NOT linked").select("id", "mark", F.lit(1).cast("long").alias("n")).distinct()
+    # rows of docs under names that no column of theirs can clash with
+    mine = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("own"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"))
+    chosen = kept.unionByName(alone).hint("merge")
+    met = mine.join(chosen, F.col("own").eqNullSafe(F.col("id")) & F.col("hash").eqNullSafe(F.col("mark")))
+    one = met.where("n = 1").select("row")
+    # more than one row has the id, perhaps with other texts: of the equal ones only one stays
+    more = met.where("n > 1").groupBy("own", "hash").agg(F.first("row").alias("row")).select("row")
+    return one.unionByName(more).select("row.*")
