@@ -50,19 +50,17 @@ def letters_of(text: str) -> np.ndarray:
 
 
 class Automata:
-    """Suffix automata of some texts over one alphabet, with failing steps resolved into a table."""
+    """Suffix automata of some texts, each over its own text's alphabet, with failing steps resolved into a table."""
 
     def __init__(self, texts: dict[str, np.ndarray]) -> None:
         self.names = sorted(texts)
-        alphabet = np.unique(np.concatenate([texts[n] for n in self.names])) if self.names else np.zeros(0, np.uint32)
-        self.size = len(alphabet) + 1  # the last class: letters that no text has
-        self.classes = np.full(0x110000, len(alphabet), np.uint8 if self.size < 256 else np.uint16)
-        self.classes[alphabet] = np.arange(len(alphabet))
-        self.tables = [self._table(self.classes[texts[n]].tolist()) for n in self.names]
+        self.alphabets = [np.unique(texts[n]) for n in self.names]
+        self.tables = [self._table(np.searchsorted(a, texts[n]).tolist(), len(a) + 1) for n, a in zip(self.names, self.alphabets, strict=True)]
         self.bits = [float(np.log2(max(2, len(texts[n])))) for n in self.names]
 
-    def _table(self, text: list[int]) -> np.ndarray:
-        """next state times alphabet size, doubled; odd when a new phrase begins with the letter."""
+    @staticmethod
+    def _table(text: list[int], size: int) -> np.ndarray:
+        """next state times alphabet size, doubled; odd when a new phrase begins with the letter. The last letter stands for those the text lacks."""
         steps: list[dict[int, int]] = [{}]
         link, length, last = [-1], [0], 0
         for c in text:
@@ -89,12 +87,12 @@ class Automata:
                     link[q] = link[new] = copy
             last = new
         between = len(steps)  # before a phrase: every letter begins one; also after a letter that the text lacks
-        table = np.full((between + 1, self.size), -1, np.int32)
+        table = np.full((between + 1, size), -1, np.int32)
         for s, to in enumerate(steps):
             if to:
                 table[s, list(to)] = list(to.values())
         begin = np.where(table[0] >= 0, table[0], between)
-        return np.where(table >= 0, table * self.size * 2, begin[None, :] * self.size * 2 + 1).astype(np.int32).ravel()
+        return np.where(table >= 0, table * size * 2, begin[None, :] * size * 2 + 1).astype(np.int32).ravel()
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text in each language."""
@@ -104,15 +102,24 @@ class Automata:
         if not runs:
             return out
         sizes = np.array([len(r) for _, r in runs])
-        grid = np.zeros((int(sizes[0]), len(runs)), self.classes.dtype)
-        for k, (_, r) in enumerate(runs):
-            grid[: len(r), k] = self.classes[r]
         going = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
         doc = np.array([d for d, _ in runs])
-        for lang, table in enumerate(self.tables):
-            state, count = np.full(len(runs), len(table) - self.size, np.int32), np.zeros(len(runs), np.int32)
+        # letters that occur here, by number; each language has its own classes for them
+        points, flat = np.unique(np.concatenate([r for _, r in runs]), return_inverse=True)
+        grid = np.zeros((int(sizes[0]), len(runs)), np.uint8 if len(points) < 256 else np.uint16 if len(points) < 65536 else np.uint32)
+        at = 0
+        for k, (_, r) in enumerate(runs):
+            grid[: len(r), k] = flat[at : at + len(r)]
+            at += len(r)
+        for lang, (alphabet, table) in enumerate(zip(self.alphabets, self.tables, strict=True)):
+            size = len(alphabet) + 1
+            place = np.searchsorted(alphabet, points)
+            known = alphabet[np.minimum(place, size - 2)] == points
+            classes = np.where(known, place, size - 1).astype(np.uint8 if size < 256 else np.uint16 if size < 65536 else np.uint32)
+            state, count = np.full(len(runs), len(table) - size, np.int32), np.zeros(len(runs), np.int32)
+            own = classes[grid]
             for t, n in enumerate(going.tolist()):
-                step = table.take(state[:n] + grid[t, :n])
+                step = table.take(state[:n] + own[t, :n])
                 count[:n] += step & 1
                 state[:n] = step >> 1
             np.add.at(out[:, lang], doc, count)
@@ -120,17 +127,25 @@ class Automata:
 
 
 def training_texts(labelled: DataFrame, lang_col: str, text_col: str, train_docs: int, train_letters: int) -> dict[str, np.ndarray]:
-    """Letters to learn each language from; at most train_docs stretches of text reach the driver for each."""
+    """Letters to learn each language from; at most train_docs stretches of text reach the driver for each.
+
+    Equal texts of one language count once, so copies do not fill a sample.
+    """
     stretch = max(1, train_letters // train_docs)
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     names = [r["lang"] for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    ranked = rows.withColumn("h", F.xxhash64("text")).select(
-        "lang", "h", F.expr(f"substring(text, int(greatest(1, (length(text) - {2 * stretch}) div 2)), {2 * stretch})").alias("part"))
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h", "part"))).where(F.col("rank") <= train_docs)
+    cut = rows.select("lang", F.xxhash64("text").alias("h"), F.expr(f"substring(text, int(greatest(1, (length(text) - {2 * stretch}) div 2)), {2 * stretch})").alias("part"))
+    first = Window.partitionBy("lang").orderBy("h")
+    lowest = cut.select("lang", "h").distinct().withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= train_docs)
+    last = {r["lang"]: r["h"] for r in lowest.groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    if not last:
+        return {}
+    ends = F.create_map(*[x for n, h in sorted(last.items()) for x in (F.lit(n), F.lit(h))])
+    chosen = cut.where(F.col("h") <= F.element_at(ends, F.col("lang"))).groupBy("lang", "h").agg(F.min("part").alias("part"))
     parts: dict[str, list[np.ndarray]] = {}
-    for r in sorted(ranked.collect(), key=lambda r: (r["lang"], r["rank"])):
+    for r in sorted(chosen.collect(), key=lambda r: (r["lang"], r["h"])):
         parts.setdefault(r["lang"], []).append(np.append(letters_of(r["part"])[:stretch], np.uint32(32)))
     texts = {n: np.concatenate(p) for n, p in parts.items()}
     return {n: t for n, t in texts.items() if (t != 32).any()}
@@ -142,8 +157,9 @@ def identify(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
 
     `und` with score 0 for a null text, one without letters, or when nothing is labelled. The score is
     the winner's share of 2 ** -entropy over all languages; equal entropies go to the smaller name.
-    Repeated rows are judged each; other columns are not read; an empty table gives none. The tables
-    sent to executors hold at most 2 * train_letters states for each of MAX_LANGUAGES languages.
+    Repeated rows are judged each; other columns are not read; an empty table gives none; a long text is
+    parsed in runs of `BLOCK` letters. The tables sent to executors hold at most 2 * train_letters states for
+    each of MAX_LANGUAGES languages, each as wide as the letters of that language's own sample.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(learn(labelled, text_col, lang_col, train_docs, train_letters))
 
@@ -156,14 +172,16 @@ def identify(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
                      f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
-def drop_unidentified(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                      train_docs: int = TRAIN_DOCS, train_letters: int = TRAIN_LETTERS) -> DataFrame:
-    """The rows whose language `identify` tells, with all their columns; rows that it calls `und` go."""
+def with_language(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                  train_docs: int = TRAIN_DOCS, train_letters: int = TRAIN_LETTERS) -> DataFrame:
+    """The rows whose language `identify` tells, with it in `lang_col` and all other columns as they are; rows that it calls `und` go."""
     shipped = docs.sparkSession.sparkContext.broadcast(learn(labelled, text_col, lang_col, train_docs, train_letters))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         names, _ = decide(restored(shipped.value), batch.column(batch.schema.get_field_index(text_col)))
-        return batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+        at = batch.schema.get_field_index(lang_col)
+        told = pa.RecordBatch.from_arrays([pa.array(names, pa.string()) if k == at else c for k, c in enumerate(batch.columns)], names=batch.schema.names)
+        return told.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
 
     return map_texts(docs, run, docs.schema, text=docs.columns.index(text_col))
 
