@@ -50,29 +50,44 @@ def bucket_widths(lengths: dict[int, int], buckets: int) -> list[int]:
     return out[::-1]
 
 
-def piece_lengths(docs: DataFrame, id_col: str, text_col: str, max_tokens: int) -> DataFrame:
-    """(id, piece, start, n_tokens): pieces of each row's words; a text without words is one empty piece."""
+def cut_pieces(docs: DataFrame, id_col: str, text_col: str, max_tokens: int, with_text: bool) -> DataFrame:
+    """(id, piece, start, n_tokens[, text]): pieces of each row's words; a text without words is one empty piece.
+
+    The texts of a row's pieces, one after another, are the row's text to the letter.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        _, _, first = words(*text_bytes(batch.column(1)))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first), pa.int64())], names=["id", "n"])
+        raw, offsets = text_bytes(batch.column(1))
+        starts, _, first = words(raw, offsets)
+        n = np.diff(first)
+        pieces = np.maximum(-(-n // max_tokens), 1)
+        row = np.repeat(np.arange(batch.num_rows), pieces)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = piece * max_tokens
+        columns = [batch.column(0).take(pa.array(row)), pa.array(piece), pa.array(start), pa.array(np.minimum(n[row] - start, max_tokens))]
+        if with_text:
+            # a piece reaches from its first word to the next piece's; the first begins and the last ends with the text
+            begin = np.where(piece > 0, np.append(starts, 0)[np.where(piece > 0, first[row] + start, -1)], offsets[row])
+            end = np.where(piece + 1 < pieces[row], np.append(begin[1:], 0), offsets[row + 1])
+            data = raw.tobytes()
+            columns.append(pa.array([data[a:b].decode() for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.string()))
+        return pa.RecordBatch.from_arrays(columns, names=["id", "piece", "start", "n_tokens", "text"][: len(columns)])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    counts = map_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")), run, f"id {kind}, n bigint")
-    last = F.greatest(F.ceil(F.col("n") / max_tokens) - 1, F.lit(0))
-    pieces = counts.select("id", "n", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("piece"))
-    return pieces.select("id", "piece", (F.col("piece") * max_tokens).alias("start"), F.least(F.col("n") - F.col("piece") * max_tokens, F.lit(max_tokens)).alias("n_tokens"))
+    schema = f"id {kind}, piece bigint, start bigint, n_tokens bigint" + (", text string" if with_text else "")
+    return map_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")), run, schema)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = MAX_TOKENS, buckets: int = BUCKETS,
-         budget: int = BUDGET) -> DataFrame:
-    """(id, piece, start, n_tokens, bucket, width, batch, slot, padding) for every piece of every row.
+         budget: int = BUDGET, with_text: bool = False) -> DataFrame:
+    """(id, piece, start, n_tokens, bucket, width, batch, slot, padding[, text]) for every piece of every row.
 
     A batch of a bucket has budget // width places (one at least); batches are numbered from 0 in each
     bucket and only the last may be short. Null texts have no words. Repeated rows are packed each;
-    other columns are not read; an empty table gives none.
+    other columns are not read; an empty table gives none. `text` is the piece's part of the row's text, under the
+    name of the text column. A long text becomes many pieces in one task.
     """
-    pieces = staged(piece_lengths(docs, id_col, text_col, max_tokens), "pieces")
+    pieces = staged(cut_pieces(docs, id_col, text_col, max_tokens, with_text), "pieces")
     histogram = {r["n_tokens"]: r["n"] for r in pieces.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
     widths = bucket_widths(histogram, buckets)
     below = F.size(F.filter(F.lit(widths or [0]), lambda w: w < F.col("n_tokens")))
@@ -85,4 +100,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_to
     places = F.greatest(F.floor(F.lit(budget) / F.greatest("width", F.lit(1))), F.lit(1)).cast("long")
     return placed.withColumn("places", places).select(
         F.col("id").alias(id_col), "piece", "start", "n_tokens", "bucket", "width", F.floor(F.col("place") / F.col("places")).alias("batch"),
-        (F.col("place") % F.col("places")).alias("slot"), (F.col("width") - F.col("n_tokens")).alias("padding"))
+        (F.col("place") % F.col("places")).alias("slot"), (F.col("width") - F.col("n_tokens")).alias("padding"),
+        *([F.col("text").alias(text_col)] if with_text else []))
