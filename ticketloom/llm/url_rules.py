@@ -1,20 +1,22 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
-Each rule is a regular expression over host and path with the literal tokens any match must hold.
-A rule is filed under the one of its tokens that is rarest among the rules' tokens in the table's
-URLs; a URL's own tokens fetch the candidate rules, and only those run. The index is a literal of at
-most `MAX_RULES` rules, so judging is one map over the table: no join, no shuffle, no Python.
+Rules are rows of a table: a host and a path prefix, or words that must stand in a host in their order. Each
+becomes a regular expression over host and path with the literal tokens any match must hold, and is filed under
+the one of them that is rarest in the table's URLs. A URL's own tokens are joined with this index, and only
+the rules they fetch run. The index is broadcast where it has at most `MOST_SENT` rules and joined by a shuffle where it
+has more; the work for a URL is its tokens and its candidates, however many rules there are. DataFrame
+functions only.
 """
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_RULES = 10_000
+from ticketloom.llm.frames import staged
+
+#: Rules that are sent to every executor, at most.
+MOST_SENT = 100_000
 
 #: (host, path prefix) and verdict.
 PREFIX_RULES = (
@@ -28,88 +30,75 @@ PATTERN_RULES = (
 )
 
 
-@dataclass(frozen=True)
-class Rule:
-    name: str
-    pattern: str
-    tokens: tuple[str, ...]
-    verdict: str
-    rank: int  # 0 for patterns, else the rule's length
+RULES = "host string, path string, words array<string>, verdict string"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def tokens_of(text: str) -> tuple[str, ...]:
-    return tuple(t for t in re.split("[^a-z0-9]+", text.lower()) if t)
+def rule_table(spark: SparkSession, prefixes=PREFIX_RULES, patterns=PATTERN_RULES) -> DataFrame:
+    """Rules as a table: (host, path, null, verdict) for prefixes, (null, null, words, block) for patterns."""
+    return spark.createDataFrame([(h, p, None, v) for h, p, v in prefixes] + [(None, None, list(w), "block") for w in patterns], RULES)
 
 
-def prefix_rule(host: str, path: str, verdict: str) -> Rule:
-    # a path prefix may end inside a token, so only tokens that something follows are literal
-    whole = tokens_of(host) + tokens_of(path[: max(path.rfind("/"), 0)])
-    escaped = "".join(f"\\x{{{ord(c):x}}}" if not c.isalnum() else c for c in host + path)
-    return Rule(host + path, rf"\A(?:[^/]*\.)?{escaped}", whole, verdict, len(host + path))
+def tokens_of(text: Column) -> Column:
+    """Distinct runs of a-z and 0-9, A-Z lower-cased."""
+    return F.array_remove(F.array_distinct(F.split(F.translate(text, UPPER, LOWER), "[^a-z0-9]+")), "")
 
 
-def pattern_rule(words: tuple[str, ...]) -> Rule:
-    return Rule("", rf"\A[^/]*(?<![a-z0-9]){'[^a-z0-9/]'.join(words)}(?![a-z0-9])", words, "block", 0)
+def quoted(text: Column) -> Column:
+    return F.concat(F.lit("\\Q"), F.replace(text, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
 
 
-def rule_set(prefixes=PREFIX_RULES, patterns=PATTERN_RULES) -> list[Rule]:
-    rules = [prefix_rule(*p) for p in prefixes] + [pattern_rule(p) for p in patterns]
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the literal index holds {MAX_RULES}")
-    if not all(r.tokens for r in rules):
-        raise ValueError("every rule needs a literal token")
-    return rules
+def compiled(rules: DataFrame) -> DataFrame:
+    """(name, pattern, tokens, verdict, rank) of a table of rules; rank is 0 for patterns, else the rule's length.
+
+    A rule without a literal token fails the job. Equal rules count once.
+    """
+    host, path = F.coalesce("host", F.lit("")), F.coalesce("path", F.lit(""))
+    # a path prefix may end inside a token, so only tokens that something follows are literal
+    whole = tokens_of(F.concat(host, F.lit("/"), F.regexp_replace(path, "[^/]*$", "")))
+    prefix = F.concat(F.lit("\\A(?:[^/]*\\.)?"), quoted(F.concat(host, path)))
+    worded = F.concat(F.lit("\\A[^/]*(?<![a-z0-9])"), F.array_join(F.transform("words", quoted), "[^a-z0-9/]"), F.lit("(?![a-z0-9])"))
+    is_words = F.col("words").isNotNull()
+    rows = rules.distinct().select(
+        F.when(is_words, "").otherwise(F.concat(host, path)).alias("name"), F.when(is_words, worded).otherwise(prefix).alias("pattern"),
+        F.when(is_words, F.array_distinct("words")).otherwise(whole).alias("tokens"), "verdict", F.when(is_words, 0).otherwise(F.length(F.concat(host, path))).alias("rank"))
+    bare = F.raise_error(F.concat(F.lit("every rule needs a literal token: "), F.col("pattern"))).cast("array<string>")
+    return rows.withColumn("tokens", F.when(F.size("tokens") > 0, F.col("tokens")).otherwise(bare))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     rest = F.when(F.instr(url, "://") > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise("")
     host = F.regexp_extract(rest, r"\A[^/?#]*", 0)
     path = F.regexp_extract(rest, r"(?s)\A[^/?#]*([^?#]*)", 1)
-    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
-
-
-def url_tokens(site: Column) -> Column:
-    """Distinct runs of a-z and 0-9 of a host and path, A-Z lower-cased."""
-    low = F.translate(site, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_distinct(F.split(low, "[^a-z0-9]+"))
-
-
-def token_counts(sites: DataFrame, rules: list[Rule]) -> dict[str, int]:
-    """In how many URLs each token of a rule appears; as many rows as the rules have tokens."""
-    wanted = sorted({t for r in rules for t in r.tokens})
-    hits = sites.select(F.explode(F.array_intersect(url_tokens(F.col("site")), F.lit(wanted))).alias("token"))
-    return {r["token"]: r["n"] for r in hits.groupBy("token").agg(F.count("*").alias("n")).collect()}
+    return F.translate(host, UPPER, LOWER), path
 
 
-def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[Rule] | None = None) -> DataFrame:
+def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: DataFrame | None = None) -> DataFrame:
     """(id, host, path, rule, verdict, n_candidates) for every row.
 
-    The longest prefix rule that fits decides; else a pattern that fits blocks; else allow. Null URLs
-    and those without :// have an empty host and path and are allowed. Equal rows give equal results;
-    an empty table gives none; other columns are not read. Two rules of one length: block wins, then
-    the smaller name.
+    The longest prefix rule that fits decides; else a pattern that fits blocks; else allow. `rules` is a table like
+    `rule_table`; no rules allow everything. Null URLs and those without :// have an empty host and path and are allowed. Equal
+    rows give equal results; an empty table gives none; other columns are not read. Two rules of one length: block wins, then
+    the smaller name. A URL of any length is one row's text.
     """
-    rules = rule_set() if rules is None else rules
-    sites = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
+    spark = pages.sparkSession
+    rules = staged(compiled(rule_table(spark) if rules is None else rules), "rules")
+    few = rules.count() <= MOST_SENT
+    sent = F.broadcast if few else (lambda df: df)
     host, path = host_and_path(F.col("url"))
-    sites = sites.select("id", host.alias("host"), path.alias("path")).withColumn("site", F.concat("host", "path"))
-    counts = token_counts(sites, rules)
-    index: dict[str, list[Rule]] = {}
-    for rule in rules:
-        index.setdefault(min(rule.tokens, key=lambda t: (counts.get(t, 0), t)), []).append(rule)
-    entry = lambda r: F.struct(F.lit(r.rank).alias("rank"), F.lit(r.verdict).alias("verdict"),
-                               F.lit(r.name).alias("name"), F.lit(r.pattern).alias("pattern"))
-    kind = "array<struct<rank:int,verdict:string,name:string,pattern:string>>"
-    book = F.create_map(*[x for t, rs in sorted(index.items()) for x in (F.lit(t), F.array(*map(entry, rs)))]) if index else None
-    found = F.flatten(F.transform(F.array_intersect(url_tokens(F.col("site")), F.lit(sorted(index))), lambda t: F.element_at(book, t))) \
-        if index else F.array().cast(kind)
-    fits = F.filter("candidates", lambda r: F.regexp_like("site", r["pattern"]))
-    best = F.try_element_at(F.array_sort("fits", lambda x, y: (
-        F.when(x["rank"] != y["rank"], F.when(x["rank"] > y["rank"], -1).otherwise(1))
-        .when(x["verdict"] != y["verdict"], F.when(x["verdict"] == "block", -1).otherwise(1))
-        .when(x["name"] != y["name"], F.when(x["name"] < y["name"], -1).otherwise(1)).otherwise(0))), F.lit(1))
-    return (
-        sites.withColumn("candidates", found).withColumn("fits", fits).withColumn("best", best)
-        .select(F.col("id").alias(id_col), "host", "path", F.when(F.col("best.rank") > 0, F.col("best.name")).alias("rule"),
-                F.coalesce("best.verdict", F.lit("allow")).alias("verdict"), F.size("candidates").cast("long").alias("n_candidates"))
-    )
+    sites = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url")).select("id", host.alias("host"), path.alias("path"))
+    sites = staged(sites.withColumn("row", F.monotonically_increasing_id()), "sites")
+    asked = sites.select("row", F.concat("host", "path").alias("site")).withColumn("token", F.explode(tokens_of(F.col("site"))))
+    # in how many URLs each token of a rule appears
+    filed = rules.select("*", F.explode("tokens").alias("token")).drop("tokens")
+    counts = asked.join(sent(filed.select("token").distinct()), "token").groupBy("token").agg(F.count("*").alias("n"))
+    rarest = F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token")
+    index = staged(filed.join(counts, "token", "left").groupBy("name", "pattern", "verdict", "rank").agg(rarest), "index")
+    met = asked.join(sent(index), "token").withColumn("fits", F.regexp_like("site", F.col("pattern")))
+    # longest first, then block, then the smaller name
+    order = F.struct((-F.col("rank")).alias("r"), (F.col("verdict") != "block").alias("v"), F.col("name").alias("n"))
+    best = F.min_by(F.struct("rank", "verdict", "name"), F.when(F.col("fits"), order)).alias("best")
+    judged = met.groupBy("row").agg(best, F.count("*").alias("n_candidates"))
+    return sites.join(judged, "row", "left").select(
+        F.col("id").alias(id_col), "host", "path", F.when(F.col("best.rank") > 0, F.col("best.name")).alias("rule"),
+        F.coalesce("best.verdict", F.lit("allow")).alias("verdict"), F.coalesce("n_candidates", F.lit(0)).cast("long").alias("n_candidates"))
