@@ -1,7 +1,7 @@
 """Quality rules: base limits, then robust outliers by minimum covariance determinants.
 
 For each language and source the centre and scatter of transformed statistics are estimated from the
-half of the documents that lies closest (deterministic starts, then concentration steps), and documents
+half of the documents that lies closest (deterministic starts, then concentration steps until no determinant falls), and documents
 beyond a chi-square quantile of the squared Mahalanobis distance are rejected. A concentration step is
 one grouped aggregate: documents fall into bins of log distance, each bin carries sums and products,
 and the bins that hold the closest half give the next centre and scatter. Nothing is collected.
@@ -22,14 +22,19 @@ from ticketloom.llm.frames import staged
 from ticketloom.llm.wordarrays import map_texts
 
 MIN_WORDS = 50
-#: Fewer rows than this are pooled: a source with its language, then a language with all.
+#: Fewer rows than this are pooled: a source with its language, then a language with the other small ones, then all of these with all rows.
 MIN_GROUP = 200
-STEPS = 4
+#: Steps end when no log determinant moves by more than this; bins make them end exactly, as a rule within ten.
+SETTLED, MOST_STEPS = 1e-9, 50
+#: As many rows as the floors' scatter counts for in an estimate; it matters in groups of a few rows only.
+PRIOR_ROWS = 2.0
+#: Rows that a start's scatter is said to come from: so many that nothing is added to it.
+CERTAIN = 1e9
 #: Share of documents that the limit would reject if all were normal.
 TAIL = 1e-5
 
-#: Transformed statistics and the least standard deviation that each is given.
-STATISTICS = (("size", 0.5), ("length", 0.12), ("symbols", 0.05), ("lines", 0.16), ("repeats", 0.16), ("upper", 0.06))
+#: Transformed statistics and the least standard deviation that each is given: an estimate below it counts as singular.
+STATISTICS = (("size", 0.5), ("length", 0.06), ("symbols", 0.025), ("lines", 0.08), ("repeats", 0.08), ("upper", 0.03))
 D = len(STATISTICS)
 X = [f"x{i}" for i in range(D)]
 PAIRS = list(combinations_with_replacement(range(D), 2))
@@ -132,6 +137,12 @@ MODEL = ("grp string, start int, logdet double, scale double, " + ", ".join(f"m{
 FLOORS = np.array([f for _, f in STATISTICS])
 
 
+def floored(cov: np.ndarray, n: float) -> np.ndarray:
+    """A scatter whose variances are at least the floors' and in which they count as much as PRIOR_ROWS rows."""
+    full = (cov * n + np.diag(FLOORS**2) * PRIOR_ROWS) / (n + PRIOR_ROWS)
+    return full + np.diag(np.maximum(FLOORS**2 - np.diag(full), 0)) + np.diag(FLOORS**2) * 1e-3
+
+
 def to_model(sums: DataFrame) -> DataFrame:
     """Centre, inverse scatter and log determinant from n, sums and products; `scale` widens the scatter."""
 
@@ -143,9 +154,8 @@ def to_model(sums: DataFrame) -> DataFrame:
                 cov = np.zeros((D, D))
                 for i, j in PAIRS:
                     cov[i, j] = cov[j, i] = r[f"q{i}_{j}"] / r["n"] - mean[i] * mean[j]
-                full = cov * r["scale"] + np.diag(FLOORS**2)
-                inverse = np.linalg.inv(full)
-                out.append([r["grp"], r["start"], float(np.linalg.slogdet(cov + np.diag(FLOORS**2))[1]), r["scale"], *mean, *[inverse[i, j] for i, j in PAIRS]])
+                inverse = np.linalg.inv(floored(cov * r["scale"], r["n"]))
+                out.append([r["grp"], r["start"], float(np.linalg.slogdet(floored(cov, r["n"]))[1]), r["scale"], *mean, *[inverse[i, j] for i, j in PAIRS]])
             yield pd.DataFrame(out, columns=[c.split()[0] for c in MODEL.split(", ")])
 
     return sums.mapInPandas(run, MODEL)
@@ -163,12 +173,12 @@ def first_models(stats: DataFrame) -> DataFrame:
     wide = lambda t, p: t.groupBy("grp").agg(*[F.max(F.when(F.col("k") == i, F.col("mid"))).alias(f"{p}{i}") for i in range(D)])
     both = wide(centre, "c").join(wide(spread, "w"), "grp")
     both = staged(both.select("grp", *[f"c{i}" for i in range(D)], *[F.greatest(F.col(f"w{i}") * 1.4826, F.lit(float(FLOORS[i]) / 4)).alias(f"w{i}") for i in range(D)]), "starts")
-    plain = both.select("grp", F.lit(0).alias("start"), F.lit(1.0).alias("n"), F.lit(1.0).alias("scale"), *[F.col(f"c{i}").alias(f"s{i}") for i in range(D)],
-                        *[(F.col(f"c{i}") * F.col(f"c{j}") + (F.col(f"w{i}") ** 2 if i == j else 0.0)).alias(f"q{i}_{j}") for i, j in PAIRS])
+    plain = both.select("grp", F.lit(0).alias("start"), F.lit(CERTAIN).alias("n"), F.lit(1.0).alias("scale"), *[(F.col(f"c{i}") * CERTAIN).alias(f"s{i}") for i in range(D)],
+                        *[((F.col(f"c{i}") * F.col(f"c{j}") + (F.col(f"w{i}") ** 2 if i == j else 0.0)) * CERTAIN).alias(f"q{i}_{j}") for i, j in PAIRS])
     z = stats.join(both, "grp").select("grp", *[F.tanh((F.col(f"x{i}") - F.col(f"c{i}")) / F.col(f"w{i}")).alias(f"z{i}") for i in range(D)])
     moments = z.groupBy("grp").agg(F.count("*").cast("double").alias("z_n"), *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"t{i}_{j}") for i, j in PAIRS]).join(both, "grp")
-    bent = moments.select("grp", F.lit(1).alias("start"), F.lit(1.0).alias("n"), F.lit(1.0).alias("scale"), *[F.col(f"c{i}").alias(f"s{i}") for i in range(D)],
-                          *[(F.col(f"c{i}") * F.col(f"c{j}") + F.col(f"t{i}_{j}") / F.col("z_n") * F.col(f"w{i}") * F.col(f"w{j}") * 2).alias(f"q{i}_{j}") for i, j in PAIRS])
+    bent = moments.select("grp", F.lit(1).alias("start"), F.lit(CERTAIN).alias("n"), F.lit(1.0).alias("scale"), *[(F.col(f"c{i}") * CERTAIN).alias(f"s{i}") for i in range(D)],
+                          *[((F.col(f"c{i}") * F.col(f"c{j}") + F.col(f"t{i}_{j}") / F.col("z_n") * F.col(f"w{i}") * F.col(f"w{j}") * 2) * CERTAIN).alias(f"q{i}_{j}") for i, j in PAIRS])
     return to_model(plain.unionByName(bent))
 
 
@@ -210,9 +220,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     base_failed: fewer than 50 words, or more than half of them in repeated three-word windows. Only
     rows that pass are estimated from and judged; they are kept unless too far from their group. Null
-    languages and sources are groups of their own; groups under `min_group` are pooled, and what stays
-    too small even then is kept (distance null). Null texts are empty and fail. Repeated rows count
-    and are judged each; other columns are not read; an empty table gives none.
+    languages and sources are groups of their own; groups under `min_group` are pooled, and where the pool of
+    small languages stays too small, its rows are judged by an estimate from all rows that pass, however few.
+    Null texts are empty and fail. Rows of equal statistics shape an estimate once, so that copies do not make it
+    singular, and are judged each; other columns are not read; an empty table gives none. A long text is counted whole by one task.
     """
     raw = text_statistics(docs, id_col, text_col, [lang_col, source_col])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -224,12 +235,20 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     groups = by_source.join(by_lang, "g0", "left").select("g0", "g1", F.when(~small, F.concat(F.lit("s"), F.to_json(F.struct("g0", "g1"))))
                                                           .when(F.col("pooled") >= min_group, F.concat(F.lit("l"), F.col("g0"))).otherwise("all").alias("grp"))
     groups = staged(groups, "groups")
-    stats = staged(good.join(groups, ["g0", "g1"]).select("grp", *X), "vectors")
+    shaped = good.join(groups, ["g0", "g1"]).select("grp", *X)
+    n_pool = groups.where("grp = 'all'").join(by_source, ["g0", "g1"]).agg(F.sum("n")).collect()[0][0] or 0
+    if 0 < n_pool < min_group:
+        shaped = shaped.where("grp <> 'all'").unionByName(good.select(F.lit("all").alias("grp"), *X))
+    stats = staged(shaped.distinct(), "vectors")
     models = staged(first_models(stats), "models")
-    for _ in range(STEPS):
-        models = concentrate(stats, models)
-    enough = stats.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") >= min_group)
-    best = models.join(enough, "grp", "left_semi").withColumn(
+    for _ in range(MOST_STEPS):
+        after = concentrate(stats, models)
+        moved = after.select("grp", "start", F.col("logdet").alias("now")).join(models.select("grp", "start", "logdet"), ["grp", "start"]).agg(
+            F.max(F.abs(F.col("now") - F.col("logdet")))).collect()[0][0]
+        models = after
+        if not moved or moved <= SETTLED:
+            break
+    best = models.withColumn(
         "rank", F.row_number().over(Window.partitionBy("grp").orderBy("logdet", "start"))).where("rank = 1").drop("rank", "logdet", "scale", "start")
     best = staged(groups.join(best, "grp"), "models")
     limit = chi2_quantile(1 - TAIL, D)
