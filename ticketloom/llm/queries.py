@@ -14,6 +14,16 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def identifier_words(name: str = "byte_bpe_50k.json") -> list[str]:
+    """Words of three letters and more of a public tokenizer's vocabulary, in its order."""
+    import json
+    import re
+
+    with open(tokenizer_path(name), encoding="utf-8") as f:
+        ids = json.load(f)["model"]["vocab"]
+    return list(dict.fromkeys(w for w in (re.sub("[^A-Za-z]", "", t) for t in sorted(ids, key=ids.get)) if len(w) > 2))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -39,7 +49,7 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.secret_digests(documents(spark, sf_dir))
+    return secret_scan.secret_digests(documents(spark, sf_dir), words=identifier_words())
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
