@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 
 from ticketloom.llm import language, neardup, packing, secret_scan, substrings
 from ticketloom.llm.frames import staged
+from ticketloom.llm.queries import identifier_words
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, or no letters) go; the automata learn from the labelled rows."""
-    return language.drop_unidentified(docs, docs)
+    """`lang` becomes the language that the text is in; documents without one (no text, no letters) go. The automata learn from the labelled rows."""
+    return language.with_language(docs, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct().hint("merge")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """Of each group of near duplicates the document with the smallest id stays, once."""
+    return neardup.one_of_each(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,12 +32,12 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark."""
-    return sized(secret_scan.redact(docs))
+    return sized(secret_scan.redact(docs, words=identifier_words()))
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in token-budget batches of like length."""
-    return packing.pack(docs)
+    """Pieces of documents, with their text, in token-budget batches of like length."""
+    return packing.pack(docs, with_text=True)
 
 
 def sized(docs: DataFrame) -> DataFrame:
