@@ -24,7 +24,7 @@ from ticketloom.llm.wordarrays import map_texts
 MIN_WORDS = 50
 #: Fewer rows than this are pooled: a source with its language, then a language with the other small ones, then all of these with all rows.
 MIN_GROUP = 200
-#: Steps end when no log determinant moves by more than this; bins make them end exactly, as a rule within ten.
+#: Steps end when no log determinant falls by more than this, as a rule within ten.
 SETTLED, MOST_STEPS = 1e-9, 50
 #: As many rows as the floors' scatter counts for in an estimate; it matters in groups of a few rows only.
 PRIOR_ROWS = 2.0
@@ -240,14 +240,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if 0 < n_pool < min_group:
         shaped = shaped.where("grp <> 'all'").unionByName(good.select(F.lit("all").alias("grp"), *X))
     stats = staged(shaped.distinct(), "vectors")
-    models = staged(first_models(stats), "models")
+    models = concentrate(stats, staged(first_models(stats), "models"))
     for _ in range(MOST_STEPS):
-        after = concentrate(stats, models)
-        moved = after.select("grp", "start", F.col("logdet").alias("now")).join(models.select("grp", "start", "logdet"), ["grp", "start"]).agg(
-            F.max(F.abs(F.col("now") - F.col("logdet")))).collect()[0][0]
-        models = after
-        if not moved or moved <= SETTLED:
+        fallen = concentrate(stats, models).join(models.select("grp", "start", F.col("logdet").alias("before")), ["grp", "start"]).where(F.col("logdet") < F.col("before") - SETTLED)
+        fallen = staged(fallen.drop("before"), "models")
+        if fallen.isEmpty():
             break
+        models = staged(models.join(fallen, ["grp", "start"], "left_anti").unionByName(fallen), "models")
     best = models.withColumn(
         "rank", F.row_number().over(Window.partitionBy("grp").orderBy("logdet", "start"))).where("rank = 1").drop("rank", "logdet", "scale", "start")
     best = staged(groups.join(best, "grp"), "models")
