@@ -575,7 +575,7 @@ def test_small_pools_are_judged_by_all_rows(spark):
 
 def test_language_sample_has_copies_once(spark):
     rng = random.Random(12)
-    make = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(n))
+    make = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(6, 9))) for _ in range(n))
     texts = [make("abcdefg", 60) for _ in range(40)]
     rows = [("x", texts[0])] * 400 + [("x", t) for t in texts[1:]] + [("y", make("mnopqrs", 60)) for _ in range(40)]
     learned = language.training_texts(spark.createDataFrame(rows, "lang string, text string"), "lang", "text", 16, 4096)
