@@ -134,6 +134,12 @@ def distance2() -> Column:
 
 MODEL = ("grp string, start int, logdet double, scale double, " + ", ".join(f"m{i} double" for i in range(D)) + ", "
          + ", ".join(f"p{i}_{j} double" for i, j in PAIRS))
+
+
+def model_names() -> list[str]:
+    return [c.split()[0] for c in MODEL.split(", ")]
+
+
 FLOORS = np.array([f for _, f in STATISTICS])
 
 
@@ -156,7 +162,7 @@ def to_model(sums: DataFrame) -> DataFrame:
                     cov[i, j] = cov[j, i] = r[f"q{i}_{j}"] / r["n"] - mean[i] * mean[j]
                 inverse = np.linalg.inv(floored(cov * r["scale"], r["n"]))
                 out.append([r["grp"], r["start"], float(np.linalg.slogdet(floored(cov, r["n"]))[1]), r["scale"], *mean, *[inverse[i, j] for i, j in PAIRS]])
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in MODEL.split(", ")])
+            yield pd.DataFrame(out, columns=model_names())
 
     return sums.mapInPandas(run, MODEL)
 
@@ -201,7 +207,7 @@ def concentrate(stats: DataFrame, models: DataFrame) -> DataFrame:
         F.sum("n").cast("double").alias("n"), F.max("all").alias("all"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(D)],
         *[F.sum(f"q{i}_{j}").alias(f"q{i}_{j}") for i, j in PAIRS])
     # the closest half of a normal sample scatters less than all of it, by this factor
-    return staged(to_model(half.withColumn("scale", F.lit(half_factor()))), "models")
+    return to_model(half.withColumn("scale", F.lit(half_factor())))
 
 
 def half_factor() -> float:
@@ -240,13 +246,17 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if 0 < n_pool < min_group:
         shaped = shaped.where("grp <> 'all'").unionByName(good.select(F.lit("all").alias("grp"), *X))
     stats = staged(shaped.distinct(), "vectors")
-    models = concentrate(stats, staged(first_models(stats), "models"))
+    columns = [c for c in model_names() if c not in ("grp", "start")]
+    models = staged(concentrate(stats, staged(first_models(stats), "models")).withColumn("moving", F.lit(True)), "models")
     for _ in range(MOST_STEPS):
-        fallen = concentrate(stats, models).join(models.select("grp", "start", F.col("logdet").alias("before")), ["grp", "start"]).where(F.col("logdet") < F.col("before") - SETTLED)
-        fallen = staged(fallen.drop("before"), "models")
-        if fallen.isEmpty():
+        moving = models.where("moving")
+        if moving.isEmpty():
             break
-        models = staged(models.join(fallen, ["grp", "start"], "left_anti").unionByName(fallen), "models")
+        after = concentrate(stats, moving).select("grp", "start", *(F.col(c).alias(f"new_{c}") for c in columns))
+        fell = F.coalesce(F.col("new_logdet") < F.col("logdet") - SETTLED, F.lit(False))
+        models = staged(models.drop("moving").join(after, ["grp", "start"], "left").select(
+            "grp", "start", *(F.when(fell, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in columns), fell.alias("moving")), "models")
+    models = models.drop("moving")
     best = models.withColumn(
         "rank", F.row_number().over(Window.partitionBy("grp").orderBy("logdet", "start"))).where("rank = 1").drop("rank", "logdet", "scale", "start")
     best = staged(groups.join(best, "grp"), "models")
