@@ -38,7 +38,9 @@ BLOCK = 2048
 SLICE = 4 << 20
 END_WORD = np.uint64(0x5851F42D4C957F2D)
 WALK = 256  # tokens of one run of the walk
-CONTEXT_BITS, WORD_BITS = np.uint64(36), np.uint64(24)
+#: A run's key: 36 bits that choose the bucket, its order less one, whether its context is hot, and 25 more bits.
+ROUTE, ORDER, HOT = np.uint64(28), np.uint64(26), np.uint64(25)
+LOW = (np.uint64(1) << HOT) - np.uint64(1)
 HEAD = {"n_words": np.int64, "which": np.uint32, "kinds": np.uint64, "spelled": np.float32}
 
 
@@ -169,7 +171,10 @@ class Automaton:
 
 
 class Heavy:
-    """Counts of the keys that hold more than one in `size` of all seen; a count may be too low by that share."""
+    """Counts of the keys that hold more than one in `size` of all seen; a count may be too low by that share.
+
+    Of each lot only keys that may hold a share of it are told apart.
+    """
 
     def __init__(self, size: int) -> None:
         self.size, self.total = size, 0
@@ -177,6 +182,8 @@ class Heavy:
 
     def add(self, keys: np.ndarray) -> None:
         self.total += len(keys)
+        bins = (keys >> np.uint64(46)).astype(np.int64)
+        keys = keys[np.bincount(bins, minlength=1 << 18)[bins] * self.size > len(keys)]
         kinds, n = np.unique(keys, return_counts=True)
         all_, which = np.unique(np.concatenate([self.keys, kinds]), return_inverse=True)
         counts = np.bincount(which, weights=np.concatenate([self.counts, n]), minlength=len(all_)).astype(np.int64)
@@ -192,7 +199,7 @@ GRAM, BYTE, WORDS, DOCS, HEAVY = range(5)
 def train(docs: DataFrame, text_col: str, train_when: Column, share: float = 1.0) -> tuple[np.ndarray, np.ndarray, int, int, np.ndarray]:
     """Counts of four symbols, of bytes, of words and of documents over all training rows, and the contexts with more than `share` of the tokens.
 
-    Each task adds up its rows; Spark adds up the tasks. At most A**4 + 258 sums and 2 / share contexts reach the driver.
+    Each task adds up its rows; Spark adds up the tasks. At most A**4 + 258 sums and 8 / share contexts reach the driver.
     """
     ship(docs.sparkSession)
 
@@ -209,7 +216,7 @@ def train(docs: DataFrame, text_col: str, train_when: Column, share: float = 1.0
                 n_words += len(s.starts)
                 n_docs += piece.num_rows
                 heavy.add(np.concatenate(contexts(*tokens_of(word_hashes(s.raw, s.starts, s.ends), s.n_words))[1:]))
-        many = heavy.counts > share * heavy.total / 2
+        many = heavy.counts > share * heavy.total / 4
         found = [(GRAM, np.flatnonzero(grams), grams[grams > 0]), (BYTE, np.flatnonzero(spelled), spelled[spelled > 0]),
                  (WORDS, np.zeros(1), np.array([n_words])), (DOCS, np.zeros(1), np.array([n_docs])), (HEAVY, heavy.keys[many].view(np.int64), heavy.counts[many])]
         for kind, codes, n in found:
@@ -223,8 +230,8 @@ def train(docs: DataFrame, text_col: str, train_when: Column, share: float = 1.0
     for k, table in enumerate(out):
         table[code[kind == k]] = n[kind == k]
     n_words, n_docs = int(out[WORDS][0]), int(out[DOCS][0])
-    # two contexts a token; the summaries may miss half the share
-    least = share * 2 * (n_words + n_docs) / 4
+    # two contexts a token; lots, summaries and small shares of tasks may miss a quarter of the share each, or less
+    least = share * 2 * (n_words + n_docs) / 8
     hot = sums.where((F.col("kind") == HEAVY) & (F.col("n") > least)).select("code").toArrow().column("code").to_numpy()
     return out[GRAM], out[BYTE], n_words, n_docs, np.sort(hot.view(np.uint64))
 
@@ -248,34 +255,42 @@ def contexts(tokens: np.ndarray, heads: np.ndarray) -> list[np.ndarray]:
     return [np.zeros_like(tokens), mix(before + np.uint64(1)), mix(shifted(before, heads, END_WORD) * ODD + before + np.uint64(2))]
 
 
-def gram_keys(tokens: np.ndarray, heads: np.ndarray) -> list[np.ndarray]:
-    """Keys of the runs of one, two and three tokens that end at each token: their order less one, 36 bits of context and 24 of word, or 60 of word."""
-    word = mix(tokens)
-    out = [word >> np.uint64(4)]
-    for k, c in enumerate(contexts(tokens, heads)[1:], 1):
-        out.append(np.uint64(k) << np.uint64(60) | (c & (np.uint64(1) << CONTEXT_BITS) - np.uint64(1)) << WORD_BITS | word >> np.uint64(64) - WORD_BITS)
-    return out
-
+def gram_keys(tokens: np.ndarray, heads: np.ndarray, hot: np.ndarray) -> list[np.ndarray]:
+    """Keys of the runs of one, two and three tokens that end at each token.
 
-def bucket_of(tokens: np.ndarray, heads: np.ndarray, hot: np.ndarray, buckets: int) -> list[np.ndarray]:
-    """The bucket of each run: its context's, or for no context and hot ones that of context and word."""
+    Runs of one token are routed by the token, others by their context, so that a context's runs are neighbours; those of hot
+    contexts (in order) by context and token, with the context's number in place of the token.
+    """
+    word = mix(tokens)
     out = []
     for k, c in enumerate(contexts(tokens, heads)):
-        spread = mix(c ^ tokens * ODD)
-        at = spread if not k else np.where(found_in(hot, c), spread, c)
-        out.append((at >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32))
+        head = np.uint64(k) << ORDER
+        key = (mix(c + np.uint64(k)) if k else word) >> ROUTE << ROUTE | head | (word if not k else word >> np.uint64(1)) & LOW
+        if k and len(hot):
+            wide = np.flatnonzero(found_in(hot, c))
+            number = np.searchsorted(hot, c[wide]).astype(np.uint64)
+            key[wide] = mix(c[wide] ^ word[wide] * ODD) >> ROUTE << ROUTE | head | np.uint64(1) << HOT | number
+        out.append(key)
     return out
 
 
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
 def found_in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(values), bool)
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def context_code(keys: np.ndarray) -> np.ndarray:
-    """What the keys of one context share: their order and context; 0 for runs of one token."""
-    return np.where(keys >> np.uint64(60) > 0, keys >> WORD_BITS, np.uint64(0))
+def own_contexts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of keys in order: the number of each one's context, and which numbers are contexts of one or two tokens that are not hot."""
+    code = keys >> HOT
+    new = np.ones(len(keys), bool)
+    new[1:] = code[1:] != code[:-1]
+    code = code[new]
+    return np.cumsum(new) - 1, (code >> np.uint64(1) & np.uint64(3) > 0) & (code & np.uint64(1) == 0)
 
 
 def squeezed(x: np.ndarray) -> bytes:
@@ -308,121 +323,82 @@ def texts_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             number += 1
 
 
-class Runs:
-    """The distinct runs of a slice, in order of bucket and key, and which of them ends at each token, by order."""
-
-    def __init__(self, tokens: np.ndarray, heads: np.ndarray, hot: np.ndarray, buckets: int) -> None:
-        keys, where = np.concatenate(gram_keys(tokens, heads)), np.concatenate(bucket_of(tokens, heads, hot, buckets))
-        order = np.lexsort((keys, where))
-        new = np.ones(len(order), bool)
-        new[1:] = (keys[order][1:] != keys[order][:-1]) | (where[order][1:] != where[order][:-1])
-        which = np.empty(len(order), np.int64)
-        which[order] = np.cumsum(new) - 1
-        self.keys, where = keys[order][new], where[order][new]
-        self.which = which.reshape(3, -1)
-        self.edges = np.searchsorted(where, np.arange(buckets + 1, dtype=np.uint64))
-        # contexts within a bucket are neighbours too
-        code = context_code(self.keys)
-        first = np.ones(len(code), bool)
-        first[1:] = (code[1:] != code[:-1]) | (where[1:] != where[:-1])
-        self.context = np.cumsum(first) - 1
-        self.codes = code[first]
-
-
 class WordAutomaton:
-    """The states, arcs and failure arcs that a slice needs. Words are numbers below `n`, the end of a text is n - 1."""
+    """The part of the automaton that a slice needs. Arcs are the slice's runs; states are contexts, by the number of the run they are.
 
-    def __init__(self, n: int, single: np.ndarray, pairs: tuple, triples: tuple, words: tuple, double: tuple) -> None:
-        """single: log p of each word. pairs and triples: codes in order and log p of the runs seen, a code being the state's times n plus the word.
-        words: log weight of the failure arc of each word's context, nan where no training text has it. double: codes (word times n plus word) of
-        the contexts of two words that have one, in order, and their weights.
+    State 0 is the context of no word, 1 + r the one that is run r, and the last one the context before a document.
+    """
+
+    def __init__(self, which: np.ndarray, heads: np.ndarray, size: np.ndarray, n_runs: int, single: np.ndarray, count: np.ndarray,
+                 context: np.ndarray, follow: np.ndarray, discount: list[float]) -> None:
+        """which, count, context and follow have a row for each order and a column for each token: the run that ends there, how often it is
+        seen, and how often its context is, and with how many followers. single: log p of each token alone.
         """
-        self.n = n
-        known = ~np.isnan(words)
-        self.of_word = np.where(known, np.cumsum(known), 0)  # state 0 is the context of no word
-        low = 1 + int(known.sum())
-        self.double = double[0]
-        self.low = low
-        self.fail = np.concatenate([[0], np.zeros(low - 1, np.int64), self.of_word[double[0] % n]])
-        self.back = np.concatenate([[0.0], words[known], double[1]])
-        arcs = np.concatenate([np.arange(n), self.of_word[pairs[0] // n] * n + pairs[0] % n, triples[0]])
-        weight = np.concatenate([single, pairs[1], triples[1]])
-        by = np.argsort(arcs)
-        self.arcs, self.weight = arcs[by], weight[by]
-
-    def state_after(self, state: np.ndarray, word: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """The longest known context that ends with the word; `last` is the word before it."""
-        pair = last * self.n + word
-        at = np.minimum(np.searchsorted(self.double, pair), max(len(self.double) - 1, 0))
-        two = self.double[at] == pair if len(self.double) else np.zeros(len(pair), bool)
-        return np.where(two, self.low + at, self.of_word[word])
-
-    def step(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log p of the word after each state: weights of failure arcs until a state has an arc for it, and that arc's."""
-        total, open_ = np.zeros(len(state)), np.arange(len(state))
-        while len(open_):
-            want = state[open_] * self.n + word[open_]
-            at = np.minimum(np.searchsorted(self.arcs, want), len(self.arcs) - 1)
-            there = self.arcs[at] == want
-            total[open_[there]] += self.weight[at[there]]
-            open_ = open_[~there]
-            total[open_] += self.back[state[open_]]
-            state = state.copy()
-            state[open_] = self.fail[state[open_]]
-        return total
-
-    def walk(self, word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """log p of each document, from its first token on; runs of `WALK` tokens go side by side, entered over the two tokens before."""
-        doc = np.repeat(np.arange(len(size)), -(-size // WALK))
-        nth = np.arange(len(doc)) - np.repeat(np.cumsum(-(-size // WALK)) - -(-size // WALK), -(-size // WALK))
-        begin = first[doc] + nth * WALK
-        length = np.minimum(first[doc] + size[doc] - begin, WALK)
+        self.which, self.heads, self.size = which, heads, size
+        end = which[0][heads[0] + size[0] - 1] + 1 if len(size) else 0
+        self.start = n_runs + 1
+        one, two = shifted(which[0] + 1, heads, end), shifted(which[1] + 1, heads, self.start)
+        self.known = np.zeros(n_runs + 2, bool)
+        self.known[one[context[1] > 0]] = True
+        self.known[two[context[2] > 0]] = True
+        self.known[0] = True
+        self.fail, self.back = np.zeros(n_runs + 2, np.int64), np.zeros(n_runs + 2)
+        self.source, self.to = np.full(n_runs, -1), np.zeros(n_runs, np.int64)
+        self.weight = np.zeros(n_runs)
+        last = np.where(self.known[which[0] + 1], which[0] + 1, 0)  # what is known of the token alone
+        self.source[which[0]], self.weight[which[0]], self.to[which[0]] = 0, single, last
+        own = np.exp(single)
+        with np.errstate(divide="ignore"):
+            for k, state in ((1, one), (2, two)):
+                some = context[k] > 0
+                rest = np.divide(discount[k] * follow[k], context[k], out=np.ones(len(own)), where=some)
+                own = np.divide(np.maximum(count[k] - discount[k], 0), context[k], out=np.zeros(len(own)), where=some) + rest * own
+                self.back[state[some]] = np.log(rest[some])
+                seen = count[k] > 0
+                run = which[k][seen]
+                self.source[run], self.weight[run] = state[seen], np.log(own[seen])
+                pair = which[1][seen] + 1
+                self.to[run] = np.where(self.known[pair], pair, last[seen])
+        self.fail[two] = np.where(self.known[one], one, 0)
+        # how many words a state holds
+        self.words = np.zeros(n_runs + 2, np.int8)
+        self.words[one], self.words[two] = 1, 2
+
+    def walk(self) -> np.ndarray:
+        """log p of each document in one pass from left to right; runs of `WALK` tokens go side by side, entered in the state carried there."""
+        parts = -(-self.size // WALK)
+        doc = np.repeat(np.arange(len(self.size)), parts)
+        nth = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = self.heads[doc] + nth * WALK
+        length = np.minimum(self.heads[doc] + self.size[doc] - begin, WALK)
         order = np.argsort(-length, kind="stable")
         doc, begin, length = doc[order], begin[order], length[order]
-        end = self.n - 1
-        at = lambda back: np.where(begin - back >= first[doc], word[np.maximum(begin - back, 0)], end)
-        last = at(1)
-        state = self.state_after(np.zeros(len(doc), np.int64), last, at(2))
+        # two tokens before decide the state: the context of both, of the last one, or of none
+        end = self.which[0][self.heads[0] + self.size[0] - 1] + 1 if len(self.size) else 0
+        inside = begin > self.heads[doc]
+        two = np.where(inside, self.which[1][begin - 1] + 1, self.start)
+        one = np.where(inside, self.which[0][begin - 1] + 1, end)
+        state = np.where(self.known[two], two, np.where(self.known[one], one, 0))
         total = np.zeros(len(doc))
-        going = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right") if len(length) else np.zeros(0, np.int64)
-        for t, n in enumerate(going.tolist()):
-            here = word[begin[:n] + t]
-            total[:n] += self.step(state[:n], here)
-            state[:n] = self.state_after(state[:n], here, last[:n])
-            last[:n] = here
-        return np.bincount(doc, weights=total, minlength=len(size))
-
-
-def slice_automaton(word: np.ndarray, before: np.ndarray, older: np.ndarray, n: int, letters: np.ndarray, total: int, kinds: int,
-                    count: np.ndarray, context: np.ndarray, follow: np.ndarray, discount: list[float]) -> WordAutomaton:
-    """The automaton of a slice's tokens: count, context and follow have a row for each order and a column for each token; letters is log p of the spelling.
-
-    An order's probability is (count - discount) / context count, where there is one, and discount times distinct followers over
-    context count times the next lower order's; spelling stands below single words.
-    """
-    words = np.full(n, np.nan)
-    out = []
-    with np.errstate(divide="ignore"):
-        _, one = np.unique(word, return_index=True)
-        single = letters.copy()
-        seen = np.maximum(count[0] - discount[0], 0)[one] / max(total, 1)
-        single[word[one]] = np.logaddexp(np.log(seen), np.log(discount[0] * kinds / total if total else 1.0) + letters[word[one]])
-        own = np.exp(single)[word]
-        for k, state in ((1, before), (2, older * n + before)):
-            code, one = np.unique(state * n + word if k == 1 else np.unique(state, return_inverse=True)[1] * n + word, return_index=True)
-            some = context[k] > 0
-            weight = np.divide(discount[k] * follow[k], context[k], out=np.ones(len(word)), where=some)
-            own = np.divide(np.maximum(count[k] - discount[k], 0), context[k], out=np.zeros(len(word)), where=some) + weight * own
-            seen = count[k][one] > 0
-            if k == 1:
-                words[before[some]] = np.log(weight[some])
-                out.append((code[seen], np.log(own[one][seen])))
-            else:
-                known, at = np.unique(state[some], return_index=True)
-                low = 1 + int((~np.isnan(words)).sum())
-                number = low + np.searchsorted(known, state[one][seen])
-                out += [(number * n + word[one][seen], np.log(own[one][seen])), (known, np.log(weight[some][at]))]
-        return WordAutomaton(n, single, out[0], out[1], words, out[2])
+        going = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right") if len(length) else []
+        for t, n in enumerate(going):
+            at, here = begin[:n] + t, state[:n]
+            arc = np.zeros(n, np.int64)
+            open_ = np.arange(n)
+            for k in (2, 1, 0):
+                # an arc of this order may leave the state; without it the failure arc is taken, if the state is a context of so many words
+                mine = self.which[k][at[open_]]
+                there = self.source[mine] == here[open_]
+                arc[open_[there]] = mine[there]
+                open_ = open_[~there]
+                if not len(open_):
+                    break
+                fails = self.words[here[open_]] == k
+                total[open_[fails]] += self.back[here[open_[fails]]]
+                here[open_[fails]] = self.fail[here[open_[fails]]]
+            total[:n] += self.weight[arc]
+            state[:n] = self.to[arc]
+        return np.bincount(doc, weights=total, minlength=len(self.size))
 
 
 def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -443,16 +419,16 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
     shipped = spark.sparkContext.broadcast((model.weight, model.next, model.spelling))
     heavy = spark.sparkContext.broadcast(hot)
     total = n_train_words + n_train_docs
-    hot_codes = np.unique(np.concatenate([np.uint64(k) << CONTEXT_BITS | hot & (np.uint64(1) << CONTEXT_BITS) - np.uint64(1) for k in (1, 2)]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, piece, _, _, _, n_words, h in texts_in(batches):
             learned = piece.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            runs = Runs(*tokens_of(h, n_words), heavy.value, buckets)
-            times = np.bincount(runs.which.ravel(), weights=np.tile(np.repeat(learned, n_words + 1), 3), minlength=len(runs.keys)).astype(np.int64)
-            own = [(b, slice(*runs.edges[b : b + 2])) for b in np.flatnonzero(np.diff(runs.edges)).tolist()]
+            keys, which = np.unique(np.concatenate(gram_keys(*tokens_of(h, n_words), heavy.value)), return_inverse=True)
+            times = np.bincount(which, weights=np.tile(np.repeat(learned, n_words + 1), 3), minlength=len(keys)).astype(np.int64)
+            edges = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1, dtype=np.uint64))
+            own = [(b, slice(*edges[b : b + 2])) for b in np.flatnonzero(np.diff(edges)).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in own], pa.int32()), pa.array([name] * len(own), pa.string()),
-                                              pa.array([squeezed(steps(runs.keys[at])) for _, at in own], pa.binary()),
+                                              pa.array([squeezed(steps(keys[at])) for _, at in own], pa.binary()),
                                               pa.array([squeezed(times[at]) for _, at in own], pa.binary())], names=["bucket", "slice", "keys", "times"])
 
     def tally(table: pa.Table) -> pa.Table:
@@ -463,22 +439,24 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
         del keys
         own = np.concatenate([restored(x.as_py(), np.int64) for x in table.column("times")])
         c = np.bincount(which, weights=own, minlength=len(kinds)).astype(np.int64)
-        order = (kinds >> np.uint64(60)).astype(np.int64)
-        sums = np.array([[np.count_nonzero(c[order == k] >= 1), np.count_nonzero(c[order == k] == 1), np.count_nonzero(c[order == k] == 2)] for k in range(3)])
-        code = context_code(kinds)
-        first = np.flatnonzero(np.diff(code, prepend=~code[:1]))
-        spans = np.diff(np.append(first, len(code)))
+        order = (kinds >> ORDER & np.uint64(3)).astype(np.int64)
+        sums = np.array([[np.count_nonzero(c[order == k]), np.count_nonzero(c[order == k] == 1), np.count_nonzero(c[order == k] == 2)] for k in range(3)])
+        of, plain = own_contexts(kinds)
+        first = np.flatnonzero(np.diff(of, prepend=-1))
         followed, follow = np.add.reduceat(c, first), np.add.reduceat((c > 0).astype(np.int64), first)
-        of = np.repeat(np.arange(len(first)), spans)
         blobs, more = [], []
         for k in range(len(names)):
             mine = which[edges[k] : edges[k + 1]]
             blobs.append(squeezed(c[mine]))
             ctx = of[mine]
             ctx = ctx[np.diff(ctx, prepend=-1) != 0]
+            ctx = ctx[plain[ctx]]
             more.append((squeezed(followed[ctx]), squeezed(follow[ctx])))
-        wide = np.flatnonzero(found_in(hot_codes, code[first]))
-        parts = [{"code": int(code[first[k]]), "n": int(followed[k]), "m": int(follow[k])} for k in wide.tolist() if code[first[k]]]
+        # hot contexts: what this bucket holds of each
+        wide = kinds >> HOT & np.uint64(1) == 1
+        code, at = np.unique((kinds[wide] >> ORDER & np.uint64(3)) << HOT | kinds[wide] & LOW, return_inverse=True)
+        n, m = np.bincount(at, weights=c[wide], minlength=len(code)), np.bincount(at, weights=c[wide] > 0, minlength=len(code))
+        parts = [{"code": int(x), "n": int(y), "m": int(z)} for x, y, z in zip(code.tolist(), n.tolist(), m.tolist(), strict=True)]
         kind = pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64()), ("m", pa.int64())]))
         return pa.table({"slice": pa.array([*names, None], pa.string()), "bucket": pa.array([bucket] * (len(names) + 1), pa.int32()),
                          "counts": pa.array([*blobs, None], pa.binary()), "contexts": pa.array([*(m[0] for m in more), None], pa.binary()),
@@ -512,29 +490,35 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
         if head.num_rows != 1 or not counted.num_rows:
             raise RuntimeError("the documents changed while they were read")
         ids = head.column("ids").combine_chunks().flatten()
-        n_words, which, kinds_, spelled = (restored(head.column(c)[0].as_py(), k) for c, k in HEAD.items())
-        tokens, first = tokens_of(np.cumsum(kinds_, dtype=np.uint64)[which], n_words)
-        runs = Runs(tokens, first, heavy.value, buckets)
+        n_words, named, kinds_, spelled = (restored(head.column(c)[0].as_py(), k) for c, k in HEAD.items())
+        tokens, first = tokens_of(np.cumsum(kinds_, dtype=np.uint64)[named], n_words)
+        keys, which = np.unique(np.concatenate(gram_keys(tokens, first, heavy.value)), return_inverse=True)
+        which = which.reshape(3, -1)
         order = np.argsort(counted.column("bucket").to_numpy())
         c, followed, follow = (np.concatenate([restored(counted.column(x)[int(k)].as_py(), np.int64) for k in order]) for x in ("counts", "contexts", "follows"))
-        codes, n, m = totals.value
-        if len(codes):
-            at = np.minimum(np.searchsorted(codes, runs.codes.view(np.int64)), len(codes) - 1)
-            hit = codes[at] == runs.codes.view(np.int64)
-            followed, follow = np.where(hit, n[at], followed), np.where(hit, m[at], follow)
-        count = c[runs.which].astype(float)
-        context, follow = (x[runs.context[runs.which]].astype(float) for x in (followed, follow))
+        of, plain = own_contexts(keys)
+        per_context = np.zeros((2, len(plain)), np.int64)
+        per_context[:, plain] = followed, follow
+        per_run = per_context[:, of]
+        hot_runs = np.flatnonzero(keys >> HOT & np.uint64(1) == 1)
+        if len(hot_runs):
+            codes, n, m = totals.value
+            at = np.searchsorted(codes, ((keys[hot_runs] >> ORDER & np.uint64(3)) << HOT | keys[hot_runs] & LOW).astype(np.int64))
+            per_run[:, hot_runs] = n[at], m[at]
+        count = c[which].astype(float)
+        context, follow = per_run[0][which].astype(float), per_run[1][which].astype(float)
         end = len(kinds_)
-        word = np.insert(which.astype(np.int64), np.cumsum(n_words), end)
-        before = shifted(word, first, end)
+        word = np.insert(named.astype(np.int64), np.cumsum(n_words), end)
         letters = np.append(spelled * np.log(10) + np.log((n_train_words + 0.5) / (total + 1)), np.log((n_train_docs + 0.5) / (total + 1)))
-        automaton = slice_automaton(word, before, shifted(before, first, end), end + 1, letters, total, kinds[0], count, context, follow, discount)
+        with np.errstate(divide="ignore"):
+            single = np.logaddexp(np.log(np.maximum(count[0] - discount[0], 0) / max(total, 1)), np.log(discount[0] * kinds[0] / total if total else 1.0) + letters[word])
+        automaton = WordAutomaton(which, first, n_words + 1, len(keys), single, count, context, follow, discount)
         size = n_words + 1
         known = count[0]
         return pa.table({"id": ids, "n_tokens": pa.array(size), "n_known": pa.array(np.add.reduceat((known > 0).astype(np.int64), first)),
                          "train_tokens": pa.array(np.full(len(size), total), pa.int64()),
                          "base_score": pa.array(np.add.reduceat(np.log10(known + 0.5), first) - size * each),
-                         "score": pa.array(automaton.walk(word, first, size) / np.log(10))})
+                         "score": pa.array(automaton.walk() / np.log(10))})
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = rows.mapInArrow(heads, f"slice string, ids array<{kind}>, " + ", ".join(f"{c} binary" for c in HEAD))
