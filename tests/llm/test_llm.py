@@ -392,17 +392,23 @@ def test_lm_probabilities_sum_to_one(spark):
         assert total + rest * outside == pytest.approx(1)
 
 
-def test_lm_automaton_walks_states_and_failure_arcs():
-    """Two contexts by hand: a b is known, b only as a word; c follows a b, d does not."""
-    a, b, c, d, end = range(5)
-    n = 5
-    single = np.log(np.array([0.3, 0.3, 0.2, 0.1, 0.1]))
-    words = np.full(n, np.nan)
-    words[b] = np.log(0.5)
-    m = backoff.WordAutomaton(n, single, (np.array([b * n + c]), np.log([0.6])), (np.array([2 * n + c]), np.log([0.7])), words, (np.array([a * n + b]), np.log([0.25])))
-    got = m.walk(np.array([a, b, c, end, a, b, d, end]), np.array([0, 4]), np.array([4, 4]))
-    assert got[0] == pytest.approx(np.log(0.3 * 0.3 * 0.7 * 0.1))
-    assert got[1] == pytest.approx(np.log(0.3 * 0.3 * (0.25 * 0.5 * 0.1) * 0.1))
+def test_lm_automaton_walks_states_and_failure_arcs(monkeypatch):
+    """Two documents a b c and a b d: b follows a, c follows a b and b; d is only a word. Any cut of the walk gives the same."""
+    names = {}
+    run = lambda *w: names.setdefault(w, len(names))
+    words = ["a", "b", "c", ".", "a", "b", "d", "."]
+    which = np.array([[run(w) for w in words], [run(x, y) for x, y in zip([".", *words[:3], ".", *words[4:7]], words)],
+                      [run(x, y, z) for x, y, z in zip([".", ".", "a", "b", ".", ".", "a", "b"], [".", *words[:3], ".", *words[4:7]], words)]])
+    single = np.log(np.array([0.3, 0.3, 0.2, 0.1, 0.3, 0.3, 0.05, 0.1]))
+    count = np.array([[1.0] * 8, [0, 4, 2, 0, 0, 4, 0, 0], [0, 0, 1, 0, 0, 0, 0, 0]])
+    context = np.array([[9.0] * 8, [0, 5, 4, 0, 0, 5, 4, 0], [0, 0, 2, 0, 0, 0, 2, 0]])
+    follow = np.array([[1.0] * 8, [0, 2, 3, 0, 0, 2, 3, 0], [0, 0, 2, 0, 0, 0, 2, 0]])
+    b_after_a, c_after_b = 3.5 / 5 + 0.5 * 2 / 5 * 0.3, 1.5 / 4 + 0.5 * 3 / 4 * 0.2
+    want = [0.3 * b_after_a * (0.5 / 2 + 0.5 * 2 / 2 * c_after_b) * 0.1, 0.3 * b_after_a * (0.5 * 2 / 2) * (0.5 * 3 / 4) * 0.05 * 0.1]
+    for walk in (1, 2, 3, 256):
+        monkeypatch.setattr(backoff, "WALK", walk)
+        m = backoff.WordAutomaton(which, np.array([0, 4]), np.array([4, 4]), len(names), single, count, context, follow, [0.5, 0.5, 0.5])
+        assert np.exp(m.walk()) == pytest.approx(want)
 
 
 def test_lm_heavy_contexts_are_all_found():
