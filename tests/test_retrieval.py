@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketloom.operators import retrieval as R
+from ticketloom.operators import vectorindex as V
 
 
 def vectors(spark, n, dims=16, seed=0):
@@ -54,39 +55,80 @@ def test_vector_plan_has_no_cross_join(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def recall(exact, got):
+    return sum(len(set(exact[i]) & set(got.get(i, []))) for i in exact) / sum(map(len, exact.values()))
+
+
 def test_approximate_vectors_recall(spark):
     rng = np.random.default_rng(5)
     centers = rng.standard_normal((30, 16)) * 3
     rows = np.vstack([c + rng.standard_normal((10, 16)) for c in centers])
     df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)], "id long, embedding array<double>")
     exact = brute(rows, 3)
-    got = as_lists(R.vector_topk_approx(df, df, 3, "id", "id", dims=16, exclude_same_id=True, bucket_rows=7))
-    recall = sum(len(set(exact[i]) & set(got.get(i, []))) for i in exact) / (3 * len(exact))
-    assert recall > 0.8
-    again = as_lists(R.vector_topk_approx(df.repartition(3), df, 3, "id", "id", dims=16, exclude_same_id=True))
+    got = as_lists(R.vector_topk_approx(df, df, 3, "id", "id", exclude_same_id=True))
+    assert recall(exact, got) >= 0.9
+    again = as_lists(R.vector_topk_approx(df.repartition(3), df, 3, "id", "id", exclude_same_id=True))
     assert again == got
 
 
-def test_approximate_recall_stays_with_many_bits(spark):
-    """Neighbours at a cosine of about 0.7 in tables of 11 bits; one vector in 50 asks, as in the checks of recall."""
-    rng = np.random.default_rng(9)
-    centers = np.repeat(rng.standard_normal((300, 64)), 5, axis=0)
-    rows = centers + rng.standard_normal(centers.shape) * 0.65
-    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)], "id long, embedding array<double>")
+def table_of(spark, rows):
+    import pandas as pd
+
+    return spark.createDataFrame(pd.DataFrame({"id": np.arange(len(rows)), "embedding": rows.tolist()}))
+
+
+@pytest.mark.parametrize("n,spread", [(10_000, 0.65), (10_000, None), (100_000, 0.65)])
+def test_vector_index_recall_and_work(spark, n, spread, monkeypatch):
+    """Clustered and plain random vectors; one in 50 asks. A sparser sample than the table is trained on at the larger size."""
+    rng = np.random.default_rng(n)
+    rows = rng.standard_normal((n, 32))
+    if spread:
+        rows = np.repeat(rng.standard_normal((n // 5, 32)), 5, axis=0) + rows * spread
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    df = table_of(spark, rows)
     asked = df.filter("id % 50 = 0")
-    exact = as_lists(R.vector_topk(asked, df, 3, "id", "id", exclude_same_id=True))
-    got = as_lists(R.vector_topk_approx(asked, df, 3, "id", "id", exclude_same_id=True, bucket_rows=1))
-    assert sum(len(set(exact[i]) & set(got.get(i, []))) for i in exact) >= 0.9 * 3 * len(exact)
+    index = V.build(df, k=3, corpus_id="id")
+    got = as_lists(V.search(index, asked, 3, "id", exclude_same_id=True))
+    exact = {}
+    for i in range(0, n, 50):
+        near = unit @ unit[i]
+        near[i] = -2
+        best = np.argpartition(-near, 3)[:3]
+        exact[i] = best.tolist()
+    assert recall(exact, got) >= 0.9
+    if spread:
+        # rows in the lists that a query asks
+        sizes = np.bincount((unit @ index.centres.T).argmax(axis=1), minlength=len(index.centres))
+        chosen = np.argsort(-(unit[::500] @ index.centres.T), axis=1)[:, : index.probes]
+        assert sizes[chosen].sum(axis=1).mean() < 0.35 * n
+
+
+def test_vector_index_is_kept_and_copies_are_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(V, "SHARD_ROWS", 50)
+    monkeypatch.setattr(V, "SMALL_SHARD", 50)
+    monkeypatch.setattr(V, "QUERY_ROWS", 20)
+    rows, df = vectors(spark, 240)
+    index = V.build(df, str(tmp_path / "index"), 3, "id")
+    assert max(len(s) for s in index.shards) > 1 and index.rows.groupBy("shard").count().agg(F.max("count")).first()[0] <= 110
+    exact = as_lists(R.vector_topk(df, df, 3, "id", "id", exclude_same_id=True))
+    everything = as_lists(V.search(V.load(spark, str(tmp_path / "index")), df, 3, "id", exclude_same_id=True, probes=len(index.centres)))
+    assert everything == exact
+
 
+def test_vector_index_of_few_and_no_rows(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0])], "id long, embedding array<double>")
+    got = {(r.query_id, r.corpus_id, r.score) for r in R.vector_topk_approx(df, df, 3, "id", "id", exclude_same_id=True).collect()}
+    assert got <= {(1, 3, 0.0), (3, 1, 0.0)} and len(got) >= 1
+    assert R.vector_topk_approx(df, df.filter("false"), 3, "id", "id").count() == 0
+    assert R.vector_topk_approx(df.filter("false"), df, 3, "id", "id").count() == 0
 
-def test_approximate_tables_follow_the_collision_formula():
-    import math
 
-    same = 1 - math.acos(0.7) / math.pi
-    for bits in range(17):
-        tables, distance = R._plan(bits, 6)
-        once = sum(math.comb(bits, j) * same ** (bits - j) * (1 - same) ** j for j in range(min(bits, distance) + 1))
-        assert tables >= 6 and 1 - (1 - min(once, 1)) ** tables >= 0.95
+def test_ranking_is_by_unrounded_scores(spark):
+    """Two neighbours that agree in six digits: the better one is first, though its id is larger."""
+    near, nearer = math.cos(0.0005), math.cos(0.0001)
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [near, math.sin(0.0005)]), (2, [nearer, math.sin(0.0001)])], "id long, embedding array<double>")
+    got = R.vector_topk(df.filter("id = 0"), df, 2, "id", "id", exclude_same_id=True).orderBy("rank").collect()
+    assert [r.corpus_id for r in got] == [2, 1] and got[0].score == got[1].score == 1.0
 
 
 def bm25(queries, docs, k):
@@ -109,8 +151,8 @@ def bm25(queries, docs, k):
     return out
 
 
-@pytest.mark.parametrize("corpus_rows", [10_000, 23])
-def test_text_topk_is_exact(spark, corpus_rows):
+@pytest.mark.parametrize("shard_rows", [10_000, 23])
+def test_text_topk_is_exact(spark, shard_rows):
     rng = random.Random(2)
     vocabulary = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
     docs = [(f"d{i:03d}", " ".join(["hotword"] + rng.choices(vocabulary, k=rng.randint(0, 20)))) for i in range(150)]
@@ -120,13 +162,67 @@ def test_text_topk_is_exact(spark, corpus_rows):
     q = spark.createDataFrame(queries, "query_id string, text string")
     d = spark.createDataFrame(docs, "doc_id string, content string")
     got = {}
-    for r in R.text_topk(q, R.index_terms(d), 3, corpus_rows=corpus_rows, query_rows=corpus_rows).orderBy("query_id", "rank").collect():
+    for r in R.text_topk(q, R.index_terms(d), 3, shard_rows=shard_rows).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["corpus_id"], r["score"]))
     expected = bm25(queries, docs, 3)
     assert {q: [d for d, _ in v] for q, v in got.items()} == {q: [d for d, _ in v] for q, v in expected.items()}
     assert all(abs(a[1] - b[1]) < 1e-5 for q in got for a, b in zip(got[q], expected[q]))
 
 
+@pytest.mark.parametrize("shard_rows,block", [(10_000, 64), (60, 4)])
+def test_text_search_over_many_shards(spark, shard_rows, block, monkeypatch):
+    """Templates with numbers, as tickets have them, a word in every row, and queries with words of several templates."""
+    from ticketloom.operators import textindex as I
+
+    monkeypatch.setattr(I, "BLOCK_ROWS", block)
+    monkeypatch.setattr(I, "QUERY_ROWS", 40)
+    rng = random.Random(shard_rows)
+    vocabulary = [f"w{i}" for i in range(60)]
+    templates = [rng.sample(vocabulary, rng.randint(3, 9)) for _ in range(12)]
+    docs = [(f"d{i:04d}", " ".join(["every", *rng.choice(templates), f"n{rng.randint(0, 150)}"])) for i in range(600)]
+    docs += [(f"x{i:04d}", " ".join(["every", *rng.choices(vocabulary, k=rng.randint(1, 15))])) for i in range(200)]
+    queries = [(f"q{i}", " ".join([*rng.choice(templates), *rng.sample(vocabulary, rng.randint(0, 3)), f"n{rng.randint(0, 300)}", rng.choice(["every", "never"])])) for i in range(150)]
+    q, d = spark.createDataFrame(queries, "query_id string, text string"), spark.createDataFrame(docs, "doc_id string, content string")
+    got = {}
+    for r in R.text_topk(q, R.index_terms(d), 3, shard_rows=shard_rows).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["corpus_id"], r["score"]))
+    expected = bm25(queries, docs, 3)
+    assert {k: [x for x, _ in v] for k, v in got.items()} == {k: [x for x, _ in v] for k, v in expected.items()}
+    assert all(abs(a[1] - b[1]) < 1e-5 for k in got for a, b in zip(got[k], expected[k], strict=True))
+
+
+def test_text_shard_search_is_exact():
+    """The search in one shard against all sums, for small blocks, batches and floors."""
+    import pyarrow as pa
+
+    from ticketloom.operators import textindex as I
+
+    rng = random.Random(3)
+    for _ in range(120):
+        vocabulary = [f"w{i}" for i in range(rng.randint(1, 15))]
+        docs = []
+        for _ in range(rng.randint(1, 60)):
+            ws = sorted(set(rng.choices(vocabulary, k=rng.randint(0, 6))))
+            docs.append((f"d{rng.random():.6f}", ws, [rng.choice([0.5, 1.0, 1.25]) for _ in ws]))
+        idf = {v: rng.choice([0.1, 1.0, 2.0]) for v in vocabulary}
+        rows = pa.table({"corpus_id": [d[0] for d in docs], "words": pa.array([d[1] for d in docs], pa.list_(pa.string())), "weights": pa.array([d[2] for d in docs], pa.list_(pa.float64()))})
+        shard, k = I.Shard(rows, block=rng.choice([1, 2, 7, 64])), rng.choice([1, 2, 3])
+        asked = []
+        for n in range(rng.randint(1, 20)):
+            ws = rng.sample([*vocabulary, "zz"], rng.randint(0, min(len(vocabulary), 5)))
+            floor = rng.choice([None, None, float(rng.randint(0, 4)) * I.STEPS / 2])
+            asked.append((str(n), ws, [idf.get(w, 3.0) for w in ws], floor, None if floor is None else rng.choice(docs)[0]))
+        table = pa.table({"query_id": [a[0] for a in asked], "words": pa.array([a[1] for a in asked], pa.list_(pa.string())), "idfs": pa.array([a[2] for a in asked], pa.list_(pa.float64())),
+                          "floor": pa.array([a[3] for a in asked], pa.float64()), "floor_id": pa.array([a[4] for a in asked], pa.string())})
+        got = {}
+        for w, r, x in zip(*(c.tolist() for c in shard.search(table, k)), strict=True):
+            got.setdefault(w, []).append((docs[r][0], x))
+        for n, (_, ws, idfs, floor, floor_id) in enumerate(asked):
+            sums = [(d, sum(np.floor(i * w * I.STEPS) for a, i in zip(ws, idfs, strict=True) for b, w in zip(dw, dx, strict=True) if a == b)) for d, dw, dx in docs]
+            want = sorted(((d, s) for d, s in sums if s > 0 and (floor is None or s > floor or (s == floor and d < floor_id))), key=lambda x: (-x[1], x[0]))[:k]
+            assert got.get(n, []) == want
+
+
 def test_context(spark):
     docs = spark.createDataFrame([("a", "Disk", "disk full " + "x" * 2000)], "doc_id string, title string, content string")
     q = spark.createDataFrame([(1, "disk trouble"), (2, "nothing")], "id int, text string")

@@ -22,6 +22,8 @@ CORPUS_BLOCK = 16384
 QUERY_BLOCK = 4096
 SMALL_BLOCK = 512
 DIGITS = 6
+SLACK = 1e-9
+CELLS, PAIRS = 4_000_000, 200_000
 
 
 def blocks_for(count: Column, rows: int, cores: int = 1) -> Column:
@@ -43,27 +45,9 @@ def all_blocks(blocks: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), blocks - 1))
 
 
-def keep_best(rows: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best scores; ties go to the lower position."""
-    if len(rows) > k:
-        floor = np.partition(rows, len(rows) - k)[len(rows) - k]
-        pos = np.flatnonzero(rows >= floor)
-    else:
-        pos = np.arange(len(rows))
-    return pos[np.lexsort((pos, -rows[pos]))][:k]
-
-
-def result_table(
-    q: pa.Table, c: pa.Table, picked: list[tuple[int, np.ndarray, np.ndarray]], schema: pa.Schema
-) -> pa.Table:
+def result_table(q: pa.Table, c: pa.Table, picked: tuple[np.ndarray, np.ndarray, np.ndarray], schema: pa.Schema) -> pa.Table:
     """(query_id, corpus_id, score) rows of the picked positions."""
-    if picked:
-        q_at = np.repeat([p[0] for p in picked], [len(p[1]) for p in picked])
-        c_at = np.concatenate([p[1] for p in picked])
-        scores = np.concatenate([p[2] for p in picked])
-    else:
-        q_at, c_at, scores = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    columns = [q["query_id"].take(pa.array(q_at)), c["corpus_id"].take(pa.array(c_at)), pa.array(scores)]
+    columns = [q["query_id"].take(pa.array(picked[0])), c["corpus_id"].take(pa.array(picked[1])), pa.array(picked[2])]
     return pa.table(columns, names=["query_id", "corpus_id", "score"]).cast(schema)
 
 
@@ -71,7 +55,7 @@ def blockwise_topk(
     queries: DataFrame,
     corpus: DataFrame,
     k: int,
-    score: Callable[[pa.Table, pa.Table], list[tuple[int, np.ndarray, np.ndarray]]],
+    score: Callable[[pa.Table, pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]],
     keys: list[str] | None = None,
     corpus_rows: int = CORPUS_BLOCK,
     query_rows: int = QUERY_BLOCK,
@@ -112,9 +96,10 @@ def blockwise_topk(
 
 
 def best_of(partial: DataFrame, k: int) -> DataFrame:
-    """Global top k per query of per-block top-k rows; one rank limit runs before the shuffle."""
+    """Global top k per query of per-block top-k rows, by unrounded scores; one rank limit runs before the shuffle."""
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("corpus_id"))
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best = partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.withColumn("score", F.round("score", DIGITS))
 
 
 def unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
@@ -127,56 +112,44 @@ def unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
 
-def cosine_scorer(k: int, exclude_same_id: bool) -> Callable:
-    def score(q: pa.Table, c: pa.Table) -> list:
-        q_rows, c_rows = unit_rows(q["vec"]), unit_rows(c["vec"])
-        if exclude_same_id:
-            same = pc.index_in(q["query_id"], value_set=c["corpus_id"]).to_numpy(zero_copy_only=False)
-        picked = []
-        step = max(1, 4_000_000 // max(1, len(c_rows)))
-        for at in range(0, len(q_rows), step):
-            block = np.round(q_rows[at:at + step] @ c_rows.T, DIGITS)
-            for i, row in enumerate(block):
-                if exclude_same_id and same[at + i] == same[at + i]:
-                    row[int(same[at + i])] = -np.inf
-                best = keep_best(row, k)
-                best = best[row[best] > -np.inf]
-                picked.append((at + i, best, row[best]))
-        return picked
+def same_rows(ids: pa.ChunkedArray, others: pa.ChunkedArray) -> np.ndarray:
+    """The place of each id among others, far below 0 where it is not there."""
+    return pc.fill_null(pc.index_in(ids, value_set=others.combine_chunks()), -(1 << 31)).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    return score
+
+def first_of_each(who: np.ndarray, row: np.ndarray, score: np.ndarray, place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query; ties go to the lower place."""
+    order = np.lexsort((place, -score, who))
+    who, row, score = who[order], row[order], score[order]
+    begin = np.flatnonzero(np.diff(who, prepend=-1))
+    nth = np.arange(len(who)) - np.repeat(begin, np.diff(np.append(begin, len(who))))
+    return who[nth < k], row[nth < k], score[nth < k]
 
 
-def weighted_terms_scorer(k: int) -> Callable:
-    """Sum of idf x weight over shared words, from word lists of both sides."""
-
-    def score(q: pa.Table, c: pa.Table) -> list:
-        q_words = pc.list_flatten(q["words"])
-        vocabulary = pc.unique(q_words)
-        q_word = pc.index_in(q_words, value_set=vocabulary).to_numpy(zero_copy_only=False)
-        q_ends = np.cumsum(pc.list_value_length(q["words"]).to_numpy(zero_copy_only=False))
-        idf = pc.list_flatten(q["idfs"]).to_numpy(zero_copy_only=False)
-        c_word = pc.fill_null(pc.index_in(pc.list_flatten(c["words"]), value_set=vocabulary), -1)
-        c_word = c_word.to_numpy(zero_copy_only=False)
-        weight = pc.list_flatten(c["weights"]).to_numpy(zero_copy_only=False)
-        doc = np.repeat(np.arange(c.num_rows), pc.list_value_length(c["words"]).to_numpy(zero_copy_only=False))
-        used = c_word >= 0
-        c_word, weight, doc = c_word[used], weight[used], doc[used]
-        order = np.argsort(c_word, kind="stable")
-        weight, doc = weight[order], doc[order]
-        ends = np.searchsorted(c_word[order], np.arange(len(vocabulary) + 1))
-        picked = []
-        start = 0
-        for i, end in enumerate(q_ends):
-            total = np.zeros(c.num_rows)
-            for at in range(start, end):
-                run = slice(ends[q_word[at]], ends[q_word[at] + 1])
-                total[doc[run]] += idf[at] * weight[run]
-            start = end
-            found = np.flatnonzero(total > 0)
-            rounded = np.round(total[found], DIGITS)
-            best = keep_best(rounded, k)
-            picked.append((i, found[best], rounded[best]))
-        return picked
+def best_cosines(q_rows: np.ndarray, c_rows: np.ndarray, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the k best rows for each query, ranked as they are; ties go to the lower row.
+
+    A matrix product finds the rows within ``SLACK`` of the k-th best; their scores are added up again row by row, so
+    that copies have one score wherever they stand. ``skip`` is a row that a query may not find.
+    """
+    out = []
+    step = max(1, CELLS // max(1, len(c_rows)))
+    for at in range(0, len(q_rows), step):
+        block = q_rows[at:at + step] @ c_rows.T
+        if skip is not None:
+            own = np.flatnonzero((skip[at:at + step] >= 0) & (skip[at:at + step] < len(c_rows)))
+            block[own, skip[at + own]] = -np.inf
+        floor = np.partition(block, block.shape[1] - k, axis=1)[:, block.shape[1] - k] if block.shape[1] > k else np.full(len(block), -np.inf)
+        who, row = np.nonzero((block >= floor[:, None] - SLACK) & (block > -np.inf))
+        exact = np.concatenate([(c_rows[row[i:i + PAIRS]] * q_rows[at + who[i:i + PAIRS]]).sum(axis=1) for i in range(0, len(who), PAIRS)] or [np.zeros(0)])
+        best = first_of_each(who, row, exact, row, k)
+        out.append((best[0] + at, best[1], best[2]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+
+
+def cosine_scorer(k: int, exclude_same_id: bool) -> Callable:
+    def score(q: pa.Table, c: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        skip = same_rows(q["query_id"], c["corpus_id"]) if exclude_same_id else None
+        return best_cosines(unit_rows(q["vec"]), unit_rows(c["vec"]), k, skip)
 
     return score

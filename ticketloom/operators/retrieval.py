@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -16,9 +12,8 @@ from pyspark.sql import types as T
 from ticketloom import policy
 from ticketloom.functions import text as X
 from ticketloom.operators import blocks as B
-
-BM25_K1 = 1.2
-BM25_B = 0.75
+from ticketloom.operators import textindex as I
+from ticketloom.operators import vectorindex as V
 
 
 # --- vectors -----------------------------------------------------------------------
@@ -39,102 +34,17 @@ def vector_topk(
     return B.blockwise_topk(q, c, k, B.cosine_scorer(k, exclude_same_id), None, corpus_rows, query_rows)
 
 
-MAX_BITS = 16
-MAX_TABLES = 15
-RADIUS = 3
-TARGET_COSINE = 0.7
-TARGET_RECALL = 0.95
-
-
-def _plan(bits: int, tables: int) -> tuple[int, int]:
-    """(tables, distance): the fewest probes that meet a neighbour at TARGET_COSINE with TARGET_RECALL, by the collision formula.
-
-    A bit of two such vectors agrees with 1 - angle / pi; a table finds the pair where at most `distance` bits differ.
-    """
-    same = 1 - math.acos(TARGET_COSINE) / math.pi
-    found = [math.comb(bits, j) * same ** (bits - j) * (1 - same) ** j for j in range(bits + 1)]
-    plans = []
-    for distance in range(1, RADIUS + 1):
-        once = min(sum(found[: distance + 1]), 1.0)
-        need = 1 if once >= TARGET_RECALL else math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - once))
-        probes = sum(math.comb(bits, j) for j in range(distance + 1))
-        plans.append((max(need, tables) * probes, max(need, tables), distance))
-    return min(p for p in plans if p[1] <= max(tables, MAX_TABLES))[1:]
-
-
-def _signatures(df: DataFrame, id_col: str, dims: int, tables: int, seed: int) -> DataFrame:
-    """One row per hash table: the sign pattern of ``MAX_BITS`` random projections."""
-    planes = np.random.default_rng(seed).standard_normal((tables * MAX_BITS, dims))
-    powers = 1 << np.arange(MAX_BITS, dtype=np.int64)
-    schema = T.StructType([
-        T.StructField(id_col, df.schema[id_col].dataType),
-        T.StructField("vec", df.schema["vec"].dataType),
-        T.StructField("sigs", T.ArrayType(T.LongType())),
-    ])
-
-    def sign(batches):
-        for pdf in batches:
-            rows = np.vstack(pdf["vec"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, dims))
-            on = (np.nan_to_num(rows) @ planes.T > 0).reshape(len(rows), tables, MAX_BITS)
-            yield pd.DataFrame({id_col: pdf[id_col], "vec": pdf["vec"], "sigs": list((on * powers).sum(axis=2))})
-
-    signed = df.select(id_col, "vec").mapInPandas(sign, schema)
-    return signed.select(id_col, "vec", F.posexplode("sigs").alias("tbl", "sig"))
-
-
 def vector_topk_approx(
     queries: DataFrame, corpus: DataFrame, k: int = 3, query_id: str = "query_id",
-    corpus_id: str = "doc_id", vector: str = "embedding", dims: int = 64, tables: int = 6,
-    seed: int = 42, exclude_same_id: bool = False, bucket_rows: int = 256, block_rows: int = B.CORPUS_BLOCK,
+    corpus_id: str = "doc_id", vector: str = "embedding", exclude_same_id: bool = False,
+    lists: int | None = None, seed: int = 42, path: str | None = None,
 ) -> DataFrame:
-    """Approximate top k: a query is compared with the rows of its random-projection buckets and their neighbours.
-
-    A table has as many bits (``MAX_BITS`` at most) as leave about ``bucket_rows`` rows in a bucket. A query probes
-    its own bucket and those that differ in a few bits; their distance and the number of tables (``tables`` at
-    least) grow with the bits, so that a neighbour at ``TARGET_COSINE`` is met with ``TARGET_RECALL`` at any corpus
-    size (``_plan``): recall stays and work grows. At most MAX_TABLES x 2^MAX_BITS bucket sizes exist, whatever the corpus size; a bucket larger than
-    ``block_rows`` is split by id hash and its queries copied to each part. Scores are exact cosines. Null
-    vectors neither ask nor are found; all others must have ``dims`` numbers.
+    """Approximate top k: an index of the corpus is built, written to ``path``, and searched (``vectorindex``).
+
+    Scores are exact cosines. Null vectors neither ask nor are found; vectors of different lengths fail the job.
+    An index that is there already is searched by ``vectorindex.load`` and ``search``.
     """
-    most = max(tables, MAX_TABLES)
-    if most * 2**MAX_BITS > 1_000_000:
-        raise ValueError("tables * 2^MAX_BITS must stay below a million: bucket sizes are broadcast")
-    given = corpus.select(F.col(corpus_id).alias("corpus_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL")
-    wanted = F.ceil(F.log2(F.greatest(F.count("*") / bucket_rows, F.lit(1.0)))).cast("int")
-    bits = given.agg(F.least(wanted, F.lit(MAX_BITS))).scalar()
-    low = F.expr("shiftleft(1L, bits) - 1")
-    plans = [_plan(b, tables) for b in range(MAX_BITS + 1)]
-    used, distance = (F.element_at(F.array(*(F.lit(p[k]) for p in plans)), F.col("bits") + 1) for k in (0, 1))
-    c = _signatures(given, "corpus_id", dims, most, seed).withColumn("bits", bits).withColumn("sig", F.col("sig").bitwiseAND(low))
-    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec")).filter("vec IS NOT NULL")
-    q = _signatures(asked, "query_id", dims, most, seed).withColumn("bits", bits).withColumn("sig", F.col("sig").bitwiseAND(low))
-    # without bits all tables are the same one
-    c, q = (side.filter(F.when(F.col("bits") > 0, F.col("tbl") < used).otherwise(F.col("tbl") == 0)) for side in (c, q))
-    masks = F.array(*(F.lit(m).cast("bigint") for m in range(2**MAX_BITS) if m.bit_count() <= RADIUS))
-    q = q.withColumn("sig", F.explode(F.transform(
-        F.filter(masks, lambda m: (m <= low) & (F.bit_count(m) <= distance)), lambda m: F.col("sig").bitwiseXOR(m))))
-
-    def parts(side: DataFrame, rows: int, name: str) -> DataFrame:
-        return side.groupBy("tbl", "sig").agg(F.ceil(F.count("*") / rows).cast("bigint").alias(name))
-
-    sizes = parts(c, block_rows, "c_parts").join(parts(q, B.QUERY_BLOCK, "q_parts"), ["tbl", "sig"])
-    sizes = F.broadcast(sizes)
-    q = (
-        q.join(sizes, ["tbl", "sig"])
-        .withColumn("q_part", F.pmod(F.xxhash64("query_id"), F.col("q_parts")))
-        .withColumn("c_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c_parts") - 1)))
-    )
-    c = (
-        c.join(sizes, ["tbl", "sig"])
-        .withColumn("c_part", F.pmod(F.xxhash64("corpus_id"), F.col("c_parts")))
-        .withColumn("q_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("q_parts") - 1)))
-    )
-    keys = ["tbl", "sig", "q_part", "c_part"]
-    scored = B.blockwise_topk(
-        q.select(*keys, "query_id", "vec"), c.select(*keys, "corpus_id", "vec"),
-        k, B.cosine_scorer(k, exclude_same_id), keys, ranked=False)
-    # A pair may meet in several tables; it counts once.
-    return B.best_of(scored.groupBy("query_id", "corpus_id").agg(F.max("score").alias("score")), k)
+    return V.search(V.build(corpus, path, k, corpus_id, vector, lists, seed), queries, k, query_id, vector, exclude_same_id)
 
 
 def fit_embedder(chunks: DataFrame, text: str = "content", dims: int = 256) -> PipelineModel:
@@ -184,62 +94,28 @@ def asked_words(text: Column) -> Column:
     return F.sort_array(F.array_distinct(X.search_words(F.coalesce(text, F.lit("")))))
 
 
+def asked_key(words: Column) -> Column:
+    """Key of a set of query words; null for none, which nothing answers."""
+    return F.when(F.size(words) > 0, F.md5(F.array_join(words, " ")))
+
+
 def text_answers(
     queries: DataFrame, index: DataFrame, k: int = 3, text: str = "text",
-    details: DataFrame | None = None, detail_key: str = "doc_id",
-    corpus_rows: int = B.CORPUS_BLOCK, query_rows: int = B.QUERY_BLOCK,
+    details: DataFrame | None = None, detail_key: str = "doc_id", shard_rows: int = I.SHARD_ROWS,
 ) -> DataFrame:
-    """(asked, hits): the exact BM25 top k of every distinct set of query words.
+    """(asked, hits): the exact BM25 top k of every distinct set of query words, by its ``asked_key``.
 
-    Query words absent from the index add nothing, so they are dropped first and
-    queries left with the same words are scored once. No word is left out for being
-    frequent. ``hits`` is array<struct<rank, corpus_id, score, ...>>, with the other
-    columns of ``details`` looked up by ``detail_key``.
+    No word is left out for being frequent. ``hits`` is array<struct<rank, corpus_id, score, ...>>,
+    with the other columns of ``details`` looked up by ``detail_key``.
     """
-    asked = queries.select(asked_words(F.col(text)).alias("asked")).filter(F.size("asked") > 0).distinct()
-    stats = index.agg(F.struct(F.count("*").alias("n"), F.avg("n_words").alias("len")).alias("s")).scalar()
-    n_docs = stats["n"]
-    vocabulary = (
-        index.select(F.explode(F.transform("terms", lambda t: t["word"])).alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("df"))
-        .withColumn("idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    )
-    known = (
-        asked.withColumn("word", F.explode("asked"))
-        .join(vocabulary.select("word", "idf"), "word")
-        .groupBy("asked")
-        .agg(F.sort_array(F.collect_list(F.struct("word", "idf"))).alias("found"))
-        .select(
-            "asked",
-            F.transform("found", lambda x: x["word"]).alias("words"),
-            F.transform("found", lambda x: x["idf"]).alias("idfs"),
-        )
-        .withColumn("query_id", F.array_join("words", " "))
-    )
-    q = known.groupBy("query_id").agg(F.first("words").alias("words"), F.first("idfs").alias("idfs"))
-
-    def weight(t: Column) -> Column:
-        n = t["n"].cast("double")
-        return n * (BM25_K1 + 1) / (
-            n + BM25_K1 * (1 - BM25_B + BM25_B * F.col("n_words") / F.col("mean_len"))
-        )
-
-    c = index.withColumn("mean_len", stats["len"]).select(
-        "corpus_id",
-        F.transform("terms", lambda t: t["word"]).alias("words"),
-        F.transform("terms", weight).alias("weights"),
-    )
-    hits = B.blockwise_topk(
-        q, c, k, B.weighted_terms_scorer(k), None, corpus_rows, query_rows, n_docs
-    )
+    sets = queries.select(asked_words(F.col(text)).alias("asked_words")).withColumn("asked", asked_key(F.col("asked_words")))
+    hits = I.best_rows(sets.filter("asked IS NOT NULL"), index, k, shard_rows)
     shown = ["rank", "corpus_id", "score"]
     if details is not None:
         extra = [c for c in details.columns if c != detail_key]
         hits = hits.join(details.select(F.col(detail_key).alias("corpus_id"), *extra), "corpus_id")
         shown += extra
-    lists = hits.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(*shown))).alias("hits"))
-    return known.select("asked", "query_id").join(lists, "query_id").select("asked", "hits")
+    return hits.groupBy("asked").agg(F.sort_array(F.collect_list(F.struct(*shown))).alias("hits"))
 
 
 def with_text_hits(
@@ -251,7 +127,7 @@ def with_text_hits(
     (``sinks.stage``) and its true size decides between a broadcast and a shuffle.
     """
     return (
-        queries.withColumn("asked", asked_words(F.col(text)))
+        queries.withColumn("asked", asked_key(asked_words(F.col(text))))
         .join(answers.withColumnRenamed("hits", out), "asked", "left")
         .drop("asked")
     )
@@ -259,11 +135,10 @@ def with_text_hits(
 
 def text_topk(
     queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "query_id", text: str = "text",
-    details: DataFrame | None = None, detail_key: str = "doc_id",
-    corpus_rows: int = B.CORPUS_BLOCK, query_rows: int = B.QUERY_BLOCK,
+    details: DataFrame | None = None, detail_key: str = "doc_id", shard_rows: int = I.SHARD_ROWS,
 ) -> DataFrame:
     """Exact BM25 top k of an ``index_terms`` table: (query_id, rank, corpus_id, score, details)."""
-    answers = text_answers(queries, index, k, text, details, detail_key, corpus_rows, query_rows)
+    answers = text_answers(queries, index, k, text, details, detail_key, shard_rows)
     slim = queries.select(F.col(query_id).alias("query_id"), F.col(text).alias("asked_text"))
     return with_text_hits(slim, answers, "asked_text").select("query_id", F.inline("hits"))
 
