@@ -1,12 +1,14 @@
 """Writers. A table is a folder of numbered versions; readers take the newest whole one.
 
 A version counts only once Spark has written its ``_SUCCESS`` file, so a lost job
-leaves the former version in force, and nothing being read is ever overwritten.
+leaves the former version in force, and nothing being read is ever overwritten. Rows
+added to a version lie beside it in one folder for each load, under the load's name.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/ticketloom/{name}-{os.urandom(8).hex()}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"ticketloom-{name}-")
 
@@ -41,43 +43,87 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete versions, oldest first."""
+def _children(spark: SparkSession, path: str, success: bool = True) -> list[str]:
+    """Names of the folders in a folder, of the complete ones where ``success`` is asked for."""
     fs, root = _file_system(spark, path)
     if not fs.exists(root):
         return []
     new_path = spark._jvm.org.apache.hadoop.fs.Path
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit():
-            if fs.exists(new_path(f"{path}/{name}/_SUCCESS")):
-                found.append(int(name[1:]))
-    return sorted(found)
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    return sorted(n for n in names if not success or fs.exists(new_path(f"{path}/{n}/_SUCCESS")))
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions, oldest first."""
+    return sorted(int(n[1:]) for n in _children(spark, path) if n.startswith("v") and n[1:].isdigit())
+
+
+def loads(spark: SparkSession, path: str, version: int) -> list[str]:
+    """Names of the complete loads added to a version."""
+    head = f"v{version}-"
+    return [n.removeprefix(head) for n in _children(spark, path) if n.startswith(head)]
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version and the loads added to it."""
     found = versions(spark, path)
     if not found:
         raise FileNotFoundError(f"no complete version under {path}")
-    return spark.read.parquet(f"{path}/v{found[-1]}")
+    whole = f"{path}/v{found[-1]}"
+    return spark.read.parquet(whole, *(f"{whole}-{load}" for load in loads(spark, path, found[-1])))
 
 
-def _next_version(spark: SparkSession, path: str) -> str:
-    found = versions(spark, path)
-    return f"{path}/v{found[-1] + 1 if found else 1}"
+def rows_digest(df: DataFrame) -> str:
+    """A name for the rows of a table, whatever their order: their number and the sum of their hashes."""
+    r = df.select(F.xxhash64(*df.columns).cast("decimal(38,0)").alias("h")).agg(F.count("*").alias("n"), F.sum("h").alias("s")).collect()[0]
+    return f"{r['n']}-{int(r['s'] or 0) % 2**64:016x}"
 
 
-def write_table(df: DataFrame, path: str, mode: str) -> None:
-    """``full`` replaces the contents; ``incremental`` creates the table if absent and keeps its rows."""
+def write_table(df: DataFrame, path: str, mode: str, load: str | None = None) -> None:
+    """``full`` replaces the contents; ``incremental`` creates the table if absent and adds to its rows.
+
+    An incremental load that is already there under its name changes nothing, so a job run again does not double rows.
+    Without a name the load is known by its rows: loads that hold the very same rows and are meant to count twice need names.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    if load is not None and not re.fullmatch(r"[A-Za-z0-9_.-]+", load):
+        raise ValueError(f"a load's name has letters, digits, '_', '.' and '-' only, not {load!r}")
     spark = df.sparkSession
     found = versions(spark, path)
-    if mode == "incremental" and found:
-        df.write.mode("append").parquet(f"{path}/v{found[-1]}")
-    else:
-        df.write.mode("overwrite").parquet(_next_version(spark, path))
+    if mode == "full":
+        df.write.mode("overwrite").parquet(f"{path}/v{found[-1] + 1 if found else 1}")
+        return
+    version = found[-1] if found else 1
+    if not found:
+        df.limit(0).write.mode("overwrite").parquet(f"{path}/v1")
+    load = load or rows_digest(df)
+    if load not in loads(spark, path, version):
+        df.write.mode("overwrite").parquet(f"{path}/v{version}-{load}")
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> list[str]:
+    """Delete what no reader of a table or keyed table will open any more, and return the folders' names.
+
+    For a quiet time: a reader that began before may still hold the old files.
+    """
+    fs, _ = _file_system(spark, path)
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    found = versions(spark, path)
+    old = [n for n in _children(spark, path) if found and n.startswith("v") and n[1:].partition("-")[0].isdigit() and int(n[1:].partition("-")[0]) < found[-1]]
+    newest, _ = _bucket_dirs(spark, path)
+    used = {folder.split("/")[-2] for folder in newest.values()}
+    for name in _children(spark, path):
+        if newest and name.startswith("k") and name[1:].partition("-")[0].isdigit():
+            if name not in used:
+                old.append(name)
+            else:
+                for bucket in _children(spark, f"{path}/{name}", success=False):
+                    if bucket.startswith("bucket=") and newest.get(int(bucket[7:])) != f"{path}/{name}/{bucket}":
+                        old.append(f"{name}/{bucket}")
+    for name in old:
+        fs.delete(new_path(f"{path}/{name}"), True)
+    return old
 
 
 def one_per_key(source: DataFrame, key: str, version: str | None = None) -> DataFrame:
@@ -104,22 +150,16 @@ def upsert(target: DataFrame, source: DataFrame, key: str, version: str | None =
 
 def _bucket_dirs(spark: SparkSession, path: str, buckets: int | None = None) -> tuple[dict[int, str], int]:
     """Newest folder per bucket, and the number of the last version."""
-    fs, root = _file_system(spark, path)
-    if not fs.exists(root):
-        return {}, 0
-    new_path = spark._jvm.org.apache.hadoop.fs.Path
     complete = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
+    for name in _children(spark, path):
         number, _, cut = name.removeprefix("k").partition("-")
-        if name.startswith("k") and number.isdigit() and fs.exists(new_path(f"{path}/{name}/_SUCCESS")):
+        if name.startswith("k") and number.isdigit():
             if buckets is not None and int(cut) != buckets:
                 raise ValueError(f"{path} has {cut} buckets, not {buckets}")
             complete.append((int(number), name))
     newest = {}
     for _, name in sorted(complete):
-        for status in fs.listStatus(new_path(f"{path}/{name}")):
-            folder = status.getPath().getName()
+        for folder in _children(spark, f"{path}/{name}", success=False):
             if folder.startswith("bucket="):
                 newest[int(folder.split("=")[1])] = f"{path}/{name}/{folder}"
     return newest, max((n for n, _ in complete), default=0)

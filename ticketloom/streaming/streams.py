@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,10 +27,12 @@ def sync_index(
 ) -> StreamingQuery:
     """Bring an index up to date with new files of a chunk table, then stop.
 
-    Each batch keeps the newest row per key, drops rows whose content the index
-    already has and rows no newer than the indexed one (files may come late), embeds
-    the rest and upserts them into the keyed index table. A batch run again after a
-    failure finds its rows in place and changes nothing.
+    Each batch keeps the newest row per key, drops rows no newer than the newest one
+    seen for the key (files may come late) and rows whose content the index already
+    has, embeds the rest and upserts them into the keyed index table. The newest version
+    seen of each key is kept in a keyed table of its own, ``seen_path``, and moves on with rows
+    of equal content too, so that what is older than such a row stays away. A batch run
+    again after a failure finds its rows in place and changes nothing.
 
     ``removed`` names a boolean column of the source that marks rows as deleted. A deleted row stays in
     the index with its key and version, so that older rows that come late do not bring it back; of equal
@@ -45,23 +47,35 @@ def sync_index(
         newest = latest_per_key(batch, key, order).withColumn(
             "content_hash", F.md5(F.encode(F.col(content), "utf-8"))
         )
-        changed = sinks.stage(newest, "newest")
-        if sinks.has_rows(spark, index_path):
-            # Only index rows in the buckets of this batch's keys are read, and of those the batch's own.
-            have = sinks.read_keyed(spark, index_path, changed.select(key), key, buckets).select(
-                key, F.col("content_hash").alias("have_hash"), F.col(version).alias("have_version"), F.lit(True).alias("have"))
-            have = have.join(changed.select(key), key, "left_semi")
-            fresh = ~F.col("content_hash").eqNullSafe(F.col("have_hash")) & (F.col(version) > F.col("have_version"))
-            kept = changed.join(have, key, "left").filter(F.col("have").isNull() | fresh)
-            changed = sinks.stage(kept.select(*changed.columns), "changed")
-        if changed.isEmpty():
+        newest = sinks.stage(newest, "newest")
+        if newest.isEmpty():
             return
-        if removed:
-            live = embed(changed.filter(~F.col(removed)))
-            changed = live.unionByName(changed.filter(removed), allowMissingColumns=True)
+
+        def held(path: str, *columns: Column) -> DataFrame:
+            # Only rows in the buckets of this batch's keys are read, and of those the batch's own.
+            return sinks.read_keyed(spark, path, newest.select(key), key, buckets).select(key, *columns).join(newest.select(key), key, "left_semi")
+
+        fresh = newest
+        if sinks.has_rows(spark, seen_path(index_path)):
+            fresh = fresh.join(held(seen_path(index_path), F.col(version).alias("seen_version")), key, "left").filter(
+                F.col("seen_version").isNull() | (F.col(version) > F.col("seen_version"))).drop("seen_version")
+        if sinks.has_rows(spark, index_path):
+            have = held(index_path, F.col("content_hash").alias("have_hash"), F.col(version).alias("have_version"), F.lit(True).alias("have"))
+            fresh = fresh.join(have, key, "left").filter(F.col("have").isNull() | (F.col(version) > F.col("have_version")))
+            fresh = fresh.withColumn("same", F.col("have").isNotNull() & F.col("content_hash").eqNullSafe(F.col("have_hash"))).drop("have", "have_hash", "have_version")
         else:
-            changed = embed(changed)
-        sinks.upsert_table(changed, index_path, key, buckets)
+            fresh = fresh.withColumn("same", F.lit(False))
+        fresh = sinks.stage(fresh, "fresh")
+        changed = fresh.filter(~F.col("same")).drop("same")
+        if not changed.isEmpty():
+            if removed:
+                live = embed(changed.filter(~F.col(removed)))
+                changed = live.unionByName(changed.filter(removed), allowMissingColumns=True)
+            else:
+                changed = embed(changed)
+            sinks.upsert_table(changed, index_path, key, buckets)
+        if not fresh.isEmpty():
+            sinks.upsert_table(fresh.select(key, version), seen_path(index_path), key, buckets)
 
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_path)
@@ -72,6 +86,11 @@ def sync_index(
     )
 
 
+def seen_path(index_path: str) -> str:
+    """Where the newest version seen of each key is kept."""
+    return f"{index_path.rstrip('/')}-seen"
+
+
 def read_index(spark: SparkSession, path: str, removed: str | None = None) -> DataFrame:
     """The rows of an index that are not deleted."""
     index = sinks.read_keyed(spark, path)
