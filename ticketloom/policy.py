@@ -226,6 +226,8 @@ SLA_NEAREST = {
 TIER_ESCALATION = {
     "P1": (30, 120, 240),
     "P2": (120, 240, None),
+    "P3": (1440, None, None),
+    "P4": (4320, None, None),
 }
 MANAGEMENT_ESCALATION = {"P1": 240, "P2": 720}
 LEVEL1_TARGET = 0.80
