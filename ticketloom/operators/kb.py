@@ -161,6 +161,9 @@ def split_paragraphs(
     )
 
 
+FOLD = 256
+
+
 def chunk_starts(
     lengths: Column, min_size: int = policy.MIN_CHUNK, max_size: int = policy.MAX_CHUNK,
     hard_max: int | None = None,
@@ -179,13 +182,25 @@ def chunk_starts(
             full = full | ((a["size"] > 0) & (a["size"] + p > hard_max))
         return full
 
+    # Marks are gathered by runs of FOLD paragraphs: a mark is added to a short text, and a run to a short list.
+    def folded_run(a: Column, run: Column) -> Column:
+        one = F.aggregate(
+            run,
+            F.struct(a["size"].alias("size"), F.lit("").alias("marks")),
+            lambda b, p: F.struct(
+                (F.when(closes(b, p), p + 2).otherwise(b["size"] + p + 2)).alias("size"),
+                F.concat(b["marks"], F.when(closes(b, p), "1").otherwise("0")).alias("marks"),
+            ),
+        )
+        return X.let(one, lambda o: F.struct(o["size"].alias("size"), F.concat(a["marks"], F.array(o["marks"])).alias("marks")))
+
+    runs = X.let(lengths, lambda x: F.transform(
+        F.filter(F.sequence(F.lit(0), F.floor(F.size(x) / FOLD).cast("int")), lambda i: i * FOLD < F.size(x)), lambda i: F.slice(x, i * FOLD + 1, FOLD)))
     folded = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("size"), F.lit("").alias("marks")),
-        lambda a, p: F.struct(
-            (F.when(closes(a, p), p + 2).otherwise(a["size"] + p + 2)).alias("size"),
-            F.concat(a["marks"], F.when(closes(a, p), "1").otherwise("0")).alias("marks"),
-        ),
+        runs,
+        F.struct(F.lit(0).alias("size"), F.array().cast("array<string>").alias("marks")),
+        folded_run,
+        lambda a: F.struct(a["size"].alias("size"), F.array_join(a["marks"], "").alias("marks")),
     )
 
     def starts(f: Column) -> Column:

@@ -8,32 +8,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom import policy
+from ticketloom.operators.ranks import paged
 
 PAGE_ROWS = 1000
 
 
-def page_of(key: str, pages: Column) -> Column:
-    """Even, repeatable spread of keys over pages by their md5."""
-    digits = F.substring(F.md5(F.col(key).cast("binary")), 1, 8)
-    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), pages)
-
-
 def tickets_by_priority(
     df: DataFrame, priority: str = "expected_priority", key: str = "ticket_id", page_rows: int = PAGE_ROWS
 ) -> DataFrame:
     """Count and ordered ids per priority.
 
-    A priority may hold any share of the tickets, so its ids come in pages of about
-    ``page_rows``; every id is listed once and no list grows with the table.
+    A priority may hold any share of the tickets, so its ids come in pages of ``page_rows``
+    in order; every id is listed once and no list grows with the table.
     """
-    pages = df.agg(F.greatest(F.ceil(F.count("*") / page_rows), F.lit(1)).cast("bigint")).scalar()
-    listed = (
-        df.select(F.col(priority).alias("priority"), F.col(key).alias("id"))
-        .groupBy("priority", page_of("id", pages).alias("page"))
+    slim = df.select(F.col(priority).alias("priority"), F.col(key).alias("id"))
+    pages = (
+        paged(slim, ["priority"], [F.col("id")], page_rows)
+        .groupBy("priority", "page")
         .agg(F.count("*").alias("page_tickets"), F.sort_array(F.collect_list("id")).alias("ticket_ids"))
     )
-    totals = df.groupBy(F.col(priority).alias("priority")).agg(F.count("*").alias("tickets"))
-    return listed.join(totals, "priority").select("priority", "tickets", "page", "page_tickets", "ticket_ids")
+    whole = Window.partitionBy("priority")
+    return pages.withColumn("tickets", F.sum("page_tickets").over(whole)).select("priority", "tickets", "page", "page_tickets", "ticket_ids")
 
 
 def tickets_by_team(df: DataFrame, team: str = "expected_team") -> DataFrame:
@@ -215,7 +210,7 @@ def resolution_metrics(
 ) -> DataFrame:
     """Monthly count, mean, exact median and p90 of hours of resolved tickets, and change on the month before.
 
-    Equal hours are counted first, so a busy (month, team) shuffles one row per
+    The change is null where the team resolved nothing in the month before. Equal hours are counted first, so a busy (month, team) shuffles one row per
     distinct value and task.
     """
     counts = (
@@ -231,7 +226,9 @@ def resolution_metrics(
     )
     middles = exact_quantiles(counts, ["month", "team"], "hours", "n", {"median_hours": 0.5, "p90_hours": 0.9})
     monthly = means.join(middles, ["month", "team"], "left")
-    before = F.lag("mean_hours").over(Window.partitionBy("team").orderBy("month"))
+    months = Window.partitionBy("team").orderBy("month")
+    adjacent = F.lag("month").over(months) == F.add_months("month", -1)
+    before = F.when(adjacent, F.lag("mean_hours").over(months))
     return monthly.select(
         "month", "team", "resolved",
         F.round("mean_hours", 4).alias("mean_hours"),
