@@ -12,7 +12,7 @@ from ticketloom.operators import routing
 from ticketloom.operators.sla import sla_rows
 from ticketloom.plans import fixtures as fx
 from ticketloom.operators.scoring import PROMPT_TEMPLATE
-from ticketloom.plans.queries import LOADED_AT
+from ticketloom.plans.queries import CALENDAR, LOADED_AT
 
 NL = "chr(10)"
 WS = "'" + WHITESPACE + "'"
@@ -359,9 +359,9 @@ SELECT (SELECT count(*) FROM {source}) AS n_docs,
 SELECT word, ln(1 + (any_value(n_docs) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
 FROM {corpus}_found, {name}_stats GROUP BY word""", f"{corpus}_found", f"{name}_stats")
     cte(f"{name}_hits", f"""
-SELECT query_id, corpus_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id) AS rank
+SELECT query_id, corpus_id, round(total / 68719476736, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY total DESC, corpus_id) AS rank
 FROM (SELECT a.id AS query_id, c.id AS corpus_id,
-             round(sum(i.idf * c.n * 2.2::DOUBLE / (c.n + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * l.dl / s.mean_len))), 6) AS score
+             sum(CAST(floor(i.idf * (c.n * 2.2::DOUBLE / (c.n + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * l.dl / s.mean_len))) * 68719476736) AS BIGINT)) AS total
       FROM {asked}_found a JOIN {name}_idf i USING (word) JOIN {corpus}_found c USING (word)
       JOIN {name}_len l ON l.id = c.id, {name}_stats s
       GROUP BY a.id, c.id)
@@ -430,9 +430,16 @@ for name in ("upsert", "upsert_table"):
 oracle("export_results_csv", """
 SELECT category, priority, team, urgency_level AS urgency, count(*) AS tickets, sum(length(substring(ticket_text, 1, 100)) + 3)::BIGINT AS preview_chars
 FROM scored GROUP BY ALL""", "scored")
-oracle("export_analysis_json", f"""
-SELECT ticket_id, substring(ticket_text, 1, 200) AS ticket, category, priority, user_impact, CAST(0 AS INT) AS knowledge_articles,
-       {actions("priority", "team", "0", "false")} AS recommendations FROM scored""", "scored")
+EXPORT = f"""
+SELECT s.ticket_id, substring(s.ticket_text, 1, 200) AS ticket, s.category, s.priority, s.team AS assigned_team, s.confidence,
+       s.priority_score, s.urgency_level, e.affected_systems, e.technical_keywords, s.user_impact, s.requires_escalation,
+       CAST(coalesce(a.n, 0) AS INT) AS knowledge_articles, coalesce(a.articles, '') AS articles, coalesce(h.history, '') AS history,
+       {actions("s.priority", "s.team", "coalesce(a.n, 0)", "h.history IS NOT NULL")} AS recommendations
+FROM scored s JOIN entities e USING (ticket_id)
+LEFT JOIN (SELECT query_id, count(*) AS n, string_agg(corpus_id || ':' || title, '|' ORDER BY rank) AS articles
+           FROM ticket_article_hits JOIN articles ON doc_id = corpus_id GROUP BY query_id) a ON a.query_id = s.ticket_id
+LEFT JOIN (SELECT team, string_agg(ticket_id || ':' || resolution, '|' ORDER BY rank) AS history FROM latest GROUP BY team) h ON h.team = s.team"""
+oracle("export_analysis_json", EXPORT, "scored", "entities", "ticket_article_hits", "articles", "latest")
 oracle("reload_kb", """
 SELECT k.filename, md5(k.content) AS content_hash, c.chunks, c.ids, c.chars
 FROM v_kb_docs k LEFT JOIN (
@@ -578,10 +585,10 @@ GROUP BY approach""", "scored")
 # --- retrieval --------------------------------------------------------------------------------------------
 
 oracle("vector_topk", """
-SELECT query_id, corpus_id, score, CAST(rank AS INT) AS rank FROM (
+SELECT query_id, corpus_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (
   SELECT query_id, corpus_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id) AS rank
   FROM (SELECT a.vec_id AS query_id, b.vec_id AS corpus_id,
-               round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score
+               list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS score
         FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id))
 WHERE rank <= 3""")
 oracle("vector_recall", "SELECT count(*) * 3 AS pairs, 0::BIGINT AS wrong_scores, true AS found FROM embeddings")
@@ -608,6 +615,50 @@ SELECT s.ticket_id, s.priority, s.urgency_level, t.submitted_date + x.response_m
        t.submitted_date + x.tier2 * INTERVAL '1' MINUTE AS tier2_until, t.submitted_date + x.tier3 * INTERVAL '1' MINUTE AS tier3_until,
        t.submitted_date + x.management * INTERVAL '1' MINUTE AS management_at
 FROM scored s JOIN tk t USING (ticket_id) LEFT JOIN sla x ON x.priority = s.priority AND x.urgency = s.urgency_level""", "scored", "tk", "sla")
+# working time by a table of days: what has been worked before each, and a search in it for due times
+OFF = ", ".join(f"DATE '{h}'" for h in CALENDAR.holidays)
+cte("days", f"""
+SELECT d, m, sum(m) OVER (ORDER BY d) - m AS before, sum(m) OVER (ORDER BY d) AS upto
+FROM (SELECT d, CASE WHEN isodow(d) <= 5 AND d NOT IN ({OFF}) THEN 28800000000 ELSE 0 END AS m
+      FROM (SELECT CAST(unnest(generate_series(DATE '1994-12-01', DATE '2024-06-30', INTERVAL 1 DAY)) AS DATE) AS d))""")
+
+
+def worked(t: str, day: str) -> str:
+    """Working microseconds up to t, which is on the given row of days."""
+    return f"({day}.before + greatest(0, least({day}.m, date_diff('microsecond', CAST({day}.d AS TIMESTAMP) + INTERVAL 9 HOUR, {t}))))"
+
+
+def business(name: str, source: str, start: str) -> None:
+    """(key, what, due): a row for each of the source's times in minutes, in business time where after_hours says so."""
+    cte(name, f"""
+SELECT w.key, w.what, CASE WHEN w.minutes IS NULL THEN NULL WHEN w.after_hours <> 'Next day' THEN w.start + w.minutes * INTERVAL 1 MINUTE
+       ELSE CAST(e.d AS TIMESTAMP) + INTERVAL 9 HOUR + to_microseconds(CAST(w.target - e.before AS BIGINT)) END AS due
+FROM (SELECT s.key, s.what, s.minutes, s.after_hours, s.start,
+             {worked("s.start", "b")} + CASE WHEN s.minutes >= 1440 THEN (s.minutes // 1440) * 480 + s.minutes % 1440 ELSE s.minutes END * 60000000::BIGINT AS target
+      FROM (SELECT key, start, after_hours, unnest(['response', 'resolution', 'escalate', 'management']) AS what,
+                   unnest([response_minutes, resolution_minutes, tier1, management]) AS minutes FROM {source}) s
+      JOIN days b ON b.d = CAST(s.start AS DATE)) w
+ASOF LEFT JOIN (SELECT * FROM days WHERE m > 0) e ON w.target <= e.upto""", "days", source)
+
+
+cte("sla_tickets", """
+SELECT s.ticket_id AS key, t.submitted_date AS start, x.* FROM scored s JOIN tk t USING (ticket_id) JOIN sla x ON x.priority = s.priority AND x.urgency = s.urgency_level""",
+    "scored", "tk", "sla")
+cte("sla_history", "SELECT v.ticket_id AS key, v.submitted_at AS start, x.* FROM v_resolved v JOIN sla x ON x.priority = v.priority AND x.urgency = v.urgency", "v_resolved", "sla")
+business("ticket_due", "sla_tickets", "submitted_date")
+business("history_due", "sla_history", "submitted_at")
+oracle("assign_sla_business", f"""
+SELECT p.key AS ticket_id, p.priority, p.urgency AS urgency_level, d.response_due, d.resolution_due, d.escalate_at, d.management_at,
+       ({worked("d.resolution_due", "e")} - {worked("p.start", "b")}) / 60000000 AS working_minutes
+FROM sla_tickets p JOIN (SELECT key, max(due) FILTER (what = 'response') AS response_due, max(due) FILTER (what = 'resolution') AS resolution_due,
+                                max(due) FILTER (what = 'escalate') AS escalate_at, max(due) FILTER (what = 'management') AS management_at
+                         FROM ticket_due GROUP BY key) d USING (key)
+JOIN days b ON b.d = CAST(p.start AS DATE) JOIN days e ON e.d = CAST(d.resolution_due AS DATE)""", "sla_tickets", "ticket_due", "days")
+oracle("sla_compliance_business", f"""
+SELECT v.priority, count(*) AS tickets, count(*) FILTER (v.resolved_at <= d.resolution) AS on_time, round(avg((v.resolved_at <= d.resolution)::INT), 4) AS compliance,
+       avg((v.resolved_at <= d.resolution)::INT) >= {policy.LEVEL1_TARGET} AS meets_target, count(*) FILTER (v.resolved_at > d.management) AS management_escalations
+FROM v_resolved v JOIN (SELECT key, max(due) FILTER (what = 'resolution') AS resolution, max(due) FILTER (what = 'management') AS management
+                        FROM history_due GROUP BY key) d ON d.key = v.ticket_id GROUP BY v.priority""", "v_resolved", "history_due")
 cte("indexed", "SELECT 'doc-' || doc_id AS doc_id FROM labels UNION SELECT 'item-' || item_id FROM benchmark")
 oracle("index_gap", """
 SELECT doc_id, 'missing' AS status FROM (SELECT 'doc-' || doc_id AS doc_id FROM documents EXCEPT SELECT doc_id FROM indexed)
@@ -622,7 +673,7 @@ SELECT (SELECT count(*) FROM documents) AS source_rows, (SELECT count(DISTINCT d
 oracle("tickets_by_priority", """
 SELECT expected_priority AS priority, any_value(total)::BIGINT AS tickets, page, count(*) AS page_tickets, string_agg(ticket_id, '|' ORDER BY ticket_id) AS ticket_ids
 FROM (SELECT expected_priority, ticket_id, count(*) OVER (PARTITION BY expected_priority) AS total,
-             CAST('0x' || substring(md5(ticket_id), 1, 8) AS BIGINT) % (SELECT CAST(greatest(ceil(count(*) / 1000), 1) AS BIGINT) FROM tk) AS page FROM tk)
+             (row_number() OVER (PARTITION BY expected_priority ORDER BY ticket_id) - 1) // 1000 AS page FROM tk)
 GROUP BY expected_priority, page""", "tk")
 oracle("tickets_by_team", "SELECT expected_team AS team, count(*) AS tickets FROM tk GROUP BY ALL ORDER BY tickets DESC, team", "tk")
 oracle("chunk_stats", """
@@ -676,7 +727,8 @@ SELECT week, CAST(n AS INT) AS draw_no, ticket_id FROM (
 WHERE n <= 20""", "tk")
 oracle("resolution_metrics", """
 SELECT month, team, resolved, round(mean_hours, 4) AS mean_hours, round(median_hours, 4) AS median_hours, round(p90_hours, 4) AS p90_hours,
-       round(mean_hours - lag(mean_hours) OVER (PARTITION BY team ORDER BY month), 4) AS change_hours
+       CASE WHEN lag(month) OVER (PARTITION BY team ORDER BY month) = month - INTERVAL 1 MONTH
+            THEN round(mean_hours - lag(mean_hours) OVER (PARTITION BY team ORDER BY month), 4) END AS change_hours
 FROM (SELECT CAST(date_trunc('month', resolved_at) AS DATE) AS month, team, count(*) AS resolved, avg(resolution_time_hours) AS mean_hours,
              quantile_cont(resolution_time_hours, 0.5) AS median_hours, quantile_cont(resolution_time_hours, 0.9) AS p90_hours
       FROM v_resolved GROUP BY ALL)""", "v_resolved")

@@ -14,6 +14,7 @@ from ticketloom import policy
 from ticketloom.functions import sqlfuncs
 from ticketloom.functions import text as X
 from ticketloom.operators import kb, reload, retrieval, routing, scoring, sla, stats, tickets
+from ticketloom.operators.worktime import WorkCalendar, yearly
 from ticketloom.plans import fixtures as fx
 from ticketloom.sources import readers, sinks
 from ticketloom.streaming import streams
@@ -21,6 +22,8 @@ from ticketloom.streaming import streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 LOADED_AT = "2024-01-01 00:00:00"
+#: Mondays to Fridays from nine to five, without the days around the turn of the year and two in spring and autumn.
+CALENDAR = WorkCalendar(holidays=yearly(range(1990, 2031), (1, 1), (5, 1), (10, 3), (12, 24), (12, 25), (12, 26), (12, 31)))
 
 
 def query(fn: Query) -> Query:
@@ -113,10 +116,11 @@ def build_tickets(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def write_table(spark: SparkSession, sf: str) -> DataFrame:
-    """A full load of history, then an incremental load of the tickets."""
+    """A full load of history, then an incremental load of the tickets, which is run again."""
     path = sinks.scratch_dir(spark, "table")
     sinks.write_table(fx.v_history(spark, sf).select("ticket_id", "ticket_text"), path, "full")
-    sinks.write_table(_tickets(spark, sf).select("ticket_id", "ticket_text"), path, "incremental")
+    for _ in range(2):
+        sinks.write_table(_tickets(spark, sf).select("ticket_id", "ticket_text"), path, "incremental")
     return sinks.read_table(spark, path)
 
 
@@ -151,16 +155,28 @@ def export_results_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def export_analysis_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole analysis records with articles and history, written and read back."""
     path = sinks.scratch_dir(spark, "json")
-    sinks.export_analysis_json(routing.analyze_tickets(_scored(spark, sf)), path)
+    sinks.export_analysis_json(_analysis(spark, sf), path)
     back = spark.read.schema(
-        "ticket_id STRING, ticket STRING, classification STRUCT<category: STRING, priority: STRING>, "
-        "metadata STRUCT<user_impact: STRING>, knowledge_articles INT, recommendations ARRAY<STRING>"
+        "ticket_id STRING, ticket STRING, "
+        "classification STRUCT<category: STRING, priority: STRING, assigned_team: STRING, confidence: DOUBLE>, "
+        "metadata STRUCT<priority_score: DOUBLE, urgency_level: STRING, affected_systems: ARRAY<STRING>, technical_keywords: ARRAY<STRING>, "
+        "user_impact: STRING, requires_escalation: BOOLEAN>, knowledge_articles INT, "
+        "articles ARRAY<STRUCT<rank: INT, corpus_id: STRING, title: STRING>>, "
+        "history ARRAY<STRUCT<rank: INT, ticket_id: STRING, resolution: STRING>>, recommendations ARRAY<STRING>"
     ).json(path)
+
+    def listed(column: str, key: str, text: str) -> Column:
+        return F.coalesce(piped(F.transform(column, lambda x: F.concat(x[key], F.lit(":"), x[text]))), F.lit(""))
+
+    m = F.col("metadata")
     return back.select(
-        "ticket_id", "ticket", F.col("classification.category").alias("category"),
-        F.col("classification.priority").alias("priority"), F.col("metadata.user_impact").alias("user_impact"),
-        "knowledge_articles", piped("recommendations").alias("recommendations"),
+        "ticket_id", "ticket", "classification.*", m["priority_score"].alias("priority_score"), m["urgency_level"].alias("urgency_level"),
+        piped(m["affected_systems"]).alias("affected_systems"), piped(m["technical_keywords"]).alias("technical_keywords"),
+        m["user_impact"].alias("user_impact"), m["requires_escalation"].alias("requires_escalation"), "knowledge_articles",
+        listed("articles", "corpus_id", "title").alias("articles"), listed("history", "ticket_id", "resolution").alias("history"),
+        piped("recommendations").alias("recommendations"),
     )
 
 
@@ -622,6 +638,16 @@ def assign_sla(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def assign_sla_business(spark: SparkSession, sf: str) -> DataFrame:
+    """Due times in business days where a ticket waits for the next one, and the working minutes until then."""
+    due = sla.assign_sla(_classified(spark, sf), sla.sla_table(spark), calendar=CALENDAR)
+    return due.select(
+        "ticket_id", "priority", "urgency_level", "response_due", "resolution_due", "escalate_at", "management_at",
+        CALENDAR.elapsed(F.col("submitted_date"), F.col("resolution_due")).alias("working_minutes"),
+    )
+
+
 @query
 def index_gap(spark: SparkSession, sf: str) -> DataFrame:
     """Chunked documents against an index of the labelled and the benchmark items."""
@@ -716,6 +742,11 @@ def sla_compliance(spark: SparkSession, sf: str) -> DataFrame:
     return sla.sla_compliance(fx.v_history(spark, sf), sla.sla_table(spark))
 
 
+@query
+def sla_compliance_business(spark: SparkSession, sf: str) -> DataFrame:
+    return sla.sla_compliance(fx.v_history(spark, sf), sla.sla_table(spark), calendar=CALENDAR)
+
+
 @query
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     results = _classified(spark, sf).withColumn("tools", routing.route_tools(F.col("priority")))
@@ -754,17 +785,24 @@ def backlog_by_priority(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sync_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Four syncs of a chunk table: a first load, one with nothing new, the removal of all policies' chunks, and late older rows."""
+    """Five syncs of a chunk table: a first load, one with nothing new, the removal of all policies' chunks, newer versions
+    of equal content and repeated removals, and late rows that are older than these."""
     source, index, mark = (sinks.scratch_dir(spark, n) for n in ("chunks", "index", "mark"))
     columns = ["doc_id", "content", "created_at", F.lit(False).alias("removed")]
     _chunks(spark, sf).select(*columns).write.mode("append").parquet(source)
     written = spark.read.parquet(source)
     model = retrieval.fit_embedder(written)
-    later, before = F.col("created_at") + F.expr("INTERVAL 1 DAY"), F.col("created_at") - F.expr("INTERVAL 1 DAY")
-    removal = written.filter(F.col("doc_id").startswith("Policy")).select(
-        "doc_id", F.lit(None).cast("string").alias("content"), later.alias("created_at"), F.lit(True).alias("removed"))
-    late = written.select("doc_id", F.concat("content", F.lit(" (older)")).alias("content"), before.alias("created_at"), "removed")
-    for more in (None, written, removal, late):
+    policies = F.col("doc_id").startswith("Policy")
+
+    def dated(df: DataFrame, days: int) -> DataFrame:
+        return df.withColumn("created_at", F.col("created_at") + F.make_dt_interval(F.lit(days)))
+
+    gone = written.filter(policies).select("doc_id", F.lit(None).cast("string").alias("content"), "created_at", F.lit(True).alias("removed"))
+    removal = dated(gone, 1)
+    again = dated(written.filter(~policies), 4).unionByName(dated(gone, 3))
+    other = written.withColumn("content", F.concat("content", F.lit(" (other)")))
+    late = dated(other, -1).unionByName(dated(other, 2))
+    for more in (None, written, removal, again, late):
         if more is not None:
             more.write.mode("append").parquet(source)
         streams.sync_index(
