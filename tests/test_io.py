@@ -59,6 +59,39 @@ def test_table_modes(spark, tmp_path):
     assert rows(sinks.read_table(spark, path)) == [(2,)]
 
 
+def test_a_load_run_again_does_not_double_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_of = lambda *k: spark.createDataFrame([(x,) for x in k], "k int")
+    for _ in range(3):
+        sinks.write_table(rows_of(1, 2, 3), path, "incremental")
+        sinks.write_table(rows_of(3, 2, 1).repartition(3), path, "incremental")
+    assert rows(sinks.read_table(spark, path)) == [(1,), (2,), (3,)]
+    for _ in range(2):
+        sinks.write_table(rows_of(1, 2, 3), path, "incremental", load="second")
+        sinks.write_table(rows_of(4), path, "incremental", load="third")
+    assert rows(sinks.read_table(spark, path)) == [(1,), (1,), (2,), (2,), (3,), (3,), (4,)]
+    os.remove(f"{path}/v1-third/_SUCCESS")  # a load that was lost half way
+    assert (4,) not in rows(sinks.read_table(spark, path))
+    sinks.write_table(rows_of(4), path, "incremental", load="third")
+    assert (4,) in rows(sinks.read_table(spark, path))
+    with pytest.raises(ValueError, match="name"):
+        sinks.write_table(rows_of(4), path, "incremental", load="a/b")
+    sinks.write_table(rows_of(9), path, "full")
+    assert rows(sinks.read_table(spark, path)) == [(9,)]
+    assert sorted(sinks.drop_old_versions(spark, path))[0] == "v1" and os.listdir(path) == ["v2"] and rows(sinks.read_table(spark, path)) == [(9,)]
+
+
+def test_old_buckets_are_dropped(spark, tmp_path):
+    path = str(tmp_path / "k")
+    for n in range(4):
+        sinks.upsert_table(spark.createDataFrame([(f"k{i}", n) for i in range(0, 40, n + 1)], "key string, v int"), path, "key", buckets=4)
+    before = rows(sinks.read_keyed(spark, path))
+    assert sinks.drop_old_versions(spark, path) and rows(sinks.read_keyed(spark, path)) == before
+    assert not sinks.drop_old_versions(spark, path)
+    sinks.upsert_table(spark.createDataFrame([("k1", 99)], "key string, v int"), path, "key", buckets=4)
+    assert dict(rows(sinks.read_keyed(spark, path)))["k1"] == 99
+
+
 def test_an_unfinished_version_is_not_read(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_table(spark.createDataFrame([(1,)], "k int"), path, "full")
@@ -131,6 +164,51 @@ def test_index_sync_is_incremental(spark, tmp_path):
     assert sync() == {"a": ("newer", 5), "b": ("changed", 7), "c": ("x", 1)} and sorted(os.listdir(index)) == versions
 
 
+def test_rows_older_than_an_equal_newer_one_stay_away(spark, tmp_path):
+    """A at one time, A again later, then a late B from between; and removals that come twice."""
+    source, index, mark = (str(tmp_path / n) for n in ("s", "i", "m"))
+    schema = "doc_id STRING, content STRING, created_at TIMESTAMP, gone BOOLEAN"
+    embedded = []
+
+    def embed(df):
+        embedded.append(df.count())
+        return df.withColumn("n", F.length("content"))
+
+    def sync(*items):
+        spark.createDataFrame(items, "doc_id string, content string, at string, gone boolean").select(
+            "doc_id", "content", F.to_timestamp("at").alias("created_at"), "gone").coalesce(1).write.mode("append").parquet(source)
+        streams.sync_index(spark, source, index, mark, embed, schema, removed="gone", buckets=4).awaitTermination()
+        return {r["doc_id"]: r["content"] for r in streams.read_index(spark, index, "gone").collect()}
+
+    assert sync(("a", "A", "2024-02-01 00:00:00", False), ("r", "R", "2024-01-01 00:00:00", False)) == {"a": "A", "r": "R"}
+    assert sync(("a", "A", "2024-04-01 00:00:00", False), ("r", None, "2024-02-01 00:00:00", True)) == {"a": "A"}
+    assert sum(embedded) == 2  # equal content is not embedded again
+    assert sync(("r", None, "2024-05-01 00:00:00", True)) == {"a": "A"}
+    assert sync(("a", "B", "2024-03-01 00:00:00", False), ("r", "back", "2024-04-01 00:00:00", False)) == {"a": "A"}
+    assert sync(("a", "B", "2024-04-02 00:00:00", False), ("r", "back", "2024-06-01 00:00:00", False)) == {"a": "B", "r": "back"}
+
+
+def test_a_ticket_delivered_again_is_written_once(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("s", "o", "m"))
+    schema = "ticket_id string, ticket_text string, submitted_date timestamp"
+
+    def arrive(*items):
+        spark.createDataFrame(items, "ticket_id string, ticket_text string, at string").select(
+            "ticket_id", "ticket_text", F.to_timestamp("at").alias("submitted_date")).coalesce(1).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(schema).parquet(source)
+        query = streams.start_append(streams.classify_stream(streams.once_each(arriving, delay="2 days")), out, mark)
+        query.awaitTermination()
+        state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return sorted(r["ticket_id"] for r in spark.read.parquet(out).collect()), state[-1]
+
+    assert arrive(("a", "locked out", "2024-01-01 00:00:00"), ("a", "locked out", "2024-01-01 00:00:00"), ("b", "breach", "2024-01-01 01:00:00"))[0] == ["a", "b"]
+    assert arrive(("a", "locked out", "2024-01-01 00:00:00"), ("c", "x", "2024-01-02 00:00:00"))[0] == ["a", "b", "c"]
+    ids, state = arrive(*((f"n{k}", "x", f"2024-02-{1 + k % 28:02d} 00:00:00") for k in range(50)))
+    assert len(ids) == 53
+    ids, state = arrive(("last", "x", "2024-03-20 00:00:00"))
+    assert len(ids) == 54 and state <= 2  # keys behind the watermark are gone
+
+
 def test_classified_stream_appends_once(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("s", "o", "m"))
     df = spark.createDataFrame([("t1", "locked out"), ("t2", "breach")], "ticket_id string, ticket_text string")

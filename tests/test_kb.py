@@ -178,3 +178,30 @@ def test_chunking_is_map_only(spark):
     df = spark.createDataFrame([("a.txt", "x")], "filename string, content string")
     plan = kb.chunk_documents(df, F.lit("2024-01-01"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_packing_a_section_of_many_paragraphs(spark):
+    """A hundred thousand paragraphs in one section, against the plain rule, in linear time."""
+    import random
+    import time
+
+    rng = random.Random(4)
+
+    def plain(lengths):
+        starts, size = [0], 0
+        for k, p in enumerate(lengths):
+            if size > 0 and size + p > 1500 and size >= 800:
+                starts.append(k)
+                size = p + 2
+            else:
+                size += p + 2
+        return starts[:-1] if len(starts) > 1 and size < 800 else starts
+
+    seconds = {}
+    for n in (1, 255, 256, 257, 513, 25_000, 100_000):
+        lengths = [rng.choice([10, 120, 400, 900, 1600]) for _ in range(n)]
+        df = spark.createDataFrame([(lengths,)], "l array<int>").select(kb.chunk_starts(F.col("l")).alias("s"))
+        begin = time.perf_counter()
+        assert df.first()["s"] == plain(lengths)
+        seconds[n] = time.perf_counter() - begin
+    assert seconds[100_000] < 60

@@ -90,3 +90,24 @@ def test_counts(spark):
     kb = spark.createDataFrame([("Guide", "abc"), ("Guide", "abcd"), ("Policy", "a")], "doc_type string, content string")
     assert [tuple(r) for r in stats.chunk_stats(kb).collect()] == [("Guide", 2, 3, 3, 4), ("Policy", 1, 1, 1, 1)]
     assert [tuple(r) for r in stats.kb_inventory(kb).collect()] == [("Guide", 2, 3), ("Policy", 1, 3)]
+
+
+def test_pages_do_not_depend_on_partitions(spark):
+    rng = random.Random(8)
+    rows = [(f"T{rng.randint(0, 10**6):07d}-{k}", rng.choice(["P1", "P3", "P3", "P3", None])) for k in range(1500)]
+    df = spark.createDataFrame(rows, "ticket_id string, expected_priority string")
+    want = {}
+    for p in {p for _, p in rows}:
+        ids = sorted(i for i, q in rows if q == p)
+        want |= {(p, k // 70): (len(ids), ids[k : k + 70]) for k in range(0, len(ids), 70)}
+    for parts in (1, 7):
+        got = {(r["priority"], r["page"]): (r["tickets"], r["ticket_ids"]) for r in stats.tickets_by_priority(df.repartition(parts), page_rows=70).collect()}
+        assert got == want
+
+
+def test_change_is_on_the_adjacent_month_only(spark):
+    rows = [("2024-01-05 00:00:00", "A", 10.0), ("2024-02-05 00:00:00", "A", 14.0), ("2024-04-05 00:00:00", "A", 20.0), ("2024-05-31 00:00:00", "A", 21.0), ("2023-12-05 00:00:00", "B", 1.0),
+            ("2024-01-05 00:00:00", "B", 3.0)]
+    df = spark.createDataFrame(rows, "at string, team string, resolution_time_hours double").withColumn("resolved_at", F.to_timestamp("at"))
+    got = {(str(r["month"]), r["team"]): r["change_hours"] for r in stats.resolution_metrics(df).collect()}
+    assert got == {("2024-01-01", "A"): None, ("2024-02-01", "A"): 4.0, ("2024-04-01", "A"): None, ("2024-05-01", "A"): 1.0, ("2023-12-01", "B"): None, ("2024-01-01", "B"): 2.0}

@@ -12,7 +12,7 @@ import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,8 +89,10 @@ def combined(fired: list[dict], soon: set[int]) -> tuple:
 
 def phrase_rows(rules: DataFrame) -> DataFrame:
     """(rule_id, role, phrase) with phrases as words joined by one blank."""
-    each = [F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda p, r=role: F.struct(F.lit(r).alias("role"), F.trim(X.normalise(p)).alias("phrase")))
-            for c, role in ROLES.items()]
+    def of(column: str, role: int) -> Column:
+        return F.transform(F.coalesce(column, F.array().cast("array<string>")), lambda p: F.struct(F.lit(role).alias("role"), F.trim(X.normalise(p)).alias("phrase")))
+
+    each = [of(c, role) for c, role in ROLES.items()]
     return rules.select("rule_id", F.inline(F.concat(*each))).where("phrase <> ''").distinct()
 
 
@@ -117,7 +119,7 @@ def match_rule_table(df: DataFrame, rules: DataFrame, text: str = "ticket_text",
     return _by_join(df, rules, phrases, patterns, text, who)
 
 
-def _by_trie(df: DataFrame, rules: DataFrame, phrases: DataFrame, patterns: list[tuple[int, str]], text: str, who) -> DataFrame:
+def _by_trie(df: DataFrame, rules: DataFrame, phrases: DataFrame, patterns: list[tuple[int, str]], text: str, who: Column) -> DataFrame:
     trie = Trie()
     for r in phrases.collect():
         trie.add(r["phrase"].split(" "), (r["rule_id"], r["role"]))
@@ -148,13 +150,16 @@ def _by_trie(df: DataFrame, rules: DataFrame, phrases: DataFrame, patterns: list
     return worded.mapInArrow(run, schema)
 
 
-def word_runs(words, longest: int):
+def word_runs(words: Column, longest: int) -> Column:
     """All runs of up to so many words, as text."""
-    runs = [F.transform(words, lambda w, i, n=n: F.when(i + n <= F.size(words), F.array_join(F.slice(words, i + 1, n), " "))) for n in range(1, longest + 1)]
+    def of(n: int) -> Column:
+        return F.transform(words, lambda w, i: F.when(i + n <= F.size(words), F.array_join(F.slice(words, i + 1, n), " ")))
+
+    runs = [of(n) for n in range(1, longest + 1)]
     return F.array_distinct(F.array_compact(F.concat(*runs)))
 
 
-def _by_join(df: DataFrame, rules: DataFrame, phrases: DataFrame, patterns: list[tuple[int, str]], text: str, who) -> DataFrame:
+def _by_join(df: DataFrame, rules: DataFrame, phrases: DataFrame, patterns: list[tuple[int, str]], text: str, who: Column) -> DataFrame:
     rows = sinks.stage(df.withColumn("rule_row", F.monotonically_increasing_id()), "tickets")
     longest = phrases.agg(F.max(F.size(F.split("phrase", " ")))).collect()[0][0] or 1
     words = X.search_words(F.coalesce(F.col(text), F.lit("")))

@@ -502,10 +502,12 @@ SELECT filename, CAST(block_no AS INT) AS block_no, entry_title, priority, affec
 
 # --- scoring ------------------------------------------------------------------------------------------
 
-oracle("match_rules", """
+for name in ("match_rules", "match_rule_table"):
+    oracle(name, """
 SELECT ticket_id, coalesce(fired_rules, '') AS fired_rules, set_priority, min_priority, rule_urgency, rule_category, rule_team,
        coalesce(notify, '') AS notify, coalesce(actions, '') AS actions FROM scored""", "scored")
 oracle("score_teams", "SELECT ticket_id, scores, best_team FROM scored", "scored")
+oracle("score_team_table", "SELECT ticket_id, best_team FROM scored WHERE best_team IS NOT NULL", "scored")
 oracle("classify_tickets", "SELECT ticket_id, category, priority, team AS assigned_team, confidence FROM scored", "scored")
 oracle("priority_from_score", """
 SELECT event_id, priority, CASE priority WHEN 'P1' THEN 0.95 WHEN 'P2' THEN 0.8 WHEN 'P3' THEN 0.55 ELSE 0.2 END::DOUBLE AS band_score
@@ -760,7 +762,8 @@ FROM scored s JOIN tk t USING (ticket_id) JOIN sla x ON x.priority = s.priority
 # --- streaming and SQL functions ---------------------------------------------------------------------------------
 
 oracle("sync_index", "SELECT doc_id, md5(content) AS content_hash, 256 AS dims FROM chunk_rows WHERE doc_type <> 'Policy'", "chunk_rows")
-oracle("classify_stream", "SELECT ticket_id, category, priority, team AS assigned_team, urgency_level, user_impact FROM scored", "scored")
+for name in ("classify_stream", "classify_stream_once"):
+    oracle(name, "SELECT ticket_id, category, priority, team AS assigned_team, urgency_level, user_impact FROM scored", "scored")
 oracle("register_functions", f"""
 SELECT s.ticket_id, s.category, s.priority, s.team AS assigned_team, s.urgency_level, e.technical_keywords,
        {snap("x.resolution_minutes")} AS estimate, m.summary

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ticketloom import policy
 from ticketloom.functions import sqlfuncs
 from ticketloom.functions import text as X
-from ticketloom.operators import kb, reload, retrieval, routing, scoring, sla, stats, tickets
+from ticketloom.operators import kb, reload, retrieval, routing, rulebook, scoring, sla, stats, tickets
 from ticketloom.operators.worktime import WorkCalendar, yearly
 from ticketloom.plans import fixtures as fx
 from ticketloom.sources import readers, sinks
@@ -342,6 +342,24 @@ def match_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def match_rule_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The policy's rules given as a table."""
+    matched = rulebook.match_rule_table(_tickets(spark, sf), rulebook.rule_table(spark), sender="submitted_by")
+    return matched.select(
+        "ticket_id", F.array_join(F.col("fired_rules").cast("array<string>"), "|").alias("fired_rules"),
+        "set_priority", "min_priority", "rule_urgency", "rule_category", "rule_team",
+        piped("notify").alias("notify"), piped("actions").alias("actions"),
+    )
+
+
+@query
+def score_team_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The team that most keywords of a table speak for."""
+    scores = rulebook.score_team_table(_tickets(spark, sf), rulebook.keyword_table(spark))
+    return scores.filter("best").select("ticket_id", F.col("team").alias("best_team"))
+
+
 @query
 def score_teams(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.score_teams(_tickets(spark, sf)).select(
@@ -829,6 +847,21 @@ def classify_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query
+def classify_stream_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The same stream with every event delivered twice: each ticket is classified and written once."""
+    out, mark = (sinks.scratch_dir(spark, n) for n in ("once", "mark"))
+    schema = fx.table(spark, sf, "events").schema
+    one, two = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf) for _ in range(2))
+    built = tickets.build_tickets(spark.sql(fx.for_spark(fx.V_TICKETS), events=one.unionByName(two)))
+    scored = streams.classify_stream(streams.once_each(built, delay="60 days"), sender="submitted_by").select(
+        "ticket_id", "classification.category", "classification.priority", "classification.assigned_team",
+        "metadata.urgency_level", "metadata.user_impact",
+    )
+    streams.start_append(scored, out, mark).awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query
 def register_functions(spark: SparkSession, sf: str) -> DataFrame:
     """The SQL functions over a table."""

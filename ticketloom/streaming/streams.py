@@ -108,6 +108,16 @@ def classify_stream(tickets: DataFrame, text: str = "ticket_text", sender: str |
     return score_tickets(tickets, text, sender).withColumns(structs).drop("scored")
 
 
+def once_each(tickets: DataFrame, key: str = "ticket_id", at: str = "submitted_date", delay: str = "7 days") -> DataFrame:
+    """A stream in which a ticket that is delivered again within ``delay`` of its time counts once, across batches and restarts.
+
+    The state holds the keys of the last ``delay`` only: a key goes once the watermark has passed its time. Tickets that come later
+    than that are dropped as late. Rows without a time have no place in the watermark and are left out.
+    """
+    timed = tickets.filter(F.col(at).isNotNull()).withColumn(at, F.col(at).cast("timestamp"))
+    return timed.withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
+
+
 def start_append(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Append a stream to parquet files; ``once`` takes what is there and stops."""
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
