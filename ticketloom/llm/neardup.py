@@ -26,7 +26,7 @@ from ticketloom.llm.wordarrays import LOWER, ODD, map_texts, mix, text_bytes, wi
 SHINGLE = 5
 PERCENT = 75
 VALUES, TREES, DEPTH, REACH = 128, 24, 4, 4
-FURTHER = 16  # values that a crowd is sorted by at a time
+FURTHER = VALUES - 2 * DEPTH  # values that a crowd is sorted by at a time: all the others
 #: Least share of equal minhash values of a candidate; pairs at the limit fall below it once in some 100,000.
 LIKELY = 0.56
 #: Shingles of one block of a cluster.
@@ -95,15 +95,20 @@ def signed(docs: DataFrame) -> DataFrame:
     return map_texts(docs, run, "id bigint, mark bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary")
 
 
-def signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, VALUES)
-
-
 def key_bytes(values: np.ndarray) -> pa.Array:
     """Rows of values as bytes that sort as they do."""
-    raw = np.ascontiguousarray(values).astype(">u2").tobytes()
-    width = 2 * values.shape[1]
-    return pa.array([raw[k : k + width] for k in range(0, len(raw), width)] if width else [], pa.binary())
+    raw = pa.py_buffer(np.ascontiguousarray(values).astype(">u2").tobytes())
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * values.shape[1]), len(values), [None, raw]).cast(pa.binary())
+
+
+def byte_rows(column: pa.Array) -> np.ndarray:
+    """Bytes of equal length as rows of a matrix."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(len(column), -1)
+
+
+def signatures(column: pa.Array) -> np.ndarray:
+    return np.ascontiguousarray(byte_rows(column)).view(np.uint16)
 
 
 ROWS = "tree int, run bigint, key binary, id bigint"
@@ -140,7 +145,7 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: pa.Table | None = None
     seen = 0
 
-    def out(kind: int, rows: pa.Table, a: pa.Array, b: pa.Array) -> pa.RecordBatch:
+    def out(kind: int, rows: pa.Table, a: pa.ChunkedArray, b: pa.ChunkedArray) -> list[pa.RecordBatch]:
         rows = rows.combine_chunks()
         return pa.Table.from_arrays([pa.array(np.full(rows.num_rows, kind, np.int32)), *(rows.column(c) for c in ("tree", "run", "key")), a, b],
                                     names=["kind", "tree", "run", "key", "a", "b"]).to_batches()
@@ -167,10 +172,10 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nothing = pa.nulls(len(a))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), PAIR, np.int32)), nothing.cast(pa.int32()), nothing.cast(pa.int64()), nothing.cast(pa.binary()),
                                               pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["kind", "tree", "run", "key", "a", "b"])
-        key = np.array(table.column("key").to_pylist(), dtype=object)
+        key = byte_rows(table.column("key").combine_chunks())
         new = np.arange(max(REACH + 1, old), len(run))
         new = new[(run[new] == run[new - REACH - 1])]
-        new = new[key[new] == key[new - REACH - 1]] if len(new) else new
+        new = new[(key[new] == key[new - REACH - 1]).all(axis=1)]
         if len(new):
             crowd = table.take(pa.array(np.unique((new[:, None] - np.arange(REACH + 2)).ravel())))
             yield from out(CROWD, crowd, crowd.column("id"), crowd.column("id"))
