@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ticketloom import policy
 from ticketloom.operators import sla
-from ticketloom.operators.worktime import WorkCalendar, count_below, yearly
+from ticketloom.operators.worktime import WorkCalendar, count_below, numbers, yearly
 
 PLAIN = WorkCalendar()
 ODD = WorkCalendar(
@@ -53,9 +53,9 @@ def test_seconds_and_nulls(spark):
 
 
 def test_count_below(spark):
-    for values in ([], [5], [1, 3, 3, 8, 100], list(range(0, 2000, 3))):
+    for values in ([], [5], [0], [1, 3, 3, 8, 100], list(range(0, 2000, 3))):
         asked = [-5, 0, 1, 3, 4, 5, 8, 99, 100, 101, 5000]
-        got = spark.createDataFrame([(a,) for a in asked], "x long").select(count_below(values, F.col("x")).alias("n")).collect()
+        got = spark.createDataFrame([(a,) for a in asked], "x long").select(count_below(numbers(values), len(values), F.col("x")).alias("n")).collect()
         assert [r.n for r in got] == [sum(v < a for v in values) for a in asked]
 
 

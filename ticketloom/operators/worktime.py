@@ -25,26 +25,20 @@ BASE = date(1970, 1, 5)
 
 def numbers(values: Sequence[int]) -> Column:
     """A constant list as one literal, however long."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
 
 
-def count_below(values: Sequence[int], x: Column) -> Column:
-    """How many of some ascending numbers are below x, by binary search."""
-    n = len(values)
+def count_below(ordered: Column, n: int, x: Column) -> Column:
+    """How many of n ascending numbers are below x, by binary search."""
     if not n:
         return F.lit(0)
-    ordered = numbers(values)
-    steps = [1 << k for k in range(n.bit_length() - 1, -1, -1)]
+    steps = F.array(*(F.lit(1 << k) for k in range(n.bit_length() - 1, -1, -1)))
+    return F.aggregate(steps, F.lit(0), lambda pos, s: F.when((pos + s <= n) & (F.element_at(ordered, F.least(pos + s, F.lit(n))) < x), pos + s).otherwise(pos))
 
-    def step(v: Column):
-        return lambda pos, s: F.when((pos + s <= n) & (F.element_at(ordered, F.least(pos + s, F.lit(n))) < v), pos + s).otherwise(pos)
 
-    return X.let(x, lambda v: F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), step(v)))
-
-
-def at(values: Sequence[int], place: Column) -> Column:
+def at(values: Column, place: Column) -> Column:
     """The number at a place from 0 on."""
-    return F.element_at(numbers(values), place + 1)
+    return F.element_at(values, place + 1)
 
 
 @dataclass(frozen=True)
@@ -98,36 +92,46 @@ class WorkCalendar:
         """Working time before each day off."""
         return [d // 7 * self.upto[7] + self.upto[d % 7] - n for d, n in zip(self.days_off, self.lost, strict=False)]
 
+    def _with_tables(self, value: Column, body) -> Column:
+        """Evaluate `value` once and hand it on with the calendar's lists, which are constants only outside of lambdas."""
+        lists = {"begins": self.begins, "lengths": self.lengths, "upto": self.upto, "off": self.days_off, "lost": self.lost, "before": self.before_off}
+        return X.let(F.struct(value.alias("value"), *(numbers(v).alias(k) for k, v in lists.items())), body)
+
     def worked(self, instant: Column) -> Column:
         """Microseconds of working time from BASE up to an instant; null stays null."""
         micros = F.timestamp_diff("MICROSECOND", F.lit(datetime.combine(BASE, time())).cast("timestamp_ntz"), instant.cast("timestamp_ntz"))
+        n = len(self.days_off)
+
+        def upto(t: Column) -> Column:
+            u = t["value"]
+
+            def on_day(day: Column) -> Column:
+                of_week = F.pmod(day, F.lit(7)).cast("int")
+                part = F.greatest(F.least(u - day * DAY - at(t["begins"], of_week), at(t["lengths"], of_week)), F.lit(0))
+                whole = F.floor(day / 7) * self.upto[7] + at(t["upto"], of_week)
+                off = X.let(count_below(t["off"], n, day), lambda k: F.struct(at(t["lost"], k).alias("lost"), (F.get(t["off"], k) == day).alias("today")))
+                return X.let(off, lambda o: whole - o["lost"] + F.when(o["today"], 0).otherwise(part))
 
-        def upto(u: Column) -> Column:
-            day = F.floor(u / DAY)
-            of_week = F.pmod(day, F.lit(7)).cast("int")
-            part = F.greatest(F.least(u - day * DAY - at(self.begins, of_week), at(self.lengths, of_week)), F.lit(0))
-            whole = F.floor(day / 7) * self.upto[7] + at(self.upto, of_week)
-            off = count_below(self.days_off, day)
-            is_off = count_below(self.days_off, day + 1) > off
-            return whole - at(self.lost, off) + F.when(is_off, 0).otherwise(part)
+            return X.let(F.floor(u / DAY), on_day)
 
-        return F.when(instant.isNotNull(), X.let(micros, upto))
+        return self._with_tables(micros, upto)
 
     def instant(self, worked: Column) -> Column:
-        """The first instant at which so much working time has passed."""
+        """The first instant at which so much working time has passed; null stays null."""
 
-        def back(w: Column) -> Column:
-            gross = w + at(self.lost, count_below(self.before_off, w))
+        def back(t: Column) -> Column:
+            w = t["value"]
 
             def in_week(g: Column) -> Column:
                 week = -F.floor(-g / self.upto[7]) - 1
-                rest = g - week * self.upto[7]
-                return X.let(rest, lambda r: X.let(count_below(self.upto, r) - 1, lambda d: (week * 7 + d) * DAY + at(self.begins, d) + r - at(self.upto, d)))
+                rest = F.struct(week.alias("week"), (g - week * self.upto[7]).alias("rest"))
+                place = lambda r: X.let(count_below(t["upto"], 8, r["rest"]) - 1, lambda d: (r["week"] * 7 + d) * DAY + at(t["begins"], d) + r["rest"] - at(t["upto"], d))
+                return X.let(rest, place)
 
-            return X.let(gross, in_week)
+            return X.let(w + at(t["lost"], count_below(t["before"], len(self.before_off), w)), in_week)
 
         base = F.lit(datetime.combine(BASE, time())).cast("timestamp_ntz")
-        return F.when(worked.isNotNull(), F.timestamp_add("MICROSECOND", X.let(worked, back), base))
+        return F.timestamp_add("MICROSECOND", self._with_tables(worked, back), base)
 
     def add(self, start: Column, minutes: Column) -> Column:
         """The instant at which so many working minutes have passed since start; start itself for none."""
