@@ -196,10 +196,10 @@ class Heavy:
 GRAM, BYTE, WORDS, DOCS, HEAVY = range(5)
 
 
-def train(docs: DataFrame, text_col: str, train_when: Column, share: float = 1.0) -> tuple[np.ndarray, np.ndarray, int, int, np.ndarray]:
-    """Counts of four symbols, of bytes, of words and of documents over all training rows, and the contexts with more than `share` of the tokens.
+def train(docs: DataFrame, text_col: str, train_when: Column, share: float = 1.0) -> tuple[np.ndarray, np.ndarray, int, int, np.ndarray, np.ndarray]:
+    """Counts of four symbols, of bytes, of words and of documents over all training rows; the contexts with more than `share` of the tokens and their shares' number.
 
-    Each task adds up its rows; Spark adds up the tasks. At most A**4 + 258 sums and 8 / share contexts reach the driver.
+    Each task adds up its rows; Spark adds up the tasks. At most A**4 + 258 sums and 4 / share contexts reach the driver.
     """
     ship(docs.sparkSession)
 
@@ -230,10 +230,12 @@ def train(docs: DataFrame, text_col: str, train_when: Column, share: float = 1.0
     for k, table in enumerate(out):
         table[code[kind == k]] = n[kind == k]
     n_words, n_docs = int(out[WORDS][0]), int(out[DOCS][0])
-    # two contexts a token; lots, summaries and small shares of tasks may miss a quarter of the share each, or less
-    least = share * 2 * (n_words + n_docs) / 8
-    hot = sums.where((F.col("kind") == HEAVY) & (F.col("n") > least)).select("code").toArrow().column("code").to_numpy()
-    return out[GRAM], out[BYTE], n_words, n_docs, np.sort(hot.view(np.uint64))
+    # two contexts a token; lots, summaries and small shares of tasks may miss a quarter of the share each
+    one = share * 2 * (n_words + n_docs)
+    hot = sums.where((F.col("kind") == HEAVY) & (F.col("n") > one / 4)).select("code", "n").toArrow()
+    keys, n = hot.column("code").to_numpy().view(np.uint64), hot.column("n").to_numpy()
+    by = np.argsort(keys)
+    return out[GRAM], out[BYTE], n_words, n_docs, keys[by], np.ceil(n[by] / max(one, 1.0)).astype(np.int64)
 
 
 def tokens_of(h: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,21 +257,40 @@ def contexts(tokens: np.ndarray, heads: np.ndarray) -> list[np.ndarray]:
     return [np.zeros_like(tokens), mix(before + np.uint64(1)), mix(shifted(before, heads, END_WORD) * ODD + before + np.uint64(2))]
 
 
-def gram_keys(tokens: np.ndarray, heads: np.ndarray, hot: np.ndarray) -> list[np.ndarray]:
+class HotContexts:
+    """Contexts that are dealt by word to as many buckets as their share asks for: their hashes in order, and how many parts each has."""
+
+    def __init__(self, hashes: np.ndarray, parts: np.ndarray, buckets: int) -> None:
+        self.hashes, self.parts, self.buckets = hashes, parts.astype(np.uint64), np.uint64(buckets)
+        self.words = np.uint64((1 << int(HOT)) // max(len(hashes), 1))  # how many words the low bits tell apart
+
+    def keys(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Keys without the order: in the range of the part's bucket, told apart by the word; the low bits also hold the context's number."""
+        number = np.searchsorted(self.hashes, context)
+        part, rest = word % self.parts[number], mix(word ^ context * ODD)
+        bucket = (mix(context + (part + np.uint64(1)) * ODD) >> np.uint64(32)) * self.buckets >> np.uint64(32)
+        begin = ((bucket << np.uint64(32)) + self.buckets - np.uint64(1)) // self.buckets
+        top = begin + (rest >> np.uint64(32)) % (np.uint64(1 << 32) // self.buckets)
+        low = number.astype(np.uint64) * self.words + (rest >> np.uint64(4)) % self.words
+        return top << np.uint64(32) | (rest & np.uint64(15)) << ROUTE | np.uint64(1) << HOT | low
+
+    def codes(self, keys: np.ndarray) -> np.ndarray:
+        """Order and number of the context of each hot key."""
+        return ((keys >> ORDER & np.uint64(3)) << HOT | (keys & LOW) // self.words).astype(np.int64)
+
+
+def gram_keys(tokens: np.ndarray, heads: np.ndarray, hot: HotContexts) -> list[np.ndarray]:
     """Keys of the runs of one, two and three tokens that end at each token.
 
-    Runs of one token are routed by the token, others by their context, so that a context's runs are neighbours; those of hot
-    contexts (in order) by context and token, with the context's number in place of the token.
+    Runs of one token are routed by the token, others by their context, so that a context's runs are neighbours; hot contexts by themselves.
     """
     word = mix(tokens)
     out = []
     for k, c in enumerate(contexts(tokens, heads)):
         head = np.uint64(k) << ORDER
         key = (mix(c + np.uint64(k)) if k else word) >> ROUTE << ROUTE | head | (word if not k else word >> np.uint64(1)) & LOW
-        if k and len(hot):
-            wide = np.flatnonzero(found_in(hot, c))
-            number = np.searchsorted(hot, c[wide]).astype(np.uint64)
-            key[wide] = mix(c[wide] ^ word[wide] * ODD) >> ROUTE << ROUTE | head | np.uint64(1) << HOT | number
+        wide = np.flatnonzero(found_in(hot.hashes, c)) if k else np.zeros(0, np.int64)
+        key[wide] = hot.keys(c[wide], word[wide]) | head
         out.append(key)
     return out
 
@@ -414,7 +435,8 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
     ship(spark)
     train_when = F.coalesce(train_when, F.lit(False))
     buckets = 4 * partitions(spark)
-    grams, spelled, n_train_words, n_train_docs, hot = train(docs, text_col, train_when, 0.25 / buckets)
+    grams, spelled, n_train_words, n_train_docs, hashes, parts = train(docs, text_col, train_when, 1 / buckets)
+    hot = HotContexts(hashes, parts, buckets)
     model = Automaton(grams, spelled)
     shipped = spark.sparkContext.broadcast((model.weight, model.next, model.spelling))
     heavy = spark.sparkContext.broadcast(hot)
@@ -454,7 +476,7 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
             more.append((squeezed(followed[ctx]), squeezed(follow[ctx])))
         # hot contexts: what this bucket holds of each
         wide = kinds >> HOT & np.uint64(1) == 1
-        code, at = np.unique((kinds[wide] >> ORDER & np.uint64(3)) << HOT | kinds[wide] & LOW, return_inverse=True)
+        code, at = np.unique(heavy.value.codes(kinds[wide]), return_inverse=True)
         n, m = np.bincount(at, weights=c[wide], minlength=len(code)), np.bincount(at, weights=c[wide] > 0, minlength=len(code))
         parts = [{"code": int(x), "n": int(y), "m": int(z)} for x, y, z in zip(code.tolist(), n.tolist(), m.tolist(), strict=True)]
         kind = pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64()), ("m", pa.int64())]))
@@ -503,7 +525,7 @@ def score_documents(docs: DataFrame, train_when: Column, id_col: str = "doc_id",
         hot_runs = np.flatnonzero(keys >> HOT & np.uint64(1) == 1)
         if len(hot_runs):
             codes, n, m = totals.value
-            at = np.searchsorted(codes, ((keys[hot_runs] >> ORDER & np.uint64(3)) << HOT | keys[hot_runs] & LOW).astype(np.int64))
+            at = np.searchsorted(codes, heavy.value.codes(keys[hot_runs]))
             per_run[:, hot_runs] = n[at], m[at]
         count = c[which].astype(float)
         context, follow = per_run[0][which].astype(float), per_run[1][which].astype(float)
