@@ -223,6 +223,60 @@ def test_text_shard_search_is_exact():
             assert got.get(n, []) == want
 
 
+def templated(spark):
+    rng = random.Random(5)
+    templates = [rng.sample([f"w{i}" for i in range(40)], 6) for _ in range(5)]
+    docs = [(f"d{i:04d}", " ".join([*templates[i % 5], f"n{i % 90}"])) for i in range(400)]
+    queries = [(f"q{i:03d}", " ".join([*templates[i % 5], *templates[i % 3][:2], f"n{i % 120}", f"unseen{i}"])) for i in range(120)]
+    return queries, docs, spark.createDataFrame(queries, "query_id string, text string"), spark.createDataFrame(docs, "doc_id string, content string")
+
+
+@pytest.mark.parametrize("sent", [2_000_000, 0])
+def test_text_search_with_and_without_sent_words(spark, sent, monkeypatch):
+    """A vocabulary that is sent, one that is joined, and words whose hashes meet give the same."""
+    from ticketloom.operators import textindex as I
+
+    monkeypatch.setattr(I, "MOST_SENT", sent)
+    plain = I.term_of
+    monkeypatch.setattr(I, "term_of", lambda word, seed: F.length(word).cast("long") if seed == 0 else plain(word, seed))
+    queries, docs, q, d = templated(spark)
+    assert I.prepare(R.index_terms(d), 60).seed == 1
+    got = {}
+    for r in R.text_topk(q, R.index_terms(d), 3, shard_rows=60).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["corpus_id"])
+    assert got == {k: [x for x, _ in v] for k, v in bm25(queries, docs, 3).items()}
+
+
+def test_queries_with_the_same_known_words_are_searched_once(spark):
+    from ticketloom.operators import textindex as I
+
+    _, _, q, d = templated(spark)
+    q = q.unionByName(q.select("query_id", F.concat("text", F.lit(" neverseen"), "query_id").alias("text")))
+    keyed = I.known(I.prepare(R.index_terms(d), 60), q, R.asked_words(F.col("text")))
+    assert keyed.count() == 240 and keyed.select("known.query_id").distinct().count() <= 120
+
+
+def test_text_shard_memory_is_bounded():
+    """Many queries that have all words of many equal rows: postings are looked at in bounded steps."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from ticketloom.operators import textindex as I
+
+    words = [f"w{i}" for i in range(18)]
+    rows, n = 16_384, 600
+    shard = I.Shard(pa.table({"corpus_id": [f"d{i:05d}" for i in range(rows)], "words": pa.array([words] * rows, pa.list_(pa.string())),
+                              "weights": pa.array([[10.0 if j == i % 18 else 1.0 for j in range(18)] for i in range(rows)], pa.list_(pa.float64()))}))
+    asked = pa.table({"query_id": [str(i) for i in range(n)], "words": pa.array([words] * n, pa.list_(pa.string())), "idfs": pa.array([[1.0] * 18] * n, pa.list_(pa.float64())),
+                      "floor": pa.nulls(n, pa.float64()), "floor_id": pa.nulls(n, pa.string())})
+    tracemalloc.start()
+    q, row, _ = shard.search(asked, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(q) == 3 * n and set(row.tolist()) == {0, 1, 2} and peak < 800e6, peak
+
+
 def test_context(spark):
     docs = spark.createDataFrame([("a", "Disk", "disk full " + "x" * 2000)], "doc_id string, title string, content string")
     q = spark.createDataFrame([(1, "disk trouble"), (2, "nothing")], "id int, text string")
