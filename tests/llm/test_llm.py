@@ -286,6 +286,16 @@ def test_words_that_recur_in_the_texts_are_known(spark):
     assert not any(found[k] for k in (50, 51, 52))
 
 
+def test_words_recur_anywhere_in_any_text(spark):
+    """At the head of long texts, and in two of many texts; but not in copies of one text."""
+    far = [f"zebrahead {'x ' * 9000}{k}" for k in range(2)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*far, *["alonealone twice"] * 3, None, ""])], "doc_id long, text string")
+    assert secret_scan.recurring_words(docs) == ["zebrahead"]
+    many = [f"{'quuxword' if k % 700 == 0 else 'plain'} {'rareword' if k < 2 else ''} text{k}" for k in range(4000)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(many)], "doc_id long, text string")
+    assert secret_scan.recurring_words(docs) == ["plain", "quuxword", "text"]
+
+
 def test_secret_scan_is_linear(scanner):
     def seconds(text):
         begin = time.perf_counter()

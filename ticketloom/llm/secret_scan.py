@@ -2,8 +2,8 @@
 
 A candidate is a long run of token characters soon after a sensitive word. Its novelty is the number of
 bytes that zstandard adds for it after the text around it, primed with a dictionary of words and identifiers.
-The dictionary is trained on the words of a given list and on those that recur in a bounded sample of the
-texts. A candidate is reported if it adds as many bytes as a random string of its length over its own
+The dictionary is trained on the words of a given list and on those that recur in the texts, all of which are
+counted whole. A candidate is reported if it adds as many bytes as a random string of its length over its own
 alphabet does: the limits are measured once on random strings with the same compressor. Names, paths and
 words are found in the dictionary or nearby and add less. A candidate does not explain its own repeats, and
 what is reported explains nothing.
@@ -17,7 +17,6 @@ import hashlib
 import random
 import re
 from bisect import bisect_left, bisect_right
-from collections import Counter
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -43,9 +42,9 @@ SHORTEST, LONGEST, STEP = 16, 64, 8  # lengths that limits are measured at; beyo
 MISSED = 0.05  # share of random strings that may stay below the limit
 TRIALS = 40
 
-SAMPLE_TEXTS, SAMPLE_CHARS = 2000, 4096
+RECURS = 1000  # a word recurs if one of so many texts has it, and two different ones at least
 DICTIONARY_BYTES, DICTIONARY_SAMPLES, OFTENER, LEVEL = 524_288, 8000, 8, 3
-WORD = re.compile(r"[^\W\d_]{3,}")
+WORD = r"[\p{L}\p{Nl}\p{No}]{3,}"
 
 #: What code and settings say around keys.
 COMMON = """import export return class function public static const string number boolean null true false default config configuration settings environment
@@ -133,22 +132,18 @@ def trained(words: Iterable[str], own: Iterable[str] = ()) -> bytes:
 
 
 def recurring_words(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """Words of three letters or more that at least two texts of a sample have, in order.
+    """Words of three letters or more that at least one of `RECURS` texts has, and two different texts at least, in order.
 
-    The sample is the `SAMPLE_TEXTS` distinct texts whose hashes are lowest, each with `SAMPLE_CHARS` characters from its middle;
-    nothing else reaches the driver. Copies of a text count once.
+    Every text is counted whole. Words that only copies of one text have do not recur. The driver gets as many words, those of
+    most texts first, as the dictionary has bytes for.
     """
     text = F.col(text_col).cast("string")
-    hashed = docs.where(text.isNotNull()).select(F.xxhash64(text).alias("h"), F.substring(
-        text, F.greatest(F.floor((F.length(text) - SAMPLE_CHARS) / 2), F.lit(1)).cast("int"), F.lit(SAMPLE_CHARS)).alias("part"))
-    chosen = hashed.select("h").distinct().orderBy("h").limit(SAMPLE_TEXTS).collect()
-    if not chosen:
-        return []
-    parts = hashed.where(F.col("h") <= chosen[-1]["h"]).groupBy("h").agg(F.min("part").alias("part")).collect()
-    seen: Counter[str] = Counter()
-    for r in parts:
-        seen.update(set(WORD.findall(r["part"])))
-    return sorted(w for w, n in seen.items() if n > 1)
+    texts = docs.where(text.isNotNull()).select(text.alias("text"))
+    words = texts.select(F.xxhash64("text").alias("h"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word"))
+    counted = words.groupBy("word").agg(F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high"))
+    least = texts.count() / RECURS
+    found = counted.where((F.col("low") < F.col("high")) & (F.col("n") >= least)).orderBy(F.col("n").desc(), "word")
+    return sorted(r["word"] for r in found.select("word").limit(DICTIONARY_BYTES // 4).collect())
 
 
 def learn(docs: DataFrame, text_col: str = "text", words: Iterable[str] = ()) -> Scanner:
