@@ -267,3 +267,12 @@ def test_reload_replaces_whole_files(spark, tmp_path):
     with pytest.raises(Exception, match="more than one source row"):
         load([("b.txt", two), ("b.txt", three)])
     assert load([("b.txt", three)])[0] == {"b.txt": first["a.txt"]}
+
+
+def test_narrow_rows_are_spread_by_their_number(spark, tmp_path):
+    from ticketloom.sources import readers
+
+    spark.range(0, 420_000, 1, 1).write.parquet(str(tmp_path / "narrow"))
+    source = spark.read.parquet(str(tmp_path / "narrow"))
+    spread = readers.spread_small(source, source)
+    assert spread.rdd.getNumPartitions() == 9 and spread.count() == 420_000
