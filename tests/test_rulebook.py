@@ -61,3 +61,16 @@ def test_team_keywords_as_a_table(spark):
         best, scores = got.get(r["ticket_id"], (None, {}))
         got[r["ticket_id"]] = (r["team"] if r["best"] else best, scores | {r["team"]: r["score"]})
     assert got == {k: v for k, v in want.items() if v[0]}
+
+
+def test_team_keywords_are_looked_up_before_anything_is_shuffled(spark):
+    t = tickets(spark).withColumn("ticket_id", F.col("ticket_id") % 100)
+    keywords = rulebook.keyword_table(spark)
+    sent, joined = (rulebook.score_team_table(t, keywords, most_sent=n) for n in (rulebook.MOST_SENT, 0))
+    assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, joined.collect()))
+    assert sent.count() > 50
+    for df in (sent, joined):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        # runs of words that are no keywords are not made distinct
+        deepest = plan[plan.rindex("Aggregate"):]
+        assert "MapInArrow" in deepest or "Join" in deepest

@@ -63,14 +63,13 @@ class Trie:
     def hits(self, words: list[str]) -> set[tuple]:
         """Values of all phrases that occur as whole words."""
         out: set[tuple] = set()
-        for k in range(len(words)):
-            node = self.root
-            for w in words[k:]:
-                node = node.get(w)
-                if node is None:
-                    break
+        for k, word in enumerate(words):
+            node = self.root.get(word)
+            while node is not None:
                 if None in node:
                     out.update(node[None])
+                k += 1
+                node = node.get(words[k]) if k < len(words) else None
         return out
 
 
@@ -184,15 +183,40 @@ def _by_join(df: DataFrame, rules: DataFrame, phrases: DataFrame, patterns: list
         none("notify", "array<string>"), none("actions", "array<string>"))
 
 
-def score_team_table(df: DataFrame, keywords: DataFrame, key: str = "ticket_id", text: str = "ticket_text") -> DataFrame:
+def score_team_table(df: DataFrame, keywords: DataFrame, key: str = "ticket_id", text: str = "ticket_text", most_sent: int = MOST_SENT) -> DataFrame:
     """(key, team, score, best) for each team a ticket has keywords of: distinct keywords found, and the team with most, the first of equal ones.
 
-    A join of word runs with the table of keywords; rows of one key count as one ticket.
+    Rows of one key count as one ticket. Keywords are looked up inside each row, or joined with its word runs where there are more
+    than ``most_sent``; only those found are shuffled.
     """
     phrases = sinks.stage(keywords.select("team_no", "team", F.trim(X.normalise(F.col("phrase"))).alias("phrase")).where("phrase <> ''").distinct(), "keywords")
-    longest = phrases.agg(F.max(F.size(F.split("phrase", " ")))).collect()[0][0] or 1
-    words = X.search_words(F.coalesce(F.col(text), F.lit("")))
-    runs = df.select(key, words.alias("w")).select(key, F.explode(word_runs(F.col("w"), longest)).alias("phrase")).distinct()
-    scores = runs.join(phrases, "phrase").groupBy(key, "team_no", "team").agg(F.count("*").alias("score"))
+    if phrases.count() <= most_sent:
+        found = _keywords_by_trie(df.select(key, X.normalise(F.coalesce(F.col(text), F.lit(""))).alias("words")), phrases)
+    else:
+        longest = phrases.agg(F.max(F.size(F.split("phrase", " ")))).collect()[0][0] or 1
+        words = X.search_words(F.coalesce(F.col(text), F.lit("")))
+        runs = df.select(key, F.explode(X.let(words, lambda w: word_runs(w, longest))).alias("phrase"))
+        found = runs.join(phrases, "phrase").select(key, "team_no", "team", "phrase")
+    scores = found.distinct().groupBy(key, "team_no", "team").agg(F.count("*").alias("score"))
     best = F.row_number().over(Window.partitionBy(key).orderBy(F.col("score").desc(), "team_no")) == 1
     return scores.withColumn("best", best).drop("team_no")
+
+
+def _keywords_by_trie(worded: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(key, team_no, team, phrase) of the phrases found in the words of each row."""
+    trie = Trie()
+    for r in phrases.collect():
+        trie.add(r["phrase"].split(" "), (r["team_no"], r["team"], r["phrase"]))
+    sent = worded.sparkSession.sparkContext.broadcast(trie)
+    key, found = worded.schema.fields[0], [phrases.schema[n] for n in ("team_no", "team", "phrase")]
+    arrow = [pa.int32(), pa.string(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = sent.value
+        for batch in batches:
+            hits = [trie.hits(words.split()) for words in batch.column("words").to_pylist()]
+            rows = pa.array([k for k, own in enumerate(hits) for _ in own], pa.int64())
+            columns = [pa.array([hit[n] for own in hits for hit in own], t) for n, t in enumerate(arrow)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), *columns], names=[key.name, *(f.name for f in found)])
+
+    return worded.mapInArrow(run, T.StructType([key, *found]))
