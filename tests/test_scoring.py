@@ -124,6 +124,26 @@ def test_model_failures_stay_in_their_rows(spark):
         ("a", "A", None), ("bad", "none", "ValueError: no"), ("b", "B", None)]
 
 
+def test_rows_beside_a_failing_one_are_run_together(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    def load():
+        def run(rows):
+            with open(calls, "a") as f:
+                f.write(f"{len(rows)}\n")
+            if (rows["k"] % 40 == 39).any():
+                raise ValueError("no")
+            return [{"label": f"L{k}"} for k in rows["k"]]
+        return run
+
+    df = spark.range(70).select(F.col("id").alias("k")).coalesce(1)
+    out = scoring.apply_model(df, load, "label STRING", {"label": "none"}).collect()
+    assert [(r["k"], r["label"], r["error"]) for r in out] == [
+        (k, "none", "ValueError: no") if k == 39 else (k, f"L{k}", None) for k in range(70)]
+    with open(calls) as f:
+        assert [int(n) for n in f] == [64, 16, 16, 16, 4, 4, 1, 1, 1, 1, 4, 4, 16, 6]
+
+
 def test_prompt_slots(spark):
     df = spark.createDataFrame([("T", None)], "t string, c string")
     assert scoring.build_prompt(df, "x {a} y {b} {a}", a="t", b="c").first()["prompt"] == "x T y  T"
