@@ -276,3 +276,13 @@ def test_narrow_rows_are_spread_by_their_number(spark, tmp_path):
     source = spark.read.parquet(str(tmp_path / "narrow"))
     spread = readers.spread_small(source, source)
     assert spread.rdd.getNumPartitions() == 9 and spread.count() == 420_000
+
+
+def test_analysis_export_may_be_compressed(spark, tmp_path):
+    history = [{"rank": k, "resolution": f"Fixed by the team {k}. " * 20} for k in range(3)]
+    df = spark.createDataFrame([(f"t{i}", history) for i in range(500)], "ticket_id string, history array<struct<rank: int, resolution: string>>")
+    for name, compression in (("plain", "none"), ("small", "gzip")):
+        sinks.export_analysis_json(df, str(tmp_path / name), compression)
+    plain, small = (sum(f.stat().st_size for f in (tmp_path / n).glob("part-*")) for n in ("plain", "small"))
+    assert 10 * small < plain
+    assert sorted(spark.read.schema(df.schema).json(str(tmp_path / "small")).collect()) == sorted(df.collect())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.operators import retrieval as R
 from ticketloom.operators import vectorindex as V
+from ticketloom.sources import sinks
 
 
 def vectors(spark, n, dims=16, seed=0):
@@ -331,3 +332,19 @@ def test_short_words_codes_and_other_languages_are_found(spark):
     asked = spark.createDataFrame([(0, "vpn dns?"), (1, "s3"), (2, "err_42"), (3, "STÖRUNG"), (4, "503")], "query_id int, text string")
     got = {(r["query_id"], r["corpus_id"]) for r in R.text_topk(asked, R.index_terms(docs), 1).collect()}
     assert got == {(i, i) for i in range(5)}
+
+
+def test_rows_that_ask_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    index = sinks.stage(R.index_terms(spark.createDataFrame([(f"d{i}", f"alpha w{i}") for i in range(9)], "doc_id string, content string")), "index")
+    q = spark.range(40).select(F.format_string("w%d w%d other", F.col("id") % 9, F.col("id") % 9).alias("text"))
+    q = q.mapInPandas(counted, q.schema)
+    found = R.with_top_text(q, index, 1, "text").select("text", F.col("hits")[0]["corpus_id"].alias("best")).collect()
+    assert len(found) == 40 and all(r["best"] == "d" + r["text"][1] for r in found)
+    assert seen.value == 40
