@@ -2,12 +2,15 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from ticketloom.operators import blocks as B
 from ticketloom.operators import retrieval as R
 from ticketloom.operators import vectorindex as V
 from ticketloom.sources import sinks
@@ -348,3 +351,24 @@ def test_rows_that_ask_are_computed_once(spark):
     found = R.with_top_text(q, index, 1, "text").select("text", F.col("hits")[0]["corpus_id"].alias("best")).collect()
     assert len(found) == 40 and all(r["best"] == "d" + r["text"][1] for r in found)
     assert seen.value == 40
+
+
+def peak_of(fn):
+    tracemalloc.start()
+    fn()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_blocks_of_vectors_stay_small():
+    rng = np.random.default_rng(1)
+    rows = rng.normal(size=(16384, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    assert peak_of(lambda: B.best_cosines(rows[:1024], rows, 3)) < 40
+    equal = np.repeat(rows[:1], 4096, 0)
+    assert peak_of(lambda: B.best_cosines(equal[:512], equal, 3)) < 120
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000))], names=["id"])
+    parts = list(V.slices(batch, 4096))
+    assert max(p.num_rows for p in parts) * 4096 <= B.CELLS
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(10_000))

@@ -14,6 +14,7 @@ more for every `QUERY_ROWS` queries that meet in a shard.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +30,7 @@ SAMPLE_ROWS, SAMPLE_QUERIES = 20_000, 256
 MOST_LISTS, ROUNDS = 4096, 10
 RECALL = 0.96
 SHARD_ROWS, SMALL_SHARD, QUERY_ROWS = 65_536, 512, 16_384
+ASK_ROWS = 2_048  # queries of a shard that are looked at in one step
 
 
 @dataclass
@@ -41,6 +43,12 @@ class VectorIndex:
     rows: DataFrame
 
 
+def slices(batch: pa.RecordBatch, lists: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose likeness to all centres is looked at in one step."""
+    step = max(1, B.CELLS // max(1, lists))
+    return (batch.slice(at, step) for at in range(0, batch.num_rows, step))
+
+
 def train(sample: np.ndarray, lists: int, seed: int) -> np.ndarray:
     """Unit centres by spherical k-means; a centre that loses its rows takes the row farthest from its own."""
     rng = np.random.default_rng(seed)
@@ -90,8 +98,8 @@ def build(corpus: DataFrame, path: str | None = None, k: int = 3, corpus_id: str
     schema = T.StructType([*rows.schema.fields, T.StructField("list", T.IntegerType())])
 
     def place(batches):
-        for batch in batches:
-            own = (B.unit_rows(pa.chunked_array([batch.column("vec")])) @ centres.T).argmax(axis=1) if batch.num_rows else np.zeros(0)
+        for batch in (part for whole in batches for part in slices(whole, len(centres))):
+            own = (B.unit_rows(pa.chunked_array([batch.column("vec")])) @ centres.T).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32))], names=[*batch.schema.names, "list"])
 
     placed = sinks.stage(rows.mapInArrow(place, schema), "lists")
@@ -135,9 +143,7 @@ def search(index: VectorIndex, queries: DataFrame, k: int = 3, query_id: str = "
     schema = T.StructType([*asked.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("lists", T.ArrayType(T.IntegerType()))])
 
     def route(batches):
-        for batch in batches:
-            if not batch.num_rows or not len(centres):
-                continue
+        for batch in (part for whole in batches for part in slices(whole, len(centres)) if len(centres)):
             near = B.unit_rows(pa.chunked_array([batch.column("vec")])) @ centres.T
             chosen = np.argsort(-near, axis=1, kind="stable")[:, :probes]
             who, at, wanted = [], [], []
@@ -163,28 +169,33 @@ def search(index: VectorIndex, queries: DataFrame, k: int = 3, query_id: str = "
         who, row, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         if q.num_rows and c.num_rows:
             c = c.sort_by([("list", "ascending"), ("corpus_id", "ascending")])
-            own = c["list"].to_numpy()
-            q_rows, c_rows = B.unit_rows(q["vec"]), B.unit_rows(c["vec"])
-            wanted = q["lists"].combine_chunks()
-            asks = np.repeat(np.arange(q.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
-            lists = wanted.flatten().to_numpy()
-            order = np.argsort(lists, kind="stable")
-            asks, lists = asks[order], lists[order]
-            same = B.same_rows(q["query_id"], c["corpus_id"]) if exclude_same_id else None
+            own, c_rows = c["list"].to_numpy(), B.unit_rows(c["vec"])
             # a list and the queries that ask it, then the best of all lists
             kinds, begin = np.unique(own, return_index=True)
-            found = []
-            for one, a, b in zip(kinds.tolist(), begin.tolist(), [*begin[1:].tolist(), len(own)], strict=True):
-                those = asks[slice(*np.searchsorted(lists, [one, one + 1]))]
-                if len(those):
-                    x, y, s = B.best_cosines(q_rows[those], c_rows[a:b], k, None if same is None else same[those] - a)
-                    found.append((those[x], y + a, s))
-            if found:
-                who, row, score = (np.concatenate(f) for f in zip(*found, strict=True))
-                # equal scores: the smaller id, which is not the smaller place across lists
-                place = np.empty(c.num_rows, np.int64)
-                place[pa.compute.array_sort_indices(c["corpus_id"].combine_chunks()).to_numpy()] = np.arange(c.num_rows)
-                who, row, score = B.first_of_each(who, row, score, place[row], k)
+            # equal scores: the smaller id, which is not the smaller place across lists
+            place = np.empty(c.num_rows, np.int64)
+            place[pa.compute.array_sort_indices(c["corpus_id"].combine_chunks()).to_numpy()] = np.arange(c.num_rows)
+            best = []
+            for at in range(0, q.num_rows, ASK_ROWS):
+                part = q.slice(at, ASK_ROWS)
+                q_rows, wanted = B.unit_rows(part["vec"]), part["lists"].combine_chunks()
+                asks = np.repeat(np.arange(part.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
+                lists = wanted.flatten().to_numpy()
+                order = np.argsort(lists, kind="stable")
+                asks, lists = asks[order], lists[order]
+                same = B.same_rows(part["query_id"], c["corpus_id"]) if exclude_same_id else None
+                found = []
+                for one, a, b in zip(kinds.tolist(), begin.tolist(), [*begin[1:].tolist(), len(own)], strict=True):
+                    those = asks[slice(*np.searchsorted(lists, [one, one + 1]))]
+                    if len(those):
+                        x, y, s = B.best_cosines(q_rows[those], c_rows[a:b], k, None if same is None else same[those] - a)
+                        found.append((those[x], y + a, s))
+                if found:
+                    x, y, s = (np.concatenate(f) for f in zip(*found, strict=True))
+                    x, y, s = B.first_of_each(x, y, s, place[y], k)
+                    best.append((x + at, y, s))
+            if best:
+                who, row, score = (np.concatenate(f) for f in zip(*best, strict=True))
         return pa.table({"query_id": q["query_id"].take(pa.array(who)), "corpus_id": c["corpus_id"].take(pa.array(row)), "score": pa.array(score)})
 
     keys = ["shard", "part"]
