@@ -286,3 +286,16 @@ def test_analysis_export_may_be_compressed(spark, tmp_path):
     plain, small = (sum(f.stat().st_size for f in (tmp_path / n).glob("part-*")) for n in ("plain", "small"))
     assert 10 * small < plain
     assert sorted(spark.read.schema(df.schema).json(str(tmp_path / "small")).collect()) == sorted(df.collect())
+
+
+def test_texts_go_to_folders_of_one_task_each(spark, tmp_path):
+    rows = [(i, f"text {i % 7}\nend") for i in range(300)]
+    path = str(tmp_path / "texts")
+    sinks.export_texts(spark.createDataFrame(rows, "id int, t string").repartition(3), path, "t", "id", 300)
+    folders = {f: list(f.glob("*.txt")) for f in (tmp_path / "texts").glob("folder=*")}
+    assert len(folders) == 4 and sum(len(files) for files in folders.values()) == 300
+    for files in folders.values():
+        assert len({f.name.split("-")[1] for f in files}) == 1
+    back = readers.read_text_docs(spark, path).collect()
+    assert sorted(r["content"].rstrip("\n") for r in back) == sorted(t for _, t in rows)
+    assert all(r["path"].endswith("/" + r["filename"]) for r in back)
