@@ -36,18 +36,21 @@ def sync_index(
 
     ``removed`` names a boolean column of the source that marks rows as deleted. A deleted row stays in
     the index with its key and version, so that older rows that come late do not bring it back; of equal
-    versions the deletion counts. ``read_index`` leaves such rows out.
+    versions the deletion counts. ``read_index`` leaves such rows out. Rows without a key are left out, and ``embed``
+    must give the same rows each time.
     """
-    order = [version, *([removed] if removed else []), content]
+    rank = [version, *([removed] if removed else [])]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.filter(F.col(key).isNotNull())
         if removed:
             batch = batch.withColumn(removed, F.coalesce(removed, F.lit(False)))
             batch = batch.withColumn(content, F.when(~F.col(removed), F.coalesce(content, F.lit(""))))
-        newest = latest_per_key(batch, key, order).withColumn(
-            "content_hash", F.md5(F.encode(F.col(content), "utf-8"))
-        )
-        newest = sinks.stage(newest, "newest")
+        batch = batch.withColumn("content_hash", F.md5(F.encode(F.col(content), "utf-8")))
+        # what is newest, and what of it is new, is found by hashes; contents are shuffled for changed rows only
+        digest = F.unhex("content_hash")
+        hashes = batch.groupBy(key, *rank).agg(F.min(digest).alias("low_hash"), F.max(digest).alias("high_hash"))
+        newest = sinks.stage(latest_per_key(hashes, key, rank), "newest")
         if newest.isEmpty():
             return
 
@@ -61,21 +64,28 @@ def sync_index(
                 F.col("seen_version").isNull() | (F.col(version) > F.col("seen_version"))).drop("seen_version")
         if sinks.has_rows(spark, index_path):
             have = held(index_path, F.col("content_hash").alias("have_hash"), F.col(version).alias("have_version"), F.lit(True).alias("have"))
-            fresh = fresh.join(have, key, "left").filter(F.col("have").isNull() | (F.col(version) > F.col("have_version")))
-            fresh = fresh.withColumn("same", F.col("have").isNotNull() & F.col("content_hash").eqNullSafe(F.col("have_hash"))).drop("have", "have_hash", "have_version")
+            fresh = fresh.join(have, key, "left").filter(F.col("have").isNull() | (F.col(version) > F.col("have_version"))).drop("have_version")
+            fresh = fresh.withColumn("have", F.col("have").isNotNull())
         else:
-            fresh = fresh.withColumn("same", F.lit(False))
+            fresh = fresh.withColumns({"have_hash": F.lit(None).cast("string"), "have": F.lit(False)})
         fresh = sinks.stage(fresh, "fresh")
-        changed = fresh.filter(~F.col("same")).drop("same")
-        if not changed.isEmpty():
-            if removed:
-                live = embed(changed.filter(~F.col(removed)))
-                changed = live.unionByName(changed.filter(removed), allowMissingColumns=True)
-            else:
-                changed = embed(changed)
-            sinks.upsert_table(changed, index_path, key, buckets)
+        same = F.col("have") & F.col("low_hash").eqNullSafe(F.col("high_hash")) & F.col("low_hash").eqNullSafe(F.unhex("have_hash"))
+        wanted = fresh.filter(~same)
+        if not wanted.isEmpty():
+            wanted = wanted.select(key, "have", "have_hash", F.struct(*rank).alias("newest"))
+            rows = batch.join(wanted, key).filter(F.struct(*rank).eqNullSafe(F.col("newest"))).drop("newest")
+            # rows of one key and version: the greatest content counts, which the index may have
+            rows = latest_per_key(rows, key, [content]).filter(~(F.col("have") & F.col("content_hash").eqNullSafe(F.col("have_hash"))))
+            changed = sinks.stage(rows.drop("have", "have_hash"), "changed")
+            if not changed.isEmpty():
+                if removed:
+                    live = embed(changed.filter(~F.col(removed)))
+                    added = live.unionByName(changed.filter(removed), allowMissingColumns=True)
+                else:
+                    added = embed(changed)
+                sinks.replace_rows(added, changed.select(key), index_path, key, buckets)
         if not fresh.isEmpty():
-            sinks.upsert_table(fresh.select(key, version), seen_path(index_path), key, buckets)
+            sinks.replace_rows(fresh.select(key, version), fresh.select(key), seen_path(index_path), key, buckets)
 
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_path)
