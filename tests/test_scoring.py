@@ -197,3 +197,22 @@ def test_display_values(spark):
     df = spark.createDataFrame([("1.5", None), ("", "x"), ("abc", "y"), (None, "z")], "n string, t string")
     out = tickets.display_values(df, {"t": "Unknown"}, ["n"]).collect()
     assert [tuple(r) for r in out] == [("1.50", "Unknown"), ("0.00", "x"), ("abc", "y"), ("0.00", "z")]
+
+
+def test_chosen_fields_and_words_are_those_of_the_whole_score(spark):
+    texts = [
+        None, "", " \n", "!!!", "Das Büro: Ärger mit VPN", "nice to", "It would be NICE, to have", "report not loading", "the report not",
+        "cannot login cannot login; load balancer load", "database server database", "new new hire", "12 people cannot print",
+        "HTTP 503 0xFF ERR_A1 HTTP 5 EHTTP 404 on NODE-A-7", "Teams not working, multiple users: forgot password",
+    ]
+    df = spark.createDataFrame([(i, t, "ceo@example.com" if i % 2 else None) for i, t in enumerate(texts)], "n INT, ticket_text STRING, who STRING")
+    fields = ["confidence", "affected_systems", "technical_keywords", "user_impact", "priority"]
+    some = scoring.score_tickets(df, sender="who", fields=fields, words="found")
+    assert str(some._jdf.queryExecution().optimizedPlan()).count("regexp_replace") == 1
+    whole = scoring.score_tickets(df, sender="who").withColumn("found", X.search_words(F.coalesce("ticket_text", F.lit(""))))
+    want = whole.select("n", "found", *[f"scored.{f}" for f in fields]).orderBy("n").collect()
+    assert some.select("n", "found", "scored.*").orderBy("n").collect() == want
+    got = {r["n"]: r for r in want}
+    assert got[8]["confidence"] == 0 and got[7]["confidence"] == 1 and got[6]["priority"] == "P4" and got[5]["priority"] == "P3"
+    assert got[13]["technical_keywords"] == ["HTTP 503", "0xFF", "ERR_A1", "HTTP 404", "NODE-A-7"]
+    assert got[9]["affected_systems"] == ["load balancer"] and got[12]["user_impact"] == "Multiple Users"
