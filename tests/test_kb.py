@@ -180,6 +180,12 @@ def test_chunking_is_map_only(spark):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_title_and_hash_are_worked_out_once_a_document(spark):
+    df = spark.createDataFrame([("a.txt", "x")], "filename string, content string")
+    plan = kb.chunk_documents(df, F.lit("2024-01-01"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1 and "md5(" in plan[plan.index("Generate explode"):]
+
+
 def test_packing_a_section_of_many_paragraphs(spark):
     """A hundred thousand paragraphs in one section, against the plain rule, in linear time."""
     import random
