@@ -301,6 +301,24 @@ def test_texts_go_to_folders_of_one_task_each(spark, tmp_path):
     assert all(r["path"].endswith("/" + r["filename"]) for r in back)
 
 
+def test_texts_are_written_without_files_beside_them(spark, tmp_path):
+    """Odd texts and keys come back as Spark's own writer leaves them; nothing but the texts is made for a row."""
+    rows = [(1, "plain"), (1, "same key"), (None, ""), (4, None), (5, "two\nlines\n"), (None, "é \U0001f600 \x00"), (7, "x" * 100_000)]
+    df = spark.createDataFrame(rows, "id int, t string").unionByName(spark.sql("SELECT 8 AS id, CAST(X'61FF62' AS STRING) AS t"))
+    path, plain = tmp_path / "texts", str(tmp_path / "plain")
+    sinks.export_texts(df, str(path), "t", "id", 8)
+    df.select("t").repartition(3).write.option("maxRecordsPerFile", 1).text(plain)
+    assert len([f for f in path.rglob("*") if f.is_file()]) == 8 + len([f for f in path.rglob("*_SUCCESS*") if f.is_file()])
+    raw = lambda at: sorted(f.read_bytes() for f in at.rglob("*.txt"))
+    assert raw(path) == raw(tmp_path / "plain") and b"a\xffb\n" in raw(path)
+    back = [sorted(r["content"] for r in readers.read_text_docs(spark, at).collect()) for at in (str(path), plain)]
+    assert back[0] == back[1] and len(back[0]) == 8
+    with pytest.raises(Exception, match="exists"):
+        sinks.export_texts(df, str(path), "t", "id", 8)
+    sinks.export_texts(df.limit(0), str(tmp_path / "none"), "t", "id", 0)
+    assert not list((tmp_path / "none").rglob("*.txt")) and (tmp_path / "none" / "_SUCCESS").exists()
+
+
 def test_index_sync_reads_contents_of_changed_rows_only(spark, tmp_path):
     source, index, mark = (str(tmp_path / n) for n in ("s", "i", "m"))
     embedded = spark.sparkContext.accumulator(0)
