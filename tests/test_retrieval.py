@@ -251,6 +251,47 @@ def test_text_search_with_and_without_sent_words(spark, sent, monkeypatch):
     assert got == {k: [x for x, _ in v] for k, v in bm25(queries, docs, 3).items()}
 
 
+@pytest.mark.parametrize("sent", [2_000_000, 30])
+def test_shards_that_can_only_tie_with_greater_ids_are_not_asked(spark, sent, monkeypatch):
+    """Rows of a few templates fill many shards: as many shards are asked as hold better rows, whether all, some or no words are sent."""
+    from ticketloom.operators import textindex as I
+
+    monkeypatch.setattr(I, "MOST_SENT", sent)
+    asked, plain = [], I.meet
+    monkeypatch.setattr(I, "meet", lambda queries, *args: (asked.append(queries.count()), plain(queries, *args))[1])
+    templates = [" ".join(f"t{t}w{j}" for j in range(6)) for t in range(3)]
+    docs = [(f"d{i:04d}", f"{templates[i % 3]} every n{i % 250}") for i in range(600)]
+    queries = [(f"q{i:03d}", f"{templates[i % 3]} every {'n' if i % 4 else 'unseen'}{i}") for i in range(48)]
+    q, d = spark.createDataFrame(queries, "query_id string, text string"), spark.createDataFrame(docs, "doc_id string, content string")
+    got = {}
+    for r in R.text_topk(q, R.index_terms(d), 3, shard_rows=12).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["corpus_id"])
+    assert got == {k: [x for x, _ in v] for k, v in bm25(queries, docs, 3).items()}
+    # 36 queries name a number that one row of their template has at most, and 12 are the same three sets
+    assert asked[0] == 39 and asked[1] <= 39 * 8, asked
+
+
+def test_many_queries_with_the_same_frequent_words_share_their_sums():
+    """Queries with equal frequent words, with and without rare ones and floors, against all sums."""
+    from ticketloom.operators import textindex as I
+
+    rng = random.Random(6)
+    for k in (1, 2, 3):
+        docs = [(f"d{rng.random():.6f}", [*rng.choice((["a", "b", "c"], ["a", "d"], ["e"])), f"n{rng.randint(0, 90)}"]) for _ in range(200)]
+        idf = lambda w: 2.5 if w[0] == "n" else 1.0
+        asked = [(str(i), [*rng.choice((["a", "b", "c"], ["a", "d"], [], ["e", "a"])), *rng.sample([f"n{j}" for j in range(95)], rng.randint(0, 2))], rng.choice([None, 2.0 * I.STEPS, 3.0 * I.STEPS]), rng.choice(docs)[0]) for i in range(200)]
+        shard = I.Shard(pa.table({"corpus_id": [d for d, _ in docs], "words": [w for _, w in docs], "weights": [[1.0] * len(w) for _, w in docs]}))
+        table = pa.table({"query_id": [a[0] for a in asked], "words": pa.array([a[1] for a in asked], pa.list_(pa.string())), "idfs": pa.array([[idf(w) for w in a[1]] for a in asked], pa.list_(pa.float64())),
+                          "floor": pa.array([a[2] for a in asked], pa.float64()), "floor_id": pa.array([a[3] if a[2] else None for a in asked], pa.string())})
+        got = {}
+        for w, r, x in zip(*(c.tolist() for c in shard.search(table, k)), strict=True):
+            got.setdefault(w, []).append((docs[r][0], x))
+        for n, (_, ws, floor, floor_id) in enumerate(asked):
+            sums = [(d, sum(idf(w) * I.STEPS for w in ws if w in dw)) for d, dw in docs]
+            want = sorted(((d, s) for d, s in sums if s > 0 and (floor is None or s > floor or (s == floor and d < floor_id))), key=lambda x: (-x[1], x[0]))[:k]
+            assert got.get(n, []) == want
+
+
 def test_queries_with_the_same_known_words_are_searched_once(spark):
     from ticketloom.operators import textindex as I
 
