@@ -148,7 +148,7 @@ class Automaton:
             b = range(int(s.heads[d]), int(s.heads[d + 1]), BLOCK)
             begins += b
             docs += [d] * len(b)
-        doc, begin = np.array(docs), np.array(begins)
+        doc, begin = np.array(docs, np.int64), np.array(begins, np.int64)
         size = np.minimum(s.heads[doc + 1] - begin, BLOCK)
         order = np.argsort(-size, kind="stable")
         doc, begin, size = doc[order], begin[order], size[order]
